@@ -76,7 +76,7 @@ def check_duplicates(df: DataFrame, table: str, key: str) -> DataFrame:
     """Surplus rows of the key (null counts as one value), critical; skipped without the column."""
     if key not in df.columns:
         return df.sparkSession.createDataFrame([(table, "duplicates", key, "INFO", "SKIPPED", 0, 0)], SCHEMA)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("k")).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("__n"), F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("n0"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")).agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("__n"), F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("n0"))
     judge = lambda bad, n: (F.when(bad > 0, "CRITICAL").otherwise("INFO"), F.when(bad > 0, "FAILED").otherwise("PASSED"))
     return _rows(counts, table, [("duplicates", key, "n0")], judge)
 

@@ -19,8 +19,8 @@ TARGET = "event_id string, event_type string, occurred_at timestamp, session_id
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
-    """One row per event of each message (``message_id``, ``body``); a message that is no object or array gives one row
-    with an error. The n-th event of a message has ``pos`` n, from 0."""
+    """One row per event of each message (``message_id``, ``body``); a message that is no object or array (of
+    objects) gives one row with an error. The n-th event of a message has ``pos`` n, from 0."""
     body = F.trim("body")
     sound = F.try_parse_json(body).isNotNull()
     many = F.when(sound & body.startswith("["), F.from_json(body, f"array<{EVENT}>")).when(sound & body.startswith("{"), F.array(F.from_json(body, EVENT)))
