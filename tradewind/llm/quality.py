@@ -145,14 +145,16 @@ def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 def threshold(seen: list[tuple[int, int, int]], max_false: float = MAX_FALSE) -> float:
     """From (score in ten-thousandths, quality, rows): the cut-off with the most low-quality rows at or above it while
-    at most ``max_false`` of the good rows are; 2.0 (nothing is rejected) without rows of both kinds."""
+    at most ``max_false`` of the good rows are, in the middle of the gap to the next lower score; 2.0 (nothing is
+    rejected) without rows of both kinds."""
     good, bad = (sum(n for _, q, n in seen if q == k) for k in (1, 0))
     best, cut, g, b = 0.0, 2.0, 0, 0
-    for score in sorted({s for s, _, _ in seen}, reverse=True) if good and bad else []:
+    scores = sorted({s for s, _, _ in seen}, reverse=True) if good and bad else []
+    for score, below in zip(scores, [*scores[1:], 0], strict=False):
         g += sum(n for s, q, n in seen if s == score and q == 1)
         b += sum(n for s, q, n in seen if s == score and q == 0)
         if g <= max_false * good and b / bad - g / good > best:
-            best, cut = b / bad - g / good, score / 1e4
+            best, cut = b / bad - g / good, (score + below) / 2e4
     return cut
 
 
@@ -193,4 +195,4 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     else:
         cut = 2.0
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return scored.withColumn("base_failed", failed).withColumn("cut_off", F.lit(cut)).withColumn("kept", ~failed & (F.floor(F.col("score") * 10000) < F.lit(round(cut * 10000))))
+    return scored.withColumn("base_failed", failed).withColumn("cut_off", F.lit(cut)).withColumn("kept", ~failed & (F.floor(F.col("score") * 10000) < F.lit(cut * 10000)))
