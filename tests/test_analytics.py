@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tradewind.functions.ranks import global_position, percent_rank, tile
+from tradewind.functions.ranks import global_positions, percent_rank, tile
 from tradewind.operators import customers, marketing, products, revenue
 
 FO = "order_id long, customer_key long, product_key long, order_date date, ordered_at timestamp, order_status string, quantity long, unit_price_cents long, discount_cents long, tax_cents long, total_cents long, discount_code string, payment_method string, shipping_country string, payment_status string"
@@ -24,7 +24,7 @@ def orders(spark):
 @pytest.mark.parametrize("n", [1, 2, 7, 10, 103])
 def test_positions_equal_windows(spark, n):
     df = spark.range(n).withColumn("v", (F.col("id") * 7 % 5).cast("double")).repartition(3)
-    ours = global_position(df, "v", "id", "p", ranges=8).select("id", tile("p", 4).alias("t4"), tile("p", 10).alias("t10"), F.round(percent_rank("p"), 9).alias("pr"))
+    ours = global_positions(df, {"p": ("v", False)}, "id", ranges=8).select("id", tile("p", 4).alias("t4"), tile("p", 10).alias("t10"), F.round(percent_rank("p"), 9).alias("pr"))
     from pyspark.sql.window import Window
 
     w = Window.orderBy("v", "id")

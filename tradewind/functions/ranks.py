@@ -1,8 +1,9 @@
 """Global ranks without a global sort in one task.
 
 ``ntile`` and ``percent_rank`` over a whole table need every row's position. Rows are dealt into value ranges (cut at
-approximate quantiles, one row that is broadcast), ranked within their range, and moved by the number of rows in lower
-ranges. The result is exact; only the size of the ranges depends on the quantiles.
+approximate quantiles), ranked within their range, and moved by the number of rows in lower ranges. The result is exact;
+only the size of the ranges depends on the quantiles. Cuts and range sizes, a few numbers per range, pass through the
+driver; the rows are stored once, so what made them is not computed again.
 """
 
 from __future__ import annotations
@@ -11,22 +12,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tradewind.functions.store import save
+
 RANGES = 64
 
 
-def global_position(df: DataFrame, value: str, tie: str, name: str, descending: bool = False, ranges: int = RANGES) -> DataFrame:
-    """``df`` with ``name``_row (1 to n by ``value``, then ``tie`` ascending), ``name``_rank (ties share the smallest
-    position) and ``name``_n. ``value`` is numeric and not null."""
-    x = -F.col(value).cast("double") if descending else F.col(value).cast("double")
-    df = df.withColumn("__x", x)
-    cuts = df.agg(F.percentile_approx("__x", F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), F.lit(10_000)).alias("__cuts"))
-    df = df.crossJoin(F.broadcast(cuts)).withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col("__x")))).drop("__cuts")
-    counts = df.groupBy("__range").agg(F.count(F.lit(1)).alias("__in"))
-    # At most ``ranges`` rows.
-    below = counts.select("__range", (F.sum("__in").over(Window.orderBy("__range")) - F.col("__in")).alias("__below"), F.sum("__in").over(Window.partitionBy()).alias(f"{name}_n"))
-    within = Window.partitionBy("__range")
-    df = df.join(F.broadcast(below), "__range")
-    return df.withColumn(f"{name}_row", F.col("__below") + F.row_number().over(within.orderBy("__x", tie))).withColumn(f"{name}_rank", F.col("__below") + F.rank().over(within.orderBy("__x"))).drop("__range", "__below", "__x")
+def global_positions(df: DataFrame, values: dict[str, tuple[str, bool]], tie: str, ranges: int = RANGES) -> DataFrame:
+    """``df`` with, for each name in ``values`` (name: column, descending), ``name``_row (1 to n by the column, then
+    ``tie`` ascending), ``name``_rank (ties share the smallest position) and ``name``_n. Columns are numeric and not
+    null. Equal values share a range."""
+    df = save(df, "ranked")
+    x = {name: (-F.col(c) if down else F.col(c)).cast("double") for name, (c, down) in values.items()}
+    at = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = df.agg(*[F.percentile_approx(x[name], at, F.lit(10_000)).alias(name) for name in values]).first()
+    place = {name: F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts[name] or [0.0]))]), lambda c, v=x[name]: c < v)) for name in values}
+    df = df.withColumns({f"__{name}": place[name] for name in values})
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(f"__{name}").alias("place")) for name in values]))
+    sizes = {(r["name"], r["place"]): r["count"] for r in df.select(each.alias("e")).groupBy("e.name", "e.place").count().collect()}
+    for name in values:
+        below, total = [], 0
+        for i in range(ranges + 1):
+            below.append(total)
+            total += sizes.get((name, i), 0)
+        w = Window.partitionBy(f"__{name}")
+        start = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in below]), F.col(f"__{name}") + 1)
+        df = df.withColumns({f"{name}_row": start + F.row_number().over(w.orderBy(x[name], tie)), f"{name}_rank": start + F.rank().over(w.orderBy(x[name])), f"{name}_n": F.lit(total).cast("bigint")})
+    return df.drop(*[f"__{name}" for name in values])
 
 
 def tile(name: str, tiles: int) -> Column:

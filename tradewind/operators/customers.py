@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.columns import NOT_SOLD, big, money, month, months_between_starts, n_distinct, ratio, rounded, sold, with_as_of
-from tradewind.functions.ranks import global_position, percent_rank, tile
+from tradewind.functions.ranks import global_positions, percent_rank, tile
 
 
 def customer_ltv(fo: DataFrame, dc: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def customer_ltv(fo: DataFrame, dc: DataFrame) -> DataFrame:
         F.max("order_date").alias("last_order_date"),
     )
     per = per.join(dc.select("customer_key", "email", "loyalty_tier", "acquisition_source"), "customer_key")
-    per = global_position(per, "cents", "customer_key", "rev").withColumn("decile", tile("rev", 10))
+    per = global_positions(per, {"rev": ("cents", False)}, "customer_key").withColumn("decile", tile("rev", 10))
     return per.select(
         "customer_key", "email", "loyalty_tier", "acquisition_source", "order_count",
         money(F.col("cents")).alias("lifetime_revenue"),
@@ -52,9 +52,7 @@ def rfm_scores(fo: DataFrame, as_of: str | None = None, months: int = 12, direct
     """Per customer: scores 1 to 5 and the segment. ``literal``: as the original, frequency and money score 1 for the
     best; ``corrected``: 5 for the best."""
     best_first = direction == "literal"
-    df = _recency(fo, as_of, months)
-    for name, value, desc in (("r", "recency", False), ("f", "frequency", best_first), ("m", "cents", best_first)):
-        df = global_position(df, value, "customer_key", name, descending=desc)
+    df = global_positions(_recency(fo, as_of, months), {"r": ("recency", False), "f": ("frequency", best_first), "m": ("cents", best_first)}, "customer_key")
     df = df.select("customer_key", "recency", "frequency", "cents", (F.lit(6) - tile("r", 5)).cast("bigint").alias("r_score"), tile("f", 5).alias("f_score"), tile("m", 5).alias("m_score"))
     return df.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn("rfm_segment", _segment(F.col("r_score"), F.col("f_score")))
 
@@ -92,9 +90,7 @@ def rfm_mart(fo: DataFrame, as_of: str | None = None, months: int = 12) -> DataF
 
 def rfm_report(fo: DataFrame, as_of: str | None = None) -> DataFrame:
     """All-time scores where 5 is best, in six segments."""
-    df = _recency(fo, as_of, None, NOT_SOLD)
-    for name, value, desc in (("r", "recency", True), ("f", "frequency", False), ("m", "cents", False)):
-        df = global_position(df, value, "customer_key", name, descending=desc)
+    df = global_positions(_recency(fo, as_of, None, NOT_SOLD), {"r": ("recency", True), "f": ("frequency", False), "m": ("cents", False)}, "customer_key")
     r, f, m = (tile(x, 5) for x in "rfm")
     segment = F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions").when((r >= 3) & (f >= 3), "Loyal Customers").when((r >= 4) & (f <= 2), "Recent Customers").when((r <= 2) & (f >= 3) & (m >= 3), "At Risk").when((r == 1) & (f <= 2), "Lost").otherwise("Potential Loyalists")
     by = df.withColumn("segment", segment).groupBy("segment").agg(big(F.count(F.lit(1))).alias("customer_count"), F.avg("recency").alias("r"), F.avg("frequency").alias("f"), F.avg("cents").alias("m"))
@@ -112,7 +108,7 @@ def cohort_retention(fo: DataFrame, as_of: str | None = None, cohort_months: int
     by = _activity(fo).groupBy("cohort", "age").agg(big(F.count(F.lit(1))).alias("retained_customers"))
     # In month 0 every member of a cohort buys.
     by = by.withColumn("size", F.max(F.when(F.col("age") == 0, F.col("retained_customers"))).over(Window.partitionBy("cohort")))
-    by = by.crossJoin(F.broadcast(with_as_of(fo.select("order_date"), as_of, "order_date").select("as_of").limit(1))) if as_of else by.crossJoin(F.broadcast(fo.agg(F.max("order_date").alias("as_of"))))
+    by = by.withColumn("as_of", F.lit(as_of).cast("date")) if as_of else by.crossJoin(F.broadcast(fo.agg(F.max("order_date").alias("as_of"))))
     by = by.where((F.col("cohort") >= F.add_months(month(F.col("as_of")), -cohort_months)) & (F.col("age") <= max_age))
     return by.select(F.col("cohort").alias("cohort_month"), F.col("size").alias("cohort_customers"), F.col("age").alias("months_since_cohort"), "retained_customers", ratio(F.col("retained_customers"), F.col("size"), 1).alias("retention_rate_pct"))
 
@@ -165,7 +161,7 @@ def churn_features(dc: DataFrame, fo: DataFrame, as_of: str | None = None, churn
 def ltv_deciles(fo: DataFrame) -> DataFrame:
     """Customers and revenue by decile of revenue, with the share from the top."""
     per = sold(fo).groupBy("customer_key").agg(F.sum("total_cents").alias("cents"))
-    by = global_position(per, "cents", "customer_key", "rev").groupBy(tile("rev", 10).alias("decile")).agg(F.count(F.lit(1)).alias("n"), *[getattr(F, f)("cents").alias(f) for f in ("min", "max", "avg", "sum")])
+    by = global_positions(per, {"rev": ("cents", False)}, "customer_key").groupBy(tile("rev", 10).alias("decile")).agg(F.count(F.lit(1)).alias("n"), *[getattr(F, f)("cents").alias(f) for f in ("min", "max", "avg", "sum")])
     every, top = F.sum("sum").over(Window.partitionBy()), F.sum("sum").over(Window.orderBy(F.desc("decile")))
     return by.select("decile", big(F.col("n")).alias("customer_count"), *[money(F.col(f)).alias(a) for f, a in (("min", "min_ltv"), ("max", "max_ltv"), ("avg", "avg_ltv"), ("sum", "total_revenue"))], ratio(F.col("sum"), every, 1).alias("pct_of_total_revenue"), ratio(top, every, 1).alias("cumulative_revenue_from_top"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import clean
 from tradewind.functions.columns import big
+from tradewind.functions.store import work_dir
 from tradewind.operators import listing, orders, quality, warehouse
 from tradewind.plans.analytics import QUERIES as ANALYTICS
 from tradewind.plans.analytics import add as _add
@@ -25,8 +25,7 @@ def add(name: str, sql: str | None, tables: str = ""):
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for what a query writes: in the shared checkpoint folder, a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/{uuid.uuid4().hex}"
 
 
 # --- sources and sinks ---------------------------------------------------------------------------------------------
