@@ -158,3 +158,30 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), pa.array(np.diff(first)), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"])
 
     return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<line:long,label:string,containment:double>>")
+
+
+def _sql() -> str:
+    """The same rows in DuckDB SQL: every phrase at every place, every template against every line, nothing filtered."""
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    upper = "".join(map(chr, range(65, 91)))
+    words = lambda text: "regexp_extract_all(translate('" + text + f"', '{upper}', '{upper.lower()}'), '{pattern}')"
+    phrases = ", ".join(f"('{label}', {words(p)})" for p, label in PHRASES.items())
+    templates = ", ".join(f"('{label}', list_distinct({words(t)}))" for label, t in TEMPLATES)
+    return f"""
+with d as (select row_number() over () as r, doc_id, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') as t from documents),
+w as (select r, doc_id, t, regexp_extract_all(t, '{pattern}') as w from d),
+ph(label, p) as (values {phrases}), tp(label, t) as (values {templates}),
+spot as materialized (select r, w, unnest(range(0, len(w))) as i from w),
+hit as (select r, i, label from spot, ph where w[i + 1] = p[1] and w[i + 1 : i + len(p)] = p),
+base as (select r, count(*) as n, min(i) as lo, max(i) as hi, list(distinct label) as ls from hit group by r),
+line as (select r, list_distinct(regexp_extract_all(l, '{pattern}')) as lw from (select r, unnest(string_split(t, chr(10))) as l from w)),
+met as (select r, label, len(list_intersect(lw, tp.t)) / len(tp.t) as share from line, tp where len(list_intersect(lw, tp.t)) >= ceil({CONTAINMENT} * len(tp.t) - 1e-9)),
+best as (select r, max(share) as score, list(distinct label) as ls from met group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_base, cast(lo as bigint) as first_word, cast(hi as bigint) as last_word,
+  coalesce(array_to_string(list_sort(base.ls), ','), '') as base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(best.ls, [])))), ','), '') as labels, cast(coalesce(score, 0) as double) as score
+from w left join base using (r) left join best using (r)
+"""
+
+
+SQL = _sql()

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.llm import textvec as tv
-from tradewind.llm.shared import texts
+from tradewind.llm.shared import save, texts
 
 SCOPE = 200
 
@@ -125,7 +125,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 kinds = [pa.int64()] * 3 + [pa.string(), part]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_assign", "n_access", "n_hex", "base_spans", "parts"])
 
-    scanned = texts(docs, id_col, text_col).select("doc_id", "text").mapInArrow(scan, schema)
+    # Stored once: what follows reads spans, never the texts again.
+    scanned = save(texts(docs, id_col, text_col).select("doc_id", "text").mapInArrow(scan, schema), "secrets")
     plain = scanned.where("size(parts) = 0").select("doc_id", "n_assign", "n_access", "n_hex", "base_spans", F.col("base_spans").alias("spans"), F.lit(0).cast("long").alias("n_linked"))
     # The interval join: within a document, frames of ``scope`` around each start say which roles are near.
     mixed = scanned.where("size(parts) > 0").withColumn("row", F.monotonically_increasing_id())
