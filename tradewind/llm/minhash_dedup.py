@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import textvec as tv
 from tradewind.llm.shared import save, texts
 
-SHINGLE, PERCENT, M, K, SEED, SMALL_BUCKET = 5, 80, 8, 2, 11, 16
+SHINGLE, PERCENT, M, K, SEED, SMALL_BUCKET, COARSE = 5, 80, 8, 2, 11, 16, 1 << 20
 
 
 def _hashes(m: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,9 +76,21 @@ def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, shingles binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+def _of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Shingle sets of the documents in ``ids`` (doc_id).
+
+    Most texts are not wanted, and texts are what is large: before they are dealt out for the join, a coarse filter
+    drops those whose id falls into none of ``COARSE`` hash classes that a wanted id is in. It has at most that many
+    rows whatever the input, so it can be broadcast, and only ever lets too many through.
+    """
+    group = F.pmod(F.xxhash64("doc_id"), F.lit(COARSE))
+    groups = F.broadcast(ids.select(group.alias("__group")).distinct())
+    some = docs.withColumn("__group", group).join(groups, "__group", "left_semi").drop("__group")
+    return _shingle_sets(some.join(ids.distinct(), "doc_id", "left_semi"), size)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, with a > b) whose full sets have 100 * intersection >= percent * union."""
-    sets = _shingle_sets(docs.join(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "doc_id", "left_semi"), size)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,16 +179,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = met.where(F.col("n") <= SMALL_BUCKET).select("key", "rep")
     among = small.alias("x").join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") > F.col("y.rep"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     pairs = save(star.union(among).distinct(), "candidates")
-    links = save(verified(pairs, docs, percent, size), "confirmed")
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    links = save(verified(pairs, _of(docs, ends, size), percent), "confirmed")
     found = components(links)
 
     large = met.where(F.col("n") > SMALL_BUCKET).join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     split = large.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("key")
     members = save(large.join(split, "key", "left_semi").select(F.col("rep").alias("doc_id"), "component").distinct(), "members")
     if not members.isEmpty():
-        sets = _shingle_sets(docs.join(members, "doc_id", "left_semi"), size)
-        rest = save(_rest(save(members.join(sets, "doc_id").select("doc_id", "component", "shingles"), "sets"), percent), "candidates")
-        more = save(verified(rest, docs, percent, size), "confirmed")
+        sets = save(members.join(_of(docs, members.select("doc_id"), size), "doc_id").select("doc_id", "component", "shingles"), "sets")
+        rest = save(_rest(sets, percent), "candidates")
+        more = save(verified(rest, sets, percent), "confirmed")
         if not more.isEmpty():
             found = components(links.union(more))
 
