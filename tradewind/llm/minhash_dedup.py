@@ -12,6 +12,7 @@ shingles ordered by frequency, the rarest of each set as prefix, so that common
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,13 @@ from pyspark.sql import functions as F
 from tradewind.llm import textvec as tv
 from tradewind.llm.shared import save, texts
 
-SHINGLE, PERCENT, M, K, SEED, SMALL_BUCKET, COARSE = 5, 80, 8, 2, 11, 16, 1 << 20
+SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE = 5, 80, 2, 1e-4, 11, 16, 1 << 20
+
+
+def collection_size(percent: int, k: int = K, miss: float = MISS) -> int:
+    """Hashes a collection needs so that a pair at the threshold meets in no table with probability ``miss`` at most:
+    8 at 85 percent, 10 at 80."""
+    return math.ceil(math.log(miss / 2) / math.log(1 - (percent / 100) ** k)) if percent < 100 else 1
 
 
 def _hashes(m: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +44,7 @@ def _sets(run: tv.Run, size: int) -> list[np.ndarray]:
     return [np.unique(found[at[i] : at[i + 1]]) for i in range(run.n)]
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE, m: int = M, k: int = K) -> DataFrame:
+def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
     """doc_id, text_key, n_shingles, a 128-bit digest of the set (d1, d2), and the 2m small hashes (``halves``)."""
     a, b = _hashes(m, k)
     schema = "doc_id long, text_key long, n_shingles long, d1 long, d2 long, halves array<long>"
@@ -156,18 +163,18 @@ def _rest(sets: DataFrame, percent: int) -> DataFrame:
     return met.select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SHINGLE, m: int = M, k: int = K) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SHINGLE, k: int = K, miss: float = MISS) -> DataFrame:
     """One row per input row: doc_id, text_key, n_shingles, component_id, kept.
 
     A document's set: the distinct ``size``-word shingles of its whole text, words between ASCII white space with A-Z
     lower-cased; with fewer words, the whole sequence. Documents are linked when 100 * intersection >= percent * union
     on full sets, and a component is what links connect; component_id is its smallest doc_id, kept where that is the
-    own one. A pair at similarity s is a candidate with probability (1 - (1 - s**k)**m)**2 or more: 0.9999 at 0.85 with
-    the defaults; equal sets always meet.
+    own one. A pair at similarity s is a candidate with probability (1 - (1 - s**k)**m)**2 or more, with m from
+    ``collection_size``: at least 1 - ``miss`` at the threshold; equal sets always meet.
     Null or empty text: an empty set, linked with nothing, kept. Null id: no links, component_id null, kept. Rows that
     share a doc_id are judged each by its own text. Empty input: empty result.
     """
-    docs = texts(docs, id_col, text_col)
+    docs, m = texts(docs, id_col, text_col), collection_size(percent, k, miss)
     signed = save(signatures(docs, size, m, k), "signatures")
     named = signed.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("halves").alias("halves"))
