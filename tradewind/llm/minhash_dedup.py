@@ -190,9 +190,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = save(verified(pairs, _of(docs, ends, size), percent), "confirmed")
     found = components(links)
 
-    large = met.where(F.col("n") > SMALL_BUCKET).join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    split = large.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("key")
-    members = save(large.join(split, "key", "left_semi").select(F.col("rep").alias("doc_id"), "component").distinct(), "members")
+    # A large bucket is still split where a member's component is not that of its smallest; pairs are distinct over all
+    # tables, and all members that meet such a smallest one go on.
+    large = save(met.where(F.col("n") > SMALL_BUCKET).select("rep", "least").distinct(), "large")
+    own = large.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("component", "rep").alias("component"))
+    head = found.select(F.col("node").alias("least"), F.col("component").alias("of_least"))
+    split = own.join(head, "least", "left").where(F.col("component") != F.coalesce("of_least", "least")).select("least").distinct()
+    members = save(own.join(split, "least", "left_semi").select(F.col("rep").alias("doc_id"), "component").distinct(), "members")
     if not members.isEmpty():
         sets = save(members.join(_of(docs, members.select("doc_id"), size), "doc_id").select("doc_id", "component", "shingles"), "sets")
         rest = save(_rest(sets, percent), "candidates")
