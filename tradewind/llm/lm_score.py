@@ -57,7 +57,7 @@ def _block(texts: pa.Array, train: np.ndarray, held: np.ndarray) -> tuple[np.nda
     out = []
     for keys, t, h in (every[:3], every[3:]):
         k, back = np.unique(np.concatenate(keys), return_inverse=True)
-        out += [k, np.bincount(back, np.concatenate(t), len(k)).astype("<u4"), np.bincount(back, np.concatenate(h), len(k)).astype("<u4")]
+        out += [k, *(np.bincount(back, np.concatenate(c), len(k)).astype(np.int64) for c in (t, h))]
     return tuple(out)
 
 
@@ -79,6 +79,17 @@ def _long(short: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    """Counts as one byte each; those of 255 and more follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u8").tobytes()
+
+
+def _unpack(packed: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(packed, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(packed, "<u8", offset=n).astype(np.int64)
+    return out
+
+
 def _requests(docs: DataFrame, parts: int) -> DataFrame:
     """One row per block, kind (0: words, 1: bigrams) and part: its keys and their counts."""
 
@@ -102,7 +113,7 @@ def _requests(docs: DataFrame, parts: int) -> DataFrame:
                     for kind in (0, 1):
                         keys, t, h = found[3 * kind : 3 * kind + 3]
                         cuts = _parts(keys, parts)
-                        rows += [(int(blocks[lo]), first, em, kind, p, _short(keys[a:b]), t[a:b].tobytes(), h[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+                        rows += [(int(blocks[lo]), first, em, kind, p, _short(keys[a:b]), _pack(t[a:b]), _pack(h[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
                 kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "piece", "em", "kind", "part", "keys", "train", "held"])
 
@@ -114,20 +125,20 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
     sizes = [len(k) // 6 for k in group["keys"]]
     keys = np.concatenate([_long(k) for k in group["keys"]])
     _, back = np.unique(keys, return_inverse=True)
-    totals = []
-    for c in ("train", "held"):
-        totals.append(np.bincount(back, np.concatenate([np.frombuffer(x, "<u4") for x in group[c]])).astype("<u4"))
+    totals = [np.bincount(back, np.concatenate([_unpack(x, n) for x, n in zip(group[c], sizes, strict=True)])).astype(np.int64) for c in ("train", "held")]
     at = np.concatenate(([0], np.cumsum(sizes)))
     out = group[["block", "piece", "em", "kind", "part"]].copy()
+    out["n"] = sizes
     for c, total in zip(("train", "held"), totals, strict=True):
         each = total[back]
-        out[c] = [each[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        # EM counts go only to those who asked for them.
+        out[c] = [_pack(each[a:b]) if c == "train" or em else b"" for a, b, em in zip(at[:-1], at[1:], group["em"], strict=True)]
     out["known"] = out["tokens"] = 0
-    row = {"block": -1, "piece": 0, "em": False, "kind": group["kind"].iloc[0], "part": group["part"].iloc[0], "train": b"", "held": b"", "known": int((totals[0] > 0).sum()), "tokens": int(totals[0].sum())}
+    row = {"block": -1, "piece": 0, "em": False, "kind": group["kind"].iloc[0], "part": group["part"].iloc[0], "n": 0, "train": b"", "held": b"", "known": int((totals[0] > 0).sum()), "tokens": int(totals[0].sum())}
     return pd.concat([out, pd.DataFrame([row])], ignore_index=True)
 
 
-ANSWER = "block long, piece long, em boolean, kind int, part int, train binary, held binary, known long, tokens long"
+ANSWER = "block long, piece long, em boolean, kind int, part int, n long, train binary, held binary, known long, tokens long"
 
 
 class _Counts:
@@ -140,9 +151,9 @@ class _Counts:
         self.keys, self.counts = [], []
         for kind in (0, 1):
             own = answers[answers["kind"] == kind]
-            c = np.concatenate([np.frombuffer(x, "<u4") for x in own["train"]]).astype(np.int64)
+            c = np.concatenate([_unpack(x, n) for x, n in zip(own["train"], own["n"], strict=True)])
             if only_train_rest:
-                c -= np.concatenate([np.frombuffer(x, "<u4") for x in own["held"]]).astype(np.int64)
+                c = c - np.concatenate([_unpack(x, n) for x, n in zip(own["held"], own["n"], strict=True)])
             if len(c) != len(keys[3 * kind]):
                 raise RuntimeError("the documents changed between two reads: score a stored table")
             self.keys.append(keys[3 * kind])
