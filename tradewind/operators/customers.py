@@ -49,7 +49,7 @@ def _recency(fo: DataFrame, as_of: str | None, months: int | None, without: tupl
 
 
 def rfm_scores(fo: DataFrame, as_of: str | None = None, months: int = 12, direction: str = "literal") -> DataFrame:
-    """Per customer: scores 1 to 5 and the segment. ``literal``: as the original, frequency and money score 1 for the
+    """Per customer: scores 1 to 5 and the segment. ``literal``: as in the blueprint, frequency and money score 1 for the
     best; ``corrected``: 5 for the best."""
     best_first = direction == "literal"
     df = global_positions(_recency(fo, as_of, months), {"r": ("recency", False), "f": ("frequency", best_first), "m": ("cents", best_first)}, "customer_key")
