@@ -28,7 +28,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A text from which nothing is removed stays as it is, also null. ``n_chars`` (if there) follows a changed text.
     """
-    return line_dedup.rewrite(docs)
+    return line_dedup.rewrite(docs, max_share=None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,36 +42,44 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("k1", F.coalesce("doc_id", F.lit(-1))).withColumn("k2", F.col("text_key"))
 
 
+def _copied(docs: DataFrame, min_sites: int) -> DataFrame:
+    """(k2, copied): the texts that stand, whole and equal, on at least ``min_sites`` sites."""
+    site = F.coalesce(F.xxhash64(F.lit("site"), "site"), F.lit(0))
+    return _keyed(docs).select("k2", site.alias("s")).distinct().groupBy("k2").count().where(F.col("count") >= min_sites).select("k2", F.lit(True).alias("copied"))
+
+
 def _common(docs: DataFrame, min_sites: int) -> DataFrame:
-    """(k1, k2, common, chars): the positions of boilerplate lines of each document that has some, and their length."""
+    """(k1, k2, common, chars, copied): the positions of boilerplate lines of each document that has some, their length, and whether the whole text is a copy."""
     lines = _lines(_keyed(docs))
     hit = lines.select("k1", "k2", "pos", "length", "h1", "h2").join(boilerplate(lines, min_sites), ["h1", "h2"], "left_semi")
     # Repeated rows share their key, so their positions come once.
     hit = hit.select("k1", "k2", "pos", "length").distinct()
-    return hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_list("pos")).alias("common"), F.sum("length").alias("chars"))
+    each = hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_list("pos")).alias("common"), F.sum("length").alias("chars"))
+    return each.join(_copied(docs, min_sites), "k2", "left").select("k1", "k2", "common", "chars", "copied")
 
 
-def _whole(chars: Column, text: Column, max_share: float) -> Column:
-    return F.coalesce(chars, F.lit(0)) > max_share * F.length(text)
+def _whole(chars: Column, copied: Column, text: Column, max_share: float | None) -> Column:
+    return F.coalesce(copied, F.lit(False)) if max_share is None else F.coalesce(chars, F.lit(0)) > max_share * F.length(text)
 
 
 def _without(text: Column, gone: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i)), "\n")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_boilerplate, n_removed, clean_text.
 
     A line is its text without blanks at both ends; lines of blanks only are never boilerplate. Lines on at least
-    ``min_sites`` distinct sites are boilerplate and go. Where they make up more than ``max_share`` of a document's
-    characters, the document is a copy of others rather than a page with boilerplate: it stays whole, for document
-    deduplication to judge. Null or empty text: one empty line, nothing removed, clean_text ''. Null site: counts as
+    ``min_sites`` distinct sites are boilerplate and go. With ``max_share`` None they go in every document, but for a
+    text that stands whole on ``min_sites`` sites: there the copying alone makes each line common, and it stays for
+    document deduplication to judge. Otherwise documents of more than this share of boilerplate characters stay whole
+    (the rule of ``SQL``). Null or empty text: one empty line, nothing removed, clean_text ''. Null site: counts as
     one more site. Null id: kept as null. Repeated rows: one result each. Empty input: empty result.
     """
     docs = texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site"))
     none = F.array().cast("array<int>")
     out = _keyed(docs).join(_common(docs, min_sites), ["k1", "k2"], "left").withColumn("common", F.coalesce("common", none))
-    out = out.withColumn("gone", F.when(_whole(F.col("chars"), F.col("text"), max_share), none).otherwise(F.col("common")))
+    out = out.withColumn("gone", F.when(_whole(F.col("chars"), F.col("copied"), F.col("text"), max_share), none).otherwise(F.col("common")))
     return out.select(
         "doc_id",
         F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
@@ -81,17 +89,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", chars_col: str = "n_chars", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE) -> DataFrame:
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", chars_col: str = "n_chars", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE) -> DataFrame:
     """``docs``, all rows and columns, with boilerplate removed from the texts as ``line_dedup`` says.
 
     A text from which nothing is removed stays as it is, also null; ``chars_col``, if there, follows a changed text.
     """
     own = texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site"))
-    hit = _common(own, min_sites).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"), F.col("chars").alias("__chars"))
+    hit = _common(own, min_sites).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"), F.col("chars").alias("__chars"), F.col("copied").alias("__copied"))
     text = F.coalesce(docs[text_col], F.lit(""))
     same = (F.coalesce(docs[id_col].cast("long"), F.lit(-1)) == hit["__k1"]) & (F.xxhash64(text) == hit["__k2"])
     joined = docs.join(hit, same, "left")
-    changed = F.col("__gone").isNotNull() & ~_whole(F.col("__chars"), text, max_share)
+    changed = F.col("__gone").isNotNull() & ~_whole(F.col("__chars"), F.col("__copied"), text, max_share)
     clean = _without(text, F.col("__gone"))
     new = {text_col: F.when(changed, clean).otherwise(docs[text_col])}
     if chars_col in docs.columns:
