@@ -1,7 +1,7 @@
 """License scans: base phrases, and an exact set-similarity join of text blocks with notice templates.
 
-A block (a line) matches a template when it holds at least ``CONTAINMENT`` of the template's distinct words. Template
-words are ordered by their frequency in the whole corpus, rarest first; a block qualifies only through a word in the
+A block matches a template when it holds at least ``CONTAINMENT`` of the template's distinct words. Blocks are lines, and
+stretches over line breaks of as many words as the template has, for notices that are wrapped. Template words are ordered by their frequency in the whole corpus, rarest first; a block qualifies only through a word in the
 template's prefix (its first n - need + 1 words), must be long enough (length filter), and the words left after the
 first shared one must suffice (positional filter); what remains is verified exactly.
 """
@@ -77,6 +77,11 @@ class Index:
         for t, w in enumerate(self.words):
             for pos, r in enumerate(w[: len(w) - self.need[t] + 1]):
                 self.prefix.setdefault(r, []).append((t, pos))
+        self.length = [len(_hashes(text)) for _, text in templates]
+        self.member, self.rare = (np.zeros((len(templates), len(vocabulary)), bool) for _ in range(2))
+        for t, w in enumerate(self.words):
+            self.member[t, w] = True
+            self.rare[t, w[: len(w) - self.need[t] + 1]] = True
         self.starts = np.zeros(len(vocabulary), bool)
         self.starts[list(self.prefix)] = True
         self.quick = np.zeros(1 << 16, bool)
@@ -105,6 +110,30 @@ class Index:
                     found.append((t, both / len(own)))
         return found
 
+    def wrapped(self, at: np.ndarray, ranks: np.ndarray, line: np.ndarray, end: np.ndarray) -> list[tuple[int, int, int, float]]:
+        """(first, last, template, containment) of blocks over line breaks, as indices into the template words.
+
+        ``at``: the words' places; ``line``: their lines; ``end``: where their documents end. A block starts at a word
+        of its template, which loses none; of blocks of a template that overlap the best counts.
+        """
+        found = []
+        for t, own in enumerate(self.words):
+            mine = np.flatnonzero(self.member[t][ranks])
+            p, r = at[mine], ranks[mine]
+            lo, hi = np.arange(len(p)), np.searchsorted(p, np.minimum(p + self.length[t], end[mine]))
+            rare = np.concatenate(([0], np.cumsum(self.rare[t][r])))
+            free, last = -1, None
+            for k in np.flatnonzero((hi - lo >= self.need[t]) & (rare[hi] > rare[lo]) & (line[mine[hi - 1]] != line[mine])).tolist():
+                both = len(set(r[k : hi[k]].tolist()))
+                if both < self.need[t] or (p[k] < free and both / len(own) <= last[3]):
+                    continue
+                if p[k] < free:
+                    found.pop()
+                last = (int(mine[k]), int(mine[hi[k] - 1]), t, both / len(own))
+                found.append(last)
+                free = p[k] + self.length[t]
+        return found
+
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks.
@@ -112,7 +141,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Words are letters, digits and non-ASCII characters, A-Z lower-cased. n_base: all places where a phrase's words
     stand consecutively; first_word and last_word: smallest and largest of those places (else null). labels: base
     labels and those of matching templates, distinct, sorted, comma-joined. score: the largest containment of a
-    template by a block, 0 without one. blocks: (line, label, containment) of all template matches.
+    template by a block, 0 without one. blocks: (line, label, containment) of all template matches, those over line
+    breaks by their first line, and only where none of their lines alone holds as much of the template.
     Null or empty text: zeros, nulls and empty strings. Null id: kept as null. Repeated rows: one result each. Empty
     input: empty result. Templates and phrases are short lists and travel with the task.
     """
@@ -141,12 +171,21 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 edge = np.flatnonzero(np.diff(line, prepend=-1)) if len(line) else np.zeros(0, int)
                 hot = np.flatnonzero(np.logical_or.reduceat(index.starts[ranks], edge)) if len(edge) else []
                 edge = np.append(edge, len(line))
+                alone: dict[tuple[int, int], float] = {}
+
+                def meet(at_line: int, t: int, share: float) -> None:
+                    d = int(lines.doc[at_line])
+                    number = run.data[run.offsets[d] : lines.start[at_line]].tobytes().count(b"\n")
+                    blocks.setdefault(d, []).append({"line": number, "label": index.labels[t], "containment": share})
+
                 for b in hot:
                     lo, hi = edge[b], edge[b + 1]
                     for t, share in index.matches(np.unique(ranks[lo:hi]).tolist()):
-                        d = int(lines.doc[line[lo]])
-                        number = run.data[run.offsets[d] : lines.start[line[lo]]].tobytes().count(b"\n")
-                        blocks.setdefault(d, []).append({"line": number, "label": index.labels[t], "containment": share})
+                        alone[int(line[lo]), t] = share
+                        meet(line[lo], t, share)
+                for lo, hi, t, share in index.wrapped(at, ranks, line, first[w.doc[at] + 1]):
+                    if all(alone.get((x, t), 0.0) < share for x in range(int(line[lo]), int(line[hi]) + 1)):
+                        meet(line[lo], t, share)
                 rows = []
                 for d in range(run.n):
                     own, met = base.get(d, []), blocks.get(d, [])
