@@ -62,7 +62,7 @@ add("inventory_extract", "select product_key, sku, warehouse_id, quantity_on_han
 
 def _lake(s: SparkSession, d: str) -> tuple[str, DataFrame]:
     base = scratch(s)
-    lake.write_lake(order_heads(s, d).where("created_at >= timestamp_ntz '2001-01-01'").select("order_id", "customer_key", "created_at", "status", "total_cents"), base, "orders", "created_at")
+    lake.write_lake(order_heads(s, d).select("order_id", "customer_key", "created_at", "status", "total_cents"), base, "orders", "created_at")
     return base, lake.read_lake(s, base, "orders")
 
 
@@ -84,7 +84,7 @@ add("federated_activity", "select country_code, loyalty_tier, cast(count(distinc
 @add("warehouse_append", "select order_id, product_key, quantity from fo where order_date >= date '2001-07-01'", "fo")
 def _append(s: SparkSession, d: str) -> DataFrame:
     path = scratch(s)
-    lake.append_fact(fact_orders(s, d).where("order_date >= date '2001-07-01'").select("order_id", "product_key", "quantity"), path)
+    lake.append_fact(fact_orders(s, d).select("order_id", "product_key", "quantity"), path)
     return s.read.parquet(path).where("dw_loaded_at is not null").select("order_id", "product_key", "quantity")
 
 
