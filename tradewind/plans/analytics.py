@@ -180,10 +180,13 @@ select product_key, sku, product_name, category_name, base_price_cents, warehous
 _ITEMS = f"items as (select distinct order_id, brand as item from fo join dp using (product_key) where {LIVE})"
 add("basket_pairs", f"""with {_ITEMS}, k as (select item, count(*) as k from items group by 1), q as (select a.item as a, b.item as b, count(*) as ab from items a join items b on a.order_id = b.order_id and a.item < b.item group by all having count(*) >= 10), t as (select count(distinct order_id) as t from items)
 select a as item_a, b as item_b, cast(ab as bigint) as co_purchase_count, cast(x.k as bigint) as orders_a, cast(y.k as bigint) as orders_b, {p("ab", "t", 3)} as support_pct, {p("ab", "x.k", 1)} as confidence_a_to_b_pct, {r("cast(ab as double) * cast(t as double) / (cast(x.k as double) * cast(y.k as double))", 2)} as lift
-from q join k x on x.item = a join k y on y.item = b cross join t order by lift desc, co_purchase_count desc, item_a, item_b limit 100""", "fo dp")(lambda s_, d: products.basket_pairs(fact_orders(s_, d), dim_products(s_, d), level="brand"))
+from q join k x on x.item = a join k y on y.item = b cross join t order by lift desc, co_purchase_count desc, item_a, item_b limit 100""", "fo dp")(lambda s_, d: products.basket_pairs(fact_orders(s_, d), dim_products(s_, d)))
 add("item_similarity", f"""with w as (select customer_key, brand as item, sum(quantity) as q from fo join dp using (product_key) where {LIVE} group by all), v as (select customer_key, item, cast(floor(cast(q as double) * 1000000 / sum(q) over (partition by customer_key)) as bigint) as v from w),
 g as (select a.item as a, b.item as b, {n("*")} as k, sum(a.v * b.v) as ab, sum(a.v * a.v) as aa, sum(b.v * b.v) as bb from v a join v b on a.customer_key = b.customer_key and a.item < b.item where a.v > 0 and b.v > 0 group by all), h as (select a, b, k, {r("cast(ab as double) / (sqrt(cast(aa as double)) * sqrt(cast(bb as double)))", 4)} as c from g where k >= 5)
-select a as item_a, b as item_b, k as common_customers, c as cosine_similarity, rank() over (partition by a order by c desc) as similarity_rank from h where c > 0.1 order by c desc, a, b limit 200""", "fo dp")(lambda s_, d: products.item_similarity(fact_orders(s_, d), dim_products(s_, d), level="brand"))
+select a as item_a, b as item_b, k as common_customers, c as cosine_similarity, rank() over (partition by a order by c desc) as similarity_rank from h where c > 0.1 order by c desc, a, b limit 200""", "fo dp")(lambda s_, d: products.item_similarity(fact_orders(s_, d), dim_products(s_, d)))
+# The SQL of both is by brand, as are these queries.
+add("basket_pairs_brand", SQL["basket_pairs"])(lambda s_, d: products.basket_pairs(fact_orders(s_, d), dim_products(s_, d), level="brand"))
+add("item_similarity_brand", SQL["item_similarity"])(lambda s_, d: products.item_similarity(fact_orders(s_, d), dim_products(s_, d), level="brand"))
 add("return_rates", f"""with t as (select product_key, count(distinct order_id) as k, count(distinct if({BACK}, order_id, null)) as b, sum(total_cents) as c, sum(if({BACK}, total_cents, 0)) as bc from fo where {LIVE} group by 1)
 select product_key, product_name, category_name, brand, cast(k as bigint) as total_orders, cast(b as bigint) as returned_orders, {p("b", "k", 2)} as return_rate_pct, {m("c")} as total_revenue, {m("bc")} as total_refunded, {p("bc", "c", 2)} as refund_rate_pct from t join dp using (product_key) where k >= 10 order by return_rate_pct desc, total_orders desc, product_key limit 50""", "fo dp")(lambda s_, d: products.return_rates(fact_orders(s_, d), dim_products(s_, d)))
 add("top_products", f"""with t as (select product_key, sum(quantity) as q, sum(total_cents) as c, count(distinct customer_key) as u from fo where {SOLD} group by 1)
