@@ -42,7 +42,7 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("removed")
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), min_words=1).drop("removed")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
