@@ -38,6 +38,7 @@ class Index:
     holders: dict[int, list[int]]
     blocks: list[tuple[int, int]]
     tables: list[np.ndarray]
+    total: int
 
 
 def rolled(h: np.ndarray, k: int) -> np.ndarray:
@@ -57,21 +58,49 @@ def _pack(sums: np.ndarray) -> np.ndarray:
     return ((sums > 0).astype(tv.U) << np.arange(64, dtype=tv.U)).sum(axis=1, dtype=tv.U)
 
 
-def build(items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIUS) -> Index | None:
-    """Shingle weights are log(1 + items / items with the shingle), so what many items share counts less."""
+def _cut(text: str | None, size: int) -> tuple[int, np.ndarray]:
+    """Words and distinct shingles of an item."""
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    h = tv.words(tv.Run(0, raw, np.array([0, len(raw)])), tv.ALNUM).hash
+    return len(h), np.unique(rolled(h, min(size, len(h)))) if len(h) else h
+
+
+def counts(items: DataFrame, size: int = SHINGLE) -> tuple[int, dict[int, int]]:
+    """Items with a word in the whole benchmark, and how many of them hold each shingle that more than one holds."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                n, own = _cut(text, size)
+                if n:
+                    # One more row, without a shingle, counts the item.
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *own.view(np.int64).tolist()], pa.int64())], ["shingle"])
+
+    found = items.select("text").mapInArrow(cut, "shingle long").groupBy("shingle").count().where("shingle is null or count > 1").collect()
+    held = {r[0]: r[1] for r in found}
+    total = held.pop(None, 0)
+    return total, {x % (1 << 64): n for x, n in held.items()}
+
+
+def build(items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIUS, whole: tuple[int, dict[int, int]] | None = None) -> Index | None:
+    """Shingle weights are log(1 + items / items with the shingle), so what many items share counts less.
+
+    ``whole``: the ``counts`` of the benchmark that these items are a block of; left out, these are all. A shingle that
+    one item or none holds has the same weight, so the others are all that a block has to know of the rest.
+    """
     kept = []
     for i, text in items:
-        raw = np.frombuffer((text or "").encode(), np.uint8)
-        h = tv.words(tv.Run(0, raw, np.array([0, len(raw)])), tv.ALNUM).hash
-        if len(h):
-            kept.append((i, len(h), min(size, len(h)), np.unique(rolled(h, min(size, len(h))))))
+        n, own = _cut(text, size)
+        if n:
+            kept.append((i, n, min(size, n), own))
     if not kept:
         return None
     holders: dict[int, list[int]] = {}
     for at, (*_, own) in enumerate(kept):
         for s in own.tolist():
             holders.setdefault(s, []).append(at)
-    weight = {s: float(np.log1p(len(kept) / len(of))) for s, of in holders.items()}
+    total, held = whole or (len(kept), {s: len(of) for s, of in holders.items()})
+    weight = {s: float(np.log1p(total / n)) for s, n in ({s: 1 for s in holders} | held).items()}
     prints = np.concatenate([_pack((_bits(own) * np.array([weight[s] for s in own.tolist()])[:, None]).sum(axis=0)[None]) for *_, own in kept])
     edges = np.linspace(0, 64, radius + 2).astype(int)
     blocks = [(int(a), int(b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -87,7 +116,7 @@ def build(items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIU
         quick[(own & tv.U((1 << 20) - 1)).astype(int)] = True
         by_k[k] = (own, quick)
     ids, n, ks, sets = zip(*kept, strict=True)
-    return Index(np.array(ids), np.array(n), np.array(ks), list(sets), weight, prints, by_k, holders, blocks, tables)
+    return Index(np.array(ids), np.array(n), np.array(ks), list(sets), weight, prints, by_k, holders, blocks, tables, total)
 
 
 def _within(index: Index, prints: np.ndarray, items: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,16 +138,17 @@ def matches(index: Index, h: np.ndarray, hits: dict[int, np.ndarray], similarity
         at = at[at < len(sh)]
         near = np.unique([i for s in np.unique(sh[at]).tolist() for i in index.holders.get(s, ()) if index.k[i] == k]).astype(int)
         for n in np.unique(index.words[near]).tolist() if len(near) else []:
-            items, span = near[index.words[near] == n], n - k + 1
+            items, reach = near[index.words[near] == n], min(n, len(h))
+            span = reach - k + 1
             own = at[np.isin(sh[at], np.concatenate([index.sets[i] for i in items]))]
-            lo, hi = np.maximum(own - span + 1, 0), np.minimum(own, len(h) - n)
+            lo, hi = np.maximum(own - span + 1, 0), np.minimum(own, len(h) - reach)
             delta = np.zeros(len(h) + 2, np.int64)
             np.add.at(delta, lo[hi >= lo], 1)
             np.add.at(delta, hi[hi >= lo] + 1, -1)
             starts = np.flatnonzero(np.cumsum(delta) > 0)
             if not len(starts):
                 continue
-            unit = float(np.log1p(len(index.ids)))
+            unit = float(np.log1p(index.total))
             for part in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 # One stretch of windows; in pieces, which bounds memory however long it is.
                 for piece in np.array_split(part, -(-len(part) // 20_000)):
@@ -176,7 +206,7 @@ def _scan(docs: DataFrame, index: Index, similarity: float, radius: int) -> Data
                         hit.setdefault(d, {})[k] = at[w.doc[at] == d] - first[d]
                 for d, hits in sorted(hit.items()):
                     for item, start, far, sim in matches(index, w.hash[first[d] : first[d + 1]], hits, similarity, radius):
-                        rows.append((run.first + d, int(index.ids[item]), start, start + int(index.words[item]), far, sim))
+                        rows.append((run.first + d, int(index.ids[item]), start, min(start + int(index.words[item]), int(first[d + 1] - first[d])), far, sim))
             at, *cols = zip(*rows, strict=True) if rows else [()] * 6
             at = pa.array(at, pa.int64())
             kinds = [pa.int64()] * 4 + [pa.float64()]
@@ -191,20 +221,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Words are letters, digits and non-ASCII characters with A-Z lower-cased. Shingles have ``size`` words (an item with
     fewer has its whole sequence as one). A window matches at weighted Jaccard similarity >= ``similarity`` within
-    Hamming distance ``radius``. The benchmark is the query set: it is taken in blocks of about ``block_items`` items,
-    each checked against ``BLOCK_CHARS`` before it is broadcast, and every block scans all documents.
+    Hamming distance ``radius``; a text with fewer words than the item is one window. The benchmark is the query set: it is taken in blocks of about ``block_items`` items,
+    each checked against ``BLOCK_CHARS`` before it is broadcast, and every block scans all documents. Weights are those
+    of the whole benchmark in every block.
     Null or empty text or item: matches nothing. Null ids: kept as null. Repeated rows: results each. Empty input or
     benchmark: empty result.
     """
     docs = texts(docs, id_col, text_col)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null and text != ''")
     blocks = -(-items.count() // block_items)
-    found = []
+    found, whole = [], counts(items, size)
     for b in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
         if (block.agg(F.sum(F.length("text"))).first()[0] or 0) > BLOCK_CHARS:
             raise ValueError("a block of benchmark items is too large to broadcast: lower block_items")
-        index = build([tuple(r) for r in block.orderBy("item_id", "text").collect()], size, radius)
+        index = build([tuple(r) for r in block.orderBy("item_id", "text").collect()], size, radius, whole)
         if index:
             found.append(_scan(docs, index, similarity, radius))
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], OUT)
