@@ -57,3 +57,23 @@ def test_shingles_of_short_and_long_texts():
             sets.setdefault(d, set()).add(x)
     assert {k: len(v) for k, v in sets.items()} == {0: 2, 1: 1, 2: 1, 5: 1}
     assert sets[5] < sets[0] and sets[1] != sets[2]
+
+
+def test_words_that_a_polynomial_cannot_tell_apart_differ():
+    flip = str.maketrans("ab", "ba")
+    a = "a"
+    while len(a) < 4096:
+        a += a.translate(flip)
+    texts = [x for n in (8, 64, 256, 512, 1024, 4096) for x in (a[:n], a[:n].translate(flip))]
+    for abc in (tv.PLAIN, tv.LOWER, tv.ALNUM, tv.LINES):
+        got = found(texts, abc, 1 << 20)
+        assert [x[0][0] for x in got] == texts and len({x[0][1] for x in got}) == len(texts)
+
+
+def test_long_and_short_words_hash_by_their_bytes_alone():
+    for n in (1, 7, 8, 9, 16, 511, 512, 513, 5000):
+        w = "é" * (n // 2) + "x" * (n % 2)
+        hs = {h for text in (w, f"{w} y", f"zzz {w}", f"é\t{w}\n") for x, h in found([text], tv.LOWER, 1 << 20)[0] if x == w}
+        assert len(hs) == 1
+    a, b = found(["x" * 600, "x" * 601], tv.LOWER, 1 << 20)
+    assert a[0][1] != b[0][1]

@@ -38,11 +38,11 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_key")
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_key", "first")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), min_words=1).drop("removed")
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("removed")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

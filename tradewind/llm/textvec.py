@@ -1,24 +1,23 @@
 """Words of whole Arrow text batches as numpy arrays.
 
 The tasks of several operators need words, their positions and a 64-bit hash of each word. Here that is array
-arithmetic over the UTF-8 bytes of a batch: separators come from a 256-entry table, a word's hash is a difference of
-prefix sums of ``value[byte] * R**position`` brought back to position 0 and mixed. All separators are ASCII, so words
-never cut a code point. A batch is handled in runs of documents of about ``CHUNK`` bytes, which bounds memory; a single
-longer text makes its own run and is handled whole.
+arithmetic over the UTF-8 bytes of a batch: separators come from a 256-entry table, and a word's hash takes in eight
+bytes a step, mixed at each step (so no word is a sum of parts that others share); words of over ``LONG`` bytes are
+hashed by BLAKE2b. All separators are ASCII, so words never cut a code point. A batch is handled in runs of documents
+of about ``CHUNK`` bytes, which bounds memory; a single longer text makes its own run and is handled whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
-R = 0x9E3779B97F4A7C15 | 1
+CHUNK, LONG = 1 << 20, 512
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 U = np.uint64
 
@@ -39,19 +38,23 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Alphabet:
-    """Which bytes belong to words, and the hash value of each byte."""
+    """Which bytes belong to words, and what each byte counts as (None: itself)."""
 
     inside: np.ndarray
-    value: np.ndarray
+    same: np.ndarray | None
+
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        return data if self.same is None else self.same[data]
 
 
 def alphabet(separators: bytes, lower: bool) -> Alphabet:
     inside = np.ones(256, bool)
     inside[np.frombuffer(separators, np.uint8)] = False
-    same = np.arange(256)
-    if lower:
-        same[65:91] += 32
-    return Alphabet(inside, mix(same.astype(U) + U(0x1234567)) | U(1))
+    if not lower:
+        return Alphabet(inside, None)
+    same = np.arange(256, dtype=np.uint8)
+    same[65:91] += 32
+    return Alphabet(inside, same)
 
 
 #: Words between ASCII white space; the same with A-Z lower-cased; letters, digits and non-ASCII lower-cased; lines.
@@ -61,18 +64,27 @@ ALNUM = alphabet(bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x6
 LINES = alphabet(b"\n", lower=False)
 
 
-@lru_cache(maxsize=1)
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, R, U), np.full(n, pow(R, -1, 1 << 64), U)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(9)], U)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = CHUNK
-    while size < n + 1:
-        size *= 2
-    return _tables(size)
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the bytes in each span; they depend on those bytes and the seed alone."""
+    size = end - start
+    h = mix(size.astype(U) * U(0x9E3779B97F4A7C15) + U(seed ^ 0x2545F4914F6CDD1D))
+    n = len(data)
+    # Eight bytes from every position on.
+    eight = np.ndarray((n + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
+    open_ = np.flatnonzero((size > 0) & (size <= LONG))
+    step = 0
+    while len(open_):
+        part = eight[start[open_] + step] & _TAIL[np.minimum(size[open_] - step, 8)]
+        h[open_] = mix(h[open_] ^ part)
+        step += 8
+        open_ = open_[size[open_] > step]
+    salt = (seed % (1 << 64)).to_bytes(8, "little")
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=salt).digest(), "little")
+    return h
 
 
 @dataclass
@@ -130,10 +142,7 @@ def words(run: Run, abc: Alphabet) -> Words:
     after[-1], after[:-1] = True, ~inside[1:]
     start = np.flatnonzero(inside & (before | border[:-1]))
     end = np.flatnonzero(inside & (after | border[1:])) + 1
-    up, down = powers(n)
-    sums = np.zeros(n + 1, U)
-    np.cumsum(abc.value[run.data] * up[:n], out=sums[1:])
-    found = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U))
+    found = span_hashes(abc.folded(run.data), start, end)
     return Words(np.searchsorted(run.offsets[1:], start, side="right"), start, end, found)
 
 
