@@ -2,11 +2,12 @@
 
 Two collections of ``m`` small hashes are computed per document, each of ``k`` minhashes; the key of table (i, j) joins
 hash i of the first with hash j of the second. So m * m tables of 2k minhashes each cost 2mk minhashes instead of
-2mk * m. Documents that meet in a table are candidates; full shingle sets confirm them.
+2mk * m. Two documents meet in a table only if they share both hashes, so hashes that one document alone has are left
+out before keys are formed. Documents that meet in a table are candidates; full shingle sets confirm them.
 
-No group is expanded into all its pairs. Equal sets collapse to one representative first. Buckets of up to
-``SMALL_BUCKET`` members give their pairs; in larger ones every member is compared with the smallest. Where such a
-bucket then still holds several components, the remaining links among its members come from an exact prefix join:
+No group is expanded into all its pairs. Documents with equal sets are one class, known by a number of its own. Buckets
+of up to ``SMALL_BUCKET`` classes give their pairs; in larger ones every class is compared with the smallest. Where such
+a bucket then still holds several components, the remaining links among its members come from an exact prefix join:
 shingles ordered by frequency, the rarest of each set as prefix, so that common shingles of a large group never meet.
 """
 
@@ -21,14 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import textvec as tv
-from tradewind.llm.shared import save, texts
+from tradewind.llm.shared import discard, save, texts
 
-SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE = 5, 80, 2, 1e-4, 11, 16, 1 << 20
+SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE = 5, 80, 3, 1e-4, 11, 16, 1 << 20
 
 
 def collection_size(percent: int, k: int = K, miss: float = MISS) -> int:
     """Hashes a collection needs so that a pair at the threshold meets in no table with probability ``miss`` at most:
-    8 at 85 percent, 10 at 80."""
+    11 at 85 percent, 14 at 80."""
     return math.ceil(math.log(miss / 2) / math.log(1 - (percent / 100) ** k)) if percent < 100 else 1
 
 
@@ -73,27 +74,30 @@ def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id and its sorted shingle hashes as bytes."""
+    """class and its sorted shingle hashes as bytes, from (class, text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in tv.runs(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), pa.array([s.tobytes() for s in _sets(run, size)], pa.binary())], ["doc_id", "shingles"])
+                found = pa.array([s.tobytes() for s in _sets(run, size)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("class").slice(run.first, run.n), found], ["class", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, shingles binary")
+    return docs.select("class", "text").mapInArrow(cut, "class long, shingles binary")
 
 
-def _of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """Shingle sets of the documents in ``ids`` (doc_id).
+def _of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Shingle sets of the classes in ``wanted`` (class), each from the text of its first document.
 
     Most texts are not wanted, and texts are what is large: before they are dealt out for the join, a coarse filter
-    drops those whose id falls into none of ``COARSE`` hash classes that a wanted id is in. It has at most that many
+    drops those whose id falls into none of ``COARSE`` hash groups that a wanted id is in. It has at most that many
     rows whatever the input, so it can be broadcast, and only ever lets too many through.
     """
+    first = classes.join(wanted.distinct(), "class", "left_semi").select("class", "first.doc_id", "first.text_key")
     group = F.pmod(F.xxhash64("doc_id"), F.lit(COARSE))
-    groups = F.broadcast(ids.select(group.alias("__group")).distinct())
+    groups = F.broadcast(first.select(group.alias("__group")).distinct())
     some = docs.withColumn("__group", group).join(groups, "__group", "left_semi").drop("__group")
-    return _shingle_sets(some.join(ids.distinct(), "doc_id", "left_semi"), size)
+    # A repeated row is read once.
+    return _shingle_sets(some.join(first, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), size)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -108,7 +112,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+    side = lambda x: sets.select(F.col("class").alias(x), F.col("shingles").alias(f"s{x}"))
+    joined = pairs.join(side("b"), "b").join(side("a"), "a")
     return joined.select("a", "b", "sa", "sb").mapInArrow(confirm, "a long, b long")
 
 
@@ -125,13 +130,18 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
         new = save(step.join(jump, "label", "left").select("node", "old", F.coalesce("next", "label").alias("label")), "labels")
-        labels = new.select("node", "label")
+        discard(labels)
         if new.where("old != label").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+            discard(links)
+            out = new.select("node", F.col("label").alias("component"))
+            out.work_path = new.work_path
+            return out
+        labels = new.select("node", "label")
+        labels.work_path = new.work_path
 
 
 def _rest(sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs among ``sets`` (doc_id, component, shingles) of different components: an exact prefix join.
+    """Candidate pairs among ``sets`` (class, component, shingles) of different components: an exact prefix join.
 
     A pair that reaches the threshold shares a shingle between the first n - ceil(2pn / (1 + p)) + 1 of the smaller set
     and the first n - ceil(pn) + 1 of the larger one, in any order of shingles that both follow; rarest first keeps
@@ -145,67 +155,111 @@ def _rest(sets: DataFrame, percent: int) -> DataFrame:
                 found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
                 n = np.array([len(x) for x in found])
                 at = pa.array(np.repeat(np.arange(len(n)), n))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("component").take(at), pa.array(n).take(at), pa.array(np.concatenate(found))], ["doc_id", "component", "n", "shingle"])
+                own = [part.column("class").take(at), part.column("component").take(at), pa.array(n).take(at)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.concatenate(found))], ["class", "component", "n", "shingle"])
 
-    rows = sets.mapInArrow(spread, "doc_id long, component long, n long, shingle long")
+    rows = sets.mapInArrow(spread, "class long, component long, n long, shingle long")
     often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    ordered = rows.join(often, "shingle").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
-    probe = ordered.select("doc_id", "component", "n", F.posexplode(F.slice("order", 1, (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int"))).alias("pos", "x")).select("doc_id", "component", "n", "pos", "x.shingle")
+    own = ["class", "component", "n"]
+    ordered = rows.join(often, "shingle").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
+    prefix = F.slice("order", 1, (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int"))
+    probe = ordered.select(*own, F.posexplode(prefix).alias("pos", "x")).select(*own, "pos", "x.shingle")
     probe = save(probe, "prefixes")
     mixed = probe.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("shingle")
     probe = probe.join(mixed, "shingle", "left_semi")
     index = probe.where(F.col("pos") < F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)) + 1)
     x, y = index.alias("x"), probe.alias("y")
-    larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.doc_id") != F.col("x.doc_id")))
+    larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.class") != F.col("x.class")))
     # What follows the shared shingle in both orders bounds the intersection.
     enough = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & larger & (F.col("y.n") * percent <= F.col("x.n") * 100) & enough)
-    return met.select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
+    apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
+    met = x.join(y, apart & larger & (F.col("y.n") * percent <= F.col("x.n") * 100) & enough)
+    return met.select(F.greatest("x.class", "y.class").alias("a"), F.least("x.class", "y.class").alias("b")).distinct()
+
+
+def _met(classes: DataFrame, m: int) -> DataFrame:
+    """(key, class, least, n) of all classes that meet another in the table key: the smallest of them and how many."""
+    halves = classes.select("class", F.posexplode("halves").alias("h", "half"))
+    shared = save(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "halves")
+    of = lambda side: F.collect_list(F.when(side, F.col("half")))
+    live = halves.join(shared, "half", "left_semi").groupBy("class").agg(of(F.col("h") < m).alias("x"), of(F.col("h") >= m).alias("y"))
+    # A hash names its place in its collection, so a pair of hashes names its table.
+    tables = F.flatten(F.transform("x", lambda i: F.transform("y", lambda j: F.xxhash64(i, j))))
+    keys = save(live.select("class", F.explode(tables).alias("key")), "keys")
+    buckets = save(keys.groupBy("key").agg(F.min("class").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    met = save(keys.join(buckets, "key").select("key", "class", "least", "n"), "met")
+    discard(shared, keys, buckets)
+    return met
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SHINGLE, k: int = K, miss: float = MISS) -> DataFrame:
-    """One row per input row: doc_id, text_key, n_shingles, component_id, kept.
+    """One row per input row: doc_id, text_key, n_shingles, component_id, kept, first.
 
     A document's set: the distinct ``size``-word shingles of its whole text, words between ASCII white space with A-Z
     lower-cased; with fewer words, the whole sequence. Documents are linked when 100 * intersection >= percent * union
     on full sets, and a component is what links connect; component_id is its smallest doc_id, kept where that is the
-    own one. A pair at similarity s is a candidate with probability (1 - (1 - s**k)**m)**2 or more, with m from
-    ``collection_size``: at least 1 - ``miss`` at the threshold; equal sets always meet.
+    own one. first: kept, and of several texts under that id the one with the smallest text_key. A pair at similarity s
+    is a candidate with probability (1 - (1 - s**k)**m)**2 or more, with m from ``collection_size``: at least
+    1 - ``miss`` at the threshold; equal sets always meet.
     Null or empty text: an empty set, linked with nothing, kept. Null id: no links, component_id null, kept. Rows that
-    share a doc_id are judged each by its own text. Empty input: empty result.
+    share a doc_id are judged each by its own text. Repeated rows: the same result each. Empty input: empty result.
     """
     docs, m = texts(docs, id_col, text_col), collection_size(percent, k, miss)
     signed = save(signatures(docs, size, m, k), "signatures")
     named = signed.where("doc_id is not null and n_shingles > 0")
-    classes = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("halves").alias("halves"))
-    tables = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.transform(F.sequence(F.lit(m), F.lit(2 * m - 1)), lambda j: F.xxhash64(i, j, F.get("halves", i), F.get("halves", j)))))
-    keys = classes.select("rep", F.explode(tables).alias("key"))
-    buckets = save(keys.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    met = save(keys.join(buckets, "key").select("key", "rep", "least", "n"), "met")
-    star = met.where(F.col("rep") > F.col("least")).select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    small = met.where(F.col("n") <= SMALL_BUCKET).select("key", "rep")
-    among = small.alias("x").join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") > F.col("y.rep"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    # Numbered as they are written, so the number stays.
+    classes = named.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("halves").alias("halves"))
+    classes = save(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    met = _met(classes, m)
+    star = met.where(F.col("class") > F.col("least")).select(F.col("class").alias("a"), F.col("least").alias("b"))
+    small = met.where(F.col("n") <= SMALL_BUCKET).select("key", "class")
+    both = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") > F.col("y.class"))
+    among = small.alias("x").join(small.alias("y"), both).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
     pairs = save(star.union(among).distinct(), "candidates")
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    links = save(verified(pairs, _of(docs, ends, size), percent), "confirmed")
+    ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
+    links = save(verified(pairs, _of(docs, classes, ends, size), percent), "confirmed")
     found = components(links)
 
     # A large bucket is still split where a member's component is not that of its smallest; pairs are distinct over all
     # tables, and all members that meet such a smallest one go on.
-    large = save(met.where(F.col("n") > SMALL_BUCKET).select("rep", "least").distinct(), "large")
-    own = large.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "least", F.coalesce("component", "rep").alias("component"))
+    large = save(met.where(F.col("n") > SMALL_BUCKET).select("class", "least").distinct(), "large")
+    discard(pairs, met)
+    own = large.join(found.withColumnRenamed("node", "class"), "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     head = found.select(F.col("node").alias("least"), F.col("component").alias("of_least"))
     split = own.join(head, "least", "left").where(F.col("component") != F.coalesce("of_least", "least")).select("least").distinct()
-    members = save(own.join(split, "least", "left_semi").select(F.col("rep").alias("doc_id"), "component").distinct(), "members")
+    members = save(own.join(split, "least", "left_semi").select("class", "component").distinct(), "members")
     if not members.isEmpty():
-        sets = save(members.join(_of(docs, members.select("doc_id"), size), "doc_id").select("doc_id", "component", "shingles"), "sets")
+        sets = save(members.join(_of(docs, classes, members.select("class"), size), "class").select("class", "component", "shingles"), "sets")
         rest = save(_rest(sets, percent), "candidates")
         more = save(verified(rest, sets, percent), "confirmed")
+        discard(sets, rest)
         if not more.isEmpty():
+            discard(found)
             found = components(links.union(more))
-
-    # Every row of a class follows its representative.
-    of_class = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    label = of_class.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
-    out = signed.join(label, ["d1", "d2"], "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "text_key", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        discard(more)
+
+    # Every row follows its class.
+    each = classes.select("class", "d1", "d2", "first").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = each.groupBy("component").agg(F.min("first").alias("least"))
+    label = save(each.join(least, "component").select("d1", "d2", "least"), "labels")
+    discard(links, large, members, classes, found)
+    out = signed.drop("halves").join(label, ["d1", "d2"], "left")
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    out = out.withColumn("component_id", F.when(linked, F.col("least.doc_id")).otherwise(F.col("doc_id")))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    first = kept & (~linked | (F.col("text_key") == F.col("least.text_key")))
+    return out.select("doc_id", "text_key", "n_shingles", "component_id", kept.alias("kept"), first.alias("first"))
+
+
+#: The same rows in DuckDB SQL, for ids that do not repeat: every pair that shares a shingle, and all that links reach.
+SQL = r"""
+with recursive d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') as w from documents),
+s as materialized (select distinct r, array_to_string(w[i : i + 4], ' ') as x from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+n as (select r, count(*) as n from s group by r),
+m as (select a.r as a, b.r as b, count(*) as k from s a join s b on a.x = b.x and a.r <> b.r join d on d.r = a.r join d e on e.r = b.r where d.doc_id is not null and e.doc_id is not null group by 1, 2),
+l as materialized (select a, b from m join n x on x.r = a join n y on y.r = b where 100 * k >= 85 * (x.n + y.n - k)),
+c(a, b) as (select r, r from d union select c.a, l.b from c join l on l.a = c.b),
+o as (select c.a, min(doc_id) as least from c join d on d.r = c.b group by 1)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, least as component_id, coalesce(doc_id = least, true) as kept from d join o on o.a = d.r left join n using (r)
+"""

@@ -69,4 +69,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_license_scan, op2_line_dedup, op3_token_counts, op4_lm_scoring, op5_minhash_dedup, op6_substring_dedup, op7_secret_scan, op8_bpe, op9_quality_rules, op10_decontamination)
 }
 
-SQL: dict[str, str] = {"op1_license_scan": license_scan.SQL, "op2_line_dedup": line_dedup.SQL, "op6_substring_dedup": substring_dedup.SQL}
+SQL: dict[str, str] = {"op1_license_scan": license_scan.SQL, "op2_line_dedup": line_dedup.SQL, "op5_minhash_dedup": minhash_dedup.SQL, "op6_substring_dedup": substring_dedup.SQL}

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.functions.store import save, work_dir
+from tradewind.functions.store import discard, save, work_dir
 
-
-__all__ = ["drop_rows", "fold", "save", "table", "texts", "work_dir"]
+__all__ = ["discard", "drop_rows", "fold", "save", "table", "texts", "work_dir"]
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
