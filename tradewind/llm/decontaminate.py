@@ -1,9 +1,11 @@
 """Benchmark decontamination: SimHash over item-sized windows.
 
-For each benchmark item, windows of the item's number of words slide over a text; a window's 64-bit SimHash over its
-weighted shingles is looked up in a multi-index (radius + 1 blocks of bits: fingerprints within the radius agree on at
-least one block), and the exact weighted similarity of the shingle sets verifies what is within the radius. Windows
-that share no shingle with an item have similarity 0 and are not fingerprinted.
+For each benchmark item, windows of the item's number of words slide over a text; a window's 256-bit SimHash over its
+weighted shingles is looked up in a multi-index, and the exact weighted similarity of the shingle sets verifies what is
+within the radius. The index has a table per byte of the fingerprint: the items whose byte differs in at most ``NEAR``
+bits. Fingerprints within the radius differ in more than ``NEAR`` bits in at most radius // (NEAR + 1) bytes, so all
+others vote for the pair; less votes rule it out (of random pairs some 99 in 100). Windows that share no shingle with
+an item have similarity 0 and are not fingerprinted.
 """
 
 from __future__ import annotations
@@ -14,13 +16,15 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import textvec as tv
 from tradewind.llm.shared import texts
 
-SHINGLE, SIMILARITY, RADIUS, BLOCK_ITEMS, BLOCK_CHARS = 5, 0.8, 22, 2000, 64_000_000
+SHINGLE, SIMILARITY, RADIUS, BLOCK_ITEMS, BLOCK_CHARS = 5, 0.8, 66, 4000, 16_000_000
+BITS, NEAR = 256, 2
+_SALTS = tv.mix(np.arange(1, BITS // 64 + 1, dtype=tv.U) * tv.U(0x9E3779B97F4A7C15))
 OUT = "doc_id long, text_key long, item_id long, start_word long, end_word long, hamming long, similarity double"
 
 
@@ -36,8 +40,7 @@ class Index:
     prints: np.ndarray
     by_k: dict[int, tuple[np.ndarray, np.ndarray]]
     holders: dict[int, list[int]]
-    blocks: list[tuple[int, int]]
-    tables: list[np.ndarray]
+    tables: np.ndarray
     total: int
 
 
@@ -50,12 +53,14 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
-    """64 columns of +1 and -1."""
-    return ((x[:, None] >> np.arange(64, dtype=tv.U)) & tv.U(1)).astype(np.int8) * 2 - 1
+    """``BITS`` columns of +1 and -1."""
+    each = tv.mix(x[:, None] ^ _SALTS)
+    return np.unpackbits(each.view(np.uint8), axis=1).astype(np.int8) * 2 - 1
 
 
 def _pack(sums: np.ndarray) -> np.ndarray:
-    return ((sums > 0).astype(tv.U) << np.arange(64, dtype=tv.U)).sum(axis=1, dtype=tv.U)
+    """Fingerprints as rows of bytes."""
+    return np.packbits(sums > 0, axis=1)
 
 
 def _cut(text: str | None, size: int) -> tuple[int, np.ndarray]:
@@ -82,7 +87,7 @@ def counts(items: DataFrame, size: int = SHINGLE) -> tuple[int, dict[int, int]]:
     return total, {x % (1 << 64): n for x, n in held.items()}
 
 
-def build(items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIUS, whole: tuple[int, dict[int, int]] | None = None) -> Index | None:
+def build(items: list[tuple[int, str]], size: int = SHINGLE, whole: tuple[int, dict[int, int]] | None = None) -> Index | None:
     """Shingle weights are log(1 + items / items with the shingle), so what many items share counts less.
 
     ``whole``: the ``counts`` of the benchmark that these items are a block of; left out, these are all. A shingle that
@@ -102,13 +107,8 @@ def build(items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIU
     total, held = whole or (len(kept), {s: len(of) for s, of in holders.items()})
     weight = {s: float(np.log1p(total / n)) for s, n in ({s: 1 for s in holders} | held).items()}
     prints = np.concatenate([_pack((_bits(own) * np.array([weight[s] for s in own.tolist()])[:, None]).sum(axis=0)[None]) for *_, own in kept])
-    edges = np.linspace(0, 64, radius + 2).astype(int)
-    blocks = [(int(a), int(b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    tables = []
-    for shift, width in blocks:
-        t = np.zeros((1 << width, len(kept)), bool)
-        t[((prints >> tv.U(shift)) & tv.U((1 << width) - 1)).astype(int), np.arange(len(kept))] = True
-        tables.append(t)
+    near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= NEAR
+    tables = near.astype(np.uint8)[:, prints.T].transpose(1, 0, 2).copy()
     by_k = {}
     for k in sorted({k for _, _, k, _ in kept}):
         own = np.unique(np.concatenate([s for _, _, kk, s in kept if kk == k]))
@@ -116,16 +116,21 @@ def build(items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIU
         quick[(own & tv.U((1 << 20) - 1)).astype(int)] = True
         by_k[k] = (own, quick)
     ids, n, ks, sets = zip(*kept, strict=True)
-    return Index(np.array(ids), np.array(n), np.array(ks), list(sets), weight, prints, by_k, holders, blocks, tables, total)
+    return Index(np.array(ids), np.array(n), np.array(ks), list(sets), weight, prints, by_k, holders, tables, total)
+
+
+def _voted(index: Index, prints: np.ndarray, items: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(window, place in ``items``) of the pairs that the multi-index lets through: all within the radius and few more."""
+    votes = np.zeros((len(prints), len(items)), np.uint8)
+    for byte in range(prints.shape[1]):
+        votes += index.tables[byte][:, items][prints[:, byte]]
+    return np.nonzero(votes >= prints.shape[1] - radius // (NEAR + 1))
 
 
 def _within(index: Index, prints: np.ndarray, items: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window, item, distance) of all fingerprints within the radius, found through the blocks."""
-    met = np.zeros((len(prints), len(items)), bool)
-    for (shift, width), t in zip(index.blocks, index.tables, strict=True):
-        met |= t[((prints >> tv.U(shift)) & tv.U((1 << width) - 1)).astype(int)][:, items]
-    w, i = np.nonzero(met)
-    far = np.bitwise_count(prints[w] ^ index.prints[items[i]]).astype(int)
+    """(window, item, distance) of all fingerprints within the radius, found through the index."""
+    w, i = _voted(index, prints, items, radius)
+    far = np.bitwise_count(prints[w] ^ index.prints[items[i]]).sum(axis=1).astype(int)
     ok = far <= radius
     return w[ok], items[i[ok]], far[ok]
 
@@ -151,12 +156,12 @@ def matches(index: Index, h: np.ndarray, hits: dict[int, np.ndarray], similarity
             unit = float(np.log1p(index.total))
             for part in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 # One stretch of windows; in pieces, which bounds memory however long it is.
-                for piece in np.array_split(part, -(-len(part) // 20_000)):
+                for piece in np.array_split(part, -(-len(part) // 5_000)):
                     local = sh[piece[0] : piece[-1] + span]
                     values, back = np.unique(local, return_inverse=True)
                     w = np.array([index.weight.get(s, unit) for s in values.tolist()])
                     again = _first_in_window(back, span)
-                    sums = np.zeros((len(local) + 1, 64))
+                    sums = np.zeros((len(local) + 1, BITS))
                     np.cumsum(_bits(local) * w[back][:, None], axis=0, out=sums[1:])
                     if again is None:
                         total = sums[span:] - sums[:-span]
@@ -215,27 +220,42 @@ def _scan(docs: DataFrame, index: Index, similarity: float, radius: int) -> Data
     return docs.mapInArrow(scan, OUT)
 
 
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+
+
+def _blocks(items: DataFrame, block_items: int) -> int:
+    """Into how many hash blocks the items are dealt so that none has over ``BLOCK_CHARS`` characters, unless a single
+    item has."""
+    n, longest = items.agg(F.count(F.lit(1)), F.max(F.length("text"))).first()
+    blocks, limit = -(-n // block_items), max(BLOCK_CHARS, longest or 0)
+    while blocks < n:
+        largest = items.groupBy(_block(blocks).alias("b")).agg(F.sum(F.length("text")).alias("chars")).agg(F.max("chars")).first()[0]
+        if largest <= limit:
+            break
+        blocks *= 2
+    return blocks
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = SHINGLE, radius: int = RADIUS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document, item and run of matching windows: doc_id, text_key, item_id, start_word, end_word,
     hamming, similarity (of the best window; words count from 0, end exclusive).
 
     Words are letters, digits and non-ASCII characters with A-Z lower-cased. Shingles have ``size`` words (an item with
     fewer has its whole sequence as one). A window matches at weighted Jaccard similarity >= ``similarity`` within
-    Hamming distance ``radius``; a text with fewer words than the item is one window. The benchmark is the query set: it is taken in blocks of about ``block_items`` items,
-    each checked against ``BLOCK_CHARS`` before it is broadcast, and every block scans all documents. Weights are those
-    of the whole benchmark in every block.
+    Hamming distance ``radius``; a text with fewer words than the item is one window. The benchmark is the query set: it
+    is dealt into blocks of about ``block_items`` items and at most ``BLOCK_CHARS`` characters, each of which is
+    broadcast and scans all documents. Weights are those of the whole benchmark in every block.
     Null or empty text or item: matches nothing. Null ids: kept as null. Repeated rows: results each. Empty input or
     benchmark: empty result.
     """
     docs = texts(docs, id_col, text_col)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null and text != ''")
-    blocks = -(-items.count() // block_items)
     found, whole = [], counts(items, size)
+    blocks = _blocks(items, block_items)
     for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        if (block.agg(F.sum(F.length("text"))).first()[0] or 0) > BLOCK_CHARS:
-            raise ValueError("a block of benchmark items is too large to broadcast: lower block_items")
-        index = build([tuple(r) for r in block.orderBy("item_id", "text").collect()], size, radius, whole)
+        block = items.where(_block(blocks) == b)
+        index = build([tuple(r) for r in block.orderBy("item_id", "text").collect()], size, whole)
         if index:
             found.append(_scan(docs, index, similarity, radius))
     return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], OUT)
