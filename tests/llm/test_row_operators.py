@@ -115,6 +115,22 @@ def test_merge_gadgets_on_a_small_alphabet():
             assert automaton.encode("".join(word).encode()) == merge(word), word
 
 
+def test_each_byte_moves_the_automaton_to_one_state(vocabulary):
+    import random
+
+    with open(vocabulary, encoding="utf-8") as f:
+        a = bpe.compiled(f.read()).automaton
+    by_label = {a.labels[t]: t for t in a.token if t >= 0}
+    rng = random.Random(6)
+    for _ in range(300):
+        word = "".join(rng.choice(["the", "ing", "a", "b", "ee", " ", "é", "日", "0", "XY"]) for _ in range(rng.randint(1, 30))).encode()
+        path = a.encode(word)
+        assert b"".join(a.labels[t] for t in path) == word
+        # Of all tokens that end the word, one alone goes on from the encoding of what is before it.
+        ends = [by_label[word[i:]] for i in range(len(word)) if word[i:] in by_label]
+        assert [t for t in ends if len(word) == a.size[t] or a.arc(a.encode(word[: -a.size[t]])[-1], t)] == path[-1:]
+
+
 def test_token_counts(frame, corpus, vocabulary):
     start, inner = token_counts.byte_vocabulary(vocabulary)
     starts, inners = set(start), set(inner)

@@ -1,13 +1,15 @@
 """Byte-pair encoding and decoding by a tokenization automaton.
 
-The automaton reads tokens: its states are the last token read, and an arc t leads from state s when s, t can stand
-side by side in a correct encoding. It starts with one arc per byte from every state and grows by one merge gadget per
-merge (u, v) -> w, in order of rank: every path u, v gives way to an arc w - in from wherever u could be read, on to
-wherever v could go - and the arc v from state u is cut. The gadgets inherit arcs instead of copying them: ``arc``
-follows that inheritance back and keeps what it found, so the table holds the arcs that texts use.
-
-A byte string has exactly one path; encoding follows it through the tables of arcs. Decoding emits the labels of the
-arcs.
+The automaton's states are the last token read; an arc is labelled by the token it reads and leads to that token's
+state, so (state, label) has one target or none. It starts with an arc for every byte from every state and grows by one
+merge gadget per merge (u, v) -> w, in order of rank: every path u, v gives way to an arc w - in from wherever u could
+be read, on to wherever v could go - and the arc v from state u is cut. A table of all states and labels would have
+billions of entries; a gadget changes one of them, the rest of its row and column are those it inherits. So the table
+has the cut entries, and an entry that is not there is the one it inherits from, down to bytes.
+
+Words are read byte by byte. Which tokens end at a byte comes from a second table, a trie of all labels with links to
+the longest shorter one; of these tokens exactly one continues the path of the text before it, as every text has one
+encoding, so that each byte moves on to one state and nothing is ever taken back. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -40,21 +42,25 @@ class Automaton:
     """Tokens by id, built from single bytes by successive merge gadgets."""
 
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]], most_arcs: int = 1_000_000):
+        most = max(labels, default=0) + 1
         self.labels = labels
-        self.born = {t: -1 for t, b in labels.items() if len(b) == 1}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.cut: dict[tuple[int, int], int] = {}
+        #: Rank of the merge that made a token; -1: a byte, -2: none has yet.
+        self.born, self.left, self.right = [-2] * most, [-1] * most, [-1] * most
+        self.size = [len(labels.get(t, b"")) for t in range(most)]
+        #: Table of arcs: (state, label) cut by the gadget of this rank.
+        self.cut: dict[int, int] = {}
         self.arcs: dict[int, bool] = {}
         self.most_arcs = most_arcs
+        #: Table of labels: (node, byte) to node; the token of a node, or -1.
         self.step: dict[int, int] = {}
         self.token: list[int] = [-1]
-        for t in self.born:
-            self._spell(t)
+        for t, label in labels.items():
+            if len(label) == 1:
+                self.born[t] = -1
+                self._spell(t)
         for rank, (u, v, w) in enumerate(merges):
             self._gadget(rank, u, v, w)
-        #: The next shorter token that begins a token, -1 without one.
-        self.shorter = {t: self._shorter(self.labels[t]) for t in self.born}
-        self.size = {t: len(b) for t, b in labels.items()}
+        self._link()
 
     def _spell(self, t: int) -> None:
         at = 0
@@ -66,86 +72,81 @@ class Automaton:
             at = to
         self.token[at] = t
 
-    def _shorter(self, label: bytes) -> int:
-        at, found = 0, -1
-        for byte in label[:-1]:
-            at = self.step.get(at << 8 | byte, -1)
-            if at < 0:
-                break
-            found = self.token[at] if self.token[at] >= 0 else found
-        return found
-
     def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
-        if u not in self.born or v not in self.born or w in self.born:
+        if self.born[u] < -1 or self.born[v] < -1 or self.born[w] > -2:
             raise ValueError(f"merge {rank} does not make a new token of two known ones")
         # The path u, v exists unless an earlier merge cut it; then no text ever reads w.
-        reached = self._allowed(u, v, rank - 1)
-        self.cut[u, v] = rank
-        self.born[w], self.parts[w] = rank, (u, v)
+        reached = self._inherited(u, v, rank - 1)
+        self.cut[u << 32 | v] = rank
+        self.born[w], self.left[w], self.right[w] = rank, u, v
         if reached:
             self._spell(w)
 
-    def _allowed(self, a: int, b: int, at: int) -> bool:
-        """Whether state a has the arc b after the gadgets up to rank ``at``."""
+    def _link(self) -> None:
+        """For each node the node of its longest proper end that is in the trie, and of its longest end that is a token."""
+        below: dict[int, list[tuple[int, int]]] = {}
+        for key, to in self.step.items():
+            below.setdefault(key >> 8, []).append((key & 255, to))
+        self.fail, self.ends = [0] * len(self.token), [0] * len(self.token)
+        level = [0]
+        while level:
+            after = []
+            for node in level:
+                for byte, to in below.get(node, ()):
+                    at = self.fail[node]
+                    while node and at and at << 8 | byte not in self.step:
+                        at = self.fail[at]
+                    self.fail[to] = self.step.get(at << 8 | byte, 0) if node else 0
+                    self.ends[to] = to if self.token[to] >= 0 else self.ends[self.fail[to]]
+                    after.append(to)
+            level = after
+
+    def _inherited(self, a: int, b: int, at: int) -> bool:
+        """The table's entry for state a and label b after the gadgets up to rank ``at``."""
+        cut, born = self.cut, self.born
         while True:
-            if self.cut.get((a, b), at + 1) <= at:
+            if cut.get(a << 32 | b, at + 1) <= at:
                 return False
-            ba, bb = self.born[a], self.born[b]
-            if ba < 0 and bb < 0:
+            if born[a] < 0 and born[b] < 0:
                 return True
-            if bb >= ba:
+            if born[b] >= born[a]:
                 # b came last: it is read from wherever its first part could be read, its own cut made.
-                at, b = bb, self.parts[b][0]
+                at, b = born[b], self.left[b]
             else:
                 # a came last: it goes on wherever its second part went just before the cut.
-                at, a = ba - 1, self.parts[a][1]
+                at, a = born[a] - 1, self.right[a]
 
-    def arc(self, a: int, b: int) -> bool:
+    def arc(self, state: int, label: int) -> bool:
         if len(self.arcs) >= self.most_arcs:
             self.arcs.clear()
-        found = self.arcs[a << 32 | b] = self._allowed(a, b, len(self.cut))
+        found = self.arcs[state << 32 | label] = self._inherited(state, label, len(self.cut))
         return found
 
     def encode(self, word: bytes) -> list[int]:
-        """The one path whose labels spell the word: at each position the longest arc first; where the path breaks off,
-        the arc before is shortened. A position that was given up is never tried again, so the word is read in time
-        proportional to its length."""
-        n, step, token, arcs, shorter, size = len(word), self.step, self.token, self.arcs, self.shorter, self.size
-        path: list[int] = []
-        dead: set[int] = set()
-        i, t, state = 0, -1, -1
-        while i < n:
-            if t < 0:
-                at, j = step[word[i]], i + 1
+        """The labels of the path that spells the word, in time proportional to its length."""
+        step, token, fail, ends, size, arcs = self.step, self.token, self.fail, self.ends, self.size, self.arcs
+        states = [-1]
+        node = 0
+        for i, byte in enumerate(word, 1):
+            while (to := step.get(node << 8 | byte)) is None:
+                node = fail[node]
+            node = to
+            at = ends[node]
+            while True:
                 t = token[at]
-                while j < n and (to := step.get(at << 8 | word[j])) is not None:
-                    at, j = to, j + 1
-                    if token[at] >= 0:
-                        t = token[at]
-            while t >= 0:
-                if dead and i + size[t] in dead:
-                    t = shorter[t]
-                elif state < 0:
+                before = states[i - size[t]]
+                if before < 0:
+                    break
+                ok = arcs.get(before << 32 | t)
+                if ok or (ok is None and self.arc(before, t)):
                     break
-                else:
-                    ok = arcs.get(state << 32 | t)
-                    if ok is None:
-                        ok = self.arc(state, t)
-                    if ok:
-                        break
-                    t = shorter[t]
-            if t >= 0:
-                path.append(t)
-                i, state, t = i + size[t], t, -1
-                continue
-            while t < 0:
-                # No arc from here reads on: give the position up and shorten the arc that led to it.
-                dead.add(i)
-                t = path.pop()
-                i -= size[t]
-                t = shorter[t]
-            state = path[-1] if path else -1
-        return path
+                at = ends[fail[at]]
+            states.append(t)
+        path, i = [], len(word)
+        while i:
+            path.append(states[i])
+            i -= size[states[i]]
+        return path[::-1]
 
 
 class Vocabulary:
