@@ -120,24 +120,32 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of the links (a, b): the smallest node reachable.
 
-    Each round gives every node the smallest label among its neighbours and then follows labels one step on; the number
-    of rounds is logarithmic for stars and chains. Nothing but a count of changed rows comes to the driver.
+    In each round every node points to its smallest smaller neighbour, pointers are followed to the end of their tree
+    by doubling, and the links that are left between different trees are those of a smaller graph. Only whether rows
+    are left comes to the driver.
     """
-    links = save(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = save(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = links.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = save(step.join(jump, "label", "left").select("node", "old", F.coalesce("next", "label").alias("label")), "labels")
-        discard(labels)
-        if new.where("old != label").isEmpty():
-            discard(links)
-            out = new.select("node", F.col("label").alias("component"))
-            out.work_path = new.work_path
-            return out
-        labels = new.select("node", "label")
-        labels.work_path = new.work_path
+    plain = lambda a, b: [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
+    links = save(links.where("a <> b").select(*plain("a", "b")).distinct(), "links")
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    found = save(nodes.select("node", F.col("node").alias("component")), "components")
+    while not links.isEmpty():
+        tree = save(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "trees")
+        moved = True
+        while moved:
+            up = tree.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            step = save(tree.join(up, "label", "left").select("node", F.coalesce("next", "label").alias("label"), F.col("next").isNotNull().alias("moved")), "trees")
+            moved = not step.where("moved").isEmpty()
+            discard(tree)
+            tree, path = step.select("node", "label"), step.work_path
+            tree.work_path = path
+        top = lambda x: tree.select(F.col("node").alias(x), F.col("label").alias(f"of_{x}"))
+        merged = save(found.join(top("component"), "component", "left").select("node", F.coalesce("of_component", "component").alias("component")), "components")
+        ends = links.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        rest = save(ends.where("a <> b").select(*plain("a", "b")).distinct(), "links")
+        discard(found, links, tree)
+        found, links = merged, rest
+    discard(links)
+    return found
 
 
 def _rest(sets: DataFrame, percent: int) -> DataFrame:
@@ -145,7 +153,9 @@ def _rest(sets: DataFrame, percent: int) -> DataFrame:
 
     A pair that reaches the threshold shares a shingle between the first n - ceil(2pn / (1 + p)) + 1 of the smaller set
     and the first n - ceil(pn) + 1 of the larger one, in any order of shingles that both follow; rarest first keeps
-    the shingles that a whole group shares out of the prefixes of sets that are not linked with it.
+    the shingles that a whole group shares out of the prefixes of sets that are not linked with it. Within a group whose
+    members differ by a little more than the threshold allows, prefixes still meet; there the parities of the numbers
+    of shingles in 256 hash classes tell: where they differ, so do the sets.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +173,10 @@ def _rest(sets: DataFrame, percent: int) -> DataFrame:
     own = ["class", "component", "n"]
     ordered = rows.join(often, "shingle").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
     prefix = F.slice("order", 1, (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int"))
-    probe = ordered.select(*own, F.posexplode(prefix).alias("pos", "x")).select(*own, "pos", "x.shingle")
+    place = "cast(pmod(x.shingle, 64) as int)"
+    parity = [f"aggregate(order, 0L, (m, x) -> if(pmod(shiftright(x.shingle, 6), 4) = {w}, m ^ shiftleft(1L, {place}), m)) as m{w}" for w in range(4)]
+    own += [f"m{w}" for w in range(4)]
+    probe = ordered.selectExpr("*", *parity).select(*own, F.posexplode(prefix).alias("pos", "x")).select(*own, "pos", "x.shingle")
     probe = save(probe, "prefixes")
     mixed = probe.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("shingle")
     probe = probe.join(mixed, "shingle", "left_semi")
@@ -172,6 +185,9 @@ def _rest(sets: DataFrame, percent: int) -> DataFrame:
     larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.class") != F.col("x.class")))
     # What follows the shared shingle in both orders bounds the intersection.
     enough = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
+    both = F.col("x.n") + F.col("y.n")
+    differ = sum((F.bit_count(F.col(f"x.m{w}").bitwiseXOR(F.col(f"y.m{w}"))) for w in range(4)), F.lit(0))
+    enough = enough & ((both - differ) * (100 + percent) >= 2 * percent * both)
     apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
     met = x.join(y, apart & larger & (F.col("y.n") * percent <= F.col("x.n") * 100) & enough)
     return met.select(F.greatest("x.class", "y.class").alias("a"), F.least("x.class", "y.class").alias("b")).distinct()
