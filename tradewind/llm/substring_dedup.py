@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import textvec as tv
-from tradewind.llm.shared import texts
+from tradewind.llm.shared import save, texts
 
 #: A passage that was pasted into other text shares its first and last sentence with its surroundings; what is whole of
 #: a passage of 50 words has about 30.
@@ -120,8 +120,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = texts(docs, id_col, text_col).withColumn("k1", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("k2", F.xxhash64("text"))
     every = units(docs)
     place = F.struct("k1", "k2", "pos")
-    # A place that comes twice is that of a repeated row.
-    first = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", "first")
+    # A place that comes twice is that of a repeated row. Stored, so that the join below deals out both of its sides and
+    # Spark can split the rows of a very common unit.
+    first = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    first = save(first.select("h1", "h2", "first"), "repeated")
     gone = every.join(first, ["h1", "h2"]).where(place != F.col("first")).groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
     out = docs.join(gone, ["k1", "k2"], "left").select("doc_id", "text", "gone")
 
