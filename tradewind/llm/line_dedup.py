@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.shared import save, texts
+from tradewind.llm.shared import discard, save, texts
 
-MIN_SITES, LG_K, ERRORS, MAX_SHARE = 10, 12, 5.0, 0.5
+MIN_SITES, LG_K, ERRORS = 10, 12, 5.0
 
 
 def _key(c: Column) -> list[Column]:
@@ -21,65 +21,65 @@ def _key(c: Column) -> list[Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line with more than blanks: row key (k1, k2), pos (from 0), length, h1, h2, site."""
-    return docs.select("k1", "k2", "site", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("k1", "k2", "site", "pos", F.length("line").alias("length"), F.trim(F.translate("line", "\t\r", "  ")).alias("line")).where("line != ''").select("k1", "k2", "site", "pos", "length", *_key(F.col("line")))
+    """One row per line with more than blanks: row key (k1, k2), pos (from 0), site, h1, h2."""
+    each = docs.select("k1", "k2", "site", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    each = each.withColumn("line", F.trim(F.translate("line", "\t\r", "  "))).where("line != ''")
+    return each.select("k1", "k2", "pos", "site", *_key(F.col("line")))
 
 
 def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = LG_K) -> DataFrame:
-    """(h1, h2) of lines on at least ``min_sites`` sites; an absent site counts as one site of its own."""
-    site = F.coalesce(F.xxhash64(F.lit("site"), "site"), F.lit(0))
+    """(h1, h2) of lines on at least ``min_sites`` sites, from (h1, h2, site)."""
     # Below the error band the estimate decides against, above it for; within it the sites are counted exactly.
     width = ERRORS * 1.04 / 2 ** (lg_k / 2)
-    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg(site, F.lit(lg_k))).alias("sites")).where(F.col("sites") >= int(min_sites * (1 - width)))
-    spread = save(spread, "line-spread")
+    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"))
+    spread = save(spread.where(F.col("sites") >= int(min_sites * (1 - width))), "line-spread")
     above = F.col("sites") > min_sites * (1 + width)
-    near = spread.where(~above).select("h1", "h2")
-    exact = lines.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", site.alias("s")).distinct().groupBy("h1", "h2").count().where(F.col("count") >= min_sites)
+    near = lines.join(spread.where(~above), ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
+    exact = near.groupBy("h1", "h2").count().where(F.col("count") >= min_sites)
     return spread.where(above).select("h1", "h2").unionByName(exact.select("h1", "h2"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("k1", F.coalesce("doc_id", F.lit(-1))).withColumn("k2", F.col("text_key"))
+    """Rows by a key, with the site as a number; an absent site counts as one site of its own."""
+    site = F.coalesce(F.xxhash64(F.lit("site"), "site"), F.lit(0))
+    return docs.withColumns({"k1": F.coalesce("doc_id", F.lit(-1)), "k2": F.col("text_key"), "site": site})
 
 
 def _copied(docs: DataFrame, min_sites: int) -> DataFrame:
     """(k2, copied): the texts that stand, whole and equal, on at least ``min_sites`` sites."""
-    site = F.coalesce(F.xxhash64(F.lit("site"), "site"), F.lit(0))
-    return _keyed(docs).select("k2", site.alias("s")).distinct().groupBy("k2").count().where(F.col("count") >= min_sites).select("k2", F.lit(True).alias("copied"))
+    sites = docs.select("k2", "site").distinct().groupBy("k2").count().where(F.col("count") >= min_sites)
+    return sites.select("k2", F.lit(True).alias("copied"))
 
 
 def _common(docs: DataFrame, min_sites: int) -> DataFrame:
-    """(k1, k2, common, chars, copied): the positions of boilerplate lines of each document that has some, their length, and whether the whole text is a copy."""
-    lines = _lines(_keyed(docs))
-    hit = lines.select("k1", "k2", "pos", "length", "h1", "h2").join(boilerplate(lines, min_sites), ["h1", "h2"], "left_semi")
+    """(k1, k2, common, copied): the positions of boilerplate lines of each document that has some, and whether the
+    whole text is a copy. Lines are cut and hashed once and stored, without their texts."""
+    lines = save(_lines(docs), "lines")
+    hit = lines.join(boilerplate(lines, min_sites), ["h1", "h2"], "left_semi")
     # Repeated rows share their key, so their positions come once.
-    hit = hit.select("k1", "k2", "pos", "length").distinct()
-    each = hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_list("pos")).alias("common"), F.sum("length").alias("chars"))
-    return each.join(_copied(docs, min_sites), "k2", "left").select("k1", "k2", "common", "chars", "copied")
-
-
-def _whole(chars: Column, copied: Column, text: Column, max_share: float | None) -> Column:
-    return F.coalesce(copied, F.lit(False)) if max_share is None else F.coalesce(chars, F.lit(0)) > max_share * F.length(text)
+    each = hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("pos")).alias("common"))
+    found = save(each.join(_copied(docs, min_sites), "k2", "left").select("k1", "k2", "common", "copied"), "line-hits")
+    discard(lines)
+    return found
 
 
 def _without(text: Column, gone: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i)), "\n")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_boilerplate, n_removed, clean_text.
 
     A line is its text without blanks at both ends; lines of blanks only are never boilerplate. Lines on at least
-    ``min_sites`` distinct sites are boilerplate and go. With ``max_share`` None they go in every document, but for a
-    text that stands whole on ``min_sites`` sites: there the copying alone makes each line common, and it stays for
-    document deduplication to judge. Otherwise documents of more than this share of boilerplate characters stay whole
-    (the rule of ``SQL``). Null or empty text: one empty line, nothing removed, clean_text ''. Null site: counts as
-    one more site. Null id: kept as null. Repeated rows: one result each. Empty input: empty result.
+    ``min_sites`` distinct sites are boilerplate and go in every document, also where nothing else is left, but for a
+    text that stands whole and equal on ``min_sites`` sites: there the copying alone makes each line common, and it
+    stays for document deduplication to judge. Null or empty text: one empty line, nothing removed, clean_text ''.
+    Null site: counts as one more site. Null id: kept as null. Repeated rows: one result each. Empty input: empty result.
     """
-    docs = texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site"))
+    docs = _keyed(texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site")))
     none = F.array().cast("array<int>")
-    out = _keyed(docs).join(_common(docs, min_sites), ["k1", "k2"], "left").withColumn("common", F.coalesce("common", none))
-    out = out.withColumn("gone", F.when(_whole(F.col("chars"), F.col("copied"), F.col("text"), max_share), none).otherwise(F.col("common")))
+    out = docs.join(_common(docs, min_sites), ["k1", "k2"], "left").withColumn("common", F.coalesce("common", none))
+    out = out.withColumn("gone", F.when(F.coalesce("copied", F.lit(False)), none).otherwise(F.col("common")))
     return out.select(
         "doc_id",
         F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
@@ -89,18 +89,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", chars_col: str = "n_chars", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE) -> DataFrame:
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", chars_col: str = "n_chars", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs``, all rows and columns, with boilerplate removed from the texts as ``line_dedup`` says.
 
     A text from which nothing is removed stays as it is, also null; ``chars_col``, if there, follows a changed text.
+    Null id or site, repeated rows and empty input: as in ``line_dedup``.
     """
-    own = texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site"))
-    hit = _common(own, min_sites).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"), F.col("chars").alias("__chars"), F.col("copied").alias("__copied"))
+    own = _keyed(texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site")))
+    hit = _common(own, min_sites).where("copied is null").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"))
     text = F.coalesce(docs[text_col], F.lit(""))
     same = (F.coalesce(docs[id_col].cast("long"), F.lit(-1)) == hit["__k1"]) & (F.xxhash64(text) == hit["__k2"])
     joined = docs.join(hit, same, "left")
-    changed = F.col("__gone").isNotNull() & ~_whole(F.col("__chars"), F.col("__copied"), text, max_share)
-    clean = _without(text, F.col("__gone"))
+    changed, clean = F.col("__gone").isNotNull(), _without(text, F.col("__gone"))
     new = {text_col: F.when(changed, clean).otherwise(docs[text_col])}
     if chars_col in docs.columns:
         new[chars_col] = F.when(changed, F.length(clean).cast(docs.schema[chars_col].dataType)).otherwise(docs[chars_col])
@@ -113,10 +113,11 @@ with d as (select doc_id, coalesce(text, '') as text, source, row_number() over
 l as (select r, source, pos - 1 as pos, s[pos] as line, trim(translate(s[pos], chr(9) || chr(13), '  ')) as key
       from (select r, source, string_split(text, chr(10)) as s, unnest(range(1, len(string_split(text, chr(10))) + 1)) as pos from d)),
 c as (select key from l where key <> '' group by key having count(distinct source) + max(case when source is null then 1 else 0 end) >= {MIN_SITES}),
-h as (select r, count(*) as n, sum(length(line)) as chars from l join c using (key) group by r),
+cp as (select text, true as copied from d group by text having count(distinct source) + max(case when source is null then 1 else 0 end) >= {MIN_SITES}),
+h as (select r, count(*) as n from l join c using (key) group by r),
 k as (select l.r, string_agg(line, chr(10) order by pos) as clean from l left join c using (key) where c.key is null group by l.r)
 select d.doc_id, cast(len(string_split(d.text, chr(10))) as bigint) as n_lines, cast(coalesce(h.n, 0) as bigint) as n_boilerplate,
-       cast(case when coalesce(h.chars, 0) > {MAX_SHARE} * length(d.text) then 0 else coalesce(h.n, 0) end as bigint) as n_removed,
-       case when h.n is null or h.chars > {MAX_SHARE} * length(d.text) then d.text else coalesce(k.clean, '') end as clean_text
-from d left join h using (r) left join k using (r)
+       cast(case when copied then 0 else coalesce(h.n, 0) end as bigint) as n_removed,
+       case when h.n is null or copied then d.text else coalesce(k.clean, '') end as clean_text
+from d left join h using (r) left join k using (r) left join cp using (text)
 """
