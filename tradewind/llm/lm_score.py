@@ -5,8 +5,8 @@ uniform distribution; the mixture weights depend on how often the context was se
 expectation-maximisation on counts that a held-out part of the training documents has, while the estimates come from
 the other part. The final estimates use all training documents.
 
-Counts are exact and exchanged in blocks of documents: each block sends its distinct words and bigrams (sorted hashes)
-to parts of the key space, each part adds up what all blocks have of a key and answers every block with the totals of
+Counts are exchanged in blocks of documents: each block sends its distinct words and bigrams (sorted 64-bit hashes) to
+parts of the key space, each part adds up what all blocks have of a key and answers every block with the totals of
 its keys, in the same order. So a key costs one row of a block, not one row an occurrence, and no key gathers rows.
 """
 
@@ -67,18 +67,6 @@ def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
 
 
-def _short(keys: np.ndarray) -> bytes:
-    """The low six bytes of each key: a part is a range of the high bits and has a bounded number of keys, about a
-    million, so that two of them agree in 48 bits only once in some hundred parts."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _long(short: bytes) -> np.ndarray:
-    out = np.zeros((len(short) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(short, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
 def _pack(counts: np.ndarray) -> bytes:
     """Counts as one byte each; those of 255 and more follow in full."""
     return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u8").tobytes()
@@ -113,32 +101,40 @@ def _requests(docs: DataFrame, parts: int) -> DataFrame:
                     for kind in (0, 1):
                         keys, t, h = found[3 * kind : 3 * kind + 3]
                         cuts = _parts(keys, parts)
-                        rows += [(int(blocks[lo]), first, em, kind, p, _short(keys[a:b]), _pack(t[a:b]), _pack(h[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+                        for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+                            if b > a:
+                                rows.append((int(blocks[lo]), first, em, kind, p, keys[a:b].astype("<u8").tobytes(), _pack(t[a:b]), _pack(h[a:b])))
                 kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "piece", "em", "kind", "part", "keys", "train", "held"])
 
     return docs.mapInArrow(ask, "block long, piece long, em boolean, kind int, part int, keys binary, train binary, held binary")
 
 
+def _check(keys: np.ndarray) -> int:
+    """A sum over keys: it tells whether an answer is to the keys that a second read of the documents gives."""
+    return int(tv.mix(keys.astype(tv.U)).sum(dtype=tv.U).view(np.int64))
+
+
 def _answer(group: pd.DataFrame) -> pd.DataFrame:
     """Adds up one part of the key space and answers each request in its order; a last row has the part's sums."""
-    sizes = [len(k) // 6 for k in group["keys"]]
-    keys = np.concatenate([_long(k) for k in group["keys"]])
+    sizes = [len(k) // 8 for k in group["keys"]]
+    keys = np.frombuffer(b"".join(group["keys"]), "<u8")
     _, back = np.unique(keys, return_inverse=True)
     totals = [np.bincount(back, np.concatenate([_unpack(x, n) for x, n in zip(group[c], sizes, strict=True)])).astype(np.int64) for c in ("train", "held")]
     at = np.concatenate(([0], np.cumsum(sizes)))
     out = group[["block", "piece", "em", "kind", "part"]].copy()
     out["n"] = sizes
+    out["check"] = [_check(keys[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     for c, total in zip(("train", "held"), totals, strict=True):
         each = total[back]
         # EM counts go only to those who asked for them.
         out[c] = [_pack(each[a:b]) if c == "train" or em else b"" for a, b, em in zip(at[:-1], at[1:], group["em"], strict=True)]
     out["known"] = out["tokens"] = 0
-    row = {"block": -1, "piece": 0, "em": False, "kind": group["kind"].iloc[0], "part": group["part"].iloc[0], "n": 0, "train": b"", "held": b"", "known": int((totals[0] > 0).sum()), "tokens": int(totals[0].sum())}
+    row = {"block": -1, "piece": 0, "em": False, "kind": group["kind"].iloc[0], "part": group["part"].iloc[0], "n": 0, "check": 0, "train": b"", "held": b"", "known": int((totals[0] > 0).sum()), "tokens": int(totals[0].sum())}
     return pd.concat([out, pd.DataFrame([row])], ignore_index=True)
 
 
-ANSWER = "block long, piece long, em boolean, kind int, part int, n long, train binary, held binary, known long, tokens long"
+ANSWER = "block long, piece long, em boolean, kind int, part int, n long, check long, train binary, held binary, known long, tokens long"
 
 
 class _Counts:
@@ -154,7 +150,9 @@ class _Counts:
             c = np.concatenate([_unpack(x, n) for x, n in zip(own["train"], own["n"], strict=True)])
             if only_train_rest:
                 c = c - np.concatenate([_unpack(x, n) for x, n in zip(own["held"], own["n"], strict=True)])
-            if len(c) != len(keys[3 * kind]):
+            at = np.concatenate(([0], np.cumsum(own["n"].to_numpy())))
+            mine = keys[3 * kind]
+            if len(c) != len(mine) or any(_check(mine[a:b]) != x for a, b, x in zip(at[:-1], at[1:], own["check"], strict=True)):
                 raise RuntimeError("the documents changed between two reads: score a stored table")
             self.keys.append(keys[3 * kind])
             self.counts.append(c)
@@ -207,19 +205,19 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     tokens. score: log10 probability of the text under the interpolated bigram model with V + 1 outcomes.
     Null or empty text: the end alone is scored. Null id: its text counts as ''. Repeated rows: each trains and is
     scored. No training rows at all: every probability is uniform. Empty input: empty result.
-    The rows must come in the same partitions when read again (any stored table does); a change raises an error.
+    The rows are read twice and must come in the same partitions again (any stored table does): each answer carries a
+    sum of the keys that were asked for, so a change raises an error.
     """
     docs = texts(docs, id_col, text_col).select("doc_id", "text", fold(F.col("doc_id"), FOLDS).alias("fold"))
     docs = docs.withColumn("train", F.col("fold") != test_fold).withColumn("held", F.col("fold") == em_fold).withColumn("row", F.monotonically_increasing_id())
     docs = docs.withColumn("block", F.floor(F.col("row") / ROWS_PER_BLOCK).cast("long"))
-    chars, = docs.select(F.sum(F.length("text"))).first()
+    of = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
+    chars, starts, heard = docs.agg(F.sum(F.length("text")), of("train"), of("held")).first()
     parts = max(1, -(-int(chars or 0) // CHARS_PER_PART))
     answers = save(_requests(docs, parts).groupBy("kind", "part").applyInPandas(_answer, ANSWER), "lm-counts")
     sums = answers.where("block = -1 and kind = 0").agg(F.sum("known"), F.sum("tokens")).first()
     # The start mark is a context, no token: it is known once and occurs once per training document.
-    starts = docs.where("train").count()
     known, total = (sums[0] or 0) - (1 if starts else 0), (sums[1] or 0) - starts
-    heard = docs.where("held").count()
     replies = answers.where("block >= 0").drop("known", "tokens")
 
     # EM counts: cells of the held-out bigrams, from estimates without their documents.
@@ -259,7 +257,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
                 p = w[:, 0] * both / np.maximum(context, 1) + w[:, 1] * one / max(total, 1) + w[:, 2] / (known + 1)
                 base = np.log10((one + 1) / (total + known + 1))
                 r = rows.iloc[run.first : run.first + run.n]
-                out.append(pd.DataFrame({"doc_id": r["doc_id"], "held_out": ~r["train"].astype(bool), "n_tokens": tv.per_doc(doc, run.n), "n_known": tv.per_doc(doc, run.n, one > 0), "train_tokens": total, "base_score": np.bincount(doc, base, run.n), "score": np.bincount(doc, np.log10(p), run.n)}))
+                columns = {"doc_id": r["doc_id"], "held_out": ~r["train"].astype(bool), "n_tokens": tv.per_doc(doc, run.n), "n_known": tv.per_doc(doc, run.n, one > 0), "train_tokens": total}
+                out.append(pd.DataFrame(columns | {"base_score": np.bincount(doc, base, run.n), "score": np.bincount(doc, np.log10(p), run.n)}))
         return pd.concat(out, ignore_index=True).astype({"doc_id": "Int64"})
 
     return docs.groupBy("block").cogroup(replies.where("not em").groupBy("block")).applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
