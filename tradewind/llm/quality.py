@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import textvec as tv
-from tradewind.llm.shared import save, texts
+from tradewind.llm.shared import fold, save, texts
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_punct", "n_digits", "n_lone"]
 TREES, ROWS_PER_TREE, SEED, MAX_FALSE = 100, 256, 7, 0.005
@@ -158,24 +159,40 @@ def threshold(seen: list[tuple[int, int, int]], max_false: float = MAX_FALSE) ->
     return cut
 
 
+def _sample(rows: DataFrame, limit: int) -> pd.DataFrame:
+    """The ``limit`` rows with the smallest hash of their id. A bound on the hash, from the number of rows, keeps all but
+    about a tenth more from being sorted and sent to the driver."""
+    share = min(1.0, 1.1 * limit / max(rows.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    return rows.where(place < F.lit(int(share * (1 << 32)))).orderBy(place, *rows.columns).limit(limit).toPandas()
+
+
+def held_out(docs: DataFrame, labels: DataFrame, folds: int = 5, **options) -> DataFrame:
+    """(quality, rows, kept): what is kept of the labelled rows of one fold (by crc32 of the id) when trees and cut-off
+    come from the labels of all others."""
+    own = fold(F.col("doc_id"), folds) == 0
+    judged = quality(docs, labels.where(~own), **options).select("doc_id", "kept")
+    marks = labels.where(own & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    return judged.join(marks, "doc_id").groupBy("quality").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("long")).alias("kept"))
+
+
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, per_tree: int = ROWS_PER_TREE, max_false: float = MAX_FALSE) -> DataFrame:
     """One row per input row: doc_id, text_key (xxhash64 of the text), ``COUNTS``, base_failed, score (anomaly, 0 to 1), cut_off, kept.
 
     ``base_failed``: under 50 words, or over half of the words in repeated three-word windows. ``kept``: not base_failed
     and score under the cut-off. The forest grows from a bounded sample, ``trees * per_tree`` labelled rows (those with
-    the smallest hash of their id; of all rows when none is labelled good); statistics and scores cover every row, and the
+    the smallest hash of their id; of all rows when none of the sample is labelled good); statistics and scores cover every row, and the
     cut-off comes from every labelled row (a histogram of scores in ten-thousandths, so at most 20,002 rows).
     Null or empty text: all counts 0, base_failed. Null id: scored like any row, never labelled. Repeated rows: one
     result each. A label that is null or repeated with another value counts once per row. Empty input: empty result.
     """
     stats = save(rule_statistics(docs, id_col, text_col), "quality")
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
-    labelled = stats.join(marks, "doc_id")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    labelled = save(stats.join(marks, "doc_id"), "labelled")
     limit = trees * per_tree
-    rows = labelled.select("doc_id", *COUNTS, "quality").orderBy(*order, "quality", *COUNTS).limit(limit).toPandas()
+    rows = _sample(labelled.select("doc_id", *COUNTS, "quality"), limit)
     if not (rows["quality"] == 1).any():
-        rows = stats.withColumn("quality", F.lit(1)).orderBy(*order, *COUNTS).limit(limit).toPandas()
+        rows = _sample(stats.select("doc_id", *COUNTS, F.lit(1).alias("quality")), limit)
     forest = None
     if len(rows):
         x = features({c: rows[c].to_numpy() for c in COUNTS})
