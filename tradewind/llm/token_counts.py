@@ -102,18 +102,18 @@ def ship(spark: SparkSession, start: list[bytes], inner: list[bytes]) -> Broadca
 
 
 class _Counts(dict):
-    """Counts of words by hash; forgets all when full, which bounds memory and changes no result."""
+    """Counts of words met before; forgets all when full, which bounds memory and changes no result."""
 
     def __init__(self, automaton: Automaton, most: int = 400_000):
         super().__init__()
         self.automaton, self.most = automaton, most
 
-    def of(self, key: int, word: bytes) -> int:
-        found = self.get(key)
-        if found is None:
-            if len(self) >= self.most:
-                self.clear()
-            found = self[key] = self.automaton.count(b" " + word)
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        found = self.automaton.count(b" " + word)
+        if len(word) <= 64:
+            self[word] = found
         return found
 
 
@@ -131,8 +131,8 @@ def token_counts(docs: DataFrame, start: list[bytes], inner: list[bytes], id_col
             for run in tv.runs(batch.column("text")):
                 w, raw = tv.words(run, tv.PLAIN), run.data.tobytes()
                 keys, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-                spans = zip(keys.tolist(), w.start[first].tolist(), w.end[first].tolist(), strict=True)
-                each = np.fromiter((known.of(k, raw[s:e]) for k, s, e in spans), np.int64, len(keys))[back] if len(keys) else np.zeros(0, np.int64)
+                spans = zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)
+                each = np.fromiter((known[raw[s:e]] for s, e in spans), np.int64, len(keys))[back] if len(keys) else np.zeros(0, np.int64)
                 most = np.zeros(run.n, np.int64)
                 np.maximum.at(most, w.doc, each)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), pa.array(tv.per_doc(w.doc, run.n)), pa.array(tv.per_doc(w.doc, run.n, each)), pa.array(most)], ["doc_id", "n_words", "n_tokens", "max_word_tokens"])
