@@ -30,6 +30,8 @@ def sql_rows(rows, sql):
 def test_line_dedup_equals_sql(frame, corpus):
     # Many sites around the threshold, so that both the estimate and the exact count decide.
     extra = [(300 + i, f"only {i} of its own and some more words {i * i}\nedge {n} of it\n more {i + n} text here {i}", f"e{i}") for n in (8, 9, 10, 11, 12, 30) for i in range(n)]
+    # Whole copies on as many sites as make a line boilerplate, and on one less.
+    extra += [(500 + 20 * n + i, f"a story told {n}\non {n} sites", f"c{i}") for n in (9, 10) for i in range(n)]
     rows = [*corpus, *extra]
     out = line_dedup.line_dedup(frame(rows))
     cols, want = sql_rows(rows, line_dedup.SQL)

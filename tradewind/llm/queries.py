@@ -25,7 +25,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents"), max_share=None).drop("text_key")
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
