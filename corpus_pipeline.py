@@ -18,7 +18,7 @@ from tradewind.llm.shared import drop_rows, save, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; a row without an id is judged like any other."""
+    """Documents that the quality rules keep; a row without an id is judged like any other, one without text goes."""
     judged = quality.quality(docs, table(spark, sf_dir, "labels"))
     return drop_rows(docs, judged.where("not kept"))
 
@@ -26,24 +26,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with cross-site boilerplate lines removed from their texts; no row is dropped.
 
-    A text from which nothing is removed stays as it is, also null. ``n_chars`` (if there) follows a changed text.
+    A text from which nothing is removed stays as it is, also null; one of boilerplate only becomes empty. ``n_chars``
+    (if there) follows a changed text. A null site counts as one site; repeated rows are changed alike.
     """
-    return line_dedup.rewrite(docs, max_share=None)
+    return line_dedup.rewrite(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each near-duplicate component; fully repeated rows stay once."""
+    """One document, that with the smallest id, of each near-duplicate component; of several texts under that id, one.
+
+    Rows that repeat id and text stay once. Rows without an id or without words are nobody's copy and stay.
+    """
     judged = minhash_dedup.near_duplicates(docs)
-    return drop_rows(docs, judged.where("not kept")).dropDuplicates(["doc_id", "text"])
+    return drop_rows(docs, judged.where("not first")).dropDuplicates(["doc_id", "text"])
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage; null and empty texts have none. Repeated rows go or stay together."""
     return drop_rows(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids of each document's whole text, and whether decoding gives the text back."""
+    """doc_id, n_tokens, ids of each document's whole text, and a digest of what decoding gives; null text: no ids."""
     out = bpe.bpe(docs, vocabulary_path())
     return out.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -56,7 +60,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe", encoding),
 ]
 
-#: Trained trees, sketches and automata are not SQL; tests hold each stage against a brute-force version.
+#: Trained trees and automata are not SQL; a test holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
