@@ -18,13 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import textvec as tv
 from tradewind.llm.shared import discard, save, texts
 
-SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE = 5, 80, 3, 1e-4, 11, 16, 1 << 20
+SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE, PARITIES = 5, 80, 3, 1e-4, 11, 16, 1 << 20, 1024
 
 
 def collection_size(percent: int, k: int = K, miss: float = MISS) -> int:
@@ -45,10 +45,34 @@ def _sets(run: tv.Run, size: int) -> list[np.ndarray]:
     return [np.unique(found[at[i] : at[i + 1]]) for i in range(run.n)]
 
 
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set, as 64-bit words."""
+    place = (np.concatenate(sets) >> tv.U(17)) % tv.U(PARITIES)
+    at = np.repeat(np.arange(len(sets)), [len(s) for s in sets]) * PARITIES + place.astype(np.int64)
+    odd = np.bincount(at, minlength=len(sets) * PARITIES).reshape(len(sets), PARITIES) % 2
+    return np.packbits(odd.astype(bool), axis=1).view(tv.U)
+
+
+def _may(n_a: Column, n_b: Column, differ: Column, percent: int) -> Column:
+    """Whether sets of these sizes that differ in at least so many shingles can reach the threshold."""
+    both = n_a + n_b
+    return ((both - differ) * (100 + percent) >= 2 * percent * both) & (F.least(n_a, n_b) * 100 >= percent * F.greatest(n_a, n_b))
+
+
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parities do not rule out: sets differ wherever their parities do. A row of bits is
+    a small part of a set, so few pairs are left whose sets have to meet."""
+    side = lambda x: classes.select(F.col("class").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    each = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(each, F.lit(0), lambda total, x: total + x)
+    return pairs.join(side("b"), "b").join(side("a"), "a").where(_may(F.col("n_a"), F.col("n_b"), differ, percent)).select("a", "b")
+
+
 def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, a 128-bit digest of the set (d1, d2), and the 2m small hashes (``halves``)."""
+    """doc_id, text_key, n_shingles, a 128-bit digest of the set (d1, d2), the 2m small hashes (``halves``), and whether
+    the set has an odd number of shingles in each of ``PARITIES`` hash classes (``bits``)."""
     a, b = _hashes(m, k)
-    schema = "doc_id long, text_key long, n_shingles long, d1 long, d2 long, halves array<long>"
+    schema = "doc_id long, text_key long, n_shingles long, d1 long, d2 long, halves array<long>, bits array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,6 +80,7 @@ def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
                 sets = _sets(run, size)
                 n = np.array([len(s) for s in sets])
                 digest, halves = np.zeros((2, run.n), tv.U), np.zeros((run.n, 2 * m), tv.U)
+                bits = np.concatenate([_parities(sets[i : i + 1000]) for i in range(0, run.n, 1000)])
                 full = np.flatnonzero(n)
                 if len(full):
                     every, starts = np.concatenate(sets), np.concatenate(([0], np.cumsum(n)))[full]
@@ -66,9 +91,12 @@ def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
                         for x in range(h * k, h * k + k):
                             key = tv.pair(key, np.minimum.reduceat(every * a[x] + b[x], starts))
                         halves[full, h] = key
-                rows = pa.ListArray.from_arrays(np.arange(run.n + 1) * 2 * m, halves.ravel().view(np.int64))
+                lists = [pa.ListArray.from_arrays(np.arange(run.n + 1) * x.shape[1], x.ravel().view(np.int64)) for x in (halves, bits)]
                 own = [batch.column(c).slice(run.first, run.n) for c in ("doc_id", "text_key")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(n), *(pa.array(d.view(np.int64)) for d in digest), rows], ["doc_id", "text_key", "n_shingles", "d1", "d2", "halves"])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(n), *(pa.array(d.view(np.int64)) for d in digest), *lists],
+                    ["doc_id", "text_key", "n_shingles", "d1", "d2", "halves", "bits"],
+                )
 
     return docs.select("doc_id", "text_key", "text").mapInArrow(sign, schema)
 
@@ -133,14 +161,28 @@ def components(links: DataFrame) -> DataFrame:
         moved = True
         while moved:
             up = tree.select(F.col("node").alias("label"), F.col("label").alias("next"))
-            step = save(tree.join(up, "label", "left").select("node", F.coalesce("next", "label").alias("label"), F.col("next").isNotNull().alias("moved")), "trees")
+            step = save(
+                tree.join(up, "label", "left").select(
+                    "node",
+                    F.coalesce("next", "label").alias("label"),
+                    F.col("next").isNotNull().alias("moved"),
+                ),
+                "trees",
+            )
             moved = not step.where("moved").isEmpty()
             discard(tree)
             tree, path = step.select("node", "label"), step.work_path
             tree.work_path = path
         top = lambda x: tree.select(F.col("node").alias(x), F.col("label").alias(f"of_{x}"))
-        merged = save(found.join(top("component"), "component", "left").select("node", F.coalesce("of_component", "component").alias("component")), "components")
-        ends = links.join(top("a"), "a", "left").join(top("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        merged = save(
+            found.join(top("component"), "component", "left").select("node", F.coalesce("of_component", "component").alias("component")),
+            "components",
+        )
+        ends = (
+            links.join(top("a"), "a", "left")
+            .join(top("b"), "b", "left")
+            .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        )
         rest = save(ends.where("a <> b").select(*plain("a", "b")).distinct(), "links")
         discard(found, links, tree)
         found, links = merged, rest
@@ -148,14 +190,13 @@ def components(links: DataFrame) -> DataFrame:
     return found
 
 
-def _rest(sets: DataFrame, percent: int) -> DataFrame:
+def _rest(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs among ``sets`` (class, component, shingles) of different components: an exact prefix join.
 
     A pair that reaches the threshold shares a shingle between the first n - ceil(2pn / (1 + p)) + 1 of the smaller set
     and the first n - ceil(pn) + 1 of the larger one, in any order of shingles that both follow; rarest first keeps
     the shingles that a whole group shares out of the prefixes of sets that are not linked with it. Within a group whose
-    members differ by a little more than the threshold allows, prefixes still meet; there the parities of the numbers
-    of shingles in 256 hash classes tell: where they differ, so do the sets.
+    members differ by a little more than the threshold allows, prefixes still meet; there the parities tell.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,23 +214,29 @@ def _rest(sets: DataFrame, percent: int) -> DataFrame:
     own = ["class", "component", "n"]
     ordered = rows.join(often, "shingle").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
     prefix = F.slice("order", 1, (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int"))
-    place = "cast(pmod(x.shingle, 64) as int)"
-    parity = [f"aggregate(order, 0L, (m, x) -> if(pmod(shiftright(x.shingle, 6), 4) = {w}, m ^ shiftleft(1L, {place}), m)) as m{w}" for w in range(4)]
-    own += [f"m{w}" for w in range(4)]
-    probe = ordered.selectExpr("*", *parity).select(*own, F.posexplode(prefix).alias("pos", "x")).select(*own, "pos", "x.shingle")
+    words = [f"m{w}" for w in range(PARITIES // 64)]
+    bits = classes.select("class", *[F.get("bits", w).alias(m) for w, m in enumerate(words)])
+    own += words
+    probe = ordered.join(bits, "class").select(*own, F.posexplode(prefix).alias("pos", "x")).select(*own, "pos", "x.shingle")
     probe = save(probe, "prefixes")
-    mixed = probe.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("shingle")
+    mixed = (
+        probe.groupBy("shingle")
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least != most")
+        .select("shingle")
+    )
     probe = probe.join(mixed, "shingle", "left_semi")
     index = probe.where(F.col("pos") < F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)) + 1)
     x, y = index.alias("x"), probe.alias("y")
     larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.class") != F.col("x.class")))
     # What follows the shared shingle in both orders bounds the intersection.
-    enough = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
-    both = F.col("x.n") + F.col("y.n")
-    differ = sum((F.bit_count(F.col(f"x.m{w}").bitwiseXOR(F.col(f"y.m{w}"))) for w in range(4)), F.lit(0))
-    enough = enough & ((both - differ) * (100 + percent) >= 2 * percent * both)
+    enough = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent) >= percent * (
+        F.col("x.n") + F.col("y.n")
+    )
+    differ = sum((F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in words), F.lit(0))
+    enough = enough & _may(F.col("x.n"), F.col("y.n"), differ, percent)
     apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component"))
-    met = x.join(y, apart & larger & (F.col("y.n") * percent <= F.col("x.n") * 100) & enough)
+    met = x.join(y, apart & larger & enough)
     return met.select(F.greatest("x.class", "y.class").alias("a"), F.least("x.class", "y.class").alias("b")).distinct()
 
 
@@ -208,7 +255,15 @@ def _met(classes: DataFrame, m: int) -> DataFrame:
     return met
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SHINGLE, k: int = K, miss: float = MISS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    size: int = SHINGLE,
+    k: int = K,
+    miss: float = MISS,
+) -> DataFrame:
     """One row per input row: doc_id, text_key, n_shingles, component_id, kept, first.
 
     A document's set: the distinct ``size``-word shingles of its whole text, words between ASCII white space with A-Z
@@ -224,14 +279,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = save(signatures(docs, size, m, k), "signatures")
     named = signed.where("doc_id is not null and n_shingles > 0")
     # Numbered as they are written, so the number stays.
-    classes = named.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("halves").alias("halves"))
+    classes = named.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), *[F.first(c).alias(c) for c in ("n_shingles", "halves", "bits")])
     classes = save(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     met = _met(classes, m)
     star = met.where(F.col("class") > F.col("least")).select(F.col("class").alias("a"), F.col("least").alias("b"))
     small = met.where(F.col("n") <= SMALL_BUCKET).select("key", "class")
     both = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") > F.col("y.class"))
     among = small.alias("x").join(small.alias("y"), both).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-    pairs = save(star.union(among).distinct(), "candidates")
+    met_once = save(star.union(among).distinct(), "met-once")
+    pairs = save(possible(met_once, classes, percent), "candidates")
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
     links = save(verified(pairs, _of(docs, classes, ends, size), percent), "confirmed")
     found = components(links)
@@ -239,14 +295,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A large bucket is still split where a member's component is not that of its smallest; pairs are distinct over all
     # tables, and all members that meet such a smallest one go on.
     large = save(met.where(F.col("n") > SMALL_BUCKET).select("class", "least").distinct(), "large")
-    discard(pairs, met)
-    own = large.join(found.withColumnRenamed("node", "class"), "class", "left").select("class", "least", F.coalesce("component", "class").alias("component"))
+    discard(met_once, pairs, met)
+    own = large.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        "class",
+        "least",
+        F.coalesce("component", "class").alias("component"),
+    )
     head = found.select(F.col("node").alias("least"), F.col("component").alias("of_least"))
     split = own.join(head, "least", "left").where(F.col("component") != F.coalesce("of_least", "least")).select("least").distinct()
     members = save(own.join(split, "least", "left_semi").select("class", "component").distinct(), "members")
     if not members.isEmpty():
-        sets = save(members.join(_of(docs, classes, members.select("class"), size), "class").select("class", "component", "shingles"), "sets")
-        rest = save(_rest(sets, percent), "candidates")
+        sets = save(
+            members.join(_of(docs, classes, members.select("class"), size), "class").select("class", "component", "shingles"),
+            "sets",
+        )
+        rest = save(_rest(sets, classes, percent), "candidates")
         more = save(verified(rest, sets, percent), "confirmed")
         discard(sets, rest)
         if not more.isEmpty():
@@ -255,11 +318,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         discard(more)
 
     # Every row follows its class.
-    each = classes.select("class", "d1", "d2", "first").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    each = (
+        classes.select("class", "d1", "d2", "first")
+        .join(found.withColumnRenamed("node", "class"), "class", "left")
+        .withColumn("component", F.coalesce("component", "class"))
+    )
     least = each.groupBy("component").agg(F.min("first").alias("least"))
     label = save(each.join(least, "component").select("d1", "d2", "least"), "labels")
     discard(links, large, members, classes, found)
-    out = signed.drop("halves").join(label, ["d1", "d2"], "left")
+    out = signed.drop("halves", "bits").join(label, ["d1", "d2"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("component_id", F.when(linked, F.col("least.doc_id")).otherwise(F.col("doc_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -269,13 +336,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: The same rows in DuckDB SQL, for ids that do not repeat: every pair that shares a shingle, and all that links reach.
 SQL = r"""
-with recursive d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+with recursive d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
 ]+') as w from documents),
-s as materialized (select distinct r, array_to_string(w[i : i + 4], ' ') as x from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+s as materialized (select distinct r, array_to_string(w[i : i + 4], ' ') as x
+  from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
 n as (select r, count(*) as n from s group by r),
-m as (select a.r as a, b.r as b, count(*) as k from s a join s b on a.x = b.x and a.r <> b.r join d on d.r = a.r join d e on e.r = b.r where d.doc_id is not null and e.doc_id is not null group by 1, 2),
+m as (select a.r as a, b.r as b, count(*) as k from s a join s b on a.x = b.x and a.r <> b.r join d on d.r = a.r join d e on e.r = b.r
+  where d.doc_id is not null and e.doc_id is not null group by 1, 2),
 l as materialized (select a, b from m join n x on x.r = a join n y on y.r = b where 100 * k >= 85 * (x.n + y.n - k)),
 c(a, b) as (select r, r from d union select c.a, l.b from c join l on l.a = c.b),
 o as (select c.a, min(doc_id) as least from c join d on d.r = c.b group by 1)
-select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, least as component_id, coalesce(doc_id = least, true) as kept from d join o on o.a = d.r left join n using (r)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, least as component_id, coalesce(doc_id = least, true) as kept from d
+  join o on o.a = d.r left join n using (r)
 """
