@@ -164,7 +164,9 @@ class Vocabulary:
         self.labels = labels | {i: s.encode() for s, i in self.special.items()}
         self.words = regex.compile(SPLIT)
         self.known = _Known(self.automaton)
-        self.at_special = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
+        self.at_special = regex.compile(
+            "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)),
+        ) if self.special else None
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; the strings of special tokens become those tokens."""
@@ -221,6 +223,18 @@ def bpe(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
             column = batch.column("text")
             for run in tv.runs(column):
                 ids = [vocabulary.encode(t) for t in column.slice(run.first, run.n).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([vocabulary.decode(x) for x in ids], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
-
-    return texts(docs, id_col, text_col).select("doc_id", "text").mapInArrow(encode, "doc_id long, n_tokens long, ids binary, decoded string")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(run.first, run.n),
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array(ids, pa.binary()),
+                        pa.array([vocabulary.decode(x) for x in ids], pa.string()),
+                    ],
+                    ["doc_id", "n_tokens", "ids", "decoded"],
+                )
+
+    return (
+        texts(docs, id_col, text_col)
+        .select("doc_id", "text")
+        .mapInArrow(encode, "doc_id long, n_tokens long, ids binary, decoded string")
+    )

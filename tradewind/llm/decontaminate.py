@@ -106,7 +106,9 @@ def build(items: list[tuple[int, str]], size: int = SHINGLE, whole: tuple[int, d
             holders.setdefault(s, []).append(at)
     total, held = whole or (len(kept), {s: len(of) for s, of in holders.items()})
     weight = {s: float(np.log1p(total / n)) for s, n in ({s: 1 for s in holders} | held).items()}
-    prints = np.concatenate([_pack((_bits(own) * np.array([weight[s] for s in own.tolist()])[:, None]).sum(axis=0)[None]) for *_, own in kept])
+    prints = np.concatenate(
+        [_pack((_bits(own) * np.array([weight[s] for s in own.tolist()])[:, None]).sum(axis=0)[None]) for *_, own in kept],
+    )
     near = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)) <= NEAR
     tables = near.astype(np.uint8)[:, prints.T].transpose(1, 0, 2).copy()
     by_k = {}
@@ -166,7 +168,12 @@ def matches(index: Index, h: np.ndarray, hits: dict[int, np.ndarray], similarity
                     if again is None:
                         total = sums[span:] - sums[:-span]
                     else:
-                        total = np.stack([(_bits(u := np.unique(local[j : j + span])) * w[np.searchsorted(values, u)][:, None]).sum(axis=0) for j in range(len(piece))])
+                        total = np.stack(
+                            [
+                                (_bits(u := np.unique(local[j : j + span])) * w[np.searchsorted(values, u)][:, None]).sum(axis=0)
+                                for j in range(len(piece))
+                            ],
+                        )
                     for x, item, far in zip(*(a.tolist() for a in _within(index, _pack(total), items, radius)), strict=True):
                         a, b = np.unique(back[x : x + span]), index.sets[item]
                         both = np.isin(values[a], b, assume_unique=True)
@@ -211,11 +218,27 @@ def _scan(docs: DataFrame, index: Index, similarity: float, radius: int) -> Data
                         hit.setdefault(d, {})[k] = at[w.doc[at] == d] - first[d]
                 for d, hits in sorted(hit.items()):
                     for item, start, far, sim in matches(index, w.hash[first[d] : first[d + 1]], hits, similarity, radius):
-                        rows.append((run.first + d, int(index.ids[item]), start, min(start + int(index.words[item]), int(first[d + 1] - first[d])), far, sim))
+                        rows.append(
+                            (
+                                run.first + d,
+                                int(index.ids[item]),
+                                start,
+                                min(start + int(index.words[item]), int(first[d + 1] - first[d])),
+                                far,
+                                sim,
+                            ),
+                        )
             at, *cols = zip(*rows, strict=True) if rows else [()] * 6
             at = pa.array(at, pa.int64())
             kinds = [pa.int64()] * 4 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text_key").take(at), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "text_key", "item_id", "start_word", "end_word", "hamming", "similarity"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(at),
+                    batch.column("text_key").take(at),
+                    *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)),
+                ],
+                ["doc_id", "text_key", "item_id", "start_word", "end_word", "hamming", "similarity"],
+            )
 
     return docs.mapInArrow(scan, OUT)
 
@@ -237,7 +260,16 @@ def _blocks(items: DataFrame, block_items: int) -> int:
     return blocks
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, size: int = SHINGLE, radius: int = RADIUS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float = SIMILARITY,
+    size: int = SHINGLE,
+    radius: int = RADIUS,
+    block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
     """One row per document, item and run of matching windows: doc_id, text_key, item_id, start_word, end_word,
     hamming, similarity (of the best window; words count from 0, end exclusive).
 

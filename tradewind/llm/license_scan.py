@@ -28,15 +28,37 @@ PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc
 #: (CC BY-NC, LGPL) cannot be told from it at this threshold and is not listed.
 TEMPLATES = [
     ("gpl-notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl-notice", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    (
+        "gpl-notice",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+        "Software Foundation",
+    ),
     ("apache-notice", "Licensed under the Apache License, Version 2.0."),
     ("apache-notice", "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License"),
     ("mit-notice", "Released under the MIT License."),
-    ("mit-notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
-    ("mit-notice", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
-    ("isc-notice", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("bsd-notice", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("bsd-notice", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    (
+        "mit-notice",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+        "and associated documentation files, to deal in the Software without restriction",
+    ),
+    (
+        "mit-notice",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    ),
+    (
+        "isc-notice",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    ),
+    (
+        "bsd-notice",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met",
+    ),
+    (
+        "bsd-notice",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
+    ),
     ("zlib-notice", "In no event will the authors be held liable for any damages arising from the use of this software"),
     ("boost-notice", "Distributed under the Boost Software License, Version 1.0"),
     ("cc-by-notice", "Licensed under CC BY 4.0."),
@@ -46,7 +68,11 @@ TEMPLATES = [
     ("mpl-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("epl-notice", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
     ("warranty-disclaimer", "distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"),
-    ("warranty-disclaimer", "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"),
+    (
+        "warranty-disclaimer",
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    ),
     ("all-rights-reserved", "All rights reserved."),
 ]
 
@@ -146,7 +172,14 @@ class Index:
         return found
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None, templates: list[tuple[str, str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+def license_scan(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    phrases: dict[str, str] | None = None,
+    templates: list[tuple[str, str]] | None = None,
+    containment: float = CONTAINMENT,
+) -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks.
 
     Words are letters, digits and non-ASCII characters, A-Z lower-cased. n_base: all places where a phrase's words
@@ -203,14 +236,31 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     labels = {label for _, label in own}
                     places = [x for x, _ in own]
                     every, score = labels | {m["label"] for m in met}, max((m["containment"] for m in met), default=0.0)
-                    rows.append((len(own), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(every)), score, met))
+                    rows.append(
+                        (
+                            len(own),
+                            min(places, default=None),
+                            max(places, default=None),
+                            ",".join(sorted(labels)),
+                            ",".join(sorted(every)),
+                            score,
+                            met,
+                        ),
+                    )
                 block = pa.struct([("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(block)]
                 own = [batch.column("doc_id").slice(run.first, run.n), pa.array(np.diff(first))]
                 cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*own, *cols], ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, *cols],
+                    ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"],
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<line:long,label:string,containment:double>>")
+    return docs.select("doc_id", "text").mapInArrow(
+        scan,
+        "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
+        "blocks array<struct<line:long,label:string,containment:double>>",
+    )
 
 
 def _sql() -> str:
@@ -229,13 +279,17 @@ spot as materialized (select r, w, unnest(range(0, len(w))) as i from w),
 hit as (select r, i, label from spot, ph where w[i + 1] = p[1] and w[i + 1 : i + len(p)] = p),
 base as (select r, count(*) as n, min(i) as lo, max(i) as hi, list(distinct label) as ls from hit group by r),
 line as (select r, list_distinct(regexp_extract_all(l, '{pattern}')) as lw from (select r, unnest(string_split(t, chr(10))) as l from w)),
-met as (select r, label, len(list_intersect(lw, tp.t)) / len(tp.t) as share from line, tp where len(list_intersect(lw, tp.t)) >= ceil({CONTAINMENT} * len(tp.t) - 1e-9)),
+met as (select r, label, len(list_intersect(lw, tp.t)) / len(tp.t) as share from line, tp
+  where len(list_intersect(lw, tp.t)) >= ceil({CONTAINMENT} * len(tp.t) - 1e-9)),
 part as (select r, label, t, list_distinct(w[i + 1 : i + n]) as pw from spot join tw on word = w[i + 1]),
-ow as (select r, label, len(list_intersect(pw, t)) / len(t) as share from part where len(list_intersect(pw, t)) >= ceil({CONTAINMENT} * len(t) - 1e-9)),
+ow as (select r, label, len(list_intersect(pw, t)) / len(t) as share from part
+  where len(list_intersect(pw, t)) >= ceil({CONTAINMENT} * len(t) - 1e-9)),
 best as (select r, max(share) as score, list(distinct label) as ls from (select * from met union all select * from ow) group by r)
-select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_base, cast(lo as bigint) as first_word, cast(hi as bigint) as last_word,
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_base, cast(lo as bigint) as first_word, cast(hi as
+  bigint) as last_word,
   coalesce(array_to_string(list_sort(base.ls), ','), '') as base_labels,
-  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(best.ls, [])))), ','), '') as labels, cast(coalesce(score, 0) as double) as score
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(best.ls, [])))), ','), '') as labels,
+    cast(coalesce(score, 0) as double) as score
 from w left join base using (r) left join best using (r)
 """
 

@@ -67,7 +67,13 @@ def _without(text: Column, gone: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i)), "\n")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def line_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    site_col: str = "source",
+    min_sites: int = MIN_SITES,
+) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_boilerplate, n_removed, clean_text.
 
     A line is its text without blanks at both ends; lines of blanks only are never boilerplate. Lines on at least
@@ -89,14 +95,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", chars_col: str = "n_chars", min_sites: int = MIN_SITES) -> DataFrame:
+def rewrite(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    site_col: str = "source",
+    chars_col: str = "n_chars",
+    min_sites: int = MIN_SITES,
+) -> DataFrame:
     """``docs``, all rows and columns, with boilerplate removed from the texts as ``line_dedup`` says.
 
     A text from which nothing is removed stays as it is, also null; ``chars_col``, if there, follows a changed text.
     Null id or site, repeated rows and empty input: as in ``line_dedup``.
     """
     own = _keyed(texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site")))
-    hit = _common(own, min_sites).where("copied is null").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"))
+    hit = (
+        _common(own, min_sites)
+        .where("copied is null")
+        .select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"))
+    )
     text = F.coalesce(docs[text_col], F.lit(""))
     same = (F.coalesce(docs[id_col].cast("long"), F.lit(-1)) == hit["__k1"]) & (F.xxhash64(text) == hit["__k2"])
     joined = docs.join(hit, same, "left")
@@ -112,8 +129,10 @@ SQL = f"""
 with d as (select doc_id, coalesce(text, '') as text, source, row_number() over () as r from documents),
 l as (select r, source, pos - 1 as pos, s[pos] as line, trim(translate(s[pos], chr(9) || chr(13), '  ')) as key
       from (select r, source, string_split(text, chr(10)) as s, unnest(range(1, len(string_split(text, chr(10))) + 1)) as pos from d)),
-c as (select key from l where key <> '' group by key having count(distinct source) + max(case when source is null then 1 else 0 end) >= {MIN_SITES}),
-cp as (select text, true as copied from d group by text having count(distinct source) + max(case when source is null then 1 else 0 end) >= {MIN_SITES}),
+c as (select key from l where key <> '' group by key having count(distinct source) + max(case when source is null then 1
+  else 0 end) >= {MIN_SITES}),
+cp as (select text, true as copied from d group by text having count(distinct source) + max(case when source is null then 1
+  else 0 end) >= {MIN_SITES}),
 h as (select r, count(*) as n from l join c using (key) group by r),
 k as (select l.r, string_agg(line, chr(10) order by pos) as clean from l left join c using (key) where c.key is null group by l.r)
 select d.doc_id, cast(len(string_split(d.text, chr(10))) as bigint) as n_lines, cast(coalesce(h.n, 0) as bigint) as n_boilerplate,

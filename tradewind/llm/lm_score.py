@@ -52,7 +52,16 @@ def _block(texts: pa.Array, train: np.ndarray, held: np.ndarray) -> tuple[np.nda
         t, h = train[rows], held[rows]
         # The start mark counts once per document, as a context only.
         first = run.first + np.arange(run.n)
-        for i, x in enumerate((np.concatenate((token, np.full(run.n, START))), np.concatenate((t, train[first])), np.concatenate((h, held[first])), tv.pair(before, token), t, h)):
+        for i, x in enumerate(
+            (
+                np.concatenate((token, np.full(run.n, START))),
+                np.concatenate((t, train[first])),
+                np.concatenate((h, held[first])),
+                tv.pair(before, token),
+                t,
+                h,
+            ),
+        ):
             every[i].append(x)
     out = []
     for keys, t, h in (every[:3], every[3:]):
@@ -103,9 +112,14 @@ def _requests(docs: DataFrame, parts: int) -> DataFrame:
                         cuts = _parts(keys, parts)
                         for p, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
                             if b > a:
-                                rows.append((int(blocks[lo]), first, em, kind, p, keys[a:b].astype("<u8").tobytes(), _pack(t[a:b]), _pack(h[a:b])))
+                                rows.append(
+                                    (int(blocks[lo]), first, em, kind, p, keys[a:b].astype("<u8").tobytes(), _pack(t[a:b]), _pack(h[a:b])),
+                                )
                 kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["block", "piece", "em", "kind", "part", "keys", "train", "held"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    ["block", "piece", "em", "kind", "part", "keys", "train", "held"],
+                )
 
     return docs.mapInArrow(ask, "block long, piece long, em boolean, kind int, part int, keys binary, train binary, held binary")
 
@@ -120,7 +134,10 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
     sizes = [len(k) // 8 for k in group["keys"]]
     keys = np.frombuffer(b"".join(group["keys"]), "<u8")
     _, back = np.unique(keys, return_inverse=True)
-    totals = [np.bincount(back, np.concatenate([_unpack(x, n) for x, n in zip(group[c], sizes, strict=True)])).astype(np.int64) for c in ("train", "held")]
+    totals = [
+        np.bincount(back, np.concatenate([_unpack(x, n) for x, n in zip(group[c], sizes, strict=True)])).astype(np.int64)
+        for c in ("train", "held")
+    ]
     at = np.concatenate(([0], np.cumsum(sizes)))
     out = group[["block", "piece", "em", "kind", "part"]].copy()
     out["n"] = sizes
@@ -130,7 +147,19 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
         # EM counts go only to those who asked for them.
         out[c] = [_pack(each[a:b]) if c == "train" or em else b"" for a, b, em in zip(at[:-1], at[1:], group["em"], strict=True)]
     out["known"] = out["tokens"] = 0
-    row = {"block": -1, "piece": 0, "em": False, "kind": group["kind"].iloc[0], "part": group["part"].iloc[0], "n": 0, "check": 0, "train": b"", "held": b"", "known": int((totals[0] > 0).sum()), "tokens": int(totals[0].sum())}
+    row = {
+        "block": -1,
+        "piece": 0,
+        "em": False,
+        "kind": group["kind"].iloc[0],
+        "part": group["part"].iloc[0],
+        "n": 0,
+        "check": 0,
+        "train": b"",
+        "held": b"",
+        "known": int((totals[0] > 0).sum()),
+        "tokens": int(totals[0].sum()),
+    }
     return pd.concat([out, pd.DataFrame([row])], ignore_index=True)
 
 
@@ -196,7 +225,13 @@ def _pieces(group: pd.DataFrame, answers: pd.DataFrame) -> Iterator[tuple[pd.Dat
         yield group[which == i], answers[answers["piece"] == s]
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", test_fold: int = TEST_FOLD, em_fold: int = EM_FOLD) -> DataFrame:
+def lm_scores(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    test_fold: int = TEST_FOLD,
+    em_fold: int = EM_FOLD,
+) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens: words between ASCII white space with A-Z lower-cased, then one end. Documents whose crc32 of the id as text
@@ -209,7 +244,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     sum of the keys that were asked for, so a change raises an error.
     """
     docs = texts(docs, id_col, text_col).select("doc_id", "text", fold(F.col("doc_id"), FOLDS).alias("fold"))
-    docs = docs.withColumn("train", F.col("fold") != test_fold).withColumn("held", F.col("fold") == em_fold).withColumn("row", F.monotonically_increasing_id())
+    docs = (
+        docs.withColumn("train", F.col("fold") != test_fold)
+        .withColumn("held", F.col("fold") == em_fold)
+        .withColumn("row", F.monotonically_increasing_id())
+    )
     docs = docs.withColumn("block", F.floor(F.col("row") / ROWS_PER_BLOCK).cast("long"))
     of = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
     chars, starts, heard = docs.agg(F.sum(F.length("text")), of("train"), of("held")).first()
@@ -242,7 +281,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     if total:
         weights = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
     if heard and total:
-        table = docs.where("held").groupBy("block").cogroup(replies.where("em").groupBy("block")).applyInPandas(cells, "bucket long, two long, one long, n long")
+        table = (
+            docs.where("held")
+            .groupBy("block")
+            .cogroup(replies.where("em").groupBy("block"))
+            .applyInPandas(cells, "bucket long, two long, one long, n long")
+        )
         weights = learn([tuple(r) for r in table.groupBy("bucket", "two", "one").agg(F.sum("n")).collect()], 1.0 / (known + 1))
 
     def score(key: tuple, group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
@@ -257,8 +301,23 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
                 p = w[:, 0] * both / np.maximum(context, 1) + w[:, 1] * one / max(total, 1) + w[:, 2] / (known + 1)
                 base = np.log10((one + 1) / (total + known + 1))
                 r = rows.iloc[run.first : run.first + run.n]
-                columns = {"doc_id": r["doc_id"], "held_out": ~r["train"].astype(bool), "n_tokens": tv.per_doc(doc, run.n), "n_known": tv.per_doc(doc, run.n, one > 0), "train_tokens": total}
-                out.append(pd.DataFrame(columns | {"base_score": np.bincount(doc, base, run.n), "score": np.bincount(doc, np.log10(p), run.n)}))
+                columns = {
+                    "doc_id": r["doc_id"],
+                    "held_out": ~r["train"].astype(bool),
+                    "n_tokens": tv.per_doc(doc, run.n),
+                    "n_known": tv.per_doc(doc, run.n, one > 0),
+                    "train_tokens": total,
+                }
+                out.append(
+                    pd.DataFrame(columns | {"base_score": np.bincount(doc, base, run.n), "score": np.bincount(doc, np.log10(p), run.n)}),
+                )
         return pd.concat(out, ignore_index=True).astype({"doc_id": "Int64"})
 
-    return docs.groupBy("block").cogroup(replies.where("not em").groupBy("block")).applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return (
+        docs.groupBy("block")
+        .cogroup(replies.where("not em").groupBy("block"))
+        .applyInPandas(
+            score,
+            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+        )
+    )

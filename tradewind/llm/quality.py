@@ -129,7 +129,14 @@ def grow(good: np.ndarray, box: np.ndarray, trees: int = TREES, per_tree: int =
             left[at] = node()
             node()
             open_nodes += [(left[at], x[under], lo, low_hi, d + 1), (left[at] + 1, x[~under], high_lo, hi, d + 1)]
-    return {"feature": np.array(feature), "cut": np.array(cut), "left": np.array(left), "path": np.array(path), "roots": np.array(roots), "norm": np.array(float(_c(np.array(min(per_tree, max(len(good), 2))))) or 1.0)}
+    return {
+        "feature": np.array(feature),
+        "cut": np.array(cut),
+        "left": np.array(left),
+        "path": np.array(path),
+        "roots": np.array(roots),
+        "norm": np.array(float(_c(np.array(min(per_tree, max(len(good), 2))))) or 1.0),
+    }
 
 
 def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
@@ -173,10 +180,22 @@ def held_out(docs: DataFrame, labels: DataFrame, folds: int = 5, **options) -> D
     own = fold(F.col("doc_id"), folds) == 0
     judged = quality(docs, labels.where(~own), **options).select("doc_id", "kept")
     marks = labels.where(own & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    return judged.join(marks, "doc_id").groupBy("quality").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("long")).alias("kept"))
+    return (
+        judged.join(marks, "doc_id")
+        .groupBy("quality")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("long")).alias("kept"))
+    )
 
 
-def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, per_tree: int = ROWS_PER_TREE, max_false: float = MAX_FALSE) -> DataFrame:
+def quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    trees: int = TREES,
+    per_tree: int = ROWS_PER_TREE,
+    max_false: float = MAX_FALSE,
+) -> DataFrame:
     """One row per input row: doc_id, text_key (xxhash64 of the text), ``COUNTS``, base_failed, score (anomaly, 0 to 1), cut_off, kept.
 
     ``base_failed``: under 50 words, or over half of the words in repeated three-word windows. ``kept``: not base_failed
@@ -187,7 +206,9 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     result each. A label that is null or repeated with another value counts once per row. Empty input: empty result.
     """
     stats = save(rule_statistics(docs, id_col, text_col), "quality")
-    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
+        "quality in (0, 1)",
+    )
     labelled = save(stats.join(marks, "doc_id"), "labelled")
     limit = trees * per_tree
     rows = _sample(labelled.select("doc_id", *COUNTS, "quality"), limit)
@@ -208,8 +229,15 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     seen = labelled.select("doc_id", "text_key", *COUNTS, F.col("quality").cast("long"))
     if forest:
         seen = seen.mapInArrow(score, f"{schema}, quality long, score double")
-        cut = threshold([tuple(r) for r in seen.groupBy(F.floor(F.col("score") * 10000).cast("int").alias("s"), "quality").count().collect()], max_false)
+        cut = threshold(
+            [tuple(r) for r in seen.groupBy(F.floor(F.col("score") * 10000).cast("int").alias("s"), "quality").count().collect()],
+            max_false,
+        )
     else:
         cut = 2.0
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return scored.withColumn("base_failed", failed).withColumn("cut_off", F.lit(cut)).withColumn("kept", ~failed & (F.floor(F.col("score") * 10000) < F.lit(cut * 10000)))
+    return (
+        scored.withColumn("base_failed", failed)
+        .withColumn("cut_off", F.lit(cut))
+        .withColumn("kept", ~failed & (F.floor(F.col("score") * 10000) < F.lit(cut * 10000)))
+    )

@@ -21,52 +21,78 @@ def vocabulary_path() -> str:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices in every document; null and empty texts have none. A row per row of ``documents``."""
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("blocks")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines on ten or more sites removed from every document; a null source is one site. A row per row of ``documents``."""
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece counts of every document; null and empty texts have none. A row per row of ``documents``."""
     start, inner = token_counts.byte_vocabulary(vocabulary_path())
     return token_counts.token_counts(table(spark, sf_dir, "documents"), start, inner)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document; a null text is its end alone. A row per row of ``documents``."""
     return lm_score.lm_scores(table(spark, sf_dir, "documents"))
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components at 85 percent; a document without words is alone. A row per row of ``documents``."""
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_key", "first")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated passages; null and empty texts have none. A row per row of ``documents``."""
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("removed")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; null and empty texts have none. A row per row of ``documents``."""
     out = secret_scan.secret_scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_linked")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded, as digests; a null text has no ids. A row per row of ``documents``."""
     out = bpe.bpe(table(spark, sf_dir, "documents"), vocabulary_path())
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics and verdict of every document; one without words fails. A row per row of ``documents``."""
     out = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents: a row per document, item and passage; null and empty texts have none."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_line_dedup, op3_token_counts, op4_lm_scoring, op5_minhash_dedup, op6_substring_dedup, op7_secret_scan, op8_bpe, op9_quality_rules, op10_decontamination)
+    for f in (
+        op1_license_scan,
+        op2_line_dedup,
+        op3_token_counts,
+        op4_lm_scoring,
+        op5_minhash_dedup,
+        op6_substring_dedup,
+        op7_secret_scan,
+        op8_bpe,
+        op9_quality_rules,
+        op10_decontamination,
+    )
 }
 
-SQL: dict[str, str] = {"op1_license_scan": license_scan.SQL, "op2_line_dedup": line_dedup.SQL, "op5_minhash_dedup": minhash_dedup.SQL, "op6_substring_dedup": substring_dedup.SQL}
+SQL: dict[str, str] = {
+    "op1_license_scan": license_scan.SQL,
+    "op2_line_dedup": line_dedup.SQL,
+    "op5_minhash_dedup": minhash_dedup.SQL,
+    "op6_substring_dedup": substring_dedup.SQL,
+}

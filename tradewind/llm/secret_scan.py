@@ -80,7 +80,10 @@ def parts(text: str, assigned: bool = True, hexed: bool = True, opaque: bool = T
     if hexed:
         found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
     if opaque:
-        weak += [(m.start(), m.end(), 5) for m in OPAQUE.finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])]
+        weak += [
+            (m.start(), m.end(), 5)
+            for m in OPAQUE.finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])
+        ]
     strong, at = sorted(found), 0
     reach = np.maximum.accumulate([e for _, e, _ in strong]).tolist() if strong else []
     for s, e, k in sorted(weak):
@@ -123,11 +126,22 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     rows.append((*counts, joined(strong), [{"start": s, "end": e, "kind": k} for s, e, k in keep]))
                 cols = zip(*rows, strict=True)
                 kinds = [pa.int64()] * 3 + [pa.string(), part]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_assign", "n_access", "n_hex", "base_spans", "parts"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(run.first, run.n), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
+                    ["doc_id", "n_assign", "n_access", "n_hex", "base_spans", "parts"],
+                )
 
     # Stored once: what follows reads spans, never the texts again.
     scanned = save(texts(docs, id_col, text_col).select("doc_id", "text").mapInArrow(scan, schema), "secrets")
-    plain = scanned.where("size(parts) = 0").select("doc_id", "n_assign", "n_access", "n_hex", "base_spans", F.col("base_spans").alias("spans"), F.lit(0).cast("long").alias("n_linked"))
+    plain = scanned.where("size(parts) = 0").select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        "base_spans",
+        F.col("base_spans").alias("spans"),
+        F.lit(0).cast("long").alias("n_linked"),
+    )
     # The interval join: within a document, frames of ``scope`` around each start say which roles are near.
     mixed = scanned.where("size(parts) > 0").withColumn("row", F.monotonically_increasing_id())
     rows = mixed.select("row", "doc_id", "n_assign", "n_access", "n_hex", "base_spans", F.inline("parts"))
@@ -140,10 +154,35 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.where((F.col("kind") < 3) | linked)
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     span = F.struct("start", "kind", "end", F.concat_ws(":", name, "start", "end").alias("span"))
-    grouped = rows.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("all"), F.sum((F.col("kind") > 2).cast("long")).alias("n_linked"))
-    back = mixed.drop("parts").join(grouped, "row", "left").select("doc_id", "n_assign", "n_access", "n_hex", "base_spans", F.coalesce(F.array_join(F.col("all.span"), ","), F.col("base_spans")).alias("spans"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"))
+    grouped = rows.groupBy("row").agg(
+        F.sort_array(F.collect_list(span)).alias("all"),
+        F.sum((F.col("kind") > 2).cast("long")).alias("n_linked"),
+    )
+    back = (
+        mixed.drop("parts")
+        .join(grouped, "row", "left")
+        .select(
+            "doc_id",
+            "n_assign",
+            "n_access",
+            "n_hex",
+            "base_spans",
+            F.coalesce(F.array_join(F.col("all.span"), ","), F.col("base_spans")).alias("spans"),
+            F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+        )
+    )
     out = plain.unionByName(back)
-    return out.withColumn("found", F.transform(F.filter(F.split("spans", ","), lambda x: x != ""), lambda x: F.struct(F.split(x, ":")[0].alias("kind"), F.split(x, ":")[1].cast("long").alias("start"), F.split(x, ":")[2].cast("long").alias("end"))))
+    return out.withColumn(
+        "found",
+        F.transform(
+            F.filter(F.split("spans", ","), lambda x: x != ""),
+            lambda x: F.struct(
+                F.split(x, ":")[0].alias("kind"),
+                F.split(x, ":")[1].cast("long").alias("start"),
+                F.split(x, ":")[2].cast("long").alias("end"),
+            ),
+        ),
+    )
 
 
 def digest(spans: str) -> str:

@@ -19,7 +19,9 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
 def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns, without the rows whose (doc_id, text_key) is in ``gone``; absent ids compare as equal."""
     gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("text_key").alias("__gone_key")).distinct()
-    same = docs[id_col].cast("long").eqNullSafe(gone["__gone_id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone["__gone_key"])
+    same = docs[id_col].cast("long").eqNullSafe(gone["__gone_id"]) & (
+        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone["__gone_key"]
+    )
     return docs.join(gone, same, "left_anti")
 
 

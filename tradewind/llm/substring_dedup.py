@@ -152,27 +152,40 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     rows["clean_text"].append("".join(kept))
                 kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.string()]
                 own = [batch.column("doc_id").slice(run.first, run.n), pa.array(np.diff(first), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, k) for c, k in zip(rows.values(), kinds, strict=True))], ["doc_id", "n_units", *rows])
+                yield pa.RecordBatch.from_arrays(
+                    [*own, *(pa.array(c, k) for c, k in zip(rows.values(), kinds, strict=True))],
+                    ["doc_id", "n_units", *rows],
+                )
 
-    return out.mapInArrow(rebuild, "doc_id long, n_units long, n_removed long, removed array<struct<start:long,end:long>>, removed_spans string, clean_text string")
+    return out.mapInArrow(
+        rebuild,
+        "doc_id long, n_units long, n_removed long, removed array<struct<start:long,end:long>>, removed_spans string, clean_text string",
+    )
 
 
 _BLANK, _WORD = r"[\x20\x09\x0B-\x0D]", r"[^\x20\x09-\x0D]"
 #: The same rows in DuckDB SQL, without the array of spans. chr(57344), a private character, marks where units end.
 SQL = rf"""
 with d as (select doc_id, coalesce(text, '') as text, row_number() over () as r from documents),
-s as (select r, doc_id, text, string_split(replace(regexp_replace(text, '([^\x20\x09-\x0D.!?]{_BLANK}+{_WORD}*[.!?])({_BLANK})', '\1' || chr(57344) || '\2', 'g'),
+s as (select r, doc_id, text, string_split(replace(regexp_replace(text, '([^\x20\x09-\x0D.!?]{_BLANK}+{_WORD}*[.!?])({_BLANK})', '\1' ||
+  chr(57344) || '\2', 'g'),
              chr(10), chr(10) || chr(57344)), chr(57344)) as s from d),
 p as (select r, doc_id, text, unnest(range(1, len(s) + 1)) as i, s from s),
-q as (select r, doc_id, text, i, s[i] as piece, coalesce(sum(length(s[i])) over (partition by r order by i rows between unbounded preceding and 1 preceding), 0) as start,
+q as (select r, doc_id, text, i, s[i] as piece, coalesce(sum(length(s[i])) over (partition by r order by i rows between unbounded preceding
+  and 1 preceding), 0) as start,
              count(*) filter (regexp_matches(s[i], '{_WORD}')) over (partition by r order by i rows unbounded preceding) as u from p),
-e as (select r, doc_id, text, u, min(start) as start, max(start + length(piece)) as stop, string_agg(piece, '' order by i) as extent from q group by 1, 2, 3, 4),
-w as (select *, regexp_extract_all(translate(extent, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') as words from e),
-g as (select *, len(words) as n, u > 0 and row_number() over (partition by array_to_string(words, ' ') order by u = 0, doc_id nulls first, text, u) > 1 as again from w),
+e as (select r, doc_id, text, u, min(start) as start, max(start + length(piece)) as stop, string_agg(piece, '' order by i) as extent from q
+  group by 1, 2, 3, 4),
+w as (select *, regexp_extract_all(translate(extent, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') as words
+  from e),
+g as (select *, len(words) as n, u > 0 and row_number() over (partition by array_to_string(words, ' ')
+  order by u = 0, doc_id nulls first, text, u) > 1 as again from w),
 b as (select *, count(*) filter (not again) over (partition by r order by u rows unbounded preceding) as island from g),
 x as (select *, again and sum(n) filter (again) over (partition by r, island) >= {MIN_RUN_WORDS} as gone from b),
-y as (select r, string_agg(span, ',' order by start) as spans from (select r, min(start) as start, cast(min(start) as bigint) || ':' || cast(max(stop) as bigint) as span from x where gone group by r, island) group by r)
-select doc_id, cast(count(*) filter (u > 0) as bigint) as n_units, cast(count(*) filter (gone) as bigint) as n_removed, coalesce(any_value(spans), '') as removed_spans,
+y as (select r, string_agg(span, ',' order by start) as spans from (select r, min(start) as start, cast(min(start) as bigint) || ':' ||
+  cast(max(stop) as bigint) as span from x where gone group by r, island) group by r)
+select doc_id, cast(count(*) filter (u > 0) as bigint) as n_units, cast(count(*) filter (gone) as bigint) as n_removed,
+  coalesce(any_value(spans), '') as removed_spans,
        coalesce(string_agg(extent, '' order by u) filter (not gone), '') as clean_text
 from x left join y using (r) group by r, doc_id
 """

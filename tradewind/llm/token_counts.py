@@ -135,6 +135,14 @@ def token_counts(docs: DataFrame, start: list[bytes], inner: list[bytes], id_col
                 each = np.fromiter((known[raw[s:e]] for s, e in spans), np.int64, len(keys))[back] if len(keys) else np.zeros(0, np.int64)
                 most = np.zeros(run.n, np.int64)
                 np.maximum.at(most, w.doc, each)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, run.n), pa.array(tv.per_doc(w.doc, run.n)), pa.array(tv.per_doc(w.doc, run.n, each)), pa.array(most)], ["doc_id", "n_words", "n_tokens", "max_word_tokens"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(run.first, run.n),
+                        pa.array(tv.per_doc(w.doc, run.n)),
+                        pa.array(tv.per_doc(w.doc, run.n, each)),
+                        pa.array(most),
+                    ],
+                    ["doc_id", "n_words", "n_tokens", "max_word_tokens"],
+                )
 
     return texts(docs, id_col, text_col).mapInArrow(count, "doc_id long, n_words long, n_tokens long, max_word_tokens long")
