@@ -24,7 +24,7 @@ def orders(spark):
 @pytest.mark.parametrize("n", [1, 2, 7, 10, 103])
 def test_positions_equal_windows(spark, n):
     df = spark.range(n).withColumn("v", (F.col("id") * 7 % 5).cast("double")).repartition(3)
-    ours = global_positions(df, {"p": ("v", False)}, "id", ranges=8).select("id", tile("p", 4).alias("t4"), tile("p", 10).alias("t10"), F.round(percent_rank("p"), 9).alias("pr"))
+    ours = global_positions(df, {"p": ("v", False)}, "id", ranked=("p",), ranges=8).select("id", tile("p", 4).alias("t4"), tile("p", 10).alias("t10"), F.round(percent_rank("p"), 9).alias("pr"))
     from pyspark.sql.window import Window
 
     w = Window.orderBy("v", "id")

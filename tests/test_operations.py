@@ -71,8 +71,19 @@ def test_counts_of_changes(spark):
 
 
 def test_keys_are_consecutive(spark):
-    got = [r.id for r in warehouse.assign_keys(spark.range(100, 400).withColumnRenamed("id", "n"), ["n"], "id", 7).collect()]
-    assert sorted(got) == list(range(7, 307))
+    own = spark.range(100, 400).withColumnRenamed("id", "n")
+    have = warehouse.assign_keys(own.repartition(5), ["n"], "id", 7)
+    assert sorted(tuple(r) for r in have.collect()) == [(n, n - 93) for n in range(100, 400)]
+    more = warehouse.assign_keys(spark.range(90, 100).withColumnRenamed("id", "n"), ["n"], "id", existing=have)
+    assert sorted(tuple(r) for r in more.collect()) == [(n, n + 217) for n in range(90, 100)]
+
+
+def test_places_keep_their_keys(spark):
+    dc = spark.createDataFrame([("b", "x", "1"), ("a", None, "2"), ("a", None, "2")], "country_code string, state_province string, city string")
+    first = warehouse.geo_dim(dc)
+    assert rows(first) == [("a", None, "2", 1), ("b", "x", "1", 2)]
+    later = dc.unionByName(spark.createDataFrame([("a", "a", "a")], dc.schema))
+    assert rows(warehouse.geo_dim(later, existing=first)) == [("a", "a", "a", 3), ("a", None, "2", 1), ("b", "x", "1", 2)]
 
 
 def test_loads_are_idempotent(spark):
@@ -151,15 +162,34 @@ def test_stream_restart_and_redelivery_add_nothing(spark, tmp_path):
 
     def go(checkpoint):
         raw = spark.readStream.schema("message_id string, body string").json(f"{base}/in")
-        stream.start_ingest(raw, f"{base}/t", f"{base}/l", f"{base}/m", f"{base}/{checkpoint}", once=True).awaitTermination()
+        stream.start_ingest(raw, f"{base}/t", f"{base}/l", f"{base}/m-{checkpoint}", f"{base}/{checkpoint}", once=True).awaitTermination()
         return spark.read.parquet(f"{base}/t").count()
 
-    # Two messages say no time, so they take the time of the run; those with one are the ones that may not repeat.
     first = go("c1")
     assert first == 4 and go("c1") == first
-    df.where("message_id = '1'").coalesce(1).write.mode("append").json(f"{base}/in")
-    assert go("c1") == first
+    # All messages come again, also those that say no time and so get another one.
+    df.coalesce(1).write.mode("append").json(f"{base}/in")
+    assert go("c1") == first and go("c2") == first
     assert {r.message_id for r in spark.read.parquet(f"{base}/l").collect()} == {"3", "4"}
+    sums = lambda c: rows(spark.read.parquet(f"{base}/m-{c}").selectExpr("sum(valid)", "sum(inserted)", "sum(failed)", "min(elapsed_ms) > 0"))
+    assert sums("c1") == [(8, 4, 4, True)] and sums("c2") == [(8, 0, 4, True)]
+
+
+def test_the_time_of_sending_stands_for_an_absent_time(spark):
+    raw = spark.createDataFrame([("1", '{"event_type": "search"}', datetime(2024, 3, 1))], "message_id string, body string, sent_at timestamp")
+    got = stream.validate_events(stream.parse_events(raw), "2024-05-05 00:00:00").first()
+    assert got.occurred_at == datetime(2024, 3, 1) and not got.timed
+
+
+def test_stream_funnel_counts_a_session_once_a_day(spark, tmp_path):
+    base = f"file://{tmp_path}"
+    at = [datetime(2024, 1, d, h) for d in (1, 2, 3, 4, 5) for h in (1, 2, 3)]
+    data = [(k, f"s{i % 2}", t) for i, t in enumerate(at) for k in ("page_view", "purchase", "page_view", "other")]
+    spark.createDataFrame(data, "event_type string, session_id string, occurred_at timestamp").coalesce(1).write.parquet(f"{base}/in")
+    raw = spark.readStream.schema("event_type string, session_id string, occurred_at timestamp").parquet(f"{base}/in")
+    stream.stream_funnel(raw).writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    got = {r.event_date.day: (r.page_view, r.purchase, r.product_view) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {d: (2, 2, 0) for d in (1, 2, 3)}
 
 
 def test_discount_rules(spark):
@@ -201,11 +231,16 @@ def test_lake_round_trip(spark, tmp_path):
     lake.write_lake(df, base, "t")
     day = lake.read_lake(spark, base, "t", "2024-02-06")
     assert rows(day.select("id", "month", "day")) == [(2, "02", "06"), (3, "02", "06")]
-    assert "PartitionFilters: [" in day._jdf.queryExecution().toString() and rows(lake.extract_window(df, "created_at", "2024-01-05 00:00:00", "2024-02-06 00:00:00").select("id")) == [(2,)]
+    pruned = next(x for x in day._jdf.queryExecution().explainString(day._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).split("\n") if x.startswith("PartitionFilters"))
+    assert all(f"({c}#" in pruned or f"({c}" in pruned for c in ("year", "month", "day"))
+    assert rows(lake.extract_window(df, "created_at", "2024-01-05 00:00:00", "2024-02-06 00:00:00").select("id")) == [(2,)]
     path = lake.export_window(df, "t", "created_at", "2024-02-06 00:00:00", "2024-02-07 00:00:00", f"{base}/csv")
     assert spark.read.option("header", True).csv(path).count() == 2 and '"2"' in "".join(r.value for r in spark.read.text(path).collect())
-    lake.archive_old(df, "created_at", f"{base}/old", "2026-02-01", 2, dry_run=False)
-    assert spark.read.option("header", True).csv(f"{base}/old").count() == 1
+    assert lake.archive_old(spark, base, "t", f"{base}/old", "2026-02-01", dry_run=True) == [("t_2024_01", 1)] and lake.read_lake(spark, base, "t").count() == 3
+    assert lake.archive_old(spark, base, "t", f"{base}/old", "2026-02-01") == [("t_2024_01", 1)]
+    assert spark.read.option("header", True).csv(f"{base}/old/2026-02-01/t").count() == 1 and rows(lake.read_lake(spark, base, "t").select("id")) == [(2,), (3,)]
+    assert rows(spark.read.parquet(f"{base}/old/log").select("table_name", "partition_name", "row_count")) == [("t", "t_2024_01", 1)]
+    assert lake.archive_old(spark, base, "t", f"{base}/old", "2026-02-01") == []
     assert rows(lake.partition_gaps(df, "created_at", "2023-12-01", "2024-03-01")) == [(date(2023, 12, 1),), (date(2024, 3, 1),)]
     assert rows(lake.expired_partitions(df, "created_at", 1, "2024-03-01")) == [(date(2024, 1, 1), 1)]
     assert lake.months_from_days(91) == 4 and lake.months_from_days(20, "floor") == 1

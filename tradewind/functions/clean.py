@@ -24,7 +24,15 @@ def clean_strings(df: DataFrame) -> DataFrame:
 
 def to_utc(df: DataFrame, zone: str = "UTC") -> DataFrame:
     """All timestamps of a source that writes local time of ``zone``, in UTC."""
-    return df.select(*[F.to_utc_timestamp(F.col(f.name).cast("timestamp"), zone).alias(f.name) if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType) else F.col(f.name) for f in df.schema.fields])
+    return df.select(
+        *[
+            F.to_utc_timestamp(F.col(f.name).cast("timestamp"), zone).alias(f.name) if isinstance(
+                f.dataType,
+                T.TimestampType | T.TimestampNTZType,
+            ) else F.col(f.name)
+            for f in df.schema.fields
+        ],
+    )
 
 
 def add_partition_cols(df: DataFrame, ts_col: str | None = None) -> DataFrame:

@@ -1,9 +1,9 @@
 """Global ranks without a global sort in one task.
 
-``ntile`` and ``percent_rank`` over a whole table need every row's position. Rows are dealt into value ranges (cut at
-approximate quantiles), ranked within their range, and moved by the number of rows in lower ranges. The result is exact;
-only the size of the ranges depends on the quantiles. Cuts and range sizes, a few numbers per range, pass through the
-driver; the rows are stored once, so what made them is not computed again.
+``ntile``, ``percent_rank`` and consecutive keys need every row's position in the whole table. Spark deals the rows into
+ranges of (value, tie) - so rows of one value spread over as many ranges as they need - and sorts each; a row's position
+is its place in its range plus the rows of the ranges before. The sorted rows are stored, so places stay as they are;
+what is known of each range is one row of a table that grows with the number of ranges, not of rows.
 """
 
 from __future__ import annotations
@@ -14,30 +14,60 @@ from pyspark.sql.window import Window
 
 from tradewind.functions.store import save
 
-RANGES = 64
+ROWS_PER_RANGE = 1_000_000
 
 
-def global_positions(df: DataFrame, values: dict[str, tuple[str, bool]], tie: str, ranges: int = RANGES) -> DataFrame:
+def _sorted(df: DataFrame, order: list[Column], ranges: int) -> DataFrame:
+    """``df``, stored, with ``__range`` and ``__place`` (from 1 in each range)."""
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # The id counts up from 0 in each partition, from the partition's number times 2^33 on.
+    stored = save(dealt.withColumn("__id", F.monotonically_increasing_id()), "ranked")
+    place = (F.col("__id") % F.lit(1 << 33) + 1).cast("bigint")
+    return stored.withColumns({"__range": F.floor(F.col("__id") / F.lit(1 << 33)).cast("int"), "__place": place}).drop("__id")
+
+
+def _before(ranges: DataFrame) -> DataFrame:
+    """``ranges`` (__range, __n, ...) with the rows of all ranges before and of all ranges: a few rows."""
+    upto = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    every = F.sum("__n").over(Window.partitionBy())
+    return ranges.withColumns({"__before": F.coalesce(F.sum("__n").over(upto), F.lit(0)), "__every": every})
+
+
+def _ranges(df: DataFrame, ranges: int | None) -> int:
+    return ranges or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_RANGE))
+
+
+def numbered(df: DataFrame, order: list[str], name: str, start: int = 1, ranges: int | None = None) -> DataFrame:
+    """``df`` with consecutive numbers from ``start`` in the given order; nulls come first."""
+    found = _sorted(df, [F.col(c) for c in order], _ranges(df, ranges))
+    before = _before(found.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))).select("__range", "__before")
+    out = found.join(F.broadcast(before), "__range")
+    return out.withColumn(name, (F.col("__place") + F.col("__before") + (start - 1)).cast("bigint")).drop("__range", "__place", "__before")
+
+
+def global_positions(df: DataFrame, values: dict[str, tuple[str, bool]], tie: str, ranked: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
     """``df`` with, for each name in ``values`` (name: column, descending), ``name``_row (1 to n by the column, then
-    ``tie`` ascending), ``name``_rank (ties share the smallest position) and ``name``_n. Columns are numeric and not
-    null. Equal values share a range."""
+    ``tie`` ascending) and ``name``_n; for those in ``ranked`` also ``name``_rank (equal values share the smallest
+    position). Columns are not null. Broadcasts have a row per range."""
     df = save(df, "ranked")
-    x = {name: (-F.col(c) if down else F.col(c)).cast("double") for name, (c, down) in values.items()}
-    at = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = df.agg(*[F.percentile_approx(x[name], at, F.lit(10_000)).alias(name) for name in values]).first()
-    place = {name: F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts[name] or [0.0]))]), lambda c, v=x[name]: c < v)) for name in values}
-    df = df.withColumns({f"__{name}": place[name] for name in values})
-    each = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(f"__{name}").alias("place")) for name in values]))
-    sizes = {(r["name"], r["place"]): r["count"] for r in df.select(each.alias("e")).groupBy("e.name", "e.place").count().collect()}
-    for name in values:
-        below, total = [], 0
-        for i in range(ranges + 1):
-            below.append(total)
-            total += sizes.get((name, i), 0)
-        w = Window.partitionBy(f"__{name}")
-        start = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in below]), F.col(f"__{name}") + 1)
-        df = df.withColumns({f"{name}_row": start + F.row_number().over(w.orderBy(x[name], tie)), f"{name}_rank": start + F.rank().over(w.orderBy(x[name])), f"{name}_n": F.lit(total).cast("bigint")})
-    return df.drop(*[f"__{name}" for name in values])
+    ranges = _ranges(df, ranges)
+    for name, (column, down) in values.items():
+        x = F.col(column)
+        df = _sorted(df, [x.desc() if down else x.asc(), F.col(tie)], ranges)
+        if name not in ranked:
+            of = _before(df.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))).select("__range", "__before", "__every")
+            df = df.join(F.broadcast(of), "__range")
+        else:
+            first = df.groupBy("__range", x.alias("__x")).agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__k"))
+            first = save(first, "ranks")
+            of = _before(first.groupBy("__range").agg(F.sum("__k").alias("__n"))).select("__range", "__before", "__every")
+            # A value that goes on over several ranges has the rank of its first row.
+            each = first.join(F.broadcast(of), "__range")
+            rank = each.groupBy("__x").agg(F.min(F.col("__first") + F.col("__before")).alias(f"{name}_rank"))
+            df = df.join(F.broadcast(of), "__range").join(rank, x == F.col("__x")).drop("__x")
+        df = df.withColumns({f"{name}_row": F.col("__place") + F.col("__before"), f"{name}_n": F.col("__every").cast("bigint")})
+        df = df.drop("__range", "__place", "__before", "__every")
+    return df
 
 
 def tile(name: str, tiles: int) -> Column:

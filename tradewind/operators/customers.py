@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradewind.functions.columns import NOT_SOLD, big, money, month, months_between_starts, n_distinct, ratio, rounded, sold, with_as_of
+from tradewind.functions.columns import NOT_SOLD, big, money, month, months_between_starts, n_distinct, n_where, ratio, rounded, sold, with_as_of
 from tradewind.functions.ranks import global_positions, percent_rank, tile
+from tradewind.functions.store import save
 
 
 def customer_ltv(fo: DataFrame, dc: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def customer_ltv(fo: DataFrame, dc: DataFrame) -> DataFrame:
         F.max("order_date").alias("last_order_date"),
     )
     per = per.join(dc.select("customer_key", "email", "loyalty_tier", "acquisition_source"), "customer_key")
-    per = global_positions(per, {"rev": ("cents", False)}, "customer_key").withColumn("decile", tile("rev", 10))
+    per = global_positions(per, {"rev": ("cents", False)}, "customer_key", ranked=("rev",)).withColumn("decile", tile("rev", 10))
     return per.select(
         "customer_key", "email", "loyalty_tier", "acquisition_source", "order_count",
         money(F.col("cents")).alias("lifetime_revenue"),
@@ -45,16 +46,35 @@ def _recency(fo: DataFrame, as_of: str | None, months: int | None, without: tupl
     df = sold(df, without)
     if months is not None:
         df = df.where(F.col("order_date") >= F.add_months("as_of", -months))
-    return df.groupBy("customer_key").agg(big(F.datediff(F.max("as_of"), F.max("order_date"))).alias("recency"), n_distinct("order_id").alias("frequency"), F.sum("total_cents").alias("cents"))
+    return df.groupBy("customer_key").agg(
+        big(F.datediff(F.max("as_of"), F.max("order_date"))).alias("recency"),
+        n_distinct("order_id").alias("frequency"),
+        F.sum("total_cents").alias("cents"),
+    )
 
 
 def rfm_scores(fo: DataFrame, as_of: str | None = None, months: int = 12, direction: str = "literal") -> DataFrame:
     """Per customer: scores 1 to 5 and the segment. ``literal``: as in the blueprint, frequency and money score 1 for the
     best; ``corrected``: 5 for the best."""
     best_first = direction == "literal"
-    df = global_positions(_recency(fo, as_of, months), {"r": ("recency", False), "f": ("frequency", best_first), "m": ("cents", best_first)}, "customer_key")
-    df = df.select("customer_key", "recency", "frequency", "cents", (F.lit(6) - tile("r", 5)).cast("bigint").alias("r_score"), tile("f", 5).alias("f_score"), tile("m", 5).alias("m_score"))
-    return df.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn("rfm_segment", _segment(F.col("r_score"), F.col("f_score")))
+    df = global_positions(
+        _recency(fo, as_of, months),
+        {"r": ("recency", False), "f": ("frequency", best_first), "m": ("cents", best_first)},
+        "customer_key",
+    )
+    df = df.select(
+        "customer_key",
+        "recency",
+        "frequency",
+        "cents",
+        (F.lit(6) - tile("r", 5)).cast("bigint").alias("r_score"),
+        tile("f", 5).alias("f_score"),
+        tile("m", 5).alias("m_score"),
+    )
+    return df.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn(
+        "rfm_segment",
+        _segment(F.col("r_score"), F.col("f_score")),
+    )
 
 
 #: Fixed values: (condition on recency score r and frequency score f, segment), the first that holds.
@@ -77,30 +97,87 @@ def _segment(r: Column, f: Column) -> Column:
 
 def rfm_segments(fo: DataFrame, as_of: str | None = None, months: int = 12, direction: str = "literal") -> DataFrame:
     """Customers, averages and share by segment."""
-    by = rfm_scores(fo, as_of, months, direction).groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("customer_count"), F.avg("recency").alias("r"), F.avg("frequency").alias("f"), F.avg("cents").alias("m"), F.sum("cents").alias("s"))
+    by = (
+        rfm_scores(fo, as_of, months, direction)
+        .groupBy("rfm_segment")
+        .agg(
+            F.count(F.lit(1)).alias("customer_count"),
+            F.avg("recency").alias("r"),
+            F.avg("frequency").alias("f"),
+            F.avg("cents").alias("m"),
+            F.sum("cents").alias("s"),
+        )
+    )
     every = F.sum("customer_count").over(Window.partitionBy())
-    return by.select("rfm_segment", big(F.col("customer_count")).alias("customer_count"), rounded(F.col("r")).alias("avg_recency_days"), rounded(F.col("f"), 1).alias("avg_frequency"), money(F.col("m")).alias("avg_monetary"), money(F.col("s")).alias("total_revenue"), ratio(F.col("customer_count"), every, 1).alias("pct_of_customers"))
+    return by.select(
+        "rfm_segment",
+        big(F.col("customer_count")).alias("customer_count"),
+        rounded(F.col("r")).alias("avg_recency_days"),
+        rounded(F.col("f"), 1).alias("avg_frequency"),
+        money(F.col("m")).alias("avg_monetary"),
+        money(F.col("s")).alias("total_revenue"),
+        ratio(F.col("customer_count"), every, 1).alias("pct_of_customers"),
+    )
 
 
 def rfm_mart(fo: DataFrame, as_of: str | None = None, months: int = 12) -> DataFrame:
     """Stored scores per customer."""
     df = rfm_scores(fo, as_of, months)
-    return df.select("customer_key", F.col("recency").alias("recency_days"), "frequency", F.col("cents").alias("monetary_cents"), "r_score", "f_score", "m_score", "rfm_total", "rfm_segment")
+    return df.select(
+        "customer_key",
+        F.col("recency").alias("recency_days"),
+        "frequency",
+        F.col("cents").alias("monetary_cents"),
+        "r_score",
+        "f_score",
+        "m_score",
+        "rfm_total",
+        "rfm_segment",
+    )
 
 
 def rfm_report(fo: DataFrame, as_of: str | None = None) -> DataFrame:
     """All-time scores where 5 is best, in six segments."""
-    df = global_positions(_recency(fo, as_of, None, NOT_SOLD), {"r": ("recency", True), "f": ("frequency", False), "m": ("cents", False)}, "customer_key")
+    df = global_positions(
+        _recency(fo, as_of, None, NOT_SOLD),
+        {"r": ("recency", True), "f": ("frequency", False), "m": ("cents", False)},
+        "customer_key",
+    )
     r, f, m = (tile(x, 5) for x in "rfm")
-    segment = F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions").when((r >= 3) & (f >= 3), "Loyal Customers").when((r >= 4) & (f <= 2), "Recent Customers").when((r <= 2) & (f >= 3) & (m >= 3), "At Risk").when((r == 1) & (f <= 2), "Lost").otherwise("Potential Loyalists")
-    by = df.withColumn("segment", segment).groupBy("segment").agg(big(F.count(F.lit(1))).alias("customer_count"), F.avg("recency").alias("r"), F.avg("frequency").alias("f"), F.avg("cents").alias("m"))
-    return by.select("segment", "customer_count", rounded(F.col("r"), 1).alias("avg_recency_days"), rounded(F.col("f"), 2).alias("avg_orders"), money(F.col("m")).alias("avg_ltv"))
+    segment = (
+        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
+        .when((r >= 3) & (f >= 3), "Loyal Customers")
+        .when((r >= 4) & (f <= 2), "Recent Customers")
+        .when((r <= 2) & (f >= 3) & (m >= 3), "At Risk")
+        .when((r == 1) & (f <= 2), "Lost")
+        .otherwise("Potential Loyalists")
+    )
+    by = (
+        df.withColumn("segment", segment)
+        .groupBy("segment")
+        .agg(
+            big(F.count(F.lit(1))).alias("customer_count"),
+            F.avg("recency").alias("r"),
+            F.avg("frequency").alias("f"),
+            F.avg("cents").alias("m"),
+        )
+    )
+    return by.select(
+        "segment",
+        "customer_count",
+        rounded(F.col("r"), 1).alias("avg_recency_days"),
+        rounded(F.col("f"), 2).alias("avg_orders"),
+        money(F.col("m")).alias("avg_ltv"),
+    )
 
 
 def _activity(fo: DataFrame, without: tuple[str, ...] = ("cancelled",)) -> DataFrame:
     """Months in which each customer bought, with the first of them: one shuffle by customer."""
     months = sold(fo, without).select("customer_key", month(F.col("order_date")).alias("active")).distinct()
-    return months.withColumn("cohort", F.min("active").over(Window.partitionBy("customer_key"))).withColumn("age", months_between_starts(F.col("active"), F.col("cohort")))
+    return months.withColumn("cohort", F.min("active").over(Window.partitionBy("customer_key"))).withColumn(
+        "age",
+        months_between_starts(F.col("active"), F.col("cohort")),
+    )
 
 
 def cohort_retention(fo: DataFrame, as_of: str | None = None, cohort_months: int = 12, max_age: int = 6) -> DataFrame:
@@ -108,9 +185,17 @@ def cohort_retention(fo: DataFrame, as_of: str | None = None, cohort_months: int
     by = _activity(fo).groupBy("cohort", "age").agg(big(F.count(F.lit(1))).alias("retained_customers"))
     # In month 0 every member of a cohort buys.
     by = by.withColumn("size", F.max(F.when(F.col("age") == 0, F.col("retained_customers"))).over(Window.partitionBy("cohort")))
-    by = by.withColumn("as_of", F.lit(as_of).cast("date")) if as_of else by.crossJoin(F.broadcast(fo.agg(F.max("order_date").alias("as_of"))))
+    by = by.withColumn("as_of", F.lit(as_of).cast("date")) if as_of else by.crossJoin(
+        F.broadcast(fo.agg(F.max("order_date").alias("as_of"))),
+    )
     by = by.where((F.col("cohort") >= F.add_months(month(F.col("as_of")), -cohort_months)) & (F.col("age") <= max_age))
-    return by.select(F.col("cohort").alias("cohort_month"), F.col("size").alias("cohort_customers"), F.col("age").alias("months_since_cohort"), "retained_customers", ratio(F.col("retained_customers"), F.col("size"), 1).alias("retention_rate_pct"))
+    return by.select(
+        F.col("cohort").alias("cohort_month"),
+        F.col("size").alias("cohort_customers"),
+        F.col("age").alias("months_since_cohort"),
+        "retained_customers",
+        ratio(F.col("retained_customers"), F.col("size"), 1).alias("retention_rate_pct"),
+    )
 
 
 def customer_cohorts(fo: DataFrame) -> DataFrame:
@@ -118,7 +203,13 @@ def customer_cohorts(fo: DataFrame) -> DataFrame:
     paid = fo.where(F.col("payment_status").isin("captured", "partially_refunded"))
     by = _activity(paid).groupBy("cohort", "age").agg(big(F.count(F.lit(1))).alias("active_customers"))
     first = F.first("active_customers").over(Window.partitionBy("cohort").orderBy("age"))
-    return by.select(F.col("cohort").alias("cohort_month"), F.col("age").alias("period_number"), "active_customers", first.alias("cohort_size"), ratio(F.col("active_customers"), first, 2).alias("retention_rate_pct"))
+    return by.select(
+        F.col("cohort").alias("cohort_month"),
+        F.col("age").alias("period_number"),
+        "active_customers",
+        first.alias("cohort_size"),
+        ratio(F.col("active_customers"), first, 2).alias("retention_rate_pct"),
+    )
 
 
 def cohort_pivot(fo: DataFrame, literal: bool = False, n: int = 12) -> DataFrame:
@@ -126,19 +217,51 @@ def cohort_pivot(fo: DataFrame, literal: bool = False, n: int = 12) -> DataFrame
     differences of yyyymm numbers, so ages across a year's end drop out."""
     df = _activity(fo, NOT_SOLD)
     ym = lambda d: F.year(d) * 100 + F.month(d)
-    df = df.withColumn("ym", big(ym(F.col("cohort")))).withColumn("at", big(ym(F.col("active")) - ym(F.col("cohort"))) if literal else F.col("age")).where("at between 0 and 6")
-    by = df.groupBy("ym", "at").agg(F.count(F.lit(1)).alias("active")).groupBy("ym").agg(*[F.max(F.when(F.col("at") == k, F.col("active"))).alias(f"a{k}") for k in (0, 1, 2, 3, 6)])
-    return by.select(F.col("ym").alias("cohort_ym"), big(F.col("a0")).alias("cohort_size"), *[ratio(F.col(f"a{k}"), F.col("a0"), 1).alias(f"m{k}_pct") for k in (1, 2, 3, 6)]).orderBy(F.desc("cohort_ym")).limit(n)
+    df = (
+        df.withColumn("ym", big(ym(F.col("cohort"))))
+        .withColumn("at", big(ym(F.col("active")) - ym(F.col("cohort"))) if literal else F.col("age"))
+        .where("at between 0 and 6")
+    )
+    by = (
+        df.groupBy("ym", "at")
+        .agg(F.count(F.lit(1)).alias("active"))
+        .groupBy("ym")
+        .agg(*[F.max(F.when(F.col("at") == k, F.col("active"))).alias(f"a{k}") for k in (0, 1, 2, 3, 6)])
+    )
+    return (
+        by.select(
+            F.col("ym").alias("cohort_ym"),
+            big(F.col("a0")).alias("cohort_size"),
+            *[ratio(F.col(f"a{k}"), F.col("a0"), 1).alias(f"m{k}_pct") for k in (1, 2, 3, 6)],
+        )
+        .orderBy(F.desc("cohort_ym"))
+        .limit(n)
+    )
 
 
 def churn_features(dc: DataFrame, fo: DataFrame, as_of: str | None = None, churn_days: int = 90) -> DataFrame:
     """Per current customer, also those who never bought: cadence, shares and a risk score (null without orders)."""
-    per = sold(fo).groupBy("customer_key").agg(
-        n_distinct("order_id").alias("orders"), F.sum("total_cents").alias("cents"), F.avg("total_cents").alias("mean"), F.max("order_date").alias("last"), F.min("order_date").alias("first"),
-        n_distinct("order_id", F.col("order_status") == "refunded").alias("back"), n_distinct("order_id", F.col("discount_code").isNotNull()).alias("cut"),
-    )
+    # By order first, which the facts are dealt by: then orders are counted, not kept distinct.
+    flag = lambda c: F.max(F.when(c, 1).otherwise(0))
+    order = sold(fo).groupBy("order_id", "customer_key").agg(
+        F.sum("total_cents").alias("cents"),
+        F.count("total_cents").alias("n"),
+        F.max("order_date").alias("last"),
+        F.min("order_date").alias("first"),
+        flag(F.col("order_status") == "refunded").alias("back"),
+        flag(F.col("discount_code").isNotNull()).alias("cut"),
+    )
+    per = order.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("orders"),
+        (F.sum("cents") / F.sum("n")).alias("mean"),
+        F.max("last").alias("last"),
+        F.min("first").alias("first"),
+        *[F.sum(c).alias(c) for c in ("cents", "back", "cut")],
+    )
     df = dc.join(per, "customer_key", "left")
-    df = df.withColumn("as_of", F.lit(as_of).cast("date")) if as_of else df.crossJoin(F.broadcast(fo.agg(F.max("order_date").alias("as_of"))))
+    df = df.withColumn("as_of", F.lit(as_of).cast("date")) if as_of else df.crossJoin(
+        F.broadcast(fo.agg(F.max("order_date").alias("as_of"))),
+    )
     recency, orders = F.datediff("as_of", "last"), F.coalesce("orders", F.lit(0))
     df = df.select(
         "customer_key", "loyalty_tier", "acquisition_source", "country_code",
@@ -161,62 +284,137 @@ def churn_features(dc: DataFrame, fo: DataFrame, as_of: str | None = None, churn
 def ltv_deciles(fo: DataFrame) -> DataFrame:
     """Customers and revenue by decile of revenue, with the share from the top."""
     per = sold(fo).groupBy("customer_key").agg(F.sum("total_cents").alias("cents"))
-    by = global_positions(per, {"rev": ("cents", False)}, "customer_key").groupBy(tile("rev", 10).alias("decile")).agg(F.count(F.lit(1)).alias("n"), *[getattr(F, f)("cents").alias(f) for f in ("min", "max", "avg", "sum")])
+    by = (
+        global_positions(per, {"rev": ("cents", False)}, "customer_key")
+        .groupBy(tile("rev", 10).alias("decile"))
+        .agg(F.count(F.lit(1)).alias("n"), *[getattr(F, f)("cents").alias(f) for f in ("min", "max", "avg", "sum")])
+    )
     every, top = F.sum("sum").over(Window.partitionBy()), F.sum("sum").over(Window.orderBy(F.desc("decile")))
-    return by.select("decile", big(F.col("n")).alias("customer_count"), *[money(F.col(f)).alias(a) for f, a in (("min", "min_ltv"), ("max", "max_ltv"), ("avg", "avg_ltv"), ("sum", "total_revenue"))], ratio(F.col("sum"), every, 1).alias("pct_of_total_revenue"), ratio(top, every, 1).alias("cumulative_revenue_from_top"))
+    return by.select(
+        "decile",
+        big(F.col("n")).alias("customer_count"),
+        *[money(F.col(f)).alias(a) for f, a in (("min", "min_ltv"), ("max", "max_ltv"), ("avg", "avg_ltv"), ("sum", "total_revenue"))],
+        ratio(F.col("sum"), every, 1).alias("pct_of_total_revenue"),
+        ratio(top, every, 1).alias("cumulative_revenue_from_top"),
+    )
 
 
 def new_vs_returning(fo: DataFrame) -> DataFrame:
     """Monthly split; new: all rows at a customer's first timestamp."""
-    df = sold(fo).withColumn("first", F.min("ordered_at").over(Window.partitionBy("customer_key")))
+    order = sold(fo).groupBy("order_id", "customer_key", "ordered_at", "order_date").agg(F.sum("total_cents").alias("cents"))
+    df = order.withColumn("first", F.min("ordered_at").over(Window.partitionBy("customer_key")))
     new = F.col("ordered_at") == F.col("first")
-    cents = lambda when: F.sum(F.when(when, F.col("total_cents")))
-    by = df.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(cents(new).alias("n"), cents(~new).alias("r"), F.sum("total_cents").alias("t"), n_distinct("order_id", new).alias("new_orders"), n_distinct("order_id", ~new).alias("returning_orders"), n_distinct("customer_key", new).alias("new_customers"))
-    return by.select("year_month", money(F.col("n")).alias("new_customer_revenue"), money(F.col("r")).alias("returning_customer_revenue"), money(F.col("t")).alias("total_revenue"), "new_orders", "returning_orders", "new_customers", ratio(F.col("r"), F.col("t"), 1).alias("returning_revenue_pct"))
+    cents = lambda when: F.sum(F.when(when, F.col("cents")))
+    by = df.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
+        cents(new).alias("n"),
+        cents(~new).alias("r"),
+        F.sum("cents").alias("t"),
+        n_where(new).alias("new_orders"),
+        n_where(~new).alias("returning_orders"),
+        n_distinct("customer_key", new).alias("new_customers"),
+    )
+    return by.select(
+        "year_month",
+        money(F.col("n")).alias("new_customer_revenue"),
+        money(F.col("r")).alias("returning_customer_revenue"),
+        money(F.col("t")).alias("total_revenue"),
+        "new_orders",
+        "returning_orders",
+        "new_customers",
+        ratio(F.col("r"), F.col("t"), 1).alias("returning_revenue_pct"),
+    )
 
 
-def cross_sell(fo: DataFrame, dp: DataFrame, dc: DataFrame, k: int = 5) -> DataFrame:
+def cross_sell(fo: DataFrame, dp: DataFrame, dc: DataFrame, k: int = 5, parts: int = 64) -> DataFrame:
     """The ``k`` products a customer has not bought, of categories they ordered from, with most buyers in their tier.
 
     Pre-aggregated: the buyers of a product in a tier do not depend on the customer, and only a tier's best products of
     a category can be recommended, so each customer meets as many of them as they have bought in the category, plus k.
+    A tier's best are found in hash parts first, so no task ranks all products of a category.
     """
     item = fo.join(dp.select("product_key", "category_name"), "product_key")
     item = item.join(dc.select("customer_key", "loyalty_tier"), "customer_key")
-    bought = sold(item).select("customer_key", "loyalty_tier", "product_key", "category_name").distinct()
+    item = item.groupBy("customer_key", "loyalty_tier", "product_key", "category_name").agg(
+        F.max(F.when(F.col("order_status") != "cancelled", 1).otherwise(0)).alias("live"),
+    )
+    item = save(item, "bought")
+    group = ["loyalty_tier", "category_name"]
+    bought = item.where("live = 1")
     active = bought.select("customer_key").distinct()
-    wanted = item.select("customer_key", "loyalty_tier", "category_name").distinct().join(active, "customer_key", "left_semi")
-    had = bought.groupBy("customer_key", "category_name").agg(F.count(F.lit(1)).alias("had"))
-    best = Window.partitionBy("loyalty_tier", "category_name").orderBy(F.desc("buyers"), "product_key")
-    ranked = bought.groupBy("loyalty_tier", "category_name", "product_key").agg(big(F.count(F.lit(1))).alias("buyers")).withColumn("place", F.row_number().over(best))
-    reach = wanted.join(had, ["customer_key", "category_name"], "left").withColumn("reach", F.coalesce("had", F.lit(0)) + k)
-    # Each customer meets a list of at most ``reach`` places, as an equi join on the place.
-    places = reach.select("customer_key", "loyalty_tier", "category_name", F.explode(F.sequence(F.lit(1), F.col("reach").cast("int"))).alias("place"))
-    offered = places.join(ranked, ["loyalty_tier", "category_name", "place"]).join(bought.select("customer_key", "product_key"), ["customer_key", "product_key"], "left_anti")
-    top = Window.partitionBy("customer_key").orderBy(F.desc("buyers"), "product_key")
-    out = offered.withColumn("recommendation_rank", big(F.row_number().over(top))).where(F.col("recommendation_rank") <= k)
-    return out.select("customer_key", "product_key", "category_name", F.col("buyers").alias("similar_customers_bought"), "recommendation_rank")
-
-
-def customer_360(dc: DataFrame, oh: DataFrame, fe: DataFrame, as_of: str | None = None, as_of_events: str | None = None) -> DataFrame:
-    """Per customer: paid orders, 90 days of events, engagement and value segment."""
+    had = item.groupBy("customer_key", *group).agg(F.sum("live").alias("had")).join(active, "customer_key", "left_semi")
+    reach = save(had.select("customer_key", *group, (F.col("had") + k).cast("int").alias("reach")), "reach")
+    most = reach.groupBy(*group).agg(F.max("reach").alias("most"))
+    order = [F.desc("buyers"), "product_key"]
+    sold_to = bought.groupBy(*group, "product_key").agg(big(F.count(F.lit(1))).alias("buyers")).join(most, group)
+    part = sold_to.withColumn("part", F.pmod(F.xxhash64("product_key"), F.lit(parts)))
+    for by in ([*group, "part"], group):
+        part = part.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("place <= most")
+    # Per tier and category a list as long as its farthest reach. Stored, so that the join deals out both sides anew and
+    # Spark can broadcast the lists or split a tier with very many customers.
+    best = part.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("place", "product_key", "buyers"))).alias("best"))
+    near = reach.join(save(best, "best"), group).select(
+        "customer_key",
+        "category_name",
+        F.explode(F.slice("best", 1, F.col("reach"))).alias("p"),
+    )
+    offered = near.select("customer_key", "category_name", "p.product_key", "p.buyers")
+    offered = offered.join(bought.select("customer_key", "product_key"), ["customer_key", "product_key"], "left_anti")
+    out = offered.withColumn("recommendation_rank", big(F.row_number().over(Window.partitionBy("customer_key").orderBy(*order)))).where(
+        F.col("recommendation_rank") <= k,
+    )
+    return out.select(
+        "customer_key",
+        "product_key",
+        "category_name",
+        F.col("buyers").alias("similar_customers_bought"),
+        "recommendation_rank",
+    )
+
+
+def customer_360(
+    dc: DataFrame,
+    oh: DataFrame,
+    fe: DataFrame,
+    reviews: DataFrame,
+    as_of: str | None = None,
+    as_of_events: str | None = None,
+    deleted: str = "deleted_at",
+) -> DataFrame:
+    """Per customer who is not deleted: paid orders, 90 days of events, published reviews, engagement and value segment.
+
+    ``reviews``: customer_key, status, rating. ``dc`` may lack the column ``deleted``: then nobody is.
+    """
+    live = dc.where(F.col(deleted).isNull()) if deleted in dc.columns else dc
     paid = oh.where(F.col("payment_status").isin("captured", "partially_refunded", "refunded"))
+    in_state = lambda s: F.count(F.when(F.col("status") == s, 1))
     orders = paid.groupBy("customer_key").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total_cents").alias("cents"), F.avg("total_cents").alias("mean"), F.min("created_at").alias("first_order_at"), F.max("created_at").alias("last_order_at"),
-        F.count(F.when(F.col("status") == "refunded", 1)).alias("refunded"), F.count_distinct(F.trunc("created_at", "month")).alias("months"),
+        F.count(F.lit(1)).alias("orders"), F.sum("total_cents").alias("cents"), F.avg("total_cents").alias("mean"),
+        F.min("created_at").alias("first_order_at"), F.max("created_at").alias("last_order_at"),
+        in_state("cancelled").alias("cancelled"), in_state("refunded").alias("refunded"), F.count_distinct(F.trunc("created_at", "month")).alias("months"),
     )
+    kinds = ("page_view", "product_view", "add_to_cart", "search")
     seen = with_as_of(fe, as_of_events, "occurred_at").where(F.datediff("as_of", "event_date") < 90)
-    seen = seen.groupBy("customer_key").agg(*[F.count(F.when(F.col("event_type") == t, 1)).alias(t) for t in ("page_view", "product_view", "add_to_cart")], F.max("occurred_at").alias("last_event_at"))
+    seen = seen.groupBy("customer_key").agg(
+        *[F.count(F.when(F.col("event_type") == t, 1)).alias(t) for t in kinds],
+        F.max("occurred_at").alias("last_event_at"),
+    )
+    rated = (
+        reviews.where("status = 'published'")
+        .groupBy("customer_key")
+        .agg(F.count(F.lit(1)).alias("reviews"), F.avg("rating").alias("rating"))
+    )
     day = oh.agg(F.max("created_at").cast("date").alias("as_of")) if as_of is None else None
-    df = dc.join(orders, "customer_key", "left").join(seen, "customer_key", "left")
+    df = live.join(orders, "customer_key", "left").join(seen, "customer_key", "left").join(rated, "customer_key", "left")
     df = df.crossJoin(F.broadcast(day)) if day is not None else df.withColumn("as_of", F.lit(as_of).cast("date"))
     age, cents = F.datediff("as_of", F.col("last_order_at").cast("date")), F.col("cents")
     zero = lambda c: big(F.coalesce(c, F.lit(0)))
     return df.select(
         "customer_key", "customer_name", "email", "country_code", "city", "loyalty_tier",
         zero("orders").alias("total_orders"), zero("cents").alias("lifetime_revenue_cents"), rounded(F.coalesce("mean", F.lit(0.0))).alias("avg_order_value_cents"),
-        "first_order_at", "last_order_at", zero("refunded").alias("refunded_orders"), zero("months").alias("active_months"), big(age).alias("days_since_last_order"),
-        zero("page_view").alias("page_views_90d"), zero("product_view").alias("product_views_90d"), zero("add_to_cart").alias("cart_adds_90d"), "last_event_at",
+        "first_order_at", "last_order_at", zero("cancelled").alias("cancelled_orders"), zero("refunded").alias("refunded_orders"), zero("months").alias("active_months"),
+        big(age).alias("days_since_last_order"),
+        zero("page_view").alias("page_views_90d"), zero("product_view").alias("product_views_90d"), zero("add_to_cart").alias("cart_adds_90d"),
+        zero("search").alias("searches_90d"), "last_event_at", zero("reviews").alias("total_reviews"), rounded(F.col("rating"), 2).alias("avg_rating_given"),
         F.when(age < 30, "active").when(age < 90, "at_risk").when(age < 180, "lapsing").when(age.isNotNull(), "churned").otherwise("never_purchased").alias("engagement_segment"),
         F.when(cents >= 100_000, "high_value").when(cents >= 50_000, "mid_value").when(cents > 0, "low_value").otherwise("no_purchases").alias("value_segment"),
     )
@@ -224,8 +422,29 @@ def customer_360(dc: DataFrame, oh: DataFrame, fe: DataFrame, as_of: str | None
 
 def customer_value(dc: DataFrame, oh: DataFrame) -> DataFrame:
     """Orders and value per active customer, zero without any."""
-    per = oh.where(~F.col("status").isin(*NOT_SOLD)).groupBy("customer_key").agg(F.count(F.lit(1)).alias("n"), F.sum("total_cents").alias("cents"), F.min("created_at").alias("first_order_at"), F.max("created_at").alias("last_order_at"))
-    return dc.where("is_current").join(per, "customer_key", "left").select("customer_key", "email", "customer_name", big(F.coalesce("n", F.lit(0))).alias("total_orders"), big(F.coalesce("cents", F.lit(0))).alias("lifetime_value_cents"), "first_order_at", "last_order_at")
+    per = (
+        oh.where(~F.col("status").isin(*NOT_SOLD))
+        .groupBy("customer_key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("total_cents").alias("cents"),
+            F.min("created_at").alias("first_order_at"),
+            F.max("created_at").alias("last_order_at"),
+        )
+    )
+    return (
+        dc.where("is_current")
+        .join(per, "customer_key", "left")
+        .select(
+            "customer_key",
+            "email",
+            "customer_name",
+            big(F.coalesce("n", F.lit(0))).alias("total_orders"),
+            big(F.coalesce("cents", F.lit(0))).alias("lifetime_value_cents"),
+            "first_order_at",
+            "last_order_at",
+        )
+    )
 
 
 def ltv_projection(oh: DataFrame, dc: DataFrame, as_of: str | None = None, customer_key: int | None = None) -> DataFrame:
@@ -234,9 +453,21 @@ def ltv_projection(oh: DataFrame, dc: DataFrame, as_of: str | None = None, custo
     df = df.where(~F.col("status").isin("cancelled") & F.col("payment_status").isin("captured", "partially_refunded"))
     if customer_key is not None:
         df = df.where(F.col("customer_key") == customer_key)
-    per = df.groupBy("customer_key").agg(F.count(F.lit(1)).alias("n"), F.min("created_at").cast("date").alias("first_order_date"), F.max("created_at").cast("date").alias("last_order_date"), F.sum("total_cents").alias("cents"), F.max("as_of").alias("as_of"))
-    months = months_between_starts(F.col("as_of"), F.col("first_order_date")) - F.when(F.dayofmonth("as_of") < F.dayofmonth("first_order_date"), 1).otherwise(0)
-    per = per.withColumn("tenure_months", F.greatest(F.lit(1), months).cast("bigint")).withColumn("predicted_ltv_12m_cents", F.floor(F.col("cents").cast("double") / F.col("tenure_months") * 12 + 0.5).cast("bigint"))
+    per = df.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("created_at").cast("date").alias("first_order_date"),
+        F.max("created_at").cast("date").alias("last_order_date"),
+        F.sum("total_cents").alias("cents"),
+        F.max("as_of").alias("as_of"),
+    )
+    months = months_between_starts(F.col("as_of"), F.col("first_order_date")) - F.when(
+        F.dayofmonth("as_of") < F.dayofmonth("first_order_date"),
+        1,
+    ).otherwise(0)
+    per = per.withColumn("tenure_months", F.greatest(F.lit(1), months).cast("bigint")).withColumn(
+        "predicted_ltv_12m_cents",
+        F.floor(F.col("cents").cast("double") / F.col("tenure_months") * 12 + 0.5).cast("bigint"),
+    )
     ahead = F.col("predicted_ltv_12m_cents")
     return per.join(dc.select("customer_key", "email"), "customer_key").select(
         "customer_key", "email", "first_order_date", "last_order_date", big(F.col("n")).alias("order_count"), F.col("cents").alias("total_revenue_cents"),
@@ -245,7 +476,7 @@ def ltv_projection(oh: DataFrame, dc: DataFrame, as_of: str | None = None, custo
     )
 
 
-#: Flags of the fraud rules.
+#: Flags of the fraud rules, their points, and the countries that are no risk.
 FLAGS = {
     "velocity": "HIGH_VELOCITY: >5 orders in 24h",
     "address": "IP_VELOCITY: >3 orders from same IP in 1h",
@@ -258,6 +489,15 @@ POINTS = {"velocity": 25, "address": 30, "value": 15, "amount": 25, "new": 10, "
 HOME = ("US", "CA", "GB", "AU")
 
 
+def _lately(df: DataFrame, key: str, seconds: int, name: str) -> DataFrame:
+    """Rows of the same key in the last ``seconds`` up to each row. Time is cut into pieces of that length, and a piece
+    sees the rows of the one before as well, so that a key with very many rows is counted in many tasks."""
+    piece = F.floor(F.col("at") / seconds)
+    seen = df.withColumn("__piece", F.explode(F.array(piece, piece + 1)))
+    near = Window.partitionBy(key, "__piece").orderBy("at").rangeBetween(-seconds, 0)
+    return seen.withColumn(name, F.count(F.lit(1)).over(near)).where(F.col("__piece") == piece).drop("__piece")
+
+
 def fraud_flags(oh: DataFrame, as_of: str | None = None, hours: int = 24) -> DataFrame:
     """Flagged orders of the last ``hours``: counts per customer (24 h) and address (1 h) as range frames, history of
     the customer before the last 24 hours, score up to 100, recommendation from part of the points."""
@@ -265,12 +505,38 @@ def fraud_flags(oh: DataFrame, as_of: str | None = None, hours: int = 24) -> Dat
     df = oh.where(F.col("status") != "cancelled")
     df = df.withColumn("now", now) if now is not None else df.crossJoin(F.broadcast(oh.agg(F.max("created_at").alias("now"))))
     df = df.withColumn("at", F.unix_timestamp("created_at")).withColumn("ago", F.unix_timestamp("now") - F.col("at"))
-    history = df.where((F.col("ago") > 86400) & F.col("payment_status").isin("captured", "partially_refunded")).groupBy("customer_key").agg(F.avg("total_cents").alias("mean"), F.stddev("total_cents").alias("spread"), F.count(F.lit(1)).alias("before"))
+    history = (
+        df.where((F.col("ago") > 86400) & F.col("payment_status").isin("captured", "partially_refunded"))
+        .groupBy("customer_key")
+        .agg(F.avg("total_cents").alias("mean"), F.stddev("total_cents").alias("spread"), F.count(F.lit(1)).alias("before"))
+    )
     recent = df.where(F.col("ago") < hours * 3600)
-    recent = recent.withColumn("day", F.count(F.lit(1)).over(Window.partitionBy("customer_key").orderBy("at").rangeBetween(-86400, 0))).withColumn("hour", F.count(F.lit(1)).over(Window.partitionBy("ip_address").orderBy("at").rangeBetween(-3600, 0)))
+    recent = _lately(_lately(recent, "customer_key", 86400, "day"), "ip_address", 3600, "hour")
     df = recent.join(history, "customer_key", "left")
-    rules = {"velocity": F.col("day") > 5, "address": F.col("hour") > 3, "value": F.col("total_cents") > 50_000, "amount": (F.col("spread") > 0) & (F.col("total_cents") > F.col("mean") + 3 * F.col("spread")), "new": F.coalesce("before", F.lit(0)) == 0, "country": ~F.col("shipping_country").isin(*HOME)}
+    rules = {
+        "velocity": F.col("day") > 5,
+        "address": F.col("hour") > 3,
+        "value": F.col("total_cents") > 50_000,
+        "amount": (F.col("spread") > 0) & (F.col("total_cents") > F.col("mean") + 3 * F.col("spread")),
+        "new": F.coalesce("before", F.lit(0)) == 0,
+        "country": ~F.col("shipping_country").isin(*HOME),
+    }
     points = lambda *names: F.least(F.lit(100), sum((F.when(rules[n], POINTS[n]).otherwise(0) for n in names), F.lit(0)))
     flags = F.array_compact(F.array(*[F.when(rules[n], FLAGS[n]) for n in FLAGS]))
-    advice = F.when(points("velocity", "address", "value", "new") >= 70, "BLOCK").when(points("velocity", "address", "value") >= 40, "REVIEW").otherwise("ALLOW")
-    return df.withColumn("flags", flags).where(F.size("flags") > 0).select("order_id", "customer_key", "total_cents", big(points(*FLAGS)).alias("risk_score"), F.array_join("flags", "; ").alias("risk_flags"), advice.alias("recommendation"))
+    advice = (
+        F.when(points("velocity", "address", "value", "new") >= 70, "BLOCK")
+        .when(points("velocity", "address", "value") >= 40, "REVIEW")
+        .otherwise("ALLOW")
+    )
+    return (
+        df.withColumn("flags", flags)
+        .where(F.size("flags") > 0)
+        .select(
+            "order_id",
+            "customer_key",
+            "total_cents",
+            big(points(*FLAGS)).alias("risk_score"),
+            F.array_join("flags", "; ").alias("risk_flags"),
+            advice.alias("recommendation"),
+        )
+    )

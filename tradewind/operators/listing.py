@@ -19,7 +19,14 @@ def _contains(term: str, *cols: str):
     return found
 
 
-def list_products(dp: DataFrame, category: str | None = None, active: bool | None = None, min_cents: int | None = None, max_cents: int | None = None, search: str | None = None) -> DataFrame:
+def list_products(
+    dp: DataFrame,
+    category: str | None = None,
+    active: bool | None = None,
+    min_cents: int | None = None,
+    max_cents: int | None = None,
+    search: str | None = None,
+) -> DataFrame:
     """Products that meet every given filter; the search looks into sku, name and brand."""
     rules = [
         (category, lambda: F.col("category_name") == category),
@@ -50,7 +57,11 @@ def list_orders(oh: DataFrame, dc: DataFrame, status: str | None = None, custome
         oh = oh.where(F.col("status") == status)
     if customer_key is not None:
         oh = oh.where(F.col("customer_key") == customer_key)
-    return oh.join(dc.select("customer_key", "customer_name", "email"), "customer_key").select("order_id", "customer_key", "customer_name", "email", "status", "total_cents", "created_at").orderBy(F.desc("created_at"), "order_id")
+    return (
+        oh.join(dc.select("customer_key", "customer_name", "email"), "customer_key")
+        .select("order_id", "customer_key", "customer_name", "email", "status", "total_cents", "created_at")
+        .orderBy(F.desc("created_at"), "order_id")
+    )
 
 
 def paginate(df: DataFrame, order: list, page: int = 1, limit: int = PAGE) -> DataFrame:
@@ -58,14 +69,36 @@ def paginate(df: DataFrame, order: list, page: int = 1, limit: int = PAGE) -> Da
     page, limit = max(1, page), min(max(1, limit), MOST)
     total = df.agg(big(F.count(F.lit(1))).alias("total"))
     rows = df.orderBy(*order).offset((page - 1) * limit).limit(limit)
-    return rows.crossJoin(F.broadcast(total)).withColumn("pages", F.greatest(F.lit(1), F.ceil(F.col("total") / limit)).cast("bigint")).withColumn("page", F.lit(page).cast("bigint"))
+    return (
+        rows.crossJoin(F.broadcast(total))
+        .withColumn("pages", F.greatest(F.lit(1), F.ceil(F.col("total") / limit)).cast("bigint"))
+        .withColumn("page", F.lit(page).cast("bigint"))
+    )
 
 
 def order_details(fo: DataFrame, dc: DataFrame, dp: DataFrame) -> DataFrame:
     """One flat row per item with its order, customer and product."""
     item = fo.withColumn("line_total_cents", F.col("quantity") * F.col("unit_price_cents"))
-    df = item.join(dc.select("customer_key", "email", "customer_name", "country_code"), "customer_key").join(dp.select("product_key", "sku", "product_name", "category_name"), "product_key")
-    return df.select("order_id", "order_status", "ordered_at", "customer_key", "email", "customer_name", "country_code", "quantity", "unit_price_cents", "line_total_cents", "product_key", "sku", "product_name", "category_name")
+    df = item.join(dc.select("customer_key", "email", "customer_name", "country_code"), "customer_key").join(
+        dp.select("product_key", "sku", "product_name", "category_name"),
+        "product_key",
+    )
+    return df.select(
+        "order_id",
+        "order_status",
+        "ordered_at",
+        "customer_key",
+        "email",
+        "customer_name",
+        "country_code",
+        "quantity",
+        "unit_price_cents",
+        "line_total_cents",
+        "product_key",
+        "sku",
+        "product_name",
+        "category_name",
+    )
 
 
 def order_subtotal(oh: DataFrame, fo: DataFrame) -> DataFrame:
@@ -78,4 +111,8 @@ def order_document(fo: DataFrame, dp: DataFrame, order_id: int | None = None) ->
     """One row per order with its items as a sorted array; an order has a bounded number of items."""
     item = fo.where(F.col("order_id") == order_id) if order_id is not None else fo
     item = item.join(dp.select("product_key", "sku", "product_name", "category_name"), "product_key")
-    return item.groupBy("order_id", "customer_key", "ordered_at").agg(F.sort_array(F.collect_list(F.struct("product_key", "sku", "product_name", "category_name", "quantity", "unit_price_cents"))).alias("items"))
+    return item.groupBy("order_id", "customer_key", "ordered_at").agg(
+        F.sort_array(F.collect_list(F.struct("product_key", "sku", "product_name", "category_name", "quantity", "unit_price_cents"))).alias(
+            "items",
+        ),
+    )

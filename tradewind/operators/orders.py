@@ -6,11 +6,12 @@ Codes and texts of rejections are fixed values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.columns import big
+from tradewind.functions.store import save
 from tradewind.operators.warehouse import assign_keys
 
 ITEMS = "array<struct<product_key: bigint, quantity: bigint>>"
@@ -19,79 +20,207 @@ STATUSES = ("pending", "confirmed", "processing", "shipped", "delivered", "cance
 
 def request_items(requests: DataFrame) -> DataFrame:
     """One row per requested item."""
-    return requests.select("request_id", "customer_key", "at", F.explode(F.from_json("items", ITEMS)).alias("i")).select("request_id", "customer_key", "at", "i.*")
+    return requests.select("request_id", "customer_key", "at", F.explode(F.from_json("items", ITEMS)).alias("i")).select(
+        "request_id",
+        "customer_key",
+        "at",
+        "i.*",
+    )
 
 
-def price_orders(requests: DataFrame, products: DataFrame, discounts: DataFrame | None = None, tax_rate: float = 0.08) -> DataFrame:
-    """Subtotal at sale or base price, discount (``discounts``: request_id, discount_cents), tax on the rest, total."""
+def price_orders(
+    requests: DataFrame,
+    products: DataFrame,
+    discounts: DataFrame | None = None,
+    tax_rate: float = 0.08,
+    items: DataFrame | None = None,
+) -> DataFrame:
+    """Subtotal at sale or base price, discount (``discounts``: request_id, discount_cents), tax on the rest, total.
+    ``items``: the ``request_items``, where they are stored already."""
     price = products.select("product_key", F.coalesce("sale_price_cents", "base_price_cents").alias("price"))
-    sums = request_items(requests).join(price, "product_key").groupBy("request_id").agg(F.sum(F.col("price") * F.col("quantity")).alias("subtotal_cents"))
-    df = requests.select("request_id", "customer_key", F.coalesce("shipping_cents", F.lit(0)).cast("bigint").alias("shipping_cents")).join(sums, "request_id")
+    sums = (
+        (request_items(requests) if items is None else items)
+        .join(price, "product_key")
+        .groupBy("request_id")
+        .agg(F.sum(F.col("price") * F.col("quantity")).alias("subtotal_cents"))
+    )
+    df = requests.select("request_id", "customer_key", F.coalesce("shipping_cents", F.lit(0)).cast("bigint").alias("shipping_cents")).join(
+        sums,
+        "request_id",
+    )
     df = df.join(discounts, "request_id", "left") if discounts is not None else df.withColumn("discount_cents", F.lit(0))
     df = df.withColumn("discount_cents", big(F.coalesce("discount_cents", F.lit(0))))
     df = df.withColumn("tax_cents", F.floor((F.col("subtotal_cents") - F.col("discount_cents")) * F.lit(tax_rate) + 0.5).cast("bigint"))
     return df.withColumn("total_cents", F.col("subtotal_cents") - F.col("discount_cents") + F.col("shipping_cents") + F.col("tax_cents"))
 
 
+def _first(df: DataFrame, key: str, order: list[str], n: Column, parts: int = 64) -> DataFrame:
+    """``df`` with ``within``: whether a row is among the first ``n`` of its key. Rows are ranked in hash parts first and
+    only the first of each part meet, so a key with very many rows is no task's alone."""
+    part = F.pmod(F.xxhash64(*order), F.lit(parts))
+    df = df.withColumn("__part", part).withColumn("__place", F.row_number().over(Window.partitionBy(key, "__part").orderBy(*order)))
+    df = save(df.withColumn("__may", F.col("__place") <= n), "turns")
+    may = df.where("__may").withColumn("within", F.row_number().over(Window.partitionBy(key).orderBy(*order)) <= n)
+    return may.unionByName(df.where("not __may").withColumn("within", F.lit(False))).drop("__part", "__place", "__may")
+
+
 def apply_discounts(priced: DataFrame, codes: DataFrame) -> DataFrame:
     """``priced``: request_id, at, discount_code, subtotal_cents, shipping_cents. Adds discount_cents and reason (null:
-    applied or no code). Uses are given in request order until the code's maximum is reached."""
-    c = codes.select(F.upper("code").alias("code"), "discount_type", "discount_value", "minimum_cents", "maximum_uses", "current_uses", "is_active", "valid_from", "valid_until")
-    df = priced.withColumn("code", F.upper(F.nullif("discount_code", F.lit("")))).join(F.broadcast(c), "code", "left")
-    valid = F.coalesce(F.col("is_active") & (F.col("valid_from") <= F.col("at")) & (F.col("valid_until").isNull() | (F.col("valid_until") > F.col("at"))), F.lit(False))
+    applied or no code). Uses are given in request order until the code's maximum is reached; only requests that are
+    eligible for a code with a maximum take turns."""
+    c = codes.select(
+        F.upper("code").alias("code"),
+        "discount_type",
+        "discount_value",
+        "minimum_cents",
+        "maximum_uses",
+        "current_uses",
+        "is_active",
+        "valid_from",
+        "valid_until",
+    )
+    priced = priced.withColumn("code", F.upper(F.nullif("discount_code", F.lit(""))))
+    df = priced.where("code is not null").join(c, "code", "left")
+    valid = F.coalesce(
+        F.col("is_active") & (F.col("valid_from") <= F.col("at")) & (F.col("valid_until").isNull() | (F.col("valid_until") > F.col("at"))),
+        F.lit(False),
+    )
     enough = F.col("subtotal_cents") >= F.coalesce("minimum_cents", F.lit(0))
-    eligible = (valid & enough).cast("int")
-    turn = F.sum(eligible).over(Window.partitionBy("code").orderBy("at", "request_id").rowsBetween(Window.unboundedPreceding, 0))
-    left = F.col("maximum_uses").isNull() | (turn + F.coalesce("current_uses", F.lit(0)) <= F.col("maximum_uses"))
-    df = df.withColumn("reason", F.when(F.col("code").isNull(), None).when(~valid, "P0006").when(~enough, "P0007").when(~left, "P0008"))
     percent = F.floor(F.col("subtotal_cents") * F.col("discount_value") / 100 + 0.5)
     fixed = F.least(F.floor(F.col("discount_value") * 100 + 0.5), F.col("subtotal_cents"))
-    kind = F.when(F.col("discount_type") == "percentage", percent).when(F.col("discount_type") == "fixed_amount", fixed).when(F.col("discount_type") == "free_shipping", F.col("shipping_cents")).otherwise(0)
-    return df.select("request_id", big(F.when(F.col("code").isNotNull() & F.col("reason").isNull(), kind).otherwise(0)).alias("discount_cents"), "reason")
+    kind = (
+        F.when(F.col("discount_type") == "percentage", percent)
+        .when(F.col("discount_type") == "fixed_amount", fixed)
+        .when(F.col("discount_type") == "free_shipping", F.col("shipping_cents"))
+        .otherwise(0)
+    )
+    why = F.when(~valid, "P0006").when(~enough, "P0007")
+    left = F.col("maximum_uses") - F.coalesce("current_uses", F.lit(0))
+    df = df.select(
+        "request_id",
+        "at",
+        "code",
+        big(kind).alias("discount_cents"),
+        why.alias("reason"),
+        F.when(why.isNull(), left).alias("left"),
+    )
+    turns = _first(df.where("left is not null"), "code", ["at", "request_id"], F.col("left")).withColumn(
+        "reason",
+        F.when(~F.col("within"), "P0008"),
+    )
+    done = [
+        "request_id",
+        F.when(F.col("reason").isNull(), F.col("discount_cents")).otherwise(0).cast("bigint").alias("discount_cents"),
+        "reason",
+    ]
+    none = priced.where("code is null").select(
+        "request_id",
+        F.lit(0).cast("bigint").alias("discount_cents"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    return df.where("left is null").select(*done).unionByName(turns.select(*done)).unionByName(none)
 
 
-def order_rejections(requests: DataFrame, customers: DataFrame, products: DataFrame, inventory: DataFrame, discounts: DataFrame | None = None) -> DataFrame:
+def order_rejections(
+    requests: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    inventory: DataFrame,
+    discounts: DataFrame | None = None,
+    items: DataFrame | None = None,
+) -> DataFrame:
     """request_id and the code of the first rule that fails: inactive customer, no items, no inventory record, inactive
     product, too little stock, and what ``apply_discounts`` found."""
     known = customers.where("is_active").select("customer_key", F.lit(1).alias("c"))
     stock = inventory.groupBy("product_key").agg(F.sum("quantity_available").alias("available"))
     sold = products.where("is_active").select("product_key", F.lit(1).alias("p"))
-    item = request_items(requests).join(stock, "product_key", "left").join(sold, "product_key", "left")
+    item = request_items(requests) if items is None else items
+    item = item.join(stock, "product_key", "left").join(sold, "product_key", "left")
     any_of = lambda c: F.max(F.when(c, 1).otherwise(0))
-    per = item.groupBy("request_id").agg(any_of(F.col("available").isNull()).alias("f3"), any_of(F.col("p").isNull()).alias("f4"), any_of(F.col("available") < F.col("quantity")).alias("f5"))
+    per = item.groupBy("request_id").agg(
+        any_of(F.col("available").isNull()).alias("f3"),
+        any_of(F.col("p").isNull()).alias("f4"),
+        any_of(F.col("available") < F.col("quantity")).alias("f5"),
+    )
     df = requests.select("request_id", "customer_key").join(known, "customer_key", "left").join(per, "request_id", "left")
-    df = df.join(discounts.select("request_id", "reason"), "request_id", "left") if discounts is not None else df.withColumn("reason", F.lit(None).cast("string"))
-    code = F.when(F.col("c").isNull(), "P0001").when(F.col("f3").isNull(), "P0002").when(F.col("f3") == 1, "P0003").when(F.col("f4") == 1, "P0004").when(F.col("f5") == 1, "P0005").otherwise(F.col("reason"))
+    df = df.join(discounts.select("request_id", "reason"), "request_id", "left") if discounts is not None else df.withColumn(
+        "reason",
+        F.lit(None).cast("string"),
+    )
+    code = (
+        F.when(F.col("c").isNull(), "P0001")
+        .when(F.col("f3").isNull(), "P0002")
+        .when(F.col("f3") == 1, "P0003")
+        .when(F.col("f4") == 1, "P0004")
+        .when(F.col("f5") == 1, "P0005")
+        .otherwise(F.col("reason"))
+    )
     return df.select("request_id", code.alias("rejected")).where("rejected is not null")
 
 
 def reserve_stock(items: DataFrame, inventory: DataFrame) -> DataFrame:
     """Per item, in request order within the product: what is asked so far and whether stock covers it. ``items``:
-    request_id, product_key, quantity, at; requests that other rules reject are removed before."""
+    request_id, product_key, quantity, at; requests that other rules reject are removed before. What was asked on the
+    days before is summed by day first, so that a task has one day of a product."""
     stock = inventory.groupBy("product_key").agg(F.sum("quantity_available").alias("available"))
-    asked = F.sum("quantity").over(Window.partitionBy("product_key").orderBy("at", "request_id").rowsBetween(Window.unboundedPreceding, 0))
-    df = items.withColumn("asked", asked).join(stock, "product_key", "left").withColumn("available", F.coalesce("available", F.lit(0)))
-    return df.select("request_id", "product_key", "quantity", big(F.col("asked")).alias("asked"), big(F.col("available")).alias("available"), (F.col("asked") <= F.col("available")).alias("reserved"))
+    items = items.withColumn("day", F.col("at").cast("date"))
+    upto = Window.partitionBy("product_key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        items.groupBy("product_key", "day")
+        .agg(F.sum("quantity").alias("q"))
+        .withColumn("before", F.coalesce(F.sum("q").over(upto), F.lit(0)))
+        .drop("q")
+    )
+    own = F.sum("quantity").over(
+        Window.partitionBy("product_key", "day").orderBy("at", "request_id").rowsBetween(Window.unboundedPreceding, 0),
+    )
+    df = items.withColumn("own", own).join(days, ["product_key", "day"]).withColumn("asked", F.col("own") + F.col("before"))
+    df = df.join(stock, "product_key", "left").withColumn("available", F.coalesce("available", F.lit(0)))
+    return df.select(
+        "request_id",
+        "product_key",
+        "quantity",
+        big(F.col("asked")).alias("asked"),
+        big(F.col("available")).alias("available"),
+        (F.col("asked") <= F.col("available")).alias("reserved"),
+    )
 
 
 def loyalty_points(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Points after the batch: one per whole 100 cents of each order."""
     per = orders.groupBy("customer_key").agg(F.sum(F.floor(F.col("total_cents") / 100)).alias("p"))
-    return customers.join(per, "customer_key", "left").select("customer_key", big(F.coalesce("loyalty_points", F.lit(0)) + F.greatest(F.coalesce("p", F.lit(0)), F.lit(0))).alias("loyalty_points"))
+    return customers.join(per, "customer_key", "left").select(
+        "customer_key",
+        big(F.coalesce("loyalty_points", F.lit(0)) + F.greatest(F.coalesce("p", F.lit(0)), F.lit(0))).alias("loyalty_points"),
+    )
 
 
 def order_numbers(orders: DataFrame, start: int = 1000) -> DataFrame:
     """ORD-<year>-<eight digits>, consecutive from ``start``, unique over all orders."""
     df = assign_keys(orders, ["order_id"], "seq", start)
-    return df.select("order_id", F.concat(F.lit("ORD-"), F.year("created_at").cast("string"), F.lit("-"), F.lpad(F.col("seq").cast("string"), 8, "0")).alias("order_number"))
+    return df.select(
+        "order_id",
+        F.concat(F.lit("ORD-"), F.year("created_at").cast("string"), F.lit("-"), F.lpad(F.col("seq").cast("string"), 8, "0")).alias(
+            "order_number",
+        ),
+    )
 
 
 def status_updates(orders: DataFrame, updates: DataFrame) -> DataFrame:
     """Orders with the latest valid update of their status; shipped and delivered are stamped at their first time."""
     ok = updates.where(F.lower("status").isin(*STATUSES)).withColumn("status", F.lower("status"))
     when = lambda s: F.min(F.when(F.col("status") == s, F.col("at")))
-    last = ok.groupBy("order_id").agg(F.max_by("status", F.struct("at", "status")).alias("new"), when("shipped").alias("shipped_at"), when("delivered").alias("delivered_at"))
-    return orders.join(last, "order_id", "left").select("order_id", F.coalesce("new", "status").alias("status"), "shipped_at", "delivered_at")
+    last = ok.groupBy("order_id").agg(
+        F.max_by("status", F.struct("at", "status")).alias("new"),
+        when("shipped").alias("shipped_at"),
+        when("delivered").alias("delivered_at"),
+    )
+    return orders.join(last, "order_id", "left").select(
+        "order_id",
+        F.coalesce("new", "status").alias("status"),
+        "shipped_at",
+        "delivered_at",
+    )
 
 
 def rejected_updates(updates: DataFrame) -> DataFrame:
@@ -99,11 +228,20 @@ def rejected_updates(updates: DataFrame) -> DataFrame:
     return updates.where(~F.coalesce(F.lower("status").isin(*STATUSES), F.lit(False)))
 
 
-def upsert_entities(target: DataFrame, changes: DataFrame, key: str, unique: str, allowed: list[str], required: list[str], order: str = "at") -> tuple[DataFrame, DataFrame]:
+def upsert_entities(
+    target: DataFrame,
+    changes: DataFrame,
+    key: str,
+    unique: str,
+    allowed: list[str],
+    required: list[str],
+    order: str = "at",
+) -> tuple[DataFrame, DataFrame]:
     """(table after the batch, rejected changes with a reason). Only allowed fields change; null leaves a field as it is;
     ``is_active=false`` is a soft delete. New rows need the required fields; a ``unique`` value that another key has is
-    a conflict."""
-    latest = changes.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where("__n = 1").select(key, *[F.col(c).alias(f"__{c}") for c in allowed])
+    a conflict. Of changes to a key at the same ``order`` the largest, field by field, counts."""
+    newest = changes.groupBy(key).agg(F.max(F.struct(order, *allowed)).alias("__last"))
+    latest = newest.select(key, *[F.col(f"__last.{c}").alias(f"__{c}") for c in allowed])
     df = target.withColumn("__old", F.lit(True)).join(latest.withColumn("__new", F.lit(True)), key, "full_outer")
     for c in allowed:
         df = df.withColumn(c, F.coalesce(f"__{c}", c))
@@ -112,7 +250,10 @@ def upsert_entities(target: DataFrame, changes: DataFrame, key: str, unique: str
         lacking = lacking | F.col(c).isNull()
     bad = F.when(F.col("__old").isNull() & lacking, "missing required field")
     # A new or changed value gives way to the row that had it; among new ones the smallest key has it.
-    holder = F.first(key).over(Window.partitionBy(unique).orderBy(F.col("__old").isNull() | F.coalesce(F.col(f"__{unique}").isNotNull(), F.lit(False)), key))
+    # Rows without a value meet nobody, so each is a partition of its own.
+    alone = F.when(F.col(unique).isNull(), F.col(key))
+    claims = F.col("__old").isNull() | F.coalesce(F.col(f"__{unique}").isNotNull(), F.lit(False))
+    holder = F.first(key).over(Window.partitionBy(unique, alone).orderBy(claims, key))
     taken = F.when(F.col(unique).isNotNull() & F.col("__new") & (holder != F.col(key)), "unique value taken")
     df = df.withColumn("__why", F.coalesce(bad, taken))
     kept = df.where("__why is null").select(*target.columns)

@@ -15,17 +15,45 @@ from tradewind.functions.columns import NOT_SOLD, big, money, n_distinct, n_wher
 def snapshot_inventory(inv: DataFrame, dp: DataFrame, day: str) -> DataFrame:
     """Stock per product and warehouse on a day, with its value."""
     own = inv.join(dp.select("product_key", "category_name"), "product_key")
-    return own.select(F.lit(day).cast("date").alias("snapshot_date"), "product_key", "warehouse_id", "category_name", "quantity_on_hand", "quantity_reserved", (F.col("quantity_on_hand") - F.col("quantity_reserved")).alias("quantity_available"), "reorder_point", "unit_cost_cents", (F.col("quantity_on_hand") * F.col("unit_cost_cents")).alias("inventory_value_cents"))
+    return own.select(
+        F.lit(day).cast("date").alias("snapshot_date"),
+        "product_key",
+        "warehouse_id",
+        "category_name",
+        "quantity_on_hand",
+        "quantity_reserved",
+        (F.col("quantity_on_hand") - F.col("quantity_reserved")).alias("quantity_available"),
+        "reorder_point",
+        "unit_cost_cents",
+        (F.col("quantity_on_hand") * F.col("unit_cost_cents")).alias("inventory_value_cents"),
+    )
 
 
-def inventory_turnover(fo: DataFrame, snapshots: DataFrame, dp: DataFrame, as_of: str | None = None, months: int = 12, cogs: float = 0.6) -> DataFrame:
+def inventory_turnover(
+    fo: DataFrame,
+    snapshots: DataFrame,
+    dp: DataFrame,
+    as_of: str | None = None,
+    months: int = 12,
+    cogs: float = 0.6,
+) -> DataFrame:
     """Cost of goods of the last months over the mean stock value, by category."""
     recent = with_as_of(fo, as_of, "order_date").where(F.col("order_date") >= F.add_months("as_of", -months))
     per = sold(recent).groupBy("product_key").agg(F.sum("quantity").alias("units"))
-    cost = per.join(dp, "product_key").groupBy("category_name").agg((F.sum(F.col("units") * F.col("base_price_cents")).cast("double") * cogs).alias("cogs"))
+    cost = (
+        per.join(dp, "product_key")
+        .groupBy("category_name")
+        .agg((F.sum(F.col("units") * F.col("base_price_cents")).cast("double") * cogs).alias("cogs"))
+    )
     stock = snapshots.groupBy("category_name").agg(F.avg("inventory_value_cents").alias("stock"))
     turn = F.col("cogs") / F.nullif(F.col("stock"), F.lit(0.0))
-    return cost.join(stock, "category_name").select("category_name", money(F.col("cogs")).alias("annual_cogs"), money(F.col("stock")).alias("avg_inventory_value"), rounded(turn, 2).alias("inventory_turnover_ratio"), rounded(F.lit(365.0) / F.nullif(turn, F.lit(0.0)), 1).alias("days_sales_of_inventory"))
+    return cost.join(stock, "category_name").select(
+        "category_name",
+        money(F.col("cogs")).alias("annual_cogs"),
+        money(F.col("stock")).alias("avg_inventory_value"),
+        rounded(turn, 2).alias("inventory_turnover_ratio"),
+        rounded(F.lit(365.0) / F.nullif(turn, F.lit(0.0)), 1).alias("days_sales_of_inventory"),
+    )
 
 
 def basket_pairs(fo: DataFrame, dp: DataFrame, level: str = "product_key", min_count: int = 10, limit: int = 100) -> DataFrame:
@@ -35,52 +63,172 @@ def basket_pairs(fo: DataFrame, dp: DataFrame, level: str = "product_key", min_c
     Pairs grow with the square of an order's items, and an order has few; items that reach ``min_count`` orders alone
     can be in a pair that does, so the others leave before pairs are made.
     """
-    items = sold(fo).join(dp.select("product_key", *{level} - {"product_key"}), "product_key").select("order_id", F.col(level).alias("item")).distinct()
+    items = (
+        sold(fo)
+        .join(dp.select("product_key", *{level} - {"product_key"}), "product_key")
+        .select("order_id", F.col(level).alias("item"))
+        .distinct()
+    )
     totals = items.groupBy("item").agg(big(F.count(F.lit(1))).alias("n"))
     every = items.agg(n_distinct("order_id").alias("every"))
     often = items.join(totals.where(F.col("n") >= min_count).select("item"), "item", "left_semi")
     a, b = often.select("order_id", F.col("item").alias("a")), often.select("order_id", F.col("item").alias("b"))
-    pairs = a.join(b, "order_id").where("a < b").groupBy("a", "b").agg(big(F.count(F.lit(1))).alias("both")).where(F.col("both") >= min_count)
-    df = pairs.join(totals.select(F.col("item").alias("a"), F.col("n").alias("na")), "a").join(totals.select(F.col("item").alias("b"), F.col("n").alias("nb")), "b").crossJoin(F.broadcast(every))
+    pairs = (
+        a.join(b, "order_id")
+        .where("a < b")
+        .groupBy("a", "b")
+        .agg(big(F.count(F.lit(1))).alias("both"))
+        .where(F.col("both") >= min_count)
+    )
+    df = (
+        pairs.join(totals.select(F.col("item").alias("a"), F.col("n").alias("na")), "a")
+        .join(totals.select(F.col("item").alias("b"), F.col("n").alias("nb")), "b")
+        .crossJoin(F.broadcast(every))
+    )
     both, na, nb, n = (F.col(c).cast("double") for c in ("both", "na", "nb", "every"))
-    out = df.select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), F.col("both").alias("co_purchase_count"), F.col("na").alias("orders_a"), F.col("nb").alias("orders_b"), ratio(both, n, 3).alias("support_pct"), ratio(both, na, 1).alias("confidence_a_to_b_pct"), rounded(both * n / (na * nb), 2).alias("lift"))
+    out = df.select(
+        F.col("a").alias("item_a"),
+        F.col("b").alias("item_b"),
+        F.col("both").alias("co_purchase_count"),
+        F.col("na").alias("orders_a"),
+        F.col("nb").alias("orders_b"),
+        ratio(both, n, 3).alias("support_pct"),
+        ratio(both, na, 1).alias("confidence_a_to_b_pct"),
+        rounded(both * n / (na * nb), 2).alias("lift"),
+    )
     return out.orderBy(F.desc("lift"), F.desc("co_purchase_count"), "item_a", "item_b").limit(limit)
 
 
-def item_similarity(fo: DataFrame, dp: DataFrame, level: str = "product_key", min_common: int = 5, min_cos: float = 0.1, limit: int = 200) -> DataFrame:
-    """Cosine of customer-normalised quantities over common customers only; rank within the first item."""
-    q = sold(fo).join(dp.select("product_key", *{level} - {"product_key"}), "product_key").groupBy("customer_key", F.col(level).alias("item")).agg(F.sum("quantity").alias("q"))
+def item_similarity(
+    fo: DataFrame,
+    dp: DataFrame,
+    level: str = "product_key",
+    min_common: int = 5,
+    min_cos: float = 0.1,
+    limit: int = 200,
+) -> DataFrame:
+    """Cosine of customer-normalised quantities over common customers only; rank within the first item.
+
+    An item needs ``min_common`` customers to have as many in common with another; the others leave before pairs are made.
+    """
+    q = (
+        sold(fo)
+        .join(dp.select("product_key", *{level} - {"product_key"}), "product_key")
+        .groupBy("customer_key", F.col(level).alias("item"))
+        .agg(F.sum("quantity").alias("q"))
+    )
     # Whole-number weights: shares of a customer's units in millionths, so that sums do not depend on their order.
-    share = q.select("customer_key", "item", F.floor(F.col("q") * 1_000_000 / F.sum("q").over(Window.partitionBy("customer_key"))).cast("bigint").alias("s")).where("s > 0")
-    a, b = share.select("customer_key", F.col("item").alias("a"), F.col("s").alias("sa")), share.select("customer_key", F.col("item").alias("b"), F.col("s").alias("sb"))
-    per = a.join(b, "customer_key").where("a < b").groupBy("a", "b").agg(big(F.count(F.lit(1))).alias("common"), F.sum(F.col("sa") * F.col("sb")).alias("dot"), F.sum(F.col("sa") * F.col("sa")).alias("aa"), F.sum(F.col("sb") * F.col("sb")).alias("bb")).where(F.col("common") >= min_common)
+    share = q.select(
+        "customer_key",
+        "item",
+        F.floor(F.col("q") * 1_000_000 / F.sum("q").over(Window.partitionBy("customer_key"))).cast("bigint").alias("s"),
+    ).where("s > 0")
+    often = share.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_common).select("item")
+    share = share.join(often, "item", "left_semi")
+    a, b = share.select("customer_key", F.col("item").alias("a"), F.col("s").alias("sa")), share.select(
+        "customer_key",
+        F.col("item").alias("b"),
+        F.col("s").alias("sb"),
+    )
+    per = (
+        a.join(b, "customer_key")
+        .where("a < b")
+        .groupBy("a", "b")
+        .agg(
+            big(F.count(F.lit(1))).alias("common"),
+            F.sum(F.col("sa") * F.col("sb")).alias("dot"),
+            F.sum(F.col("sa") * F.col("sa")).alias("aa"),
+            F.sum(F.col("sb") * F.col("sb")).alias("bb"),
+        )
+        .where(F.col("common") >= min_common)
+    )
     cos = rounded(F.col("dot").cast("double") / (F.sqrt(F.col("aa").cast("double")) * F.sqrt(F.col("bb").cast("double"))), 4)
     per = per.select("a", "b", "common", cos.alias("cos")).where(F.col("cos") > min_cos)
-    out = per.select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), F.col("common").alias("common_customers"), F.col("cos").alias("cosine_similarity"), big(F.rank().over(Window.partitionBy("a").orderBy(F.desc("cos")))).alias("similarity_rank"))
+    out = per.select(
+        F.col("a").alias("item_a"),
+        F.col("b").alias("item_b"),
+        F.col("common").alias("common_customers"),
+        F.col("cos").alias("cosine_similarity"),
+        big(F.rank().over(Window.partitionBy("a").orderBy(F.desc("cos")))).alias("similarity_rank"),
+    )
     return out.orderBy(F.desc("cosine_similarity"), "item_a", "item_b").limit(limit)
 
 
 def return_rates(fo: DataFrame, dp: DataFrame, min_orders: int = 10, limit: int = 50) -> DataFrame:
     """Refunded orders and money of products with enough orders: one pass over the facts."""
     back = F.col("order_status").isin("refunded", "partially_refunded")
-    per = sold(fo).groupBy("product_key").agg(n_distinct("order_id").alias("n"), n_distinct("order_id", back).alias("r"), F.sum("total_cents").alias("t"), F.coalesce(F.sum(F.when(back, F.col("total_cents"))), F.lit(0)).alias("rt")).where(F.col("n") >= min_orders)
-    out = per.join(dp.select("product_key", "product_name", "category_name", "brand"), "product_key").select("product_key", "product_name", "category_name", "brand", F.col("n").alias("total_orders"), F.col("r").alias("returned_orders"), ratio(F.col("r"), F.col("n"), 2).alias("return_rate_pct"), money(F.col("t")).alias("total_revenue"), money(F.col("rt")).alias("total_refunded"), ratio(F.col("rt"), F.col("t"), 2).alias("refund_rate_pct"))
+    order = sold(fo).groupBy("order_id", "product_key").agg(
+        F.sum("total_cents").alias("t"),
+        F.sum(F.when(back, F.col("total_cents"))).alias("rt"),
+        F.max(F.when(back, 1).otherwise(0)).alias("r"),
+    )
+    per = order.groupBy("product_key").agg(
+        big(F.count(F.lit(1))).alias("n"),
+        F.sum("r").alias("r"),
+        F.sum("t").alias("t"),
+        F.coalesce(F.sum("rt"), F.lit(0)).alias("rt"),
+    )
+    per = per.where(F.col("n") >= min_orders)
+    out = per.join(dp.select("product_key", "product_name", "category_name", "brand"), "product_key").select(
+        "product_key",
+        "product_name",
+        "category_name",
+        "brand",
+        F.col("n").alias("total_orders"),
+        F.col("r").alias("returned_orders"),
+        ratio(F.col("r"), F.col("n"), 2).alias("return_rate_pct"),
+        money(F.col("t")).alias("total_revenue"),
+        money(F.col("rt")).alias("total_refunded"),
+        ratio(F.col("rt"), F.col("t"), 2).alias("refund_rate_pct"),
+    )
     return out.orderBy(F.desc("return_rate_pct"), F.desc("total_orders"), "product_key").limit(limit)
 
 
 def top_products(fo: DataFrame, dp: DataFrame, inv: DataFrame, n: int = 10) -> DataFrame:
     """Products with most revenue, with margin over unit cost."""
-    per = sold(fo, NOT_SOLD).groupBy("product_key").agg(F.sum("quantity").alias("units_sold"), F.sum("total_cents").alias("cents"), n_distinct("customer_key").alias("unique_customers"))
-    df = per.join(dp.select("product_key", "sku", "product_name", "category_name"), "product_key").join(inv.select("product_key", "unit_cost_cents"), "product_key")
+    per = (
+        sold(fo, NOT_SOLD)
+        .groupBy("product_key")
+        .agg(
+            F.sum("quantity").alias("units_sold"),
+            F.sum("total_cents").alias("cents"),
+            n_distinct("customer_key").alias("unique_customers"),
+        )
+    )
+    df = per.join(dp.select("product_key", "sku", "product_name", "category_name"), "product_key").join(
+        inv.select("product_key", "unit_cost_cents"),
+        "product_key",
+    )
     cost = F.col("units_sold") * F.col("unit_cost_cents")
-    return df.orderBy(F.desc("cents"), "product_key").limit(n).select("sku", "product_name", "category_name", "units_sold", money(F.col("cents")).alias("total_revenue"), money(cost).alias("total_cost"), ratio(F.col("cents") - cost, F.col("cents"), 1).alias("gross_margin_pct"), "unique_customers")
+    return (
+        df.orderBy(F.desc("cents"), "product_key")
+        .limit(n)
+        .select(
+            "sku",
+            "product_name",
+            "category_name",
+            "units_sold",
+            money(F.col("cents")).alias("total_revenue"),
+            money(cost).alias("total_cost"),
+            ratio(F.col("cents") - cost, F.col("cents"), 1).alias("gross_margin_pct"),
+            "unique_customers",
+        )
+    )
 
 
 def inventory_health(snapshots: DataFrame, overstock: int = 10) -> DataFrame:
     """Latest snapshot by category: out of stock, low, overstocked."""
-    last = snapshots.crossJoin(F.broadcast(snapshots.agg(F.max("snapshot_date").alias("last")))).where(F.col("snapshot_date") == F.col("last"))
+    last = snapshots.crossJoin(F.broadcast(snapshots.agg(F.max("snapshot_date").alias("last")))).where(
+        F.col("snapshot_date") == F.col("last"),
+    )
     on, at = F.col("quantity_on_hand"), F.col("reorder_point")
-    return last.groupBy("category_name").agg(big(F.count(F.lit(1))).alias("sku_count"), n_where(on == 0).alias("out_of_stock"), n_where((on <= at) & (on > 0)).alias("low_stock"), n_where(on > at * overstock).alias("overstocked"), rounded(F.avg(on)).alias("avg_qty_on_hand"))
+    return last.groupBy("category_name").agg(
+        big(F.count(F.lit(1))).alias("sku_count"),
+        n_where(on == 0).alias("out_of_stock"),
+        n_where((on <= at) & (on > 0)).alias("low_stock"),
+        n_where(on > at * overstock).alias("overstocked"),
+        rounded(F.avg(on)).alias("avg_qty_on_hand"),
+    )
 
 
 def inventory_status(inv: DataFrame, dp: DataFrame, fo: DataFrame, as_of: str | None = None, days: int = 30) -> DataFrame:
@@ -88,33 +236,100 @@ def inventory_status(inv: DataFrame, dp: DataFrame, fo: DataFrame, as_of: str |
     recent = sold(with_as_of(fo, as_of, "order_date").where(F.datediff("as_of", "order_date") < days))
     pace = recent.groupBy("product_key").agg(rounded(F.sum("quantity") / float(days), 2).alias("pace"))
     have = F.col("quantity_on_hand") - F.col("quantity_reserved")
-    df = inv.join(dp.select("product_key", "sku", "product_name", "category_name", "base_price_cents"), "product_key").join(pace, "product_key", "left")
-    return df.select("product_key", "sku", "product_name", "category_name", "base_price_cents", "warehouse_id", "quantity_on_hand", "quantity_reserved", have.alias("quantity_available"), "reorder_point", F.when(have <= 0, "out_of_stock").when(have <= F.col("reorder_point"), "low_stock").otherwise("in_stock").alias("stock_status"), big(F.when(F.col("pace") > 0, rounded(have / F.col("pace")))).alias("days_of_stock"))
+    df = inv.join(dp.select("product_key", "sku", "product_name", "category_name", "base_price_cents"), "product_key").join(
+        pace,
+        "product_key",
+        "left",
+    )
+    return df.select(
+        "product_key",
+        "sku",
+        "product_name",
+        "category_name",
+        "base_price_cents",
+        "warehouse_id",
+        "quantity_on_hand",
+        "quantity_reserved",
+        have.alias("quantity_available"),
+        "reorder_point",
+        F.when(have <= 0, "out_of_stock").when(have <= F.col("reorder_point"), "low_stock").otherwise("in_stock").alias("stock_status"),
+        big(F.when(F.col("pace") > 0, rounded(have / F.col("pace")))).alias("days_of_stock"),
+    )
 
 
 def product_performance(dp: DataFrame, fo: DataFrame, fe: DataFrame, as_of: str | None = None, days: int = 90) -> DataFrame:
     """Sales, returns and 90 days of views and cart additions per product, also those never sold."""
     paid = F.col("payment_status").isin("captured", "partially_refunded", "refunded")
-    sales = sold(fo).where(paid).groupBy("product_key").agg(F.sum("quantity").alias("units"), n_distinct("order_id").alias("orders"), F.sum("total_cents").alias("cents"), n_distinct("customer_key").alias("customers"), F.min("order_date").alias("first_sale_date"), F.max("order_date").alias("last_sale_date"), n_distinct("order_id", F.col("order_status").isin("refunded", "partially_refunded")).alias("back"))
-    seen = with_as_of(fe, as_of, "occurred_at").where(F.datediff("as_of", "event_date") < days).groupBy("product_key").agg(n_where(F.col("event_type") == "product_view").alias("views"), n_where(F.col("event_type") == "add_to_cart").alias("carts"))
+    back = F.col("order_status").isin("refunded", "partially_refunded")
+    order = sold(fo).where(paid).groupBy("order_id", "customer_key", "product_key").agg(
+        F.sum("quantity").alias("units"),
+        F.sum("total_cents").alias("cents"),
+        F.min("order_date").alias("first"),
+        F.max("order_date").alias("last"),
+        F.max(F.when(back, 1).otherwise(0)).alias("back"),
+    )
+    sales = order.groupBy("product_key").agg(
+        F.count(F.lit(1)).alias("orders"),
+        n_distinct("customer_key").alias("customers"),
+        F.min("first").alias("first_sale_date"),
+        F.max("last").alias("last_sale_date"),
+        *[F.sum(c).alias(c) for c in ("units", "cents", "back")],
+    )
+    seen = (
+        with_as_of(fe, as_of, "occurred_at")
+        .where(F.datediff("as_of", "event_date") < days)
+        .groupBy("product_key")
+        .agg(n_where(F.col("event_type") == "product_view").alias("views"), n_where(F.col("event_type") == "add_to_cart").alias("carts"))
+    )
     df = dp.join(sales, "product_key", "left").join(seen, "product_key", "left")
     zero = lambda c: big(F.coalesce(c, F.lit(0)))
-    return df.select("product_key", "sku", "product_name", "category_name", "base_price_cents", zero("units").alias("units_sold"), zero("orders").alias("order_count"), zero("cents").alias("revenue_cents"), zero("customers").alias("unique_customers"), "first_sale_date", "last_sale_date", ratio(F.col("back"), F.col("orders"), 2).alias("return_rate_pct"), ratio(zero("orders"), F.col("carts"), 2).alias("cart_conversion_rate_pct"), zero("views").alias("views_90d"), zero("carts").alias("cart_adds_90d"))
+    return df.select(
+        "product_key",
+        "sku",
+        "product_name",
+        "category_name",
+        "base_price_cents",
+        zero("units").alias("units_sold"),
+        zero("orders").alias("order_count"),
+        zero("cents").alias("revenue_cents"),
+        zero("customers").alias("unique_customers"),
+        "first_sale_date",
+        "last_sale_date",
+        ratio(F.col("back"), F.col("orders"), 2).alias("return_rate_pct"),
+        ratio(zero("orders"), F.col("carts"), 2).alias("cart_conversion_rate_pct"),
+        zero("views").alias("views_90d"),
+        zero("carts").alias("cart_adds_90d"),
+    )
 
 
 def low_stock(inv: DataFrame, dp: DataFrame, threshold: int = 10) -> DataFrame:
     """Active products with little stock, least first."""
     df = inv.where(F.col("quantity_on_hand") <= threshold).join(dp.where("is_current"), "product_key")
-    return df.select("product_key", "sku", "product_name", "category_name", F.col("quantity_on_hand").alias("stock_qty"), "base_price_cents").orderBy("stock_qty", "product_key")
+    return df.select(
+        "product_key",
+        "sku",
+        "product_name",
+        "category_name",
+        F.col("quantity_on_hand").alias("stock_qty"),
+        "base_price_cents",
+    ).orderBy("stock_qty", "product_key")
 
 
 def product_rating(reviews: DataFrame, dp: DataFrame) -> DataFrame:
     """Published reviews per product: number and mean with two digits; products without any have 0 and null."""
     per = reviews.where("status = 'published'").groupBy("product_key").agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("mean"))
-    return dp.join(per, "product_key", "left").select("product_key", big(F.coalesce("n", F.lit(0))).alias("review_count"), rounded(F.col("mean"), 2).alias("avg_rating"))
+    return dp.join(per, "product_key", "left").select(
+        "product_key",
+        big(F.coalesce("n", F.lit(0))).alias("review_count"),
+        rounded(F.col("mean"), 2).alias("avg_rating"),
+    )
 
 
 def price_history(versions: DataFrame) -> DataFrame:
     """Price changes of each product: old, new, since when. ``versions``: product_key, price_cents, effective_from."""
     before = F.lag("price_cents").over(Window.partitionBy("product_key").orderBy("effective_from", "price_cents"))
-    return versions.withColumn("old_price_cents", before).where(~F.col("price_cents").eqNullSafe(F.col("old_price_cents")) & F.col("old_price_cents").isNotNull()).select("product_key", "old_price_cents", F.col("price_cents").alias("new_price_cents"), "effective_from")
+    return (
+        versions.withColumn("old_price_cents", before)
+        .where(~F.col("price_cents").eqNullSafe(F.col("old_price_cents")) & F.col("old_price_cents").isNotNull())
+        .select("product_key", "old_price_cents", F.col("price_cents").alias("new_price_cents"), "effective_from")
+    )

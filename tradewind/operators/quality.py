@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tradewind.functions.columns import big
 
@@ -31,33 +30,91 @@ class Rules:
 
 #: What each table must hold.
 RULES = {
-    "orders": Rules(("order_id", "order_number", "customer_id", "order_status", "total_cents", "order_created_at", "item_id", "product_id", "quantity", "unit_price_cents"), ("order_id", "customer_id", "order_status", "total_cents", "order_created_at", "product_id"), {"total_cents": (0, 10_000_000), "quantity": (1, 10_000), "unit_price_cents": (0, 100_000_000)}, "item_id", 0.01, "order_created_at"),
-    "customers": Rules(("customer_id", "email", "first_name", "last_name", "country_code", "created_at"), ("customer_id", "email"), {"loyalty_points": (0, 10_000_000)}, "customer_id", 0.02, "updated_at"),
-    "products": Rules(("product_id", "sku", "product_name", "category_id", "base_price_cents", "created_at"), ("product_id", "sku", "product_name"), {"base_price_cents": (0, 100_000_000), "avg_rating": (0, 5)}, "product_id", 0.02, "updated_at"),
-    "events": Rules(("event_id", "event_type", "occurred_at"), ("event_id", "event_type", "occurred_at"), {}, "event_id", 0.05, "occurred_at"),
+    "orders": Rules(
+        (
+            "order_id",
+            "order_number",
+            "customer_id",
+            "order_status",
+            "total_cents",
+            "order_created_at",
+            "item_id",
+            "product_id",
+            "quantity",
+            "unit_price_cents",
+        ),
+        ("order_id", "customer_id", "order_status", "total_cents", "order_created_at", "product_id"),
+        {"total_cents": (0, 10_000_000), "quantity": (1, 10_000), "unit_price_cents": (0, 100_000_000)},
+        "item_id",
+        0.01,
+        "order_created_at",
+    ),
+    "customers": Rules(
+        ("customer_id", "email", "first_name", "last_name", "country_code", "created_at"),
+        ("customer_id", "email"),
+        {"loyalty_points": (0, 10_000_000)},
+        "customer_id",
+        0.02,
+        "updated_at",
+    ),
+    "products": Rules(
+        ("product_id", "sku", "product_name", "category_id", "base_price_cents", "created_at"),
+        ("product_id", "sku", "product_name"),
+        {"base_price_cents": (0, 100_000_000), "avg_rating": (0, 5)},
+        "product_id",
+        0.02,
+        "updated_at",
+    ),
+    "events": Rules(
+        ("event_id", "event_type", "occurred_at"),
+        ("event_id", "event_type", "occurred_at"),
+        {},
+        "event_id",
+        0.05,
+        "occurred_at",
+    ),
 }
 
 
 def check_schema(df: DataFrame, table: str, cols: tuple[str, ...]) -> DataFrame:
     """One row per missing column, critical; one passed row when all are there."""
     missing = [c for c in cols if c not in df.columns]
-    rows = [(table, "schema", c, "CRITICAL", "FAILED", 1, len(cols)) for c in missing] or [(table, "schema", None, "INFO", "PASSED", 0, len(cols))]
+    rows = [(table, "schema", c, "CRITICAL", "FAILED", 1, len(cols)) for c in missing] or [
+        (table, "schema", None, "INFO", "PASSED", 0, len(cols))
+    ]
     return df.sparkSession.createDataFrame(rows, SCHEMA)
 
 
 def _rows(counts: DataFrame, table: str, found: list[tuple[str, str, str]], judge) -> DataFrame:
     """Unpivots one row of counts: (check, column, name of the count)."""
-    each = [F.struct(F.lit(check).alias("check_name"), F.lit(col).alias("column_name"), big(F.col(name)).alias("bad")) for check, col, name in found]
+    each = [
+        F.struct(
+            F.lit(check).alias("check_name"),
+            F.lit(col).alias("column_name"),
+            big(F.col(name)).alias("bad"),
+        ) for check, col, name in found
+    ]
     df = counts.select(big(F.col("__n")).alias("total"), F.explode(F.array(*each)).alias("x")).select("total", "x.*")
     severity, status = judge(F.col("bad"), F.col("total"))
-    return df.select(F.lit(table).alias("table_name"), "check_name", "column_name", severity.alias("severity"), status.alias("status"), "bad", "total")
+    return df.select(
+        F.lit(table).alias("table_name"),
+        "check_name",
+        "column_name",
+        severity.alias("severity"),
+        status.alias("status"),
+        "bad",
+        "total",
+    )
 
 
 def check_nulls(df: DataFrame, table: str, cols: tuple[str, ...], limit: float) -> DataFrame:
     """Null rate per column: critical over the limit, else a warning over 0; an empty table is a warning."""
     counts = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}") for i, c in enumerate(cols)])
     over = lambda bad, n: bad.cast("double") / F.nullif(n.cast("double"), F.lit(0.0)) > limit
-    judge = lambda bad, n: (F.when(n == 0, "WARNING").when(bad == 0, "INFO").when(over(bad, n), "CRITICAL").otherwise("WARNING"), F.when((n == 0) | (bad > 0), "FAILED").otherwise("PASSED"))
+    judge = lambda bad, n: (
+        F.when(n == 0, "WARNING").when(bad == 0, "INFO").when(over(bad, n), "CRITICAL").otherwise("WARNING"),
+        F.when((n == 0) | (bad > 0), "FAILED").otherwise("PASSED"),
+    )
     return _rows(counts, table, [("null_rate", c, f"n{i}") for i, c in enumerate(cols)], judge)
 
 
@@ -76,7 +133,11 @@ def check_duplicates(df: DataFrame, table: str, key: str) -> DataFrame:
     """Surplus rows of the key (null counts as one value), critical; skipped without the column."""
     if key not in df.columns:
         return df.sparkSession.createDataFrame([(table, "duplicates", key, "INFO", "SKIPPED", 0, 0)], SCHEMA)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")).agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("__n"), F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("n0"))
+    counts = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("__n"), F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("n0"))
+    )
     judge = lambda bad, n: (F.when(bad > 0, "CRITICAL").otherwise("INFO"), F.when(bad > 0, "FAILED").otherwise("PASSED"))
     return _rows(counts, table, [("duplicates", key, "n0")], judge)
 
@@ -101,12 +162,21 @@ def check_fk(df: DataFrame, table: str, fk: str, ref: DataFrame, key: str) -> Da
     """Rows whose foreign key the other table lacks, a warning; a null key is an orphan."""
     known = ref.select(F.col(key).alias("__k")).distinct().withColumn("__known", F.lit(1))
     per = df.groupBy(F.col(fk).alias("__k")).agg(F.count(F.lit(1)).alias("k")).join(known, "__k", "left")
-    counts = per.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("__n"), F.coalesce(F.sum(F.when(F.col("__known").isNull(), F.col("k"))), F.lit(0)).alias("n0"))
+    counts = per.agg(
+        F.coalesce(F.sum("k"), F.lit(0)).alias("__n"),
+        F.coalesce(F.sum(F.when(F.col("__known").isNull(), F.col("k"))), F.lit(0)).alias("n0"),
+    )
     judge = lambda bad, n: (F.when(bad > 0, "WARNING").otherwise("INFO"), F.when(bad > 0, "FAILED").otherwise("PASSED"))
     return _rows(counts, table, [("referential", fk, "n0")], judge)
 
 
-def run_checks(df: DataFrame, table: str, rules: Rules, as_of: str | None = None, refs: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+def run_checks(
+    df: DataFrame,
+    table: str,
+    rules: Rules,
+    as_of: str | None = None,
+    refs: dict[str, tuple[DataFrame, str]] | None = None,
+) -> DataFrame:
     """All checks of a table; a broken schema stops after its own check."""
     checks = [check_schema(df, table, rules.required)]
     if any(c not in df.columns for c in rules.required):
@@ -124,7 +194,12 @@ def run_checks(df: DataFrame, table: str, rules: Rules, as_of: str | None = None
 def summarize(checks: DataFrame) -> DataFrame:
     """Per table: FAILED with a critical failure, DEGRADED with a warning, else PASSED; and counts."""
     failed = lambda s: big(F.count(F.when((F.col("status") == "FAILED") & (F.col("severity") == s), 1)))
-    by = checks.groupBy("table_name").agg(big(F.count(F.lit(1))).alias("checks"), big(F.count(F.when(F.col("status") == "PASSED", 1))).alias("passed"), failed("CRITICAL").alias("critical"), failed("WARNING").alias("warnings"))
+    by = checks.groupBy("table_name").agg(
+        big(F.count(F.lit(1))).alias("checks"),
+        big(F.count(F.when(F.col("status") == "PASSED", 1))).alias("passed"),
+        failed("CRITICAL").alias("critical"),
+        failed("WARNING").alias("warnings"),
+    )
     return by.withColumn("status", F.when(F.col("critical") > 0, "FAILED").when(F.col("warnings") > 0, "DEGRADED").otherwise("PASSED"))
 
 
@@ -132,9 +207,16 @@ class QualityError(RuntimeError):
     """A critical check failed: the load must not start."""
 
 
-def quality_gate(tables: dict[str, tuple[DataFrame, Rules]], as_of: str | None = None, refs: dict[str, dict[str, tuple[DataFrame, str]]] | None = None) -> DataFrame:
+def quality_gate(
+    tables: dict[str, tuple[DataFrame, Rules]],
+    as_of: str | None = None,
+    refs: dict[str, dict[str, tuple[DataFrame, str]]] | None = None,
+) -> DataFrame:
     """Checks of all tables; raises when one has failed critically. The report is a row per check."""
-    checks = reduce(DataFrame.unionByName, [run_checks(df, name, rules, as_of, (refs or {}).get(name)) for name, (df, rules) in tables.items()])
+    checks = reduce(
+        DataFrame.unionByName,
+        [run_checks(df, name, rules, as_of, (refs or {}).get(name)) for name, (df, rules) in tables.items()],
+    )
     failed = [r["table_name"] for r in summarize(checks).where("status = 'FAILED'").collect()]
     if failed:
         raise QualityError(f"critical checks failed for {', '.join(sorted(failed))}")
@@ -157,17 +239,35 @@ def validate_csv(lines: DataFrame, table: str, max_nulls: float = 0.05, max_bad:
     required = RAW_REQUIRED[table]
     # Commas outside quotes get a mark, and the line is split at marked commas.
     split = F.split(F.regexp_replace("value", '("[^"]*")|(,)', "$1\u0001$2"), "\u0001,")
-    cells = lines.withColumn("cells", F.transform(split, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "\u0001", ""), '^"|"$', ""))))
+    cells = lines.withColumn(
+        "cells",
+        F.transform(split, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "\u0001", ""), '^"|"$', ""))),
+    )
     head = cells.where("pos = 0").select("file", F.col("cells").alias("head"))
     body = cells.where("pos > 0 and trim(value) <> ''").join(head, "file")
     at = lambda c: F.array_position("head", c).cast("int")
     empty = lambda c: F.when(at(c) > 0, F.coalesce(F.get("cells", at(c) - 1), F.lit("")) == "").otherwise(False)
-    per = body.groupBy("file").agg(big(F.count(F.lit(1))).alias("rows"), big(F.count(F.when(F.size("cells") != F.size("head"), 1))).alias("malformed"), *[big(F.count(F.when(empty(c), 1))).alias(f"empty_{i}") for i, c in enumerate(required[:3])])
+    per = body.groupBy("file").agg(
+        big(F.count(F.lit(1))).alias("rows"),
+        big(F.count(F.when(F.size("cells") != F.size("head"), 1))).alias("malformed"),
+        *[big(F.count(F.when(empty(c), 1))).alias(f"empty_{i}") for i, c in enumerate(required[:3])],
+    )
     df = head.join(per, "file", "left").na.fill(0)
     missing = F.filter(F.array(*[F.when(at(c) == 0, F.lit(c)) for c in required]), lambda c: c.isNotNull())
-    sparse = F.filter(F.array(*[F.when(F.col(f"empty_{i}") > max_nulls * F.col("rows"), F.lit(c)) for i, c in enumerate(required[:3])]), lambda c: c.isNotNull())
+    sparse = F.filter(
+        F.array(*[F.when(F.col(f"empty_{i}") > max_nulls * F.col("rows"), F.lit(c)) for i, c in enumerate(required[:3])]),
+        lambda c: c.isNotNull(),
+    )
     bad = (F.size(missing) > 0) | (F.col("malformed") > max_bad * F.col("rows"))
-    return df.select("file", F.lit(table).alias("table_name"), "rows", "malformed", F.array_join(missing, ",").alias("missing_columns"), F.array_join(sparse, ",").alias("sparse_columns"), F.when(bad, "INVALID").otherwise("VALID").alias("status"))
+    return df.select(
+        "file",
+        F.lit(table).alias("table_name"),
+        "rows",
+        "malformed",
+        F.array_join(missing, ",").alias("missing_columns"),
+        F.array_join(sparse, ",").alias("sparse_columns"),
+        F.when(bad, "INVALID").otherwise("VALID").alias("status"),
+    )
 
 
 def validate_jsonl(lines: DataFrame, table: str, max_bad: float = 0.05) -> DataFrame:
@@ -181,7 +281,13 @@ def validate_jsonl(lines: DataFrame, table: str, max_bad: float = 0.05) -> DataF
         lacks = lacks | F.get_json_object("value", f"$.{k}").isNull()
     bad = parsed.isNull() | ~F.trim("value").startswith("{") | lacks
     per = text.groupBy("file").agg(big(F.count(F.lit(1))).alias("rows"), big(F.count(F.when(bad, 1))).alias("errors"))
-    return per.select("file", F.lit(table).alias("table_name"), "rows", "errors", F.when(F.col("errors") > max_bad * F.col("rows"), "INVALID").otherwise("VALID").alias("status"))
+    return per.select(
+        "file",
+        F.lit(table).alias("table_name"),
+        "rows",
+        "errors",
+        F.when(F.col("errors") > max_bad * F.col("rows"), "INVALID").otherwise("VALID").alias("status"),
+    )
 
 
 def route_files(results: DataFrame) -> DataFrame:
@@ -191,6 +297,9 @@ def route_files(results: DataFrame) -> DataFrame:
 
 
 def read_lines(spark, path: str) -> DataFrame:
-    """Lines of text files with their file and position (gzip is read as well)."""
+    """Lines of text files with their file and position (gzip is read as well): 0 for a file's first line, then rising;
+    where a file is read in pieces, each piece starts at a higher number than the one before ended."""
     text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"), "value")
-    return text.withColumn("pos", (F.col("id") - F.min("id").over(Window.partitionBy("file"))).cast("bigint")).drop("id")
+    # One row per file; no task gathers a file's lines.
+    first = text.groupBy("file").agg(F.min("id").alias("first"))
+    return text.join(first, "file").select("file", "value", (F.col("id") - F.col("first")).alias("pos"))

@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tradewind.functions.clean import row_hash
 from tradewind.functions.columns import big
+from tradewind.functions.ranks import numbered
 
 
 def scd2_diff(source: DataFrame, current: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
@@ -34,8 +34,16 @@ def scd2_apply(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list
     touched = diff.where("change <> 'unchanged'")
     ended = dim.join(touched.where("change = 'changed'").select(*keys, F.lit(True).alias("__ends")), keys, "left")
     ends = F.col("is_current") & F.coalesce("__ends", F.lit(False))
-    kept = ended.withColumn("effective_to", F.when(ends, day).otherwise(F.col("effective_to"))).withColumn("is_current", F.col("is_current") & ~ends).drop("__ends")
-    begun = source.join(touched.select(*keys), keys, "left_semi").select(*[c for c in source.columns if c in dim.columns]).withColumns({"effective_from": day, "effective_to": F.lit(None).cast("date"), "is_current": F.lit(True)})
+    kept = (
+        ended.withColumn("effective_to", F.when(ends, day).otherwise(F.col("effective_to")))
+        .withColumn("is_current", F.col("is_current") & ~ends)
+        .drop("__ends")
+    )
+    begun = (
+        source.join(touched.select(*keys), keys, "left_semi")
+        .select(*[c for c in source.columns if c in dim.columns])
+        .withColumns({"effective_from": day, "effective_to": F.lit(None).cast("date"), "is_current": F.lit(True)})
+    )
     return kept.select(*dim.columns).unionByName(begun, allowMissingColumns=True)
 
 
@@ -47,27 +55,37 @@ def map_fact_orders(orders: DataFrame, dim_c: DataFrame, dim_p: DataFrame, dim_d
     return orders.join(c, "customer_id").join(p, "product_id").join(F.broadcast(d), "order_date", "left").drop("customer_id", "product_id")
 
 
+def one_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the smallest, column by column, so that a repeated run takes the same."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return (
+        df.groupBy(*keys)
+        .agg(F.min(F.struct(*rest)).alias("__row"))
+        .select(*[F.col(f"__row.{c}").alias(c) if c in rest else c for c in df.columns])
+    )
+
+
 def append_new(df: DataFrame, target: DataFrame, key: str, lookback_hours: int | None = None, now: str | None = None) -> DataFrame:
-    """Rows to append: one per key, without keys that the target has (of the last hours only, where given)."""
+    """Rows to append: one per key, without keys that the target has (of the last hours only, where given). Of several
+    rows of a key the smallest, column by column, is taken."""
     if lookback_hours is not None:
         target = target.where(F.col("dw_loaded_at") >= F.lit(now).cast("timestamp") - F.make_interval(hours=F.lit(lookback_hours)))
-    return df.dropDuplicates([key]).join(target.select(key), key, "left_anti")
+    return one_each(df, [key]).join(target.select(key), key, "left_anti")
 
 
 def insert_ignore(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Target and the rows whose keys it lacks, one per key."""
-    return target.unionByName(df.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti"))
+    """Target and the rows whose keys it lacks, one per key (the smallest, column by column)."""
+    return target.unionByName(one_each(df, keys).join(target.select(*keys), keys, "left_anti"))
 
 
-def assign_keys(df: DataFrame, order: list[str], name: str, start: int = 1) -> DataFrame:
-    """Consecutive keys from ``start`` in the order of the (unique) natural key, without sorting in one task: rows are
-    dealt by hash, numbered within their part, and moved by the number of rows in the parts before."""
-    part = F.pmod(F.xxhash64(*order), F.lit(1024))
-    df = df.withColumn("__part", part)
-    sizes = df.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # At most 1024 rows.
-    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    return df.join(F.broadcast(before), "__part").withColumn(name, (F.row_number().over(Window.partitionBy("__part").orderBy(*order)) + F.col("__before") + (start - 1)).cast("bigint")).drop("__part", "__before")
+def assign_keys(df: DataFrame, order: list[str], name: str, start: int = 1, existing: DataFrame | None = None) -> DataFrame:
+    """Consecutive keys in the order of the (unique) natural key, from ``start`` or, where a table that has keys already
+    is given, from the one after its largest. No task sorts everything."""
+    if existing is not None:
+        start = max(start, (existing.agg(F.max(name)).first()[0] or 0) + 1)
+    return numbered(df, order, name, start)
 
 
 def as_of_join(fact: DataFrame, dim: DataFrame, key: str, day: str) -> DataFrame:
@@ -80,13 +98,25 @@ def map_fact_events(events: DataFrame, sessions: DataFrame, dim_c: DataFrame, di
     """Event facts: date key, nullable customer and product keys, session attributes."""
     c, p = dim_c.select("customer_key", F.lit(1).alias("__c")), dim_p.select("product_key", F.lit(1).alias("__p"))
     df = events.join(sessions, "session_id", "left").join(c, "customer_key", "left").join(p, "product_key", "left")
-    return df.select("event_id", F.date_format("occurred_at", "yyyyMMdd").cast("bigint").alias("event_date_key"), F.when(F.col("__c") == 1, F.col("customer_key")).alias("customer_key"), F.when(F.col("__p") == 1, F.col("product_key")).alias("product_key"), "session_id", "event_type", "occurred_at", *[c for c in sessions.columns if c != "session_id"])
-
-
-def geo_dim(dc: DataFrame, start: int = 1) -> DataFrame:
-    """Distinct country, state, city with keys."""
+    return df.select(
+        "event_id",
+        F.date_format("occurred_at", "yyyyMMdd").cast("bigint").alias("event_date_key"),
+        F.when(F.col("__c") == 1, F.col("customer_key")).alias("customer_key"),
+        F.when(F.col("__p") == 1, F.col("product_key")).alias("product_key"),
+        "session_id",
+        "event_type",
+        "occurred_at",
+        *[c for c in sessions.columns if c != "session_id"],
+    )
+
+
+def geo_dim(dc: DataFrame, start: int = 1, existing: DataFrame | None = None) -> DataFrame:
+    """Distinct country, state, city with keys; ``existing``: places that have theirs already, which keep them."""
     places = dc.select("country_code", "state_province", "city").distinct()
-    return assign_keys(places, ["country_code", "state_province", "city"], "geography_key", start)
+    if existing is None:
+        return assign_keys(places, places.columns, "geography_key", start)
+    new = places.join(existing, [places[c].eqNullSafe(existing[c]) for c in places.columns], "left_anti")
+    return existing.select(*places.columns, "geography_key").unionByName(assign_keys(new, places.columns, "geography_key", start, existing))
 
 
 def resolve_categories(categories: DataFrame) -> DataFrame:
@@ -99,7 +129,8 @@ def category_paths(spark: SparkSession, categories: DataFrame) -> DataFrame:
     """Each category with its full path from the top, by recursive SQL over the tree."""
     categories.createOrReplaceTempView("__categories")
     return spark.sql("""with recursive tree(category_id, path) as (select category_id, name from __categories where parent_id is null
-      union all select c.category_id, concat(t.path, ' / ', c.name) from __categories c join tree t on c.parent_id = t.category_id) select category_id, path from tree""")
+      union all select c.category_id, concat(t.path, ' / ', c.name) from __categories c join tree t on c.parent_id = t.category_id)
+        select category_id, path from tree""")
 
 
 def get_watermark(spark: SparkSession, path: str, table: str, now: str, default_hours: int = 2) -> DataFrame:
@@ -118,4 +149,6 @@ def get_watermark(spark: SparkSession, path: str, table: str, now: str, default_
 
 def put_watermark(spark: SparkSession, path: str, table: str, window_end: str) -> None:
     """Appended only after the table's rows are written."""
-    spark.range(1).select(F.lit(table).alias("table_name"), F.lit(window_end).cast("timestamp").alias("window_end")).write.mode("append").parquet(path)
+    spark.range(1).select(F.lit(table).alias("table_name"), F.lit(window_end).cast("timestamp").alias("window_end")).write.mode(
+        "append",
+    ).parquet(path)

@@ -5,26 +5,27 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.clean import clean_strings
 from tradewind.operators import quality, warehouse
 from tradewind.sources import lake
 
-REFRESH_LOG = "mart string, seconds double, status string, error string"
+REFRESH_LOG = "mart string, seconds double, row_count long, status string, error string"
 
 
 def refresh_marts(spark: SparkSession, marts: dict[str, Callable[[], DataFrame]], base: str, version: str) -> DataFrame:
-    """Recomputes each mart into a new version folder; one that fails is logged and the others go on."""
+    """Recomputes each mart into a new version folder and counts its rows while they are written; one that fails is
+    logged and the others go on."""
     rows = []
     for name, build in marts.items():
-        began = time.time()
+        began, seen = time.time(), Observation(name)
         try:
-            lake.publish_mart(build(), base, name, version)
-            rows.append((name, time.time() - began, "SUCCESS", None))
+            lake.publish_mart(build().observe(seen, F.count(F.lit(1)).alias("n")), base, name, version)
+            rows.append((name, time.time() - began, seen.get["n"], "SUCCESS", None))
         except Exception as e:  # noqa: BLE001  whatever a mart raises goes into the log
-            rows.append((name, time.time() - began, "ERROR", str(e)[:500]))
+            rows.append((name, time.time() - began, None, "ERROR", str(e)[:500]))
     lake.log_rows(spark, f"{base}/refresh_log", rows, REFRESH_LOG)
     return spark.createDataFrame(rows, REFRESH_LOG)
 
@@ -46,7 +47,7 @@ def run(spark: SparkSession, source: DataFrame, table: str, key: str, ts_col: st
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        part = part.dropDuplicates([key])
+        part = warehouse.one_each(part, [key])
     before = time.time()
     lake.append_fact(part, target)
     loaded = spark.read.parquet(target).where(F.col("dw_loaded_at") >= F.timestamp_seconds(F.lit(before))).count()

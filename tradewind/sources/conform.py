@@ -16,7 +16,10 @@ CENTS = {
 CODE = "case when l_discount >= 0.045 then concat('SAVE', cast(cast(floor(l_discount * 100 + 0.5) as int) as {text})) end"
 METHOD = "case o_orderkey % 3 when 0 then 'credit_card' when 1 then 'paypal' else 'debit_card' end"
 TIER = "case when c_acctbal < 1700 then 'bronze' when c_acctbal < 4300 then 'silver' when c_acctbal < 7300 then 'gold' else 'platinum' end"
-EVENT = "case event_type when 'view' then 'page_view' when 'click' then 'product_view' when 'signup' then 'add_to_cart' when 'error' then 'checkout_start' else event_type end"
+EVENT = (
+    "case event_type when 'view' then 'page_view' when 'click' then 'product_view' when 'signup' then 'add_to_cart' when 'error' "
+    "then 'checkout_start' else event_type end"
+)
 SOURCE = "case when k < 25 then 'google' when k < 50 then 'facebook' when k < 75 then 'newsletter' end"
 MEDIUM = "case when k < 25 then 'cpc' when k < 50 then 'social' when k < 75 then 'email' end"
 
@@ -29,13 +32,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def newest_order(spark: SparkSession, sf_dir: str) -> str:
+    """The day of the newest order: ``as_of`` of the order queries, as a literal that filters can use at the scan."""
+    return read(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("date").cast("string")).first()[0]
+
+
+def newest_event(spark: SparkSession, sf_dir: str) -> str:
+    """The day of the newest event."""
+    return read(spark, sf_dir, "events").agg(F.max("ts").cast("date").cast("string")).first()[0]
+
+
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order item. Nations are a dimension of fixed size; customers join by key, by size of the data."""
+    """One row per order item. Nations are a dimension of fixed size. Orders meet customers first, so that the items,
+    the largest table, are dealt out once."""
     item, order = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
     customer, nation = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
     home = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).select("c_custkey", "n_name")
-    df = item.join(order, item.l_orderkey == order.o_orderkey).join(home, F.col("o_custkey") == F.col("c_custkey"))
-    return df.select(
+    placed = order.join(home, F.col("o_custkey") == F.col("c_custkey"))
+    return item.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_key"),
         F.col("l_partkey").alias("product_key"),
@@ -54,10 +68,17 @@ def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: the sums of its items; cancelled or refunded where an item is."""
     fo = fact_orders(spark, sf_dir)
     any_of = lambda s: F.max((F.col("order_status") == s).cast("int")) == 1
-    return fo.groupBy("order_id", "customer_key", F.col("ordered_at").alias("created_at"), "payment_method", "shipping_country").agg(
-        F.when(any_of("cancelled"), "cancelled").when(any_of("refunded"), "refunded").when(any_of("delivered"), "delivered").otherwise("pending").alias("status"),
-        *[F.sum(c).alias(c) for c in ("discount_cents", "tax_cents", "total_cents", "quantity")],
-    ).withColumn("payment_status", F.when(F.col("status") == "cancelled", "pending").otherwise("captured")).withColumn("shipping_cents", (F.col("order_id") % 5 * 100).cast("bigint"))
+    return (
+        fo.groupBy("order_id", "customer_key", F.col("ordered_at").alias("created_at"), "payment_method", "shipping_country")
+        .agg(
+            F.when(any_of("cancelled"), "cancelled").when(any_of("refunded"), "refunded").when(any_of("delivered"), "delivered").otherwise(
+                "pending",
+            ).alias("status"),
+            *[F.sum(c).alias(c) for c in ("discount_cents", "tax_cents", "total_cents", "quantity")],
+        )
+        .withColumn("payment_status", F.when(F.col("status") == "cancelled", "pending").otherwise("captured"))
+        .withColumn("shipping_cents", (F.col("order_id") % 5 * 100).cast("bigint"))
+    )
 
 
 def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,22 +145,32 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLES = {
     "fo": f"""select l_orderkey as order_id, o_custkey as customer_key, l_partkey as product_key, cast(o_orderdate as date) as order_date,
   o_orderdate + to_hours(o_orderkey % 24) as ordered_at, {STATUS} as order_status, cast(l_quantity as bigint) as quantity,
-  {", ".join(f"{cents(e)} as {c}" for c, e in CENTS.items())}, {CODE.format(text="varchar")} as discount_code, {METHOD} as payment_method, n_name as shipping_country,
+  {", ".join(f"{cents(e)} as {c}" for c, e in CENTS.items())}, {CODE.format(text="varchar")} as discount_code, {METHOD} as payment_method,
+    n_name as shipping_country,
   case when {STATUS} = 'cancelled' then 'pending' else 'captured' end as payment_status
   from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey""",
-    "oh": """select *, case when status = 'cancelled' then 'pending' else 'captured' end as payment_status, cast(order_id % 5 * 100 as bigint) as shipping_cents from (
+    "oh": """select *, case when status = 'cancelled' then 'pending' else 'captured' end as payment_status, cast(order_id % 5 * 100 as
+  bigint) as shipping_cents from (
   select order_id, customer_key, ordered_at as created_at, payment_method, shipping_country,
-  case when bool_or(order_status = 'cancelled') then 'cancelled' when bool_or(order_status = 'refunded') then 'refunded' when bool_or(order_status = 'delivered') then 'delivered' else 'pending' end as status,
-  cast(sum(discount_cents) as bigint) as discount_cents, cast(sum(tax_cents) as bigint) as tax_cents, cast(sum(total_cents) as bigint) as total_cents, cast(sum(quantity) as bigint) as quantity
+  case when bool_or(order_status = 'cancelled') then 'cancelled' when bool_or(order_status = 'refunded') then 'refunded'
+    when bool_or(order_status = 'delivered') then 'delivered' else 'pending' end as status,
+  cast(sum(discount_cents) as bigint) as discount_cents, cast(sum(tax_cents) as bigint) as tax_cents, cast(sum(total_cents) as bigint) as
+    total_cents, cast(sum(quantity) as bigint) as quantity
   from fo group by all)""",
-    "fe": f"""select event_id, ts as occurred_at, cast(ts as date) as event_date, user_id as customer_key, concat(cast(user_id as varchar), '-', cast(cast(ts as date) as varchar)) as session_id,
-  {EVENT} as event_type, event_id % 200 as product_key, {SOURCE} as utm_source, {MEDIUM} as utm_medium, props from (select *, cast(json_extract_string(props, '$.k') as int) as k from events)""",
-    "dc": f"""select c_custkey as customer_key, c_name as customer_name, concat('c', cast(c_custkey as varchar), '@example.com') as email, n_name as country_code, r_name as state_province,
-  c_mktsegment as city, c_mktsegment as acquisition_source, {TIER} as loyalty_tier, c_acctbal as balance, date '1995-01-01' + cast(c_custkey % 365 as int) as customer_since_date
+    "fe": f"""select event_id, ts as occurred_at, cast(ts as date) as event_date, user_id as customer_key, concat(cast(user_id as varchar),
+  '-', cast(cast(ts as date) as varchar)) as session_id,
+  {EVENT} as event_type, event_id % 200 as product_key, {SOURCE} as utm_source, {MEDIUM} as utm_medium, props
+    from (select *, cast(json_extract_string(props, '$.k') as int) as k from events)""",
+    "dc": f"""select c_custkey as customer_key, c_name as customer_name, concat('c', cast(c_custkey as varchar), '@example.com') as email,
+  n_name as country_code, r_name as state_province,
+  c_mktsegment as city, c_mktsegment as acquisition_source, {TIER} as loyalty_tier, c_acctbal as balance, date '1995-01-01' + cast(c_custkey
+    % 365 as int) as customer_since_date
   from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
-    "dp": f"""select p_partkey as product_key, concat('SKU-', cast(p_partkey as varchar)) as sku, p_name as product_name, p_type as category_name, p_brand as brand,
+    "dp": f"""select p_partkey as product_key, concat('SKU-', cast(p_partkey as varchar)) as sku, p_name as product_name, p_type as
+  category_name, p_brand as brand,
   {cents("p_retailprice")} as base_price_cents, p_size as size from part""",
-    "inv": f"""select p_partkey as product_key, concat('WH-', cast(p_size % 4 as varchar)) as warehouse_id, p_partkey * 7 % 60 as quantity_on_hand, least(p_partkey % 5, p_partkey * 7 % 60) as quantity_reserved,
+    "inv": f"""select p_partkey as product_key, concat('WH-', cast(p_size % 4 as varchar)) as warehouse_id, p_partkey * 7 % 60 as
+  quantity_on_hand, least(p_partkey % 5, p_partkey * 7 % 60) as quantity_reserved,
   cast(p_size % 20 as bigint) as reorder_point, {cents("p_retailprice")} * 60 // 100 as unit_cost_cents from part""",
 }
 

@@ -23,10 +23,35 @@ def extract_window(df: DataFrame, ts_col: str, lo: str, hi: str) -> DataFrame:
     return df.where((at > F.lit(lo).cast(kind)) & (at <= F.lit(hi).cast(kind)))
 
 
-def extract_jdbc(spark: SparkSession, url: str, table: str, ts_col: str, lo: str, hi: str, column: str, lower: int, upper: int, partitions: int = 8, **options: str) -> DataFrame:
+def extract_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    ts_col: str,
+    lo: str,
+    hi: str,
+    column: str,
+    lower: int,
+    upper: int,
+    partitions: int = 8,
+    **options: str,
+) -> DataFrame:
     """The same from a database: the window is evaluated there, and ``partitions`` ranges of ``column`` are read at once."""
     query = f"(select * from {table} where {ts_col} > '{lo}' and {ts_col} <= '{hi}') w"
-    return spark.read.format("jdbc").options(url=url, dbtable=query, partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=partitions, fetchsize=10_000, **options).load()
+    return (
+        spark.read.format("jdbc")
+        .options(
+            url=url,
+            dbtable=query,
+            partitionColumn=column,
+            lowerBound=lower,
+            upperBound=upper,
+            numPartitions=partitions,
+            fetchsize=10_000,
+            **options,
+        )
+        .load()
+    )
 
 
 def in_days(df: DataFrame, ts_col: str, lo: str, hi: str) -> DataFrame:
@@ -71,7 +96,13 @@ def write_lake(df: DataFrame, base: str, table: str, ts_col: str | None = None)
 def read_lake(spark: SparkSession, base: str, table: str, day: str | None = None) -> DataFrame:
     """The whole table or one day's partition (pruned); partition columns stay text and are kept."""
     df = spark.read.option("basePath", f"{base}/{table}").parquet(f"{base}/{table}")
-    df = df.withColumns({"year": F.lpad(F.col("year").cast("string"), 4, "0"), "month": F.lpad(F.col("month").cast("string"), 2, "0"), "day": F.lpad(F.col("day").cast("string"), 2, "0")})
+    df = df.withColumns(
+        {
+            "year": F.lpad(F.col("year").cast("string"), 4, "0"),
+            "month": F.lpad(F.col("month").cast("string"), 2, "0"),
+            "day": F.lpad(F.col("day").cast("string"), 2, "0"),
+        },
+    )
     return prune(df, day)
 
 
@@ -82,18 +113,52 @@ def prune(df: DataFrame, day: str | None) -> DataFrame:
     return df.where((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
 
 
-def register_lake(spark: SparkSession, base: str, tables: tuple[str, ...], raw: dict[str, str] | None = None) -> None:
-    """Views over Parquet tables, and over raw CSV (header skipped, timestamps left as text; name: DDL)."""
-    for t in tables:
-        read_lake(spark, base, t).createOrReplaceTempView(t)
-    for t, ddl in (raw or {}).items():
-        spark.read.schema(ddl).option("header", True).csv(f"{base}/{t}").createOrReplaceTempView(t)
+#: The columns of the four processed tables and of raw events (timestamps are text there).
+PROCESSED = {
+    "orders": """order_id string, order_number string, customer_id string, order_status string, payment_status string, payment_method string,
+        subtotal_cents bigint, discount_cents bigint, shipping_cents bigint, tax_cents bigint, total_cents bigint, discount_code string,
+        shipping_country string, shipping_city string, shipping_state string, order_created_at timestamp, confirmed_at timestamp,
+        shipped_at timestamp, delivered_at timestamp, item_id bigint, product_id string, product_sku string, product_name string, quantity int,
+        unit_price_cents bigint, item_discount_cents bigint, item_total_cents bigint, category_id int, category_name string, brand string""",
+    "events": """event_id string, session_id string, customer_id string, anonymous_id string, event_type string, occurred_at timestamp,
+        page_url string, page_title string, referrer_url string, product_id string, order_id string, search_query string, properties_json string""",
+    "customers": """customer_id string, email string, email_verified boolean, first_name string, last_name string, phone string,
+        country_code string, city string, state_province string, postal_code string, is_active boolean, is_guest boolean, marketing_opt_in boolean,
+        acquisition_source string, acquisition_medium string, loyalty_points int, loyalty_tier string, created_at timestamp,
+        updated_at timestamp, last_login_at timestamp""",
+    "products": """product_id string, sku string, name string, category_id int, category_name string, brand string, base_price_cents int,
+        sale_price_cents int, cost_price_cents int, is_active boolean, is_digital boolean, review_count int, avg_rating double,
+        created_at timestamp, updated_at timestamp""",
+}
+RAW = {"events": PROCESSED["events"].replace("occurred_at timestamp", "occurred_at string")}
+_DAYS = ", year string, month string, day string"
+
+
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the table's declared columns, in order and of their types; those it lacks are null."""
+    kinds = df.sparkSession.createDataFrame([], PROCESSED[table]).schema.fields
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
+
+
+def register_lake(spark: SparkSession, base: str, tables: dict[str, str] | None = None, raw: dict[str, str] | None = None) -> None:
+    """Views over the Parquet tables of the processed zone (name: DDL), with text partition columns year, month and day,
+    and as ``raw_`` over quoted CSV of the raw zone (header skipped, timestamps left as text)."""
+    for t, ddl in (PROCESSED if tables is None else tables).items():
+        spark.read.schema(ddl + _DAYS).parquet(f"{base}/processed/{t}").createOrReplaceTempView(t)
+    for t, ddl in (RAW if raw is None else raw).items():
+        spark.read.schema(ddl + _DAYS).option("header", True).csv(f"{base}/raw/{t}").createOrReplaceTempView(f"raw_{t}")
 
 
 def lake_join_dim(lake: DataFrame, dc: DataFrame, year: str, month: str) -> DataFrame:
     """Customers and revenue per country and tier of one month's partitions, joined with the warehouse dimension."""
-    df = lake.where((F.col("year") == year) & (F.col("month") == month)).join(dc.select("customer_key", "country_code", "loyalty_tier"), "customer_key")
-    return df.groupBy("country_code", "loyalty_tier").agg(big(F.count_distinct("customer_key")).alias("customers"), big(F.sum("total_cents")).alias("revenue_cents"))
+    df = lake.where((F.col("year") == year) & (F.col("month") == month)).join(
+        dc.select("customer_key", "country_code", "loyalty_tier"),
+        "customer_key",
+    )
+    return df.groupBy("country_code", "loyalty_tier").agg(
+        big(F.count_distinct("customer_key")).alias("customers"),
+        big(F.sum("total_cents")).alias("revenue_cents"),
+    )
 
 
 def append_fact(df: DataFrame, path: str) -> None:
@@ -105,14 +170,18 @@ def quarantine(df: DataFrame, table: str, base: str, reason: str, at: str) -> st
     """Appends rejected rows with reason and time under table/YYYY/MM/DD/HHMMSS of ``at`` (yyyy-MM-dd HH:mm:ss)."""
     day, time = at.split(" ")
     path = f"{base}/{table}/{day.replace('-', '/')}/{time.replace(':', '')}"
-    df.withColumn("quarantine_reason", F.lit(reason)).withColumn("quarantined_at", F.lit(at).cast("timestamp")).write.mode("append").parquet(path)
+    df.withColumn("quarantine_reason", F.lit(reason)).withColumn("quarantined_at", F.lit(at).cast("timestamp")).write.mode(
+        "append",
+    ).parquet(path)
     return path
 
 
 def write_report(report: DataFrame, base: str, run_id: str, at: str, keep_days: int = 90) -> str:
     """Report rows as JSON by table and date, with an expiry."""
     day = F.lit(at).cast("timestamp")
-    out = report.withColumns({"run_id": F.lit(run_id), "created_at": day, "expires_at": day + F.make_interval(days=F.lit(keep_days)), "date": F.lit(at[:10])})
+    out = report.withColumns(
+        {"run_id": F.lit(run_id), "created_at": day, "expires_at": day + F.make_interval(days=F.lit(keep_days)), "date": F.lit(at[:10])},
+    )
     out.write.mode("append").partitionBy("table_name", "date").json(base)
     return base
 
@@ -131,7 +200,10 @@ def export_all(tables: dict[str, tuple[DataFrame, str, int]], day: str, base: st
     for name, (df, ts, hours) in tables.items():
         seen = Observation(name)
         lo = F.lit(f"{end} 00:00:00").cast("timestamp") - F.make_interval(hours=F.lit(hours))
-        part = df.where((F.col(ts) >= lo) & (F.col(ts) < F.lit(f"{end} 00:00:00").cast("timestamp"))).observe(seen, F.count(F.lit(1)).alias("n"))
+        part = df.where((F.col(ts) >= lo) & (F.col(ts) < F.lit(f"{end} 00:00:00").cast("timestamp"))).observe(
+            seen,
+            F.count(F.lit(1)).alias("n"),
+        )
         part.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(f"{base}/{name}/{day}")
         counts.append((name, seen.get["n"]))
     return counts
@@ -143,6 +215,7 @@ def log_rows(spark: SparkSession, path: str, rows: list[tuple], ddl: str) -> Non
 
 
 EXPORT_LOG = "table_name string, window_start string, window_end string, row_count long, status string, error string"
+ARCHIVE_LOG = "table_name string, partition_name string, row_count long, path string"
 MAINTENANCE_LOG = "table_name string, partition_name string, action string"
 
 
@@ -155,21 +228,29 @@ def publish_mart(df: DataFrame, base: str, name: str, version: str) -> str:
 
 def partition_inventory(df: DataFrame, ts: str, cols: tuple[str, ...] = ("year", "month")) -> DataFrame:
     """Exact rows and first and last time per partition."""
-    return add_partition_cols(df, ts).groupBy(*cols).agg(big(F.count(F.lit(1))).alias("row_count"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at"))
+    return (
+        add_partition_cols(df, ts)
+        .groupBy(*cols)
+        .agg(big(F.count(F.lit(1))).alias("row_count"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at"))
+    )
 
 
 def partition_gaps(df: DataFrame, ts: str, start: str, end: str, unit: str = "month") -> DataFrame:
     """Months or days of the range without data."""
     step = {"month": "interval 1 month", "day": "interval 1 day"}[unit]
     expected = df.sparkSession.range(1).select(F.explode(F.expr(f"sequence(date '{start}', date '{end}', {step})")).alias("part"))
-    have = df.select(F.trunc(F.col(ts).cast("date"), "month").alias("part") if unit == "month" else F.col(ts).cast("date").alias("part")).distinct()
+    have = df.select(
+        F.trunc(F.col(ts).cast("date"), "month").alias("part") if unit == "month" else F.col(ts).cast("date").alias("part"),
+    ).distinct()
     return expected.join(have, "part", "left_anti")
 
 
 def expired_partitions(df: DataFrame, ts: str, months: int, as_of: str | None = None) -> DataFrame:
     """Monthly partitions that end before ``months`` ago (by default from the newest row), with their rows."""
     parts = df.groupBy(F.trunc(F.col(ts).cast("date"), "month").alias("part")).agg(big(F.count(F.lit(1))).alias("row_count"))
-    now = df.agg(F.max(F.col(ts)).cast("date").alias("now")) if as_of is None else df.sparkSession.range(1).select(F.lit(as_of).cast("date").alias("now"))
+    now = df.agg(F.max(F.col(ts)).cast("date").alias("now")) if as_of is None else df.sparkSession.range(1).select(
+        F.lit(as_of).cast("date").alias("now"),
+    )
     return parts.crossJoin(F.broadcast(now)).where(F.add_months("part", 1) <= F.add_months("now", -months)).select("part", "row_count")
 
 
@@ -178,18 +259,41 @@ def months_from_days(days: int, rule: str = "ceil") -> int:
     return -(-days // 30) if rule == "ceil" else max(1, days // 30)
 
 
-def archive_old(df: DataFrame, ts: str, base: str, as_of: str, years: int = 2, dry_run: bool = True) -> DataFrame:
-    """Rows of months before the month ``years`` ago; unless dry, written as CSV with a header by month."""
-    cut = F.trunc(F.add_months(F.lit(as_of).cast("date"), -12 * years), "month")
-    old = df.where(F.col(ts).cast("date") < cut)
-    if not dry_run:
-        add_partition_cols(old, ts).drop("day").write.mode("append").partitionBy("year", "month").option("header", True).csv(base)
-    return old
+def archive_old(spark: SparkSession, base: str, table: str, archive: str, as_of: str, years: int = 2, dry_run: bool = False) -> list[
+    tuple[str, int]
+]:
+    """Moves the months of a lake table before the month ``years`` ago to CSV with a header; returns (partition, rows).
+
+    What was written is read back and counted by month; only if every count is right are the partitions dropped and the
+    moves logged under ``archive``/log. A dry run only counts.
+    """
+    cut = F.date_format(F.add_months(F.lit(as_of).cast("date"), -12 * years), "yyyy-MM")
+    month = F.concat_ws("-", "year", "month")
+    count = lambda df: {(r["year"], r["month"]): r["n"] for r in df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()}
+    old = read_lake(spark, base, table).where(month < cut)
+    rows = count(old)
+    moved = [(f"{table}_{y}_{m}", n) for (y, m), n in sorted(rows.items())]
+    if dry_run or not rows:
+        return moved
+    path = f"{archive}/{as_of}/{table}"
+    old.write.mode("overwrite").partitionBy("year", "month").option("header", True).option("quoteAll", True).csv(path)
+    text = spark.read.schema(", ".join(f"`{c}` string" for c in [*(c for c in old.columns if c not in ("year", "month")), "year", "month"]))
+    if count(text.option("header", True).option("multiLine", True).csv(path)) != rows:
+        raise RuntimeError(f"the archive at {path} does not hold all rows: nothing was dropped")
+    for y, m in rows:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{table}/year={y}/month={m}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    log_rows(spark, f"{archive}/log", [(table, name, n, path) for name, n in moved], ARCHIVE_LOG)
+    return moved
 
 
 def register_partitions(spark: SparkSession, table: str, base: str, parts: list[tuple[str, str, str]], chunk: int = 100) -> int:
     """Adds date partitions to a catalog table, those it has are left alone."""
     for lo in range(0, len(parts), chunk):
-        each = " ".join(f"PARTITION (year='{y}', month='{m}', day='{d}') LOCATION '{base}/year={y}/month={m}/day={d}'" for y, m, d in parts[lo : lo + chunk])
+        each = " ".join(
+            f"PARTITION (year='{y}', month='{m}', day='{d}') LOCATION '{base}/year={y}/month={m}/day={d}'" for y, m, d in parts[
+                lo : lo + chunk
+            ]
+        )
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {each}")
     return len(parts)

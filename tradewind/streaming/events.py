@@ -5,44 +5,101 @@ The column functions work on static and streaming frames alike; the sink runs in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-FIELDS = ("event_id", "session_id", "customer_id", "anonymous_id", "event_type", "occurred_at", "page_url", "page_title", "referrer_url", "product_id", "order_id", "search_query", "properties")
+FIELDS = (
+    "event_id",
+    "session_id",
+    "customer_id",
+    "anonymous_id",
+    "event_type",
+    "occurred_at",
+    "page_url",
+    "page_title",
+    "referrer_url",
+    "product_id",
+    "order_id",
+    "search_query",
+    "properties",
+)
 EVENT = "struct<" + ",".join(f"{f}:string" for f in FIELDS) + ">"
 #: Event types and the longest texts kept.
-TYPES = ("page_view", "product_view", "add_to_cart", "remove_from_cart", "checkout_start", "checkout_step", "purchase", "search", "wishlist_add", "coupon_applied", "session_start", "session_end")
+TYPES = (
+    "page_view",
+    "product_view",
+    "add_to_cart",
+    "remove_from_cart",
+    "checkout_start",
+    "checkout_step",
+    "purchase",
+    "search",
+    "wishlist_add",
+    "coupon_applied",
+    "session_start",
+    "session_end",
+)
 LONGEST = {"page_url": 2048, "page_title": 500, "search_query": 500}
 UUID = "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
-TARGET = "event_id string, event_type string, occurred_at timestamp, session_id string, customer_id string, anonymous_id string, page_url string, page_title string, referrer_url string, product_id string, order_id string, search_query string, properties string"
+TARGET = "event_id string, event_type string, occurred_at timestamp, session_id string, customer_id string, anonymous_id string, page_url string, page_title string, referrer_url string, product_id string, order_id string, search_query string, properties string, event_date date"
+METRICS = "valid long, inserted long, failed long, elapsed_ms long"
+#: How long a queue may deliver a message again.
+REDELIVERY_DAYS = 14
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
-    """One row per event of each message (``message_id``, ``body``); a message that is no object or array (of
-    objects) gives one row with an error. The n-th event of a message has ``pos`` n, from 0."""
+    """One row per event of each message (``message_id``, ``body`` and, if the queue tells it, ``sent_at``); a message
+    that is no object or array (of objects) gives one row with an error. The n-th event of a message has ``pos`` n,
+    from 0."""
+    if "sent_at" not in raw.columns:
+        raw = raw.withColumn("sent_at", F.lit(None).cast("timestamp"))
     body = F.trim("body")
     sound = F.try_parse_json(body).isNotNull()
-    many = F.when(sound & body.startswith("["), F.from_json(body, f"array<{EVENT}>")).when(sound & body.startswith("{"), F.array(F.from_json(body, EVENT)))
+    many = F.when(sound & body.startswith("["), F.from_json(body, f"array<{EVENT}>")).when(
+        sound & body.startswith("{"),
+        F.array(F.from_json(body, EVENT)),
+    )
     df = raw.withColumn("events", many).select("*", F.posexplode_outer("events").alias("pos", "e"))
-    broken = F.when(F.col("events").isNull(), "body is not a JSON object or array").when(F.col("e").isNull() & F.col("pos").isNotNull(), "array element is not an object")
-    return df.where("pos is not null or events is null").select("message_id", "body", F.coalesce("pos", F.lit(0)).alias("pos"), "e.*", broken.alias("error"))
+    broken = F.when(F.col("events").isNull(), "body is not a JSON object or array").when(
+        F.col("e").isNull() & F.col("pos").isNotNull(),
+        "array element is not an object",
+    )
+    df = df.where("pos is not null or events is null")
+    return df.select("message_id", "body", "sent_at", F.coalesce("pos", F.lit(0)).alias("pos"), "e.*", broken.alias("error"))
 
 
 def validate_events(events: DataFrame, now: str | None = None) -> DataFrame:
     """Cleaned events with ``error``: a type is required and must be known; times are ISO or epoch milliseconds, absent
-    ones become ``now``; ids that are no UUID become null, an absent event_id is made from message and position, so a
-    retry gives the same; long texts are cut."""
-    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    ones become the time the message was sent, or ``now`` (``timed``: whether the event has a time of its own); ids that
+    are no UUID become null, an absent event_id is made from message and position, so a retry gives the same; long texts
+    are cut."""
+    at = F.coalesce("sent_at", F.lit(now).cast("timestamp") if now else F.current_timestamp())
     kind = F.nullif(F.lower(F.trim("event_type")), F.lit(""))
     raw = F.nullif(F.trim("occurred_at"), F.lit(""))
-    time = F.when(raw.isNull(), at).when(raw.rlike("^[0-9]+$"), F.timestamp_millis(raw.try_cast("bigint"))).otherwise(F.try_to_timestamp(raw))
+    when = (
+        F.when(raw.isNull(), at)
+        .when(raw.rlike("^[0-9]+$"), F.timestamp_millis(raw.try_cast("bigint")))
+        .otherwise(F.try_to_timestamp(raw))
+    )
     uuid = lambda c: F.when(F.col(c).rlike(UUID), F.lower(c))
     h = F.sha2(F.concat_ws("-", "message_id", "pos"), 256)
     made = F.concat_ws("-", *[F.substring(h, i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    error = F.coalesce(F.col("error"), F.when(kind.isNull(), "event_type is required"), F.when(~kind.isin(*TYPES), F.concat(F.lit("unknown event_type: "), kind)), F.when(time.isNull(), "occurred_at is not a time"))
+    error = F.coalesce(
+        F.col("error"),
+        F.when(kind.isNull(), "event_type is required"),
+        F.when(~kind.isin(*TYPES), F.concat(F.lit("unknown event_type: "), kind)),
+        F.when(when.isNull(), "occurred_at is not a time"),
+    )
+    texts = ("page_url", "page_title", "referrer_url", "product_id", "order_id", "search_query", "properties")
     cut = {c: F.substring(c, 1, n) for c, n in LONGEST.items()}
-    return events.select("message_id", "pos", "body", F.coalesce(uuid("event_id"), made).alias("event_id"), kind.alias("event_type"), time.alias("occurred_at"), *[uuid(c).alias(c) for c in ("session_id", "customer_id")], "anonymous_id", *[cut.get(c, F.col(c)).alias(c) for c in ("page_url", "page_title", "referrer_url", "product_id", "order_id", "search_query", "properties")], error.alias("error"))
+    return events.select(
+        "message_id", "pos", "body", F.coalesce(uuid("event_id"), made).alias("event_id"), kind.alias("event_type"), when.alias("occurred_at"),
+        *[uuid(c).alias(c) for c in ("session_id", "customer_id")], "anonymous_id", *[cut.get(c, F.col(c)).alias(c) for c in texts],
+        raw.isNotNull().alias("timed"), error.alias("error"),
+    )
 
 
 def dead_letters(events: DataFrame) -> DataFrame:
@@ -51,9 +108,17 @@ def dead_letters(events: DataFrame) -> DataFrame:
 
 
 def fresh_events(events: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Valid events that the target lacks, one per (event_id, occurred_at)."""
-    ok = events.where("error is null").drop("error", "message_id", "pos", "body").dropDuplicates(["event_id", "occurred_at"])
-    return ok.join(target.select("event_id", "occurred_at"), ["event_id", "occurred_at"], "left_anti") if target is not None else ok
+    """Valid events that the target lacks, one per (event_id, occurred_at); an event without a time of its own is known
+    by its id alone, as a later delivery would give it another time."""
+    ok = events.where("error is null").drop("error", "message_id", "pos", "body")
+    own = ok.where("timed").drop("timed").dropDuplicates(["event_id", "occurred_at"])
+    bare = ok.where("not timed").drop("timed").dropDuplicates(["event_id"])
+    # A time given and a time taken may be the same in one batch.
+    bare = bare.join(own.select("event_id"), "event_id", "left_anti")
+    if target is not None:
+        own = own.join(target.select("event_id", "occurred_at"), ["event_id", "occurred_at"], "left_anti")
+        bare = bare.join(target.select("event_id"), "event_id", "left_anti")
+    return own.unionByName(bare)
 
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -64,27 +129,50 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def ingest_batch(batch: DataFrame, batch_id: int, target: str, letters: str, metrics: str) -> None:
     """Writes one micro-batch. A batch that is run again finds its events in the target, and overwrites its own letters
-    and metrics, which lie in folders named by the batch."""
-    spark = batch.sparkSession
+    and metrics, which lie in folders named by the batch. The target lies by day, and only the days that the batch's
+    events can be in are read: their own, and for events without a time those of possible earlier deliveries."""
+    spark, began = batch.sparkSession, time.monotonic()
     events = validate_events(parse_events(batch)).persist()
     try:
-        days = fresh_events(events, _stored(spark, target, TARGET))
-        days.write.mode("append").parquet(target)
+        day = F.when(F.col("error").isNull(), F.col("occurred_at").cast("date"))
+        seen = events.agg(
+            F.min(F.when(F.col("timed"), day).otherwise(F.date_sub(day, REDELIVERY_DAYS))),
+            F.max(day),
+            F.count(F.when(F.col("error").isNull(), 1)),
+            F.count(F.when(F.col("error").isNotNull(), 1)),
+        )
+        lo, hi, valid, failed = seen.first()
+        have = _stored(spark, target, TARGET).where(F.col("event_date").between(F.lit(lo), F.lit(hi))) if valid else None
+        count = Observation(f"inserted-{batch_id}")
+        new = (
+            fresh_events(events, have)
+            .withColumn("event_date", F.col("occurred_at").cast("date"))
+            .observe(count, F.count(F.lit(1)).alias("n"))
+        )
+        new.write.mode("append").partitionBy("event_date").parquet(target)
         dead_letters(events).withColumn("failed_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{letters}/batch={batch_id}")
-        events.agg(F.count(F.when(F.col("error").isNull(), 1)).alias("valid"), F.count(F.when(F.col("error").isNotNull(), 1)).alias("failed")).withColumn("at", F.current_timestamp()).write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
+        row = [(valid, count.get["n"], failed, int((time.monotonic() - began) * 1000))]
+        spark.createDataFrame(row, METRICS).withColumn("at", F.current_timestamp()).write.mode("overwrite").parquet(
+            f"{metrics}/batch={batch_id}",
+        )
     finally:
         events.unpersist()
 
 
 def start_ingest(raw: DataFrame, target: str, letters: str, metrics: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Streams messages into the target: every 5 seconds, or (``once``) all that is there."""
-    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda b, i: ingest_batch(b, i, target, letters, metrics))
+    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda b, i: ingest_batch(b, i, target, letters, metrics),
+    )
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
 
 
 def stream_funnel(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Daily sessions per step on a stream: tumbling windows with a watermark; sessions are estimated, as exact distinct
-    counts have no bounded state."""
+    """Daily sessions per step on a stream: tumbling windows with a watermark. A session counts once per step and day;
+    what was counted is remembered until the watermark passes, so state is bounded by ``delay``."""
     steps = ("page_view", "product_view", "add_to_cart", "checkout_start", "purchase")
-    counts = [F.approx_count_distinct(F.when(F.col("event_type") == s, F.col("session_id"))).alias(s) for s in steps]
-    return events.withWatermark("occurred_at", delay).groupBy(F.window("occurred_at", "1 day")).agg(*counts).select(F.col("window.start").cast("date").alias("event_date"), *steps)
+    at = events.withWatermark("occurred_at", delay).where(F.col("event_type").isin(*steps))
+    # The day's first moment stands for the event, so that repeats are equal and the watermark can drop them.
+    day = at.select(F.window("occurred_at", "1 day").alias("day"), "event_type", "session_id").distinct()
+    counts = [F.count(F.when(F.col("event_type") == s, F.col("session_id"))).alias(s) for s in steps]
+    return day.groupBy("day").agg(*counts).select(F.col("day.start").cast("date").alias("event_date"), *steps)
