@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tradewind.llm import textvec as tv
 from tradewind.llm.shared import discard, save, texts
 
-SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE, PARITIES = 5, 80, 3, 1e-4, 11, 16, 1 << 20, 1024
+SHINGLE, PERCENT, K, MISS, SEED, SMALL_BUCKET, COARSE, PARITIES, ORDER = 5, 80, 3, 1e-4, 11, 16, 1 << 20, 1024, 1 << 18
 
 
 def collection_size(percent: int, k: int = K, miss: float = MISS) -> int:
@@ -194,30 +194,44 @@ def _rest(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs among ``sets`` (class, component, shingles) of different components: an exact prefix join.
 
     A pair that reaches the threshold shares a shingle between the first n - ceil(2pn / (1 + p)) + 1 of the smaller set
-    and the first n - ceil(pn) + 1 of the larger one, in any order of shingles that both follow; rarest first keeps
-    the shingles that a whole group shares out of the prefixes of sets that are not linked with it. Within a group whose
+    and the first n - ceil(pn) + 1 of the larger one, in any order of shingles that both follow. The order is by how
+    often the shingle's hash class (of ``ORDER``, so the counts have a fixed size) occurs: rarest first keeps the
+    shingles that a whole group shares out of the prefixes of sets that are not linked with it. Within a group whose
     members differ by a little more than the threshold allows, prefixes still meet; there the parities tell.
     """
+    place = lambda found: ((found >> tv.U(23)) % tv.U(ORDER)).astype(np.int64)
+    tokens = lambda batch: [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at, n = np.unique(place(np.concatenate(tokens(batch))), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["place", "n"])
+
+    often = np.zeros(ORDER, np.int64)
+    counted = sets.select("shingles").mapInArrow(tally, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    often[counted["place"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    shipped = sets.sparkSession.sparkContext.broadcast(often)
+    words = [f"m{w}" for w in range(PARITIES // 64)]
+    own = ["class", "component", *words]
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                found = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
-                n = np.array([len(x) for x in found])
-                at = pa.array(np.repeat(np.arange(len(n)), n))
-                own = [part.column("class").take(at), part.column("component").take(at), pa.array(n).take(at)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(np.concatenate(found))], ["class", "component", "n", "shingle"])
-
-    rows = sets.mapInArrow(spread, "class long, component long, n long, shingle long")
-    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    own = ["class", "component", "n"]
-    ordered = rows.join(often, "shingle").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
-    prefix = F.slice("order", 1, (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int"))
-    words = [f"m{w}" for w in range(PARITIES // 64)]
+                found = tokens(part)
+                size = np.array([len(x) for x in found])
+                take = size - -(-percent * size // 100) + 1
+                first = [x[np.lexsort((x, shipped.value[place(x)]))[:k]] for x, k in zip(found, take.tolist(), strict=True)]
+                at = np.repeat(np.arange(len(size)), take)
+                pos = np.arange(len(at)) - np.repeat(np.cumsum(take) - take, take)
+                columns = [part.column(c).take(pa.array(at)) for c in own]
+                more = [pa.array(size[at]), pa.array(pos), pa.array(np.concatenate(first).view(np.int64))]
+                yield pa.RecordBatch.from_arrays([*columns, *more], [*own, "n", "pos", "shingle"])
+
     bits = classes.select("class", *[F.get("bits", w).alias(m) for w, m in enumerate(words)])
-    own += words
-    probe = ordered.join(bits, "class").select(*own, F.posexplode(prefix).alias("pos", "x")).select(*own, "pos", "x.shingle")
+    schema = ", ".join(f"{c} long" for c in [*own, "n", "pos", "shingle"])
+    probe = sets.join(bits, "class").select(*own, "shingles").mapInArrow(prefixes, schema)
     probe = save(probe, "prefixes")
     mixed = (
         probe.groupBy("shingle")
@@ -281,6 +295,9 @@ def near_duplicates(
     # Numbered as they are written, so the number stays.
     classes = named.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), *[F.first(c).alias(c) for c in ("n_shingles", "halves", "bits")])
     classes = save(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    # The hashes of a class are those of all its rows.
+    rows = save(signed.drop("halves", "bits"), "rows")
+    discard(signed)
     met = _met(classes, m)
     star = met.where(F.col("class") > F.col("least")).select(F.col("class").alias("a"), F.col("least").alias("b"))
     small = met.where(F.col("n") <= SMALL_BUCKET).select("key", "class")
@@ -326,7 +343,7 @@ def near_duplicates(
     least = each.groupBy("component").agg(F.min("first").alias("least"))
     label = save(each.join(least, "component").select("d1", "d2", "least"), "labels")
     discard(links, large, members, classes, found)
-    out = signed.drop("halves", "bits").join(label, ["d1", "d2"], "left")
+    out = rows.join(label, ["d1", "d2"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     out = out.withColumn("component_id", F.when(linked, F.col("least.doc_id")).otherwise(F.col("doc_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
