@@ -20,12 +20,13 @@ def work_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it again: lineage ends there.
 
-    Reads after a lost executor come from the written table, never from executor memory.
+    Reads after a lost executor come from the written table, never from executor memory. ``spark``: the session that
+    reads it; a stream's batch has a session without adaptive plans, which its further work need not share.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -233,16 +233,21 @@ RAW_REQUIRED = {
 }
 
 
-def validate_csv(lines: DataFrame, table: str, max_nulls: float = 0.05, max_bad: float = 0.10) -> DataFrame:
-    """Per file: rows, malformed rows (another number of fields than the header), missing columns, columns among the
-    first three required whose null share is over ``max_nulls``, and the verdict. ``lines``: file, pos (0: header), value."""
-    required = RAW_REQUIRED[table]
+def csv_cells(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``cells``: the trimmed fields of each ``value``; commas inside double quotes divide nothing."""
     # Commas outside quotes get a mark, and the line is split at marked commas.
     split = F.split(F.regexp_replace("value", '("[^"]*")|(,)', "$1\u0001$2"), "\u0001,")
-    cells = lines.withColumn(
+    return lines.withColumn(
         "cells",
         F.transform(split, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "\u0001", ""), '^"|"$', ""))),
     )
+
+
+def validate_csv(lines: DataFrame, table: str, max_nulls: float = 0.05, max_bad: float = 0.10) -> DataFrame:
+    """Per file: rows, malformed rows (another number of fields than the header), missing columns, columns among the
+    first three required whose null share is over ``max_nulls``, and the verdict. ``lines``: file, pos (0: header), value."""
+    required = RAW_REQUIRED[table]
+    cells = csv_cells(lines)
     head = cells.where("pos = 0").select("file", F.col("cells").alias("head"))
     body = cells.where("pos > 0 and trim(value) <> ''").join(head, "file")
     at = lambda c: F.array_position("head", c).cast("int")

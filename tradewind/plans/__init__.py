@@ -1,6 +1,6 @@
 """Queries over a data folder, their SQL, and the batch job."""
 
-from tradewind.plans import operations  # noqa: F401  registers its queries
+from tradewind.plans import exchange, operations  # noqa: F401  register their queries
 from tradewind.plans.analytics import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

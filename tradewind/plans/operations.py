@@ -251,8 +251,7 @@ def _scheduled(s: SparkSession, d: str) -> DataFrame:
 )
 def _job_log(s: SparkSession, d: str) -> DataFrame:
     base = scratch(s)
-    counts = lake.export_all({"events": (fact_events(s, d), "occurred_at", 24)}, "2024-01-15", base)
-    lake.log_rows(s, f"{base}/log", [(t, "2024-01-15", "2024-01-16", n, "SUCCESS", None) for t, n in counts], lake.EXPORT_LOG)
+    lake.export_jobs(s, [lake.Export("events", fact_events(s, d), "occurred_at")], base, f"{base}/log", "2024-01-15")
     return s.read.parquet(f"{base}/log").select("table_name", "row_count", "status")
 
 

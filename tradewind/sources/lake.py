@@ -5,13 +5,16 @@ Base folders are zones: raw, processed, curated, quarantine. Partition columns y
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Callable
+from datetime import UTC, date, datetime, timedelta
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.clean import add_partition_cols
 from tradewind.functions.columns import big
+from tradewind.functions.store import save
 
 PARTS = ("year", "month", "day")
 
@@ -23,37 +26,6 @@ def extract_window(df: DataFrame, ts_col: str, lo: str, hi: str) -> DataFrame:
     return df.where((at > F.lit(lo).cast(kind)) & (at <= F.lit(hi).cast(kind)))
 
 
-def extract_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    ts_col: str,
-    lo: str,
-    hi: str,
-    column: str,
-    lower: int,
-    upper: int,
-    partitions: int = 8,
-    **options: str,
-) -> DataFrame:
-    """The same from a database: the window is evaluated there, and ``partitions`` ranges of ``column`` are read at once."""
-    query = f"(select * from {table} where {ts_col} > '{lo}' and {ts_col} <= '{hi}') w"
-    return (
-        spark.read.format("jdbc")
-        .options(
-            url=url,
-            dbtable=query,
-            partitionColumn=column,
-            lowerBound=lower,
-            upperBound=upper,
-            numPartitions=partitions,
-            fetchsize=10_000,
-            **options,
-        )
-        .load()
-    )
-
-
 def in_days(df: DataFrame, ts_col: str, lo: str, hi: str) -> DataFrame:
     """Rows of the half-open window [lo, hi)."""
     at, kind = F.col(ts_col), df.schema[ts_col].dataType
@@ -193,8 +165,6 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 def export_all(tables: dict[str, tuple[DataFrame, str, int]], day: str, base: str) -> list[tuple[str, int]]:
     """Exports each table (frame, time column, hours back from the day's end); rows are counted while they are written."""
-    from pyspark.sql import Observation
-
     end = date.fromisoformat(day) + timedelta(days=1)
     counts = []
     for name, (df, ts, hours) in tables.items():
@@ -209,23 +179,140 @@ def export_all(tables: dict[str, tuple[DataFrame, str, int]], day: str, base: st
     return counts
 
 
+class Export(NamedTuple):
+    """One export: a frame (or what makes it), and for a windowed one its time column and the hours back from ``day``'s end."""
+
+    name: str
+    frame: DataFrame | Callable[[], DataFrame]
+    ts_col: str | None = None
+    hours: int = 24
+    day: str | None = None
+
+
+def bytes_under(spark: SparkSession, path: str) -> int:
+    """Size of all files in a folder, as the file system counts it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def export_jobs(spark: SparkSession, jobs: list[Export], base: str, log: str, run_day: str, quote_all: bool = True, single: bool = False) -> DataFrame:
+    """Runs each export to CSV under base/name/day and appends its row to the log: window, rows, bytes, path, start, end,
+    status, error. Rows are counted while they are written; an export that fails is logged, with the folder it may have
+    begun, and the others go on. Returns the rows."""
+    rows = []
+    for job in jobs:
+        day = job.day or run_day
+        path, began = f"{base}/{job.name}/{day}", datetime.now(UTC).replace(tzinfo=None)
+        lo = hi = None
+        try:
+            df = job.frame() if callable(job.frame) else job.frame
+            if job.ts_col:
+                end = datetime.fromisoformat(day) + timedelta(days=1)
+                lo, hi = f"{end - timedelta(hours=job.hours)}", f"{end}"
+                df = in_days(df, job.ts_col, lo, hi)
+            seen = Observation(job.name)
+            df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+            out = (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True)
+            out.option("quoteAll", quote_all).csv(path)
+            end = (seen.get["n"], bytes_under(spark, path), "SUCCESS", None)
+        except Exception as e:  # noqa: BLE001  whatever an export raises goes into the log
+            end = (None, None, "FAILED", str(e)[:500])
+        n, size, status, error = end
+        rows.append((job.name, lo, hi, n, size, path, began, datetime.now(UTC).replace(tzinfo=None), status, error))
+    log_rows(spark, log, rows, EXPORT_LOG)
+    return spark.createDataFrame(rows, EXPORT_LOG)
+
+
+def export_reports(spark: SparkSession, reports: dict[str, Callable[[], DataFrame]], base: str, log: str, day: str, like: str = "") -> DataFrame:
+    """Runs all reports, or those whose name has ``like`` in it, to one CSV file each; a report is small. Returns the log."""
+    some = [Export(name, make) for name, make in reports.items() if like.lower() in name.lower()]
+    return export_jobs(spark, some, base, log, day, quote_all=False, single=True)
+
+
 def log_rows(spark: SparkSession, path: str, rows: list[tuple], ddl: str) -> None:
     """Appends audit rows (exports, refreshes, maintenance)."""
     spark.createDataFrame(rows, ddl).withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
-EXPORT_LOG = "table_name string, window_start string, window_end string, row_count long, status string, error string"
+EXPORT_LOG = (
+    "table_name string, window_start string, window_end string, row_count long, bytes long, path string, started_at timestamp_ntz, "
+    "ended_at timestamp_ntz, status string, error string"
+)
 ARCHIVE_LOG = "table_name string, partition_name string, row_count long, path string"
 MAINTENANCE_LOG = "table_name string, partition_name string, action string"
 
 
+MANIFEST = "version string, seq long, rows long, published_at timestamp"
+DAYS_MANIFEST = "day date, version string, seq long"
+
+
+def _manifest(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """What has been published; empty at first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    return spark.read.schema(ddl).parquet(path) if there else spark.createDataFrame([], ddl)
+
+
+def _next(manifest: DataFrame) -> int:
+    return (manifest.agg(F.max("seq")).first()[0] or 0) + 1
+
+
 def publish_mart(df: DataFrame, base: str, name: str, version: str) -> str:
-    """Writes a mart as a new version folder; readers take the newest, nothing is overwritten while it is read."""
-    path = f"{base}/{name}/version={version}"
-    df.write.mode("overwrite").parquet(path)
+    """Writes a mart as a new version folder, then names it in the manifest: readers go by the manifest, so they stay on
+    the old version until the new one is whole, and for good if it fails. Nothing is overwritten while it is read."""
+    spark, path, seen = df.sparkSession, f"{base}/{name}/version={version}", Observation(f"published-{name}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    log = f"{base}/{name}/_manifest"
+    row = spark.createDataFrame([(version, _next(_manifest(spark, log, MANIFEST)), seen.get["n"])], "version string, seq long, rows long")
+    row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(log)
     return path
 
 
+def mart_version(spark: SparkSession, base: str, name: str) -> str | None:
+    """The newest version that was published, or None."""
+    return _manifest(spark, f"{base}/{name}/_manifest", MANIFEST).agg(F.max_by("version", "seq")).first()[0]
+
+
+def read_mart(spark: SparkSession, base: str, name: str, version: str | None = None) -> DataFrame:
+    """The published mart, or the version asked for."""
+    version = version or mart_version(spark, base, name)
+    if version is None:
+        raise ValueError(f"no version of {name} has been published")
+    return spark.read.parquet(f"{base}/{name}/version={version}")
+
+
+def changed_days(df: DataFrame, ts_col: str, lo: str | None, hi: str) -> DataFrame:
+    """``day``: the days of the rows in the change window (lo, hi]; with ``lo`` None of all rows to ``hi``."""
+    changed = extract_window(df, ts_col, lo, hi) if lo else df.where(F.col(ts_col) <= F.lit(hi).cast(df.schema[ts_col].dataType))
+    return changed.select(F.col(ts_col).cast("date").alias("day")).distinct()
+
+
+def refresh_days(days: DataFrame, build: Callable[[DataFrame], DataFrame], base: str, name: str, day_col: str, version: str) -> int:
+    """Recomputes a daily mart for ``days`` (``day``) only. ``build`` gets these days and makes the mart's rows for them.
+
+    Each day has its own newest version: rows go to day=/version= folders, by dynamic partition overwrite, so a run that
+    is repeated replaces its own folders and touches no other; then the manifest names them. A day without rows any more
+    is named as well and reads as empty. Returns the number of days."""
+    spark = days.sparkSession
+    days = save(days.select("day").where("day is not null"), "changed-days")
+    out = build(days)
+    out = out.withColumns({"day": F.col(day_col), "version": F.lit(version)}).hint("rebalance", "day")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "version").parquet(f"{base}/{name}/data")
+    log = f"{base}/{name}/_days"
+    seq = _next(_manifest(spark, log, DAYS_MANIFEST))
+    named = days.withColumns({"version": F.lit(version), "seq": F.lit(seq).cast("long")})
+    named.coalesce(1).write.mode("append").parquet(log)
+    return days.count()
+
+
+def read_days(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A daily mart as published: of each day its newest version. Folders of other versions are pruned by the join."""
+    valid = _manifest(spark, f"{base}/{name}/_days", DAYS_MANIFEST).groupBy("day").agg(F.max_by("version", "seq").alias("version"))
+    rows = spark.read.option("basePath", f"{base}/{name}/data").parquet(f"{base}/{name}/data")
+    rows = rows.withColumns({"day": F.col("day").cast("date"), "version": F.col("version").cast("string")})
+    return rows.join(valid, ["day", "version"]).drop("day", "version")
+
+
 def partition_inventory(df: DataFrame, ts: str, cols: tuple[str, ...] = ("year", "month")) -> DataFrame:
     """Exact rows and first and last time per partition."""
     return (
