@@ -63,3 +63,10 @@ def with_as_of(df: DataFrame, as_of: str | None, col: str) -> DataFrame:
     if as_of is not None:
         return df.withColumn("as_of", F.lit(as_of).cast("date"))
     return df.crossJoin(F.broadcast(latest(df, col)))
+
+
+def with_first(df: DataFrame, key: str, at: Column) -> DataFrame:
+    """``df``, which is read twice, with ``first``: the key's smallest ``at``. A value per key is joined back, so a key
+    with very many rows is split; a null key is a key."""
+    first = df.groupBy(F.col(key).alias("__key")).agg(F.min(at).alias("first"))
+    return df.join(first, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")

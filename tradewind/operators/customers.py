@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradewind.functions.columns import NOT_SOLD, big, money, month, months_between_starts, n_distinct, n_where, ratio, rounded, sold, with_as_of
-from tradewind.functions.ranks import global_positions, percent_rank, tile
+from tradewind.functions.columns import NOT_SOLD, big, money, month, months_between_starts, n_distinct, n_where, ratio, rounded, sold, with_as_of, with_first
+from tradewind.functions.ranks import ROWS_PER_RANGE, approximate_positions, carried, global_positions, percent_rank, tile
 from tradewind.functions.store import save
 
 
-def customer_ltv(fo: DataFrame, dc: DataFrame) -> DataFrame:
-    """Per customer: orders, revenue, dates, and the place of the revenue among all customers."""
+def customer_ltv(fo: DataFrame, dc: DataFrame, approx: bool = False) -> DataFrame:
+    """Per customer: orders, revenue, dates, and the place of the revenue among all customers (``approx``: by a sketch)."""
     per = sold(fo).groupBy("customer_key").agg(
         n_distinct("order_id").alias("order_count"),
         F.sum("total_cents").alias("cents"),
@@ -26,7 +26,8 @@ def customer_ltv(fo: DataFrame, dc: DataFrame) -> DataFrame:
         F.max("order_date").alias("last_order_date"),
     )
     per = per.join(dc.select("customer_key", "email", "loyalty_tier", "acquisition_source"), "customer_key")
-    per = global_positions(per, {"rev": ("cents", False)}, "customer_key", ranked=("rev",)).withColumn("decile", tile("rev", 10))
+    positions = approximate_positions if approx else global_positions
+    per = positions(per, {"rev": ("cents", False)}, "customer_key", ranked=("rev",)).withColumn("decile", tile("rev", 10))
     return per.select(
         "customer_key", "email", "loyalty_tier", "acquisition_source", "order_count",
         money(F.col("cents")).alias("lifetime_revenue"),
@@ -53,11 +54,11 @@ def _recency(fo: DataFrame, as_of: str | None, months: int | None, without: tupl
     )
 
 
-def rfm_scores(fo: DataFrame, as_of: str | None = None, months: int = 12, direction: str = "literal") -> DataFrame:
+def rfm_scores(fo: DataFrame, as_of: str | None = None, months: int = 12, direction: str = "literal", approx: bool = False) -> DataFrame:
     """Per customer: scores 1 to 5 and the segment. ``literal``: as in the blueprint, frequency and money score 1 for the
-    best; ``corrected``: 5 for the best."""
+    best; ``corrected``: 5 for the best. ``approx``: cut points from sketches; customers with equal values score alike."""
     best_first = direction == "literal"
-    df = global_positions(
+    df = (approximate_positions if approx else global_positions)(
         _recency(fo, as_of, months),
         {"r": ("recency", False), "f": ("frequency", best_first), "m": ("cents", best_first)},
         "customer_key",
@@ -120,10 +121,10 @@ def rfm_segments(fo: DataFrame, as_of: str | None = None, months: int = 12, dire
     )
 
 
-def rfm_mart(fo: DataFrame, as_of: str | None = None, months: int = 12) -> DataFrame:
-    """Stored scores per customer."""
+def rfm_mart(fo: DataFrame, as_of: str | None = None, months: int = 12, now: str | None = None) -> DataFrame:
+    """Stored scores per customer; ``now``: the time of the run, as ``calculated_at``."""
     df = rfm_scores(fo, as_of, months)
-    return df.select(
+    df = df.select(
         "customer_key",
         F.col("recency").alias("recency_days"),
         "frequency",
@@ -134,6 +135,7 @@ def rfm_mart(fo: DataFrame, as_of: str | None = None, months: int = 12) -> DataF
         "rfm_total",
         "rfm_segment",
     )
+    return df if now is None else df.withColumn("calculated_at", F.lit(now).cast("timestamp"))
 
 
 def rfm_report(fo: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -281,11 +283,11 @@ def churn_features(dc: DataFrame, fo: DataFrame, as_of: str | None = None, churn
     return df.withColumn("churn_risk_score", rounded(late + sum((F.when(c, float(p)).otherwise(0.0) for c, p in points), F.lit(0.0))))
 
 
-def ltv_deciles(fo: DataFrame) -> DataFrame:
-    """Customers and revenue by decile of revenue, with the share from the top."""
+def ltv_deciles(fo: DataFrame, approx: bool = False) -> DataFrame:
+    """Customers and revenue by decile of revenue, with the share from the top. ``approx``: cut points from a sketch."""
     per = sold(fo).groupBy("customer_key").agg(F.sum("total_cents").alias("cents"))
     by = (
-        global_positions(per, {"rev": ("cents", False)}, "customer_key")
+        (approximate_positions if approx else global_positions)(per, {"rev": ("cents", False)}, "customer_key")
         .groupBy(tile("rev", 10).alias("decile"))
         .agg(F.count(F.lit(1)).alias("n"), *[getattr(F, f)("cents").alias(f) for f in ("min", "max", "avg", "sum")])
     )
@@ -302,7 +304,7 @@ def ltv_deciles(fo: DataFrame) -> DataFrame:
 def new_vs_returning(fo: DataFrame) -> DataFrame:
     """Monthly split; new: all rows at a customer's first timestamp."""
     order = sold(fo).groupBy("order_id", "customer_key", "ordered_at", "order_date").agg(F.sum("total_cents").alias("cents"))
-    df = order.withColumn("first", F.min("ordered_at").over(Window.partitionBy("customer_key")))
+    df = with_first(save(order, "orders"), "customer_key", F.col("ordered_at"))
     new = F.col("ordered_at") == F.col("first")
     cents = lambda when: F.sum(F.when(when, F.col("cents")))
     by = df.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
@@ -489,13 +491,16 @@ POINTS = {"velocity": 25, "address": 30, "value": 15, "amount": 25, "new": 10, "
 HOME = ("US", "CA", "GB", "AU")
 
 
-def _lately(df: DataFrame, key: str, seconds: int, name: str) -> DataFrame:
-    """Rows of the same key in the last ``seconds`` up to each row. Time is cut into pieces of that length, and a piece
-    sees the rows of the one before as well, so that a key with very many rows is counted in many tasks."""
-    piece = F.floor(F.col("at") / seconds)
-    seen = df.withColumn("__piece", F.explode(F.array(piece, piece + 1)))
-    near = Window.partitionBy(key, "__piece").orderBy("at").rangeBetween(-seconds, 0)
-    return seen.withColumn(name, F.count(F.lit(1)).over(near)).where(F.col("__piece") == piece).drop("__piece")
+def _lately(df: DataFrame, key: str, seconds: int, name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Rows of the same key in the last ``seconds`` up to each row: the rows so far at its time less those before the
+    stretch began. Both are running counts along ranges, so a key with very many rows at one time is no task's alone."""
+    df = save(df.withColumn("__row", F.monotonically_increasing_id()), "lately")
+    mark = lambda at, kind: df.select(key, at.alias("at"), F.lit(kind).alias("kind"), "__row")
+    # At one time: the begin of a stretch comes before the rows, the end of one after them.
+    marks = mark(F.col("at"), 0).unionByName(mark(F.col("at") - seconds, -1)).unionByName(mark(F.col("at"), 1))
+    found = carried(marks, [key], ["at", "kind"], sums={"so_far": F.when(F.col("kind") == 0, 1)}, rows_per_range=rows_per_range)
+    counts = found.where("kind <> 0").groupBy("__row").agg(F.sum(F.col("so_far") * F.col("kind")).alias(name))
+    return df.join(counts, "__row").drop("__row")
 
 
 def fraud_flags(oh: DataFrame, as_of: str | None = None, hours: int = 24) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.columns import big
-from tradewind.functions.store import save
+from tradewind.functions.ranks import ROWS_PER_RANGE, carried
 from tradewind.operators.warehouse import assign_keys
 
 ITEMS = "array<struct<product_key: bigint, quantity: bigint>>"
@@ -54,17 +54,7 @@ def price_orders(
     return df.withColumn("total_cents", F.col("subtotal_cents") - F.col("discount_cents") + F.col("shipping_cents") + F.col("tax_cents"))
 
 
-def _first(df: DataFrame, key: str, order: list[str], n: Column, parts: int = 64) -> DataFrame:
-    """``df`` with ``within``: whether a row is among the first ``n`` of its key. Rows are ranked in hash parts first and
-    only the first of each part meet, so a key with very many rows is no task's alone."""
-    part = F.pmod(F.xxhash64(*order), F.lit(parts))
-    df = df.withColumn("__part", part).withColumn("__place", F.row_number().over(Window.partitionBy(key, "__part").orderBy(*order)))
-    df = save(df.withColumn("__may", F.col("__place") <= n), "turns")
-    may = df.where("__may").withColumn("within", F.row_number().over(Window.partitionBy(key).orderBy(*order)) <= n)
-    return may.unionByName(df.where("not __may").withColumn("within", F.lit(False))).drop("__part", "__place", "__may")
-
-
-def apply_discounts(priced: DataFrame, codes: DataFrame) -> DataFrame:
+def apply_discounts(priced: DataFrame, codes: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``priced``: request_id, at, discount_code, subtotal_cents, shipping_cents. Adds discount_cents and reason (null:
     applied or no code). Uses are given in request order until the code's maximum is reached; only requests that are
     eligible for a code with a maximum take turns."""
@@ -104,10 +94,8 @@ def apply_discounts(priced: DataFrame, codes: DataFrame) -> DataFrame:
         why.alias("reason"),
         F.when(why.isNull(), left).alias("left"),
     )
-    turns = _first(df.where("left is not null"), "code", ["at", "request_id"], F.col("left")).withColumn(
-        "reason",
-        F.when(~F.col("within"), "P0008"),
-    )
+    turns = carried(df.where("left is not null"), ["code"], ["at", "request_id"], sums={"turn": F.lit(1)}, rows_per_range=rows_per_range)
+    turns = turns.withColumn("reason", F.when(F.col("turn") > F.col("left"), "P0008"))
     done = [
         "request_id",
         F.when(F.col("reason").isNull(), F.col("discount_cents")).otherwise(0).cast("bigint").alias("discount_cents"),
@@ -158,23 +146,12 @@ def order_rejections(
     return df.select("request_id", code.alias("rejected")).where("rejected is not null")
 
 
-def reserve_stock(items: DataFrame, inventory: DataFrame) -> DataFrame:
+def reserve_stock(items: DataFrame, inventory: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Per item, in request order within the product: what is asked so far and whether stock covers it. ``items``:
-    request_id, product_key, quantity, at; requests that other rules reject are removed before. What was asked on the
-    days before is summed by day first, so that a task has one day of a product."""
+    request_id, product_key, quantity, at; requests that other rules reject are removed before. Sums run along ranges, so
+    a product that all want at once is no task's alone."""
     stock = inventory.groupBy("product_key").agg(F.sum("quantity_available").alias("available"))
-    items = items.withColumn("day", F.col("at").cast("date"))
-    upto = Window.partitionBy("product_key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        items.groupBy("product_key", "day")
-        .agg(F.sum("quantity").alias("q"))
-        .withColumn("before", F.coalesce(F.sum("q").over(upto), F.lit(0)))
-        .drop("q")
-    )
-    own = F.sum("quantity").over(
-        Window.partitionBy("product_key", "day").orderBy("at", "request_id").rowsBetween(Window.unboundedPreceding, 0),
-    )
-    df = items.withColumn("own", own).join(days, ["product_key", "day"]).withColumn("asked", F.col("own") + F.col("before"))
+    df = carried(items, ["product_key"], ["at", "request_id"], sums={"asked": F.col("quantity")}, rows_per_range=rows_per_range)
     df = df.join(stock, "product_key", "left").withColumn("available", F.coalesce("available", F.lit(0)))
     return df.select(
         "request_id",

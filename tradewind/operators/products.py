@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.columns import NOT_SOLD, big, money, n_distinct, n_where, ratio, rounded, sold, with_as_of
+from tradewind.functions.store import save
 
 
 def snapshot_inventory(inv: DataFrame, dp: DataFrame, day: str) -> DataFrame:
@@ -99,6 +100,23 @@ def basket_pairs(fo: DataFrame, dp: DataFrame, level: str = "product_key", min_c
     return out.orderBy(F.desc("lift"), F.desc("co_purchase_count"), "item_a", "item_b").limit(limit)
 
 
+def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int) -> DataFrame:
+    """a, b, va, vb: all pairs a < b of the items of each group, with their values.
+
+    A group's items are dealt into g blocks of about ``tile``, and each two blocks meet under a key of their own: g (g + 1) / 2
+    tasks of at most tile^2 pairs for a large group, one for a small one; an item is sent g times. An item that a group
+    has twice is not expected."""
+    blocks = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("__g"))
+    # A group's rows are many only where it is large: the join goes by size and splits it.
+    df = df.select(group, item, value).join(blocks, group).withColumn("__block", F.pmod(F.xxhash64(item), F.col("__g")).cast("int"))
+    left = df.select(group, F.col(item).alias("__x"), F.col(value).alias("__vx"), F.col("__block").alias("__i"), F.explode(F.sequence(F.col("__block"), F.col("__g") - 1)).alias("__j"))
+    right = df.select(group, F.col(item).alias("__y"), F.col(value).alias("__vy"), F.explode(F.sequence(F.lit(0), F.col("__block"))).alias("__i"), F.col("__block").alias("__j"))
+    met = left.join(right, [group, "__i", "__j"]).where((F.col("__i") < F.col("__j")) | (F.col("__x") < F.col("__y")))
+    up = F.col("__x") < F.col("__y")
+    pick = lambda x, y: F.when(up, F.col(x)).otherwise(F.col(y))
+    return met.select(pick("__x", "__y").alias("a"), pick("__y", "__x").alias("b"), pick("__vx", "__vy").alias("va"), pick("__vy", "__vx").alias("vb"))
+
+
 def item_similarity(
     fo: DataFrame,
     dp: DataFrame,
@@ -106,11 +124,17 @@ def item_similarity(
     min_common: int = 5,
     min_cos: float = 0.1,
     limit: int = 200,
+    norms: str = "common",
+    tile: int = 512,
 ) -> DataFrame:
-    """Cosine of customer-normalised quantities over common customers only; rank within the first item.
+    """Cosine of customer-normalised quantities; rank within the first item. ``norms``: ``common`` takes the lengths over
+    the two items' common customers only, ``all`` over all customers of each item.
 
     An item needs ``min_common`` customers to have as many in common with another; the others leave before pairs are made.
+    Customers with many items are cut into tiles.
     """
+    if norms not in ("common", "all"):
+        raise ValueError("norms must be common or all")
     q = (
         sold(fo)
         .join(dp.select("product_key", *{level} - {"product_key"}), "product_key")
@@ -118,30 +142,25 @@ def item_similarity(
         .agg(F.sum("quantity").alias("q"))
     )
     # Whole-number weights: shares of a customer's units in millionths, so that sums do not depend on their order.
-    share = q.select(
-        "customer_key",
-        "item",
-        F.floor(F.col("q") * 1_000_000 / F.sum("q").over(Window.partitionBy("customer_key"))).cast("bigint").alias("s"),
-    ).where("s > 0")
-    often = share.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_common).select("item")
-    share = share.join(often, "item", "left_semi")
-    a, b = share.select("customer_key", F.col("item").alias("a"), F.col("s").alias("sa")), share.select(
-        "customer_key",
-        F.col("item").alias("b"),
-        F.col("s").alias("sb"),
-    )
+    units = q.groupBy("customer_key").agg(F.sum("q").alias("units"))
+    share = q.join(units, "customer_key").select("customer_key", "item", F.floor(F.col("q") * 1_000_000 / F.col("units")).cast("bigint").alias("s")).where("s > 0")
+    share = save(share, "shares")
+    lengths = share.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("s") * F.col("s")).alias("ss")).where(F.col("n") >= min_common)
+    often = share.join(lengths.select("item"), "item", "left_semi")
     per = (
-        a.join(b, "customer_key")
-        .where("a < b")
+        tiled_pairs(often, "customer_key", "item", "s", tile)
         .groupBy("a", "b")
         .agg(
             big(F.count(F.lit(1))).alias("common"),
-            F.sum(F.col("sa") * F.col("sb")).alias("dot"),
-            F.sum(F.col("sa") * F.col("sa")).alias("aa"),
-            F.sum(F.col("sb") * F.col("sb")).alias("bb"),
+            F.sum(F.col("va") * F.col("vb")).alias("dot"),
+            F.sum(F.col("va") * F.col("va")).alias("aa"),
+            F.sum(F.col("vb") * F.col("vb")).alias("bb"),
         )
         .where(F.col("common") >= min_common)
     )
+    if norms == "all":
+        of = lambda i, n: lengths.select(F.col("item").alias(i), F.col("ss").alias(n))
+        per = per.drop("aa", "bb").join(of("a", "aa"), "a").join(of("b", "bb"), "b")
     cos = rounded(F.col("dot").cast("double") / (F.sqrt(F.col("aa").cast("double")) * F.sqrt(F.col("bb").cast("double"))), 4)
     per = per.select("a", "b", "common", cos.alias("cos")).where(F.col("cos") > min_cos)
     out = per.select(

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradewind.functions.columns import NOT_SOLD, big, money, month, n_distinct, n_where, ratio, rounded, sold, with_as_of
+from tradewind.functions.columns import NOT_SOLD, big, money, month, n_distinct, n_where, ratio, rounded, sold, with_as_of, with_first
+from tradewind.functions.store import save
 
 
 def revenue_growth(fo: DataFrame, as_of: str | None = None, days: int = 90) -> DataFrame:
@@ -251,10 +252,11 @@ def geo_top(fo: DataFrame, dc: DataFrame, n: int = 15) -> DataFrame:
 
 def daily_sales(oh: DataFrame) -> DataFrame:
     """Per day over paid orders. A customer is new on a day unless an order that is not cancelled lies before it: the
-    customer's first such order decides, one window by customer in place of a search per order."""
-    first = F.min(F.when(F.col("status") != "cancelled", F.col("created_at"))).over(Window.partitionBy("customer_key"))
+    customer's first such order decides."""
+    columns = ["customer_key", "created_at", "status", "payment_status", "payment_method", "total_cents", "discount_cents", "shipping_cents", "tax_cents"]
+    first = F.when(F.col("status") != "cancelled", F.col("created_at"))
     df = (
-        oh.withColumn("first", first)
+        with_first(save(oh.select(*columns), "orders"), "customer_key", first)
         .where(F.col("payment_status").isin("captured", "partially_refunded", "refunded"))
         .withColumn("sale_date", F.col("created_at").cast("date"))
     )

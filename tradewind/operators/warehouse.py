@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.clean import row_hash
 from tradewind.functions.columns import big
-from tradewind.functions.ranks import numbered
+from tradewind.functions.ranks import ROWS_PER_RANGE, carried, numbered
 
 
 def scd2_diff(source: DataFrame, current: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
@@ -26,9 +26,19 @@ def scd2_counts(diff: DataFrame) -> DataFrame:
     return diff.groupBy("change").agg(big(F.count(F.lit(1))).alias("n"))
 
 
-def scd2_apply(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], as_of: str) -> DataFrame:
+#: When a row of a history table was made, and last changed.
+AUDIT = ("dw_created_at", "dw_updated_at")
+
+
+def scd2_apply(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], as_of: str, now: str | None = None) -> DataFrame:
     """The dimension after the load: changed rows end on ``as_of``, new and changed rows begin there. The result is
-    written as a new version of the table; it is never written over what it reads."""
+    written as a new version of the table; it is never written over what it reads.
+
+    ``now``: the time of the load; then rows that begin or end carry it in ``dw_updated_at``, those that begin also in
+    ``dw_created_at``, and the others keep theirs (null where the table had none)."""
+    if now is not None:
+        lacks = [c for c in AUDIT if c not in dim.columns]
+        dim = dim.withColumns({c: F.lit(None).cast("timestamp") for c in lacks})
     diff = scd2_diff(source, dim, keys, tracked)
     day = F.lit(as_of).cast("date")
     touched = diff.where("change <> 'unchanged'")
@@ -37,13 +47,17 @@ def scd2_apply(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list
     kept = (
         ended.withColumn("effective_to", F.when(ends, day).otherwise(F.col("effective_to")))
         .withColumn("is_current", F.col("is_current") & ~ends)
-        .drop("__ends")
     )
+    at = F.lit(now).cast("timestamp")
+    if now is not None:
+        kept = kept.withColumn(AUDIT[1], F.when(F.coalesce("__ends", F.lit(False)), at).otherwise(F.col(AUDIT[1])))
     begun = (
         source.join(touched.select(*keys), keys, "left_semi")
         .select(*[c for c in source.columns if c in dim.columns])
         .withColumns({"effective_from": day, "effective_to": F.lit(None).cast("date"), "is_current": F.lit(True)})
     )
+    if now is not None:
+        begun = begun.withColumns(dict.fromkeys(AUDIT, at))
     return kept.select(*dim.columns).unionByName(begun, allowMissingColumns=True)
 
 
@@ -88,10 +102,34 @@ def assign_keys(df: DataFrame, order: list[str], name: str, start: int = 1, exis
     return numbered(df, order, name, start)
 
 
-def as_of_join(fact: DataFrame, dim: DataFrame, key: str, day: str) -> DataFrame:
-    """Facts with the dimension row valid on their day: equal keys and the day within its validity."""
-    valid = (F.col("effective_from") <= F.col(day)) & (F.col("effective_to").isNull() | (F.col(day) < F.col("effective_to")))
-    return fact.alias("f").join(dim.alias("d"), (F.col(f"f.{key}") == F.col(f"d.{key}")) & valid, "left").drop(F.col(f"d.{key}"))
+def as_of_join(fact: DataFrame, dim: DataFrame, key: str, day: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Facts with the dimension row valid on their day: of the key's versions that began by then the last, if it has not
+    ended. Versions of a key do not overlap; of several that begin on a day the one that ends last counts.
+
+    Versions and facts are one sequence in order of time, along which the last version is carried forward: no version
+    meets a fact that is not its own, and a key with a long history spreads over ranges."""
+    mine, theirs = fact.columns, [c for c in dim.columns if c != key]
+    version = F.struct(*theirs)
+    versions = dim.where(F.col(key).isNotNull() & F.col("effective_from").isNotNull()).select(
+        F.col(key).alias("__k"),
+        F.col("effective_from").cast("timestamp").alias("__t"),
+        F.lit(0).alias("__kind"),
+        F.coalesce(F.col("effective_to").cast("timestamp"), F.lit("9999-12-31").cast("timestamp")).alias("__end"),
+        version.alias("__version"),
+        F.lit(None).cast(fact.select(F.struct(*mine)).schema[0].dataType).alias("__fact"),
+    )
+    facts = fact.select(
+        F.col(key).alias("__k"),
+        F.col(day).cast("timestamp").alias("__t"),
+        F.lit(1).alias("__kind"),
+        F.lit(None).cast("timestamp").alias("__end"),
+        F.lit(None).cast(dim.select(version).schema[0].dataType).alias("__version"),
+        F.struct(*mine).alias("__fact"),
+    )
+    found = carried(versions.unionByName(facts), ["__k"], ["__t", "__kind", "__end"], lasts={"__valid": F.col("__version")}, rows_per_range=rows_per_range)
+    open_ = F.col("__valid.effective_to").isNull() | (F.col(f"__fact.{day}") < F.col("__valid.effective_to"))
+    rows = found.where("__kind = 1").withColumn("__valid", F.when(open_ & F.col("__t").isNotNull(), F.col("__valid")))
+    return rows.select("__fact.*", *[F.col(f"__valid.{c}").alias(c) for c in theirs])
 
 
 def map_fact_events(events: DataFrame, sessions: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFrame:

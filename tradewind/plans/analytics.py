@@ -365,6 +365,13 @@ select a as item_a, b as item_b, k as common_customers, c as cosine_similarity,
   order by c desc) as similarity_rank from h where c > 0.1 order by c desc, a, b limit 200""", "fo dp")(
     lambda s_, d: products.item_similarity(fact_orders(s_, d), dim_products(s_, d)),
 )
+add(
+    "item_similarity_full",
+    SQL["item_similarity"]
+    .replace("h as (select a, b, k,", "l as (select item, sum(v * v) as vv from v where v > 0 group by 1), h as (select a, b, k,")
+    .replace("sqrt(cast(aa as double)) * sqrt(cast(bb as double))", "sqrt(cast(x.vv as double)) * sqrt(cast(y.vv as double))")
+    .replace("as c from g\n", "as c from g join l x on x.item = a join l y on y.item = b\n"),
+)(lambda s_, d: products.item_similarity(fact_orders(s_, d), dim_products(s_, d), norms="all"))
 add("basket_pairs_brand", SQL["basket_pairs"].replace(_ITEMS, _BRANDS))(
     lambda s_, d: products.basket_pairs(fact_orders(s_, d), dim_products(s_, d), level="brand"),
 )

@@ -248,14 +248,11 @@ def _routed(s: SparkSession, d: str, kind: str) -> str:
     return base
 
 
-_NAME = F.regexp_extract("file", "kind=([^/]+)/", 1).alias("file")
-
-
 def _zones(s: SparkSession, d: str, kind: str) -> DataFrame:
-    base = _routed(s, d, kind)
+    base, name = _routed(s, d, kind), F.regexp_extract("file", "kind=([^/]+)/", 1).alias("file")
     read = lambda zone: s.read.parquet(f"{base}/{zone}/events")
-    count = lambda df, as_: df.groupBy(_NAME).agg(big(F.count(F.lit(1))).alias(as_))
-    report = read("reports").select(_NAME, "rows", "status")
+    count = lambda df, as_: df.groupBy(name).agg(big(F.count(F.lit(1))).alias(as_))
+    report = read("reports").select(name, "rows", "status")
     out = report.join(count(read("processed"), "processed"), "file", "left").join(count(read("quarantine"), "quarantined"), "file", "left")
     return out.join(count(read("alerts"), "alerts"), "file", "left").na.fill(0)
 
