@@ -37,7 +37,7 @@ def test_line_dedup_equals_sql(frame, corpus):
     cols, want = sql_rows(rows, line_dedup.SQL)
     assert out.columns == cols
     assert sorted((tuple(r) for r in out.collect()), key=repr) == want
-    assert any(r[3] for r in want) and any(r[2] > r[3] for r in want)
+    assert any(r[3] for r in want) and all(r[2] == r[3] for r in want)
     assert line_dedup.line_dedup(frame([]).limit(0)).count() == 0
 
 
@@ -63,6 +63,11 @@ def test_substring_dedup_equals_sql(frame, corpus):
     got = sorted((tuple(r) for r in out.drop("removed").where("doc_id is null or doc_id <> 98").collect()), key=repr)
     assert out.drop("removed").columns == cols
     assert got == [r for r in want if r[0] != 98]
+    # Without a floor every unit but the first of its kind goes, and with it n_repeated says what is left.
+    bare = substring_dedup.substring_dedup(frame(rows), min_run_words=1).drop("removed")
+    _, all_of = sql_rows(rows, substring_dedup.sql(1))
+    assert sorted((tuple(r) for r in bare.where("doc_id is null or doc_id <> 98").collect()), key=repr) == [r for r in all_of if r[0] != 98]
+    assert all(r[2] == r[3] for r in all_of) and any(r[2] > r[3] for r in want)
     twice = [r for r in out.where("doc_id = 98").collect()]
     assert len(twice) == 2 and all(r.n_removed == 0 for r in twice)
     by = {r.doc_id: r for r in out.where("doc_id > 300").collect()}

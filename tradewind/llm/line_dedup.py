@@ -1,6 +1,7 @@
 """Line deduplication by distinct-site spread.
 
-A line that stands on many sites is boilerplate. A HyperLogLog sketch of the sites per line hash merges by aggregation
+A line that stands on many sites is boilerplate. A text that is copied, whole and equal, over many sites counts for one
+of them, so that copying alone makes no line common. A HyperLogLog sketch of the sites per line hash merges by aggregation
 (partial sketches first, so a line on every page costs one row a task); lines whose estimate is near the threshold get
 an exact distinct count.
 """
@@ -39,32 +40,40 @@ def boilerplate(lines: DataFrame, min_sites: int, lg_k: int = LG_K) -> DataFrame
     return spread.where(above).select("h1", "h2").unionByName(exact.select("h1", "h2"))
 
 
+def _site(name: Column) -> Column:
+    """A site as a number; an absent one counts as one site of its own."""
+    return F.coalesce(F.xxhash64(F.lit("site"), name), F.lit(0))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows by a key, with the site as a number; an absent site counts as one site of its own."""
-    site = F.coalesce(F.xxhash64(F.lit("site"), "site"), F.lit(0))
-    return docs.withColumns({"k1": F.coalesce("doc_id", F.lit(-1)), "k2": F.col("text_key"), "site": site})
+    """Rows by a key, with the site as a number."""
+    keys = {"k1": F.coalesce("doc_id", F.lit(-1)), "k2": F.col("text_key")}
+    return docs.withColumns(keys | {"name": F.col("site"), "site": _site(F.col("site"))})
 
 
-def _copied(docs: DataFrame, min_sites: int) -> DataFrame:
-    """(k2, copied): the texts that stand, whole and equal, on at least ``min_sites`` sites."""
-    sites = docs.select("k2", "site").distinct().groupBy("k2").count().where(F.col("count") >= min_sites)
-    return sites.select("k2", F.lit(True).alias("copied"))
+def _one_site(docs: DataFrame) -> DataFrame:
+    """(k2, one): for each text on more than one site the first of them by name, which stands for all."""
+    sites = docs.groupBy("k2").agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("name").alias("name"))
+    return sites.where("low <> high").select("k2", _site(F.col("name")).alias("one"))
 
 
 def _common(docs: DataFrame, min_sites: int) -> DataFrame:
-    """(k1, k2, common, copied): the positions of boilerplate lines of each document that has some, and whether the
-    whole text is a copy. Lines are cut and hashed once and stored, without their texts."""
+    """(k1, k2, n, gone): of each document with boilerplate lines how many, and for each line up to the last such one
+    whether it is one. Lines are cut and hashed once and stored, without their texts."""
     lines = save(_lines(docs), "lines")
-    hit = lines.join(boilerplate(lines, min_sites), ["h1", "h2"], "left_semi")
+    spread = lines.join(_one_site(docs), "k2", "left").select("h1", "h2", F.coalesce("one", "site").alias("site"))
+    hit = lines.join(boilerplate(spread, min_sites), ["h1", "h2"], "left_semi")
     # Repeated rows share their key, so their positions come once.
-    each = hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("pos")).alias("common"))
-    found = save(each.join(_copied(docs, min_sites), "k2", "left").select("k1", "k2", "common", "copied"), "line-hits")
+    at = hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    at = at.withColumn("before", F.concat(F.array(F.lit(-1)), F.slice("at", 1, F.size("at") - 1)))
+    flags = F.transform(F.arrays_zip("at", "before"), lambda x: F.concat(F.array_repeat(F.lit(False), x["at"] - x["before"] - 1), F.array(F.lit(True))))
+    found = save(at.select("k1", "k2", F.size("at").cast("long").alias("n"), F.flatten(flags).alias("gone")), "line-hits")
     discard(lines)
     return found
 
 
 def _without(text: Column, gone: Column) -> Column:
-    return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i)), "\n")
+    return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.coalesce(F.get(gone, i), F.lit(False))), "\n")
 
 
 def line_dedup(
@@ -77,21 +86,18 @@ def line_dedup(
     """One row per input row: doc_id, n_lines, n_boilerplate, n_removed, clean_text.
 
     A line is its text without blanks at both ends; lines of blanks only are never boilerplate. Lines on at least
-    ``min_sites`` distinct sites are boilerplate and go in every document, also where nothing else is left, but for a
-    text that stands whole and equal on ``min_sites`` sites: there the copying alone makes each line common, and it
-    stays for document deduplication to judge. Null or empty text: one empty line, nothing removed, clean_text ''.
+    ``min_sites`` distinct sites are boilerplate and go in every document, also where nothing else is left. Equal texts
+    count for one site, the first by name, however many they stand on. Null or empty text: one empty line, nothing removed, clean_text ''.
     Null site: counts as one more site. Null id: kept as null. Repeated rows: one result each. Empty input: empty result.
     """
     docs = _keyed(texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site")))
-    none = F.array().cast("array<int>")
-    out = docs.join(_common(docs, min_sites), ["k1", "k2"], "left").withColumn("common", F.coalesce("common", none))
-    out = out.withColumn("gone", F.when(F.coalesce("copied", F.lit(False)), none).otherwise(F.col("common")))
+    out = docs.join(_common(docs, min_sites), ["k1", "k2"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return out.select(
         "doc_id",
         F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
-        F.size("common").cast("long").alias("n_boilerplate"),
-        F.size("gone").cast("long").alias("n_removed"),
-        F.when(F.size("gone") == 0, F.col("text")).otherwise(_without(F.col("text"), F.col("gone"))).alias("clean_text"),
+        F.col("n").alias("n_boilerplate"),
+        F.col("n").alias("n_removed"),
+        F.when(F.col("n") == 0, F.col("text")).otherwise(_without(F.col("text"), F.col("gone"))).alias("clean_text"),
     )
 
 
@@ -109,11 +115,7 @@ def rewrite(
     Null id or site, repeated rows and empty input: as in ``line_dedup``.
     """
     own = _keyed(texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site")))
-    hit = (
-        _common(own, min_sites)
-        .where("copied is null")
-        .select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("common").alias("__gone"))
-    )
+    hit = _common(own, min_sites).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("gone").alias("__gone"))
     text = F.coalesce(docs[text_col], F.lit(""))
     same = (F.coalesce(docs[id_col].cast("long"), F.lit(-1)) == hit["__k1"]) & (F.xxhash64(text) == hit["__k2"])
     joined = docs.join(hit, same, "left")
@@ -129,14 +131,12 @@ SQL = f"""
 with d as (select doc_id, coalesce(text, '') as text, source, row_number() over () as r from documents),
 l as (select r, source, pos - 1 as pos, s[pos] as line, trim(translate(s[pos], chr(9) || chr(13), '  ')) as key
       from (select r, source, string_split(text, chr(10)) as s, unnest(range(1, len(string_split(text, chr(10))) + 1)) as pos from d)),
-c as (select key from l where key <> '' group by key having count(distinct source) + max(case when source is null then 1
-  else 0 end) >= {MIN_SITES}),
-cp as (select text, true as copied from d group by text having count(distinct source) + max(case when source is null then 1
+o as (select text, min(source) as site from d group by text),
+c as (select key from l join d using (r) join o using (text) where key <> '' group by key having count(distinct site) + max(case when site is null then 1
   else 0 end) >= {MIN_SITES}),
 h as (select r, count(*) as n from l join c using (key) group by r),
 k as (select l.r, string_agg(line, chr(10) order by pos) as clean from l left join c using (key) where c.key is null group by l.r)
 select d.doc_id, cast(len(string_split(d.text, chr(10))) as bigint) as n_lines, cast(coalesce(h.n, 0) as bigint) as n_boilerplate,
-       cast(case when copied then 0 else coalesce(h.n, 0) end as bigint) as n_removed,
-       case when h.n is null or copied then d.text else coalesce(k.clean, '') end as clean_text
-from d left join h using (r) left join k using (r) left join cp using (text)
+       cast(coalesce(h.n, 0) as bigint) as n_removed, case when h.n is null then d.text else coalesce(k.clean, '') end as clean_text
+from d left join h using (r) left join k using (r)
 """
