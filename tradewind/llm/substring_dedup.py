@@ -107,12 +107,13 @@ def _runs(gone: np.ndarray, words: np.ndarray, least: int) -> list[tuple[int, in
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run_words: int = MIN_RUN_WORDS) -> DataFrame:
-    """One row per input row: doc_id, n_units, n_removed, removed (array of start, end), removed_spans, clean_text.
+    """One row per input row: doc_id, n_units, n_repeated, n_removed, removed (array of start, end), removed_spans, clean_text.
 
     Units are lines with a word, cut further at sentence ends; their words are compared lower-cased (A-Z) and without
     regard to white space, whatever their number. Of equal units the one with the smallest (doc_id, position) stays in
     the corpus. Others go, also within one document, if they stand in a run of such units with at least
-    ``min_run_words`` words together. n_removed counts units, spans are one per run: code points of the original text,
+    ``min_run_words`` words together; 1 removes all of them. n_repeated counts units that are not the one that stays,
+    n_removed those of them that go; spans are one per run: code points of the original text,
     end exclusive, up to where the next unit starts; ``clean_text`` is all the rest, unchanged. Null or empty text: no
     units, clean_text ''. Null id: ranked first. Rows that repeat both id and text count as one document and get the
     same result. Empty input: empty result.
@@ -133,7 +134,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for run in tv.runs(batch.column("text")):
                 u, raw = cut(run), run.data.tobytes()
                 first, size = u.firsts(run.n), u.hi - u.lo
-                rows: dict[str, list] = {"n_removed": [], "removed": [], "removed_spans": [], "clean_text": []}
+                rows: dict[str, list] = {"n_repeated": [], "n_removed": [], "removed": [], "removed_spans": [], "clean_text": []}
                 for i in range(run.n):
                     lo, hi, text_end = first[i], first[i + 1], int(run.offsets[i + 1])
                     starts = [*u.start[lo:hi].tolist(), text_end]
@@ -146,11 +147,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         kept.append(part)
                         at, n = starts[b], n + b - a
                     kept.append(raw[at:text_end].decode())
+                    rows["n_repeated"].append(len(gone[run.first + i] or []))
                     rows["n_removed"].append(n)
                     rows["removed"].append(spans)
                     rows["removed_spans"].append(",".join(f"{x['start']}:{x['end']}" for x in spans))
                     rows["clean_text"].append("".join(kept))
-                kinds = [pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.string()]
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.string()]
                 own = [batch.column("doc_id").slice(run.first, run.n), pa.array(np.diff(first), pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [*own, *(pa.array(c, k) for c, k in zip(rows.values(), kinds, strict=True))],
@@ -159,13 +161,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     return out.mapInArrow(
         rebuild,
-        "doc_id long, n_units long, n_removed long, removed array<struct<start:long,end:long>>, removed_spans string, clean_text string",
+        "doc_id long, n_units long, n_repeated long, n_removed long, removed array<struct<start:long,end:long>>, removed_spans string, clean_text string",
     )
 
 
 _BLANK, _WORD = r"[\x20\x09\x0B-\x0D]", r"[^\x20\x09-\x0D]"
-#: The same rows in DuckDB SQL, without the array of spans. chr(57344), a private character, marks where units end.
-SQL = rf"""
+
+
+def sql(min_run_words: int = MIN_RUN_WORDS) -> str:
+    """The same rows in DuckDB SQL, without the array of spans. chr(57344), a private character, marks where units end."""
+    return rf"""
 with d as (select doc_id, coalesce(text, '') as text, row_number() over () as r from documents),
 s as (select r, doc_id, text, string_split(replace(regexp_replace(text, '([^\x20\x09-\x0D.!?]{_BLANK}+{_WORD}*[.!?])({_BLANK})', '\1' ||
   chr(57344) || '\2', 'g'),
@@ -181,11 +186,15 @@ w as (select *, regexp_extract_all(translate(extent, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ
 g as (select *, len(words) as n, u > 0 and row_number() over (partition by array_to_string(words, ' ')
   order by u = 0, doc_id nulls first, text, u) > 1 as again from w),
 b as (select *, count(*) filter (not again) over (partition by r order by u rows unbounded preceding) as island from g),
-x as (select *, again and sum(n) filter (again) over (partition by r, island) >= {MIN_RUN_WORDS} as gone from b),
+x as (select *, again and sum(n) filter (again) over (partition by r, island) >= {min_run_words} as gone from b),
 y as (select r, string_agg(span, ',' order by start) as spans from (select r, min(start) as start, cast(min(start) as bigint) || ':' ||
   cast(max(stop) as bigint) as span from x where gone group by r, island) group by r)
-select doc_id, cast(count(*) filter (u > 0) as bigint) as n_units, cast(count(*) filter (gone) as bigint) as n_removed,
+select doc_id, cast(count(*) filter (u > 0) as bigint) as n_units, cast(count(*) filter (again) as bigint) as n_repeated,
+  cast(count(*) filter (gone) as bigint) as n_removed,
   coalesce(any_value(spans), '') as removed_spans,
        coalesce(string_agg(extent, '' order by u) filter (not gone), '') as clean_text
 from x left join y using (r) group by r, doc_id
 """
+
+
+SQL = sql()
