@@ -141,3 +141,22 @@ def test_first_orders_are_joined_back(spark):
     oh = spark.createDataFrame([(c, day(d), s, "captured", "paypal", 100, 0, 0, 0) for c, d, s in ((1, 1, "cancelled"), (1, 2, "delivered"), (1, 3, "delivered"), (None, 2, "delivered"), (None, 3, "delivered"))], "customer_key long, created_at timestamp, status string, payment_status string, payment_method string, total_cents long, discount_cents long, shipping_cents long, tax_cents long")
     got = {r.sale_date.day: (r.order_count, r.new_customer_count) for r in revenue.daily_sales(oh).collect()}
     assert got == {1: (1, 1), 2: (2, 2), 3: (2, 0)}
+
+
+def test_days_without_orders_can_be_filled(spark):
+    fo = spark.createDataFrame([(i, 1, date(2024, 1, d), "delivered", 100 * d) for i, d in enumerate((1, 2, 5, 9))], "order_id long, customer_key long, order_date date, order_status string, total_cents long")
+    got = {r.full_date.day: r for r in revenue.revenue_growth(fo, as_of="2024-01-09", fill=True).collect()}
+    assert sorted(got) == list(range(1, 10)) and [got[d].revenue_cents for d in (3, 5, 9)] == [0, 500, 900]
+    assert (got[5].prev_day_revenue, got[5].dod_growth_pct, got[9].same_day_last_week, got[8].same_day_last_week, got[9].ytd_revenue) == (0, None, 200, 100, 1700)
+    assert len(revenue.revenue_growth(fo, as_of="2024-01-09").collect()) == 4
+
+
+def test_items_as_an_array_or_as_json(spark):
+    items = [{"product_key": 1, "quantity": 2}, {"product_key": 9, "quantity": 1}]
+    req = spark.createDataFrame([(1, 5, datetime(2024, 1, 1), items), (2, 5, datetime(2024, 1, 1), [])], "request_id long, customer_key long, at timestamp, items array<struct<product_key:long,quantity:long>>")
+    text = req.withColumn("items", F.to_json("items"))
+    products_ = spark.createDataFrame([(1, 300, None, True), (2, 100, 50, False)], "product_key long, base_price_cents long, sale_price_cents long, is_active boolean")
+    stock = spark.createDataFrame([(1, 1)], "product_key long, quantity_available long")
+    for r in (req, text):
+        assert rows(orders.request_items(r).select("request_id", "product_key", "quantity")) == [(1, 1, 2), (1, 9, 1)]
+        assert rows(orders.assess_items(orders.request_items(r), products_, stock)) == [(1, 600, 1, 1, 1)]

@@ -1,6 +1,7 @@
 """Order requests as batches: prices, discounts, rejections, reservations, numbers, updates.
 
-A request: request_id, customer_key, items (JSON array of product_key and quantity), discount_code, shipping_cents, at.
+A request: request_id, customer_key, items (array of product_key and quantity, or the same as JSON), discount_code,
+shipping_cents, at.
 Codes and texts of rejections are fixed values.
 """
 
@@ -20,7 +21,8 @@ STATUSES = ("pending", "confirmed", "processing", "shipped", "delivered", "cance
 
 def request_items(requests: DataFrame) -> DataFrame:
     """One row per requested item."""
-    return requests.select("request_id", "customer_key", "at", F.explode(F.from_json("items", ITEMS)).alias("i")).select(
+    items = F.from_json("items", ITEMS) if dict(requests.dtypes)["items"] == "string" else F.col("items")
+    return requests.select("request_id", "customer_key", "at", F.explode(items).alias("i")).select(
         "request_id",
         "customer_key",
         "at",
@@ -28,22 +30,34 @@ def request_items(requests: DataFrame) -> DataFrame:
     )
 
 
+def assess_items(items: DataFrame, products: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
+    """One row per request that has items, from one pass over them: subtotal_cents at sale or base price (null if no
+    product is known), and whether some item has no inventory record (no_record), no active product (inactive) or less
+    stock than asked (short)."""
+    price = F.coalesce("sale_price_cents", "base_price_cents") if "base_price_cents" in products.columns else F.lit(None).cast("bigint")
+    active = F.col("is_active") if "is_active" in products.columns else F.lit(True)
+    item = items.join(products.select("product_key", price.alias("price"), active.alias("p")), "product_key", "left")
+    any_of = lambda c: F.max(F.coalesce(c, F.lit(False)).cast("int"))
+    found = [F.sum(F.col("price") * F.col("quantity")).alias("subtotal_cents"), any_of(~F.coalesce("p", F.lit(False))).alias("inactive")]
+    if inventory is not None:
+        stock = inventory.groupBy("product_key").agg(F.sum("quantity_available").alias("available"))
+        item = item.join(stock, "product_key", "left")
+        found += [any_of(F.col("available").isNull()).alias("no_record"), any_of(F.col("available") < F.col("quantity")).alias("short")]
+    return item.groupBy("request_id").agg(*found)
+
+
 def price_orders(
     requests: DataFrame,
     products: DataFrame,
     discounts: DataFrame | None = None,
     tax_rate: float = 0.08,
-    items: DataFrame | None = None,
+    assessed: DataFrame | None = None,
 ) -> DataFrame:
     """Subtotal at sale or base price, discount (``discounts``: request_id, discount_cents), tax on the rest, total.
-    ``items``: the ``request_items``, where they are stored already."""
-    price = products.select("product_key", F.coalesce("sale_price_cents", "base_price_cents").alias("price"))
-    sums = (
-        (request_items(requests) if items is None else items)
-        .join(price, "product_key")
-        .groupBy("request_id")
-        .agg(F.sum(F.col("price") * F.col("quantity")).alias("subtotal_cents"))
-    )
+    ``assessed``: what ``assess_items`` found, where it is stored already."""
+    if assessed is None:
+        assessed = assess_items(request_items(requests), products)
+    sums = assessed.where("subtotal_cents is not null").select("request_id", "subtotal_cents")
     df = requests.select("request_id", "customer_key", F.coalesce("shipping_cents", F.lit(0)).cast("bigint").alias("shipping_cents")).join(
         sums,
         "request_id",
@@ -115,21 +129,13 @@ def order_rejections(
     products: DataFrame,
     inventory: DataFrame,
     discounts: DataFrame | None = None,
-    items: DataFrame | None = None,
+    assessed: DataFrame | None = None,
 ) -> DataFrame:
     """request_id and the code of the first rule that fails: inactive customer, no items, no inventory record, inactive
-    product, too little stock, and what ``apply_discounts`` found."""
+    product, too little stock, and what ``apply_discounts`` found. ``assessed``: as in ``price_orders``."""
     known = customers.where("is_active").select("customer_key", F.lit(1).alias("c"))
-    stock = inventory.groupBy("product_key").agg(F.sum("quantity_available").alias("available"))
-    sold = products.where("is_active").select("product_key", F.lit(1).alias("p"))
-    item = request_items(requests) if items is None else items
-    item = item.join(stock, "product_key", "left").join(sold, "product_key", "left")
-    any_of = lambda c: F.max(F.when(c, 1).otherwise(0))
-    per = item.groupBy("request_id").agg(
-        any_of(F.col("available").isNull()).alias("f3"),
-        any_of(F.col("p").isNull()).alias("f4"),
-        any_of(F.col("available") < F.col("quantity")).alias("f5"),
-    )
+    per = assess_items(request_items(requests), products, inventory) if assessed is None else assessed
+    per = per.select("request_id", F.col("no_record").alias("f3"), F.col("inactive").alias("f4"), F.col("short").alias("f5"))
     df = requests.select("request_id", "customer_key").join(known, "customer_key", "left").join(per, "request_id", "left")
     df = df.join(discounts.select("request_id", "reason"), "request_id", "left") if discounts is not None else df.withColumn(
         "reason",

@@ -13,9 +13,10 @@ from tradewind.functions.columns import NOT_SOLD, big, money, month, n_distinct,
 from tradewind.functions.store import save
 
 
-def revenue_growth(fo: DataFrame, as_of: str | None = None, days: int = 90) -> DataFrame:
+def revenue_growth(fo: DataFrame, as_of: str | None = None, days: int = 90, fill: bool = False) -> DataFrame:
     """Daily revenue with growth over one and seven rows, moving averages and the year so far. Rows, not calendar
-    days, are counted; the year starts at its first day in the window."""
+    days, are counted; the year starts at its first day in the window. ``fill``: days without an order between the first
+    and the last have rows of their own with no revenue, so rows are calendar days."""
     df = sold(with_as_of(fo, as_of, "order_date").where(F.col("order_date") >= F.date_sub("as_of", days)))
     order = df.groupBy("order_id", "customer_key", "order_date").agg(F.sum("total_cents").alias("rev"))
     by = order.groupBy("order_date").agg(
@@ -23,6 +24,10 @@ def revenue_growth(fo: DataFrame, as_of: str | None = None, days: int = 90) -> D
         big(F.count(F.lit(1))).alias("order_count"),
         n_distinct("customer_key").alias("unique_customers"),
     )
+    if fill:
+        span = F.sequence(F.min("order_date"), F.max("order_date"))
+        every = by.agg(span.alias("span")).select(F.explode("span").alias("order_date"))
+        by = every.join(by, "order_date", "left").na.fill(0, ["rev", "order_count", "unique_customers"])
     w = Window.orderBy("order_date")
     rev, one, seven = F.col("rev"), F.lag("rev", 1).over(w), F.lag("rev", 7).over(w)
     return by.select(

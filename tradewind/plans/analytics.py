@@ -450,6 +450,16 @@ select d as full_date, dayname(d) as day_name, isodow(d) > 5 as is_weekend, cast
   unique_customers, cast(c1 as bigint) as prev_day_revenue, {p("c - c1", "c1", 1)} as dod_growth_pct, cast(c7 as bigint) as
   same_day_last_week, {p("c - c7", "c7", 1)} as wow_growth_pct, {r("m7")} as ma7_revenue, {r("m30")} as ma30_revenue, cast(y as bigint) as
   ytd_revenue from x""", "fo")(lambda s_, d: revenue.revenue_growth(fact_orders(s_, d), as_of=newest_order(s_, d)))
+add(
+    "revenue_growth_filled",
+    SQL["revenue_growth"]
+    .replace("t as (select order_date as d", "t0 as (select order_date as d")
+    .replace(
+        "group by 1), x as (",
+        "group by 1), t as (select cast(g as date) as d, coalesce(c, 0) as c, coalesce(o, 0) as o, coalesce(u, 0) as u "
+        "from generate_series((select min(d)::timestamp from t0), (select max(d)::timestamp from t0), interval 1 day) s(g) left join t0 on t0.d = cast(g as date)), x as (",
+    ),
+)(lambda s_, d: revenue.revenue_growth(fact_orders(s_, d), as_of=newest_order(s_, d), fill=True))
 add("geo_heatmap", f"""with x as (select shipping_country, state_province, city, customer_key, order_id, total_cents, year({NOW}) -
   year(order_date) as ago from fo join dc using (customer_key) where {LIVE}),
 g as (select shipping_country, state_province, city, sum(total_cents) filter (where ago = 0) as c, sum(total_cents) filter (where ago = 1)

@@ -808,15 +808,17 @@ def _funnel(s: SparkSession, d: str) -> DataFrame:
 # --- order batches -----------------------------------------------------------------------------------------------------------
 
 
-def shop(s: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Requests from the orders, and what they are checked against."""
+def shop(s: SparkSession, d: str, stored: bool = False) -> dict[str, DataFrame]:
+    """Requests from the orders (``stored``: as a table, for those who read them more than once), and what they are
+    checked against."""
     fo = fact_orders(s, d)
     item = F.struct("product_key", F.least(F.col("quantity"), F.lit(10)).alias("quantity"))
     requests = (
         fo.groupBy(F.col("order_id").alias("request_id"), "customer_key", F.col("ordered_at").alias("at"))
-        .agg(F.to_json(F.collect_list(item)).alias("items"), F.max("discount_code").alias("discount_code"))
+        .agg(F.collect_list(item).alias("items"), F.max("discount_code").alias("discount_code"))
         .withColumn("shipping_cents", (F.col("request_id") % 5 * 100).cast("bigint"))
     )
+    requests = save(requests, "requests") if stored else requests
     dp, n = dim_products(s, d), F.col("n")
     products = dp.select(
         "product_key",
@@ -824,9 +826,8 @@ def shop(s: SparkSession, d: str) -> dict[str, DataFrame]:
         F.when(F.col("product_key") % 4 == 0, F.expr("base_price_cents * 90 div 100")).alias("sale_price_cents"),
         (F.col("product_key") % 50 != 0).alias("is_active"),
     )
-    # Which codes there are, the items alone say.
-    codes = read(s, d, "lineitem").select(F.expr(CODE.format(text="string")).alias("discount_code")).where("discount_code is not null")
-    codes = codes.distinct().withColumn("n", F.substring("discount_code", 5, 3).cast("int"))
+    codes = requests.select("discount_code").where("discount_code is not null").distinct()
+    codes = codes.withColumn("n", F.substring("discount_code", 5, 3).cast("int"))
     codes = codes.select(
         F.col("discount_code").alias("code"),
         F.element_at(F.array(F.lit("percentage"), F.lit("fixed_amount"), F.lit("free_shipping")), n % 3 + 1).alias("discount_type"),
@@ -852,20 +853,20 @@ def shop(s: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def discounted(s: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The shop, with its requests and their items stored, and the discounts of the requests."""
-    x = shop(s, d)
-    x["requests"] = save(x["requests"], "requests")
-    x["items"] = save(orders.request_items(x["requests"]), "items")
-    first = orders.price_orders(x["requests"], x["products"], items=x["items"]).select("request_id", "subtotal_cents", "shipping_cents")
+    """The shop, with its requests and what their items came to stored, and the discounts of the requests."""
+    x = shop(s, d, stored=True)
+    x["items"] = orders.request_items(x["requests"])
+    x["assessed"] = save(orders.assess_items(x["items"], x["products"], x["inventory"]), "assessed")
+    first = orders.price_orders(x["requests"], x["products"], assessed=x["assessed"]).select("request_id", "subtotal_cents", "shipping_cents")
     return x, orders.apply_discounts(first.join(x["requests"].select("request_id", "at", "discount_code"), "request_id"), x["codes"])
 
 
 def _priced(x: dict[str, DataFrame], found: DataFrame) -> DataFrame:
-    return orders.price_orders(x["requests"], x["products"], found.select("request_id", "discount_cents"), items=x["items"])
+    return orders.price_orders(x["requests"], x["products"], found.select("request_id", "discount_cents"), assessed=x["assessed"])
 
 
 def _rejected(x: dict[str, DataFrame], found: DataFrame) -> DataFrame:
-    return orders.order_rejections(x["requests"], x["customers"], x["products"], x["inventory"], found, x["items"])
+    return orders.order_rejections(x["requests"], x["customers"], x["products"], x["inventory"], found, x["assessed"])
 
 
 _SHOP = """with i as (select order_id as request_id, customer_key, ordered_at as tm, product_key, least(quantity, 10) as quantity,
