@@ -216,10 +216,11 @@ def license_scan(
                 hot = np.flatnonzero(np.logical_or.reduceat(index.starts[ranks], edge)) if len(edge) else []
                 edge = np.append(edge, len(line))
                 alone: dict[tuple[int, int], float] = {}
+                breaks = np.flatnonzero(run.data == 10)
 
                 def meet(at_line: int, t: int, share: float) -> None:
                     d = int(lines.doc[at_line])
-                    number = run.data[run.offsets[d] : lines.start[at_line]].tobytes().count(b"\n")
+                    number = int(np.subtract(*np.searchsorted(breaks, (lines.start[at_line], run.offsets[d]))))
                     blocks.setdefault(d, []).append({"line": number, "label": index.labels[t], "containment": share})
 
                 for b in hot:
