@@ -157,10 +157,12 @@ def threshold(seen: list[tuple[int, int, int]], max_false: float = MAX_FALSE) ->
     rejected) without rows of both kinds."""
     good, bad = (sum(n for _, q, n in seen if q == k) for k in (1, 0))
     best, cut, g, b = 0.0, 2.0, 0, 0
-    scores = sorted({s for s, _, _ in seen}, reverse=True) if good and bad else []
+    rows: dict[int, list[int]] = {}
+    for score, q, n in seen:
+        rows.setdefault(score, [0, 0])[q == 1] += n
+    scores = sorted(rows, reverse=True) if good and bad else []
     for score, below in zip(scores, [*scores[1:], 0], strict=False):
-        g += sum(n for s, q, n in seen if s == score and q == 1)
-        b += sum(n for s, q, n in seen if s == score and q == 0)
+        b, g = b + rows[score][0], g + rows[score][1]
         if g <= max_false * good and b / bad - g / good > best:
             best, cut = b / bad - g / good, (score + below) / 2e4
     return cut
