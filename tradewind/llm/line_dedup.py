@@ -61,14 +61,16 @@ def _common(docs: DataFrame, min_sites: int) -> DataFrame:
     """(k1, k2, n, gone): of each document with boilerplate lines how many, and for each line up to the last such one
     whether it is one. Lines are cut and hashed once and stored, without their texts."""
     lines = save(_lines(docs), "lines")
-    spread = lines.join(_one_site(docs), "k2", "left").select("h1", "h2", F.coalesce("one", "site").alias("site"))
+    # Stored, so that its size is known: where it is small the lines of a very common text are not gathered.
+    one = save(_one_site(docs), "one-site")
+    spread = lines.join(one, "k2", "left").select("h1", "h2", F.coalesce("one", "site").alias("site"))
     hit = lines.join(boilerplate(spread, min_sites), ["h1", "h2"], "left_semi")
     # Repeated rows share their key, so their positions come once.
     at = hit.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     at = at.withColumn("before", F.concat(F.array(F.lit(-1)), F.slice("at", 1, F.size("at") - 1)))
     flags = F.transform(F.arrays_zip("at", "before"), lambda x: F.concat(F.array_repeat(F.lit(False), x["at"] - x["before"] - 1), F.array(F.lit(True))))
     found = save(at.select("k1", "k2", F.size("at").cast("long").alias("n"), F.flatten(flags).alias("gone")), "line-hits")
-    discard(lines)
+    discard(lines, one)
     return found
 
 
