@@ -143,10 +143,10 @@ def manifest(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), tree.alias("tree"), own.alias("digest"), (F.lit(None).cast("string") if claimed is None else claimed).alias("claim"))
     rows = save(rows, "merkle-leaves")
     placed = numbered(rows, ["tree", "doc_id", "digest"], "at", start=0)
-    # A join by size: the trees are as many as the column has values.
-    first = placed.groupBy("tree").agg(F.min("at").alias("first"))
+    # The trees are as many as the column has values: stored, so that the join goes by a known size.
+    first = save(placed.groupBy("tree").agg(F.min("at").alias("first")), "merkle-first")
     nodes = save(placed.join(first, "tree").select("doc_id", "tree", (F.col("at") - F.col("first")).alias("pos"), "digest", "claim"), "merkle-nodes")
-    discard(rows)
+    discard(rows, first)
 
     levels = _up(nodes, height)
     # The subroots are the leaves of one more tree.
