@@ -100,12 +100,30 @@ def test_secret_links_equal_all_pairs(frame, corpus):
         t = " ".join(x for _ in range(rng.randint(1, 6)) for x in (rng.choice(pieces), "word " * rng.choice([0, 1, 20, 38, 39, 40, 45, 90])))
         rows.append((1000 + i, t, "s"))
     needs = {"opaque": {"identifier", "endpoint"}, "identifier": {"secret"}, "endpoint": {"secret"}}
+    role = {"assign": "secret", "access": "identifier", "hex": "secret", "endpoint": "endpoint", "identifier": "identifier", "opaque": "secret"}
+    # The rules again, one pattern a kind, tried on whole texts.
+    any_case = re.ASCII | re.IGNORECASE
+    strong = {
+        "assign": (re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", any_case), lambda m: len(m[1]) >= 6),
+        "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+        "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+    }
+    weak = {
+        "endpoint": (re.compile(r"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:@/?#%&=+-]{4,}"), lambda m: True),
+        "identifier": (re.compile(r"""(?:client|access|account|user)[_-]?(?:id|key|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}""", any_case), lambda m: True),
+        "opaque": (re.compile("[A-Za-z0-9+/_-]{32,}={0,2}"), lambda m: all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))),
+    }
+
+    def parts(t):
+        sure = [(m.start(), m.end(), kind) for kind, (p, ok) in strong.items() for m in p.finditer(t) if ok(m)]
+        more = [(m.start(), m.end(), kind) for kind, (p, ok) in weak.items() for m in p.finditer(t) if ok(m)]
+        more = [x for x in more if not any(s < x[1] and x[0] < e for s, e, _ in sure)]
+        return sorted(sure + more, key=lambda x: (x[0], secret_scan.KINDS.index(x[2])))
 
     def brute(t):
-        found = [(s, e, secret_scan.KINDS[k]) for s, e, k in secret_scan.parts(t or "")]
-        out = []
+        found, out = parts(t or ""), []
         for s, e, kind in found:
-            near = {secret_scan.ROLE[k] for a, _, k in found if abs(a - s) <= secret_scan.SCOPE}
+            near = {role[k] for a, _, k in found if abs(a - s) <= secret_scan.SCOPE}
             if kind in ("assign", "access", "hex") or near & needs[kind]:
                 out.append(f"{kind}:{s}:{e}")
         return ",".join(out), sum(x.split(":")[0] in needs for x in out)

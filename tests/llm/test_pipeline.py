@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import duckdb
 import public_tokenizers
@@ -59,6 +61,16 @@ def test_each_stage_does_what_a_plain_version_does(spark, frame, corpus, tmp_pat
     before, now = rows_of(now), step("quality_rules")
     kept = {(r.doc_id, r.text_key): r.kept for r in quality.quality(frame(before), spark.read.parquet(f"{d}/labels.parquet")).collect()}
     words = lambda t: len((t or "").split())
+
+    def base_failed(t):
+        w = re.findall("[^\x20\x09-\x0d]+", t or "")
+        three = Counter(zip(w, w[1:], w[2:], strict=False))
+        again = {k + x for k, x3 in enumerate(zip(w, w[1:], w[2:], strict=False)) if three[x3] > 1 for x in range(3)}
+        return len(w) < 50 or 100 * len(again) > 50 * len(w)
+
+    # What the base rule rejects goes whatever the forest says; what is kept is unchanged.
+    assert {r for r in before if base_failed(r[1])}.isdisjoint(rows_of(now)) and set(rows_of(now)) <= set(before)
+    assert any(not base_failed(r[1]) for r in before) and any(base_failed(r[1]) for r in before)
     assert len(rows_of(now)) == sum(1 for r in quality.quality(frame(before), spark.read.parquet(f"{d}/labels.parquet")).collect() if r.kept)
     assert all(words(t) >= 50 for _, t, _ in rows_of(now)) and any(kept.values())
 
