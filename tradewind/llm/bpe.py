@@ -213,6 +213,7 @@ def bpe(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     ``model_path``: a byte-level vocabulary file with merges, read by the driver and sent to the executors. Whole texts
     are encoded. Null or empty text: no ids, decoded ''. Null id: kept as null. Repeated rows: one result each. Empty
     input: empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     with open(model_path, encoding="utf-8") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())

@@ -280,6 +280,8 @@ def contaminated(
     broadcast and scans all documents. Weights are those of the whole benchmark in every block.
     Null or empty text or item: matches nothing. Null ids: kept as null. Repeated rows: results each. Empty input or
     benchmark: empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
+    Of equally similar windows of a run the first counts.
     """
     docs = texts(docs, id_col, text_col)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null and text != ''")

@@ -189,6 +189,7 @@ def license_scan(
     breaks by their first line, and only where none of their lines alone holds as much of the template.
     Null or empty text: zeros, nulls and empty strings. Null id: kept as null. Repeated rows: one result each. Empty
     input: empty result. Templates and phrases are short lists and travel with the task.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     phrases, templates = phrases if phrases is not None else PHRASES, templates if templates is not None else TEMPLATES
     docs = texts(docs, id_col, text_col)

@@ -89,8 +89,10 @@ def line_dedup(
 
     A line is its text without blanks at both ends; lines of blanks only are never boilerplate. Lines on at least
     ``min_sites`` distinct sites are boilerplate and go in every document, also where nothing else is left. Equal texts
-    count for one site, the first by name, however many they stand on. Null or empty text: one empty line, nothing removed, clean_text ''.
+    count for one site, the first by name, however many they stand on.
+    Null or empty text: one empty line, nothing removed, clean_text ''.
     Null site: counts as one more site. Null id: kept as null. Repeated rows: one result each. Empty input: empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     docs = _keyed(texts(docs, id_col, text_col, F.col(site_col).cast("string").alias("site")))
     out = docs.join(_common(docs, min_sites), ["k1", "k2"], "left").withColumn("n", F.coalesce("n", F.lit(0)))

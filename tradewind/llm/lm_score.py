@@ -242,6 +242,7 @@ def lm_scores(
     scored. No training rows at all: every probability is uniform. Empty input: empty result.
     The rows are read twice and must come in the same partitions again (any stored table does): each answer carries a
     sum of the keys that were asked for, so a change raises an error.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     docs = texts(docs, id_col, text_col).select("doc_id", "text", fold(F.col("doc_id"), FOLDS).alias("fold"))
     docs = (

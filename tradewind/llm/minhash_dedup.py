@@ -288,6 +288,7 @@ def near_duplicates(
     1 - ``miss`` at the threshold; equal sets always meet.
     Null or empty text: an empty set, linked with nothing, kept. Null id: no links, component_id null, kept. Rows that
     share a doc_id are judged each by its own text. Repeated rows: the same result each. Empty input: empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     docs, m = texts(docs, id_col, text_col), collection_size(percent, k, miss)
     signed = save(signatures(docs, size, m, k), "signatures")

@@ -206,6 +206,8 @@ def quality(
     cut-off comes from every labelled row (a histogram of scores in ten-thousandths, so at most 20,002 rows).
     Null or empty text: all counts 0, base_failed. Null id: scored like any row, never labelled. Repeated rows: one
     result each. A label that is null or repeated with another value counts once per row. Empty input: empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
+    Rows of equal hash are taken into the sample by their other columns.
     """
     stats = save(rule_statistics(docs, id_col, text_col), "quality")
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(

@@ -108,6 +108,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same as an array of (kind, start, end). n_linked: weak parts reported.
     Null or empty text: zeros and empty strings. Null id: kept as null. Repeated rows: one result each. Empty input:
     empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, parts array<struct<start:long,end:long,kind:int>>"
     part = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32())]))

@@ -117,6 +117,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     end exclusive, up to where the next unit starts; ``clean_text`` is all the rest, unchanged. Null or empty text: no
     units, clean_text ''. Null id: ranked first. Rows that repeat both id and text count as one document and get the
     same result. Empty input: empty result.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     docs = texts(docs, id_col, text_col).withColumn("k1", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("k2", F.xxhash64("text"))
     every = units(docs)

@@ -122,6 +122,7 @@ def token_counts(docs: DataFrame, start: list[bytes], inner: list[bytes], id_col
 
     Words stand between ASCII white space; each is matched with one space before it. Null or empty text: zeros. Null
     id: kept as null. Repeated rows: one result each. Empty input: empty result. Words of any length are read once.
+    A very long text is read whole. Other columns, also those named like results, are not read.
     """
     shipped = ship(docs.sparkSession, start, inner)
 
