@@ -1,7 +1,7 @@
 """Corpus pipeline: quality rules, line dedup, near-duplicate removal, decontamination, encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; between stages the documents are
-written as Parquet and read again. Stages handle nulls, empty texts, repeated rows and extra columns as their operators
+written as Parquet and read again. Texts of any length are read whole. Stages handle nulls, empty texts, repeated rows and extra columns as their operators
 state; a row is dropped by (doc_id, text), never by position.
 """
 
