@@ -104,9 +104,13 @@ def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int) ->
     """a, b, va, vb: all pairs a < b of the items of each group, with their values.
 
     A group's items are dealt into g blocks of about ``tile``, and each two blocks meet under a key of their own: g (g + 1) / 2
-    tasks of at most tile^2 pairs for a large group, one for a small one; an item is sent g times. An item that a group
-    has twice is not expected."""
+    tasks of at most tile^2 pairs for a large group, one for a small one; an item is sent g times. Where no group has
+    over ``tile`` items, all is one plain join. ``df`` is read more than once; an item is expected once in a group."""
     blocks = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("__g"))
+    if blocks.where("__g > 1").isEmpty():
+        left = df.select(group, F.col(item).alias("a"), F.col(value).alias("va"))
+        right = df.select(group, F.col(item).alias("b"), F.col(value).alias("vb"))
+        return left.join(right, group).where("a < b").select("a", "b", "va", "vb")
     # A group's rows are many only where it is large: the join goes by size and splits it.
     df = df.select(group, item, value).join(blocks, group).withColumn("__block", F.pmod(F.xxhash64(item), F.col("__g")).cast("int"))
     left = df.select(group, F.col(item).alias("__x"), F.col(value).alias("__vx"), F.col("__block").alias("__i"), F.explode(F.sequence(F.col("__block"), F.col("__g") - 1)).alias("__j"))
