@@ -41,7 +41,7 @@ def byte_letters() -> dict[str, int]:
 class Automaton:
     """Tokens by id, built from single bytes by successive merge gadgets."""
 
-    def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]], most_arcs: int = 1_000_000):
+    def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]], most_arcs: int = 300_000):
         most = max(labels, default=0) + 1
         self.labels = labels
         #: Rank of the merge that made a token; -1: a byte, -2: none has yet.
@@ -50,6 +50,7 @@ class Automaton:
         #: Table of arcs: (state, label) cut by the gadget of this rank.
         self.cut: dict[int, int] = {}
         self.arcs: dict[int, bool] = {}
+        self.older_arcs: dict[int, bool] = {}
         self.most_arcs = most_arcs
         #: Table of labels: (node, byte) to node; the token of a node, or -1.
         self.step: dict[int, int] = {}
@@ -117,9 +118,14 @@ class Automaton:
                 at, a = born[a] - 1, self.right[a]
 
     def arc(self, state: int, label: int) -> bool:
+        """The table's entry; of those met before, the last ``most_arcs`` to twice as many are kept."""
         if len(self.arcs) >= self.most_arcs:
+            self.older_arcs = dict(self.arcs)
             self.arcs.clear()
-        found = self.arcs[state << 32 | label] = self._inherited(state, label, len(self.cut))
+        found = self.older_arcs.get(state << 32 | label)
+        if found is None:
+            found = self._inherited(state, label, len(self.cut))
+        self.arcs[state << 32 | label] = found
         return found
 
     def encode(self, word: bytes) -> list[int]:
@@ -180,22 +186,35 @@ class Vocabulary:
         out += map(self.known.__getitem__, self.words.findall(text[at:]))
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Keep the vocabulary alone, nothing of the texts that were read."""
+        for kept in (self.known, self.known.older, self.automaton.arcs, self.automaton.older_arcs):
+            kept.clear()
+
     def decode(self, ids: bytes) -> str:
         """The labels of the arcs, one after the other; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 class _Known(dict):
-    """Encodings of words met before; forgets all when full, which bounds memory and changes no result."""
+    """Encodings of the last ``most`` to twice as many distinct words; which they are changes no result.
+
+    When full, all become older ones, and what were older ones go: a word that is used now and then stays, and the many
+    that come once take little memory.
+    """
 
-    def __init__(self, automaton: Automaton, most: int = 500_000):
+    def __init__(self, automaton: Automaton, most: int = 200_000):
         super().__init__()
         self.automaton, self.most = automaton, most
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        out = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
+        out = self.older.get(word)
+        if out is None:
+            out = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
         if len(word) <= 64:
             self[word] = out
         return out
@@ -218,6 +237,7 @@ def bpe(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
     with open(model_path, encoding="utf-8") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
 
+    @tv.lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = compiled(shipped.value)
         for batch in batches:
@@ -233,6 +253,7 @@ def bpe(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
                     ],
                     ["doc_id", "n_tokens", "ids", "decoded"],
                 )
+        vocabulary.forget()
 
     return (
         texts(docs, id_col, text_col)

@@ -224,6 +224,7 @@ def _stretches(docs: DataFrame, table: np.ndarray, bits: int, lengths: list[int]
     a place lies within one."""
     shipped = docs.sparkSession.sparkContext.broadcast(table)
 
+    @tv.lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
         for batch in batches:
@@ -282,6 +283,7 @@ def _windows(stretches: DataFrame, total: int, size: int, similarity: float) ->
                 lo, hi = starts[0], starts[-1] + span
                 yield n, row["first"] + int(lo), sh[lo:hi].tobytes(), weights[lo:hi].tobytes(), (starts - lo).tobytes(), prints.tobytes()
 
+    @tv.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -74,6 +74,7 @@ def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
     a, b = _hashes(m, k)
     schema = "doc_id long, text_key long, n_shingles long, d1 long, d2 long, halves array<long>, bits array<long>"
 
+    @tv.lean
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in tv.runs(batch.column("text")):
@@ -104,6 +105,7 @@ def signatures(docs: DataFrame, size: int, m: int, k: int) -> DataFrame:
 def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """class and its sorted shingle hashes as bytes, from (class, text)."""
 
+    @tv.lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in tv.runs(batch.column("text")):
@@ -131,6 +133,7 @@ def _of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> Da
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, with a > b) whose full sets have 100 * intersection >= percent * union."""
 
+    @tv.lean
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -202,6 +205,7 @@ def _rest(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     place = lambda found: ((found >> tv.U(23)) % tv.U(ORDER)).astype(np.int64)
     tokens = lambda batch: [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
 
+    @tv.lean
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -215,6 +219,7 @@ def _rest(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     words = [f"m{w}" for w in range(PARITIES // 64)]
     own = ["class", "component", *words]
 
+    @tv.lean
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):

@@ -64,6 +64,7 @@ def _counts(run: tv.Run) -> list[np.ndarray]:
 def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key and the counts in ``COUNTS`` of each row's whole text (null text: all counts 0)."""
 
+    @tv.lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in tv.runs(batch.column("text")):
@@ -223,6 +224,7 @@ def quality(
         x = features({c: rows[c].to_numpy() for c in COUNTS})
         forest = grow(x[(rows["quality"] == 1).to_numpy()], np.stack([x.min(axis=0), x.max(axis=0)]), trees, per_tree)
 
+    @tv.lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features({c: batch.column(c).to_numpy(zero_copy_only=False) for c in COUNTS})

@@ -9,8 +9,10 @@ of about ``CHUNK`` bytes, which bounds memory; a single longer text makes its ow
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 from hashlib import blake2b
 
 import numpy as np
@@ -127,6 +129,27 @@ def runs(column: pa.Array | pa.ChunkedArray, chunk: int = CHUNK) -> Iterator[Run
         lo = hi
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(task: Task) -> Task:
+    """The task of a ``mapInArrow``, which at its end gives back what its arrays took.
+
+    Workers stay for later tasks, and allocators keep what was freed: it would count as the executor's memory, beside
+    what the JVM then needs for its own sorts.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 def words(run: Run, abc: Alphabet) -> Words:
     """All words of a run, in order."""
     n = len(run.data)
