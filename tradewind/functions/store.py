@@ -20,15 +20,28 @@ def work_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def save(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+#: Spark's setting by which the shuffle files of a query go when it ends; else they stay until the driver's garbage is collected.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def save(df: DataFrame, name: str, spark: SparkSession | None = None, clean: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it again: lineage ends there.
 
     Reads after a lost executor come from the written table, never from executor memory. ``spark``: the session that
-    reads it; a stream's batch has a session without adaptive plans, which its further work need not share.
+    reads it; a stream's batch has a session without adaptive plans, which its further work need not share. ``clean``:
+    what the write shuffled leaves the disks once the table is written.
     """
     spark = spark or df.sparkSession
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    own = df.sparkSession.conf
+    before = own.get(CLEAN, None)
+    if clean:
+        own.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if clean:
+            own.unset(CLEAN) if before is None else own.set(CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.work_path = path
     return out

@@ -5,12 +5,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.columns import NOT_SOLD, big, money, n_distinct, n_where, ratio, rounded, sold, with_as_of
-from tradewind.functions.store import save
+from tradewind.functions.store import discard, save
 
 
 def snapshot_inventory(inv: DataFrame, dp: DataFrame, day: str) -> DataFrame:
@@ -100,25 +102,83 @@ def basket_pairs(fo: DataFrame, dp: DataFrame, level: str = "product_key", min_c
     return out.orderBy(F.desc("lift"), F.desc("co_purchase_count"), "item_a", "item_b").limit(limit)
 
 
-def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int) -> DataFrame:
-    """a, b, va, vb: all pairs a < b of the items of each group, with their values.
+def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int, part: str | None = None) -> DataFrame:
+    """a, b, va, vb: all pairs a < b of the items of each group, with their values. ``part``: a boolean column of ``df``;
+    only pairs with an item where it is true.
 
     A group's items are dealt into g blocks of about ``tile``, and each two blocks meet under a key of their own: g (g + 1) / 2
     tasks of at most tile^2 pairs for a large group, one for a small one; an item is sent g times. Where no group has
     over ``tile`` items, all is one plain join. ``df`` is read more than once; an item is expected once in a group."""
     blocks = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("__g"))
-    if blocks.where("__g > 1").isEmpty():
-        left = df.select(group, F.col(item).alias("a"), F.col(value).alias("va"))
-        right = df.select(group, F.col(item).alias("b"), F.col(value).alias("vb"))
-        return left.join(right, group).where("a < b").select("a", "b", "va", "vb")
-    # A group's rows are many only where it is large: the join goes by size and splits it.
-    df = df.select(group, item, value).join(blocks, group).withColumn("__block", F.pmod(F.xxhash64(item), F.col("__g")).cast("int"))
-    left = df.select(group, F.col(item).alias("__x"), F.col(value).alias("__vx"), F.col("__block").alias("__i"), F.explode(F.sequence(F.col("__block"), F.col("__g") - 1)).alias("__j"))
-    right = df.select(group, F.col(item).alias("__y"), F.col(value).alias("__vy"), F.explode(F.sequence(F.lit(0), F.col("__block"))).alias("__i"), F.col("__block").alias("__j"))
-    met = left.join(right, [group, "__i", "__j"]).where((F.col("__i") < F.col("__j")) | (F.col("__x") < F.col("__y")))
     up = F.col("__x") < F.col("__y")
     pick = lambda x, y: F.when(up, F.col(x)).otherwise(F.col(y))
-    return met.select(pick("__x", "__y").alias("a"), pick("__y", "__x").alias("b"), pick("__vx", "__vy").alias("va"), pick("__vy", "__vx").alias("vb"))
+    out = [pick("__x", "__y").alias("a"), pick("__y", "__x").alias("b"), pick("__vx", "__vy").alias("va"), pick("__vy", "__vx").alias("vb")]
+    df = df.select(group, item, value, (F.lit(True) if part is None else F.col(part)).alias("__in"))
+    x = [F.col(item).alias("__x"), F.col(value).alias("__vx"), F.col("__in").alias("__ix")]
+    y = [F.col(item).alias("__y"), F.col(value).alias("__vy"), F.col("__in").alias("__iy")]
+    if blocks.where("__g > 1").isEmpty():
+        met = df.where("__in").select(group, *x).join(df.select(group, *y), group)
+        return met.where(up if part is None else up | (~F.col("__iy") & (F.col("__x") > F.col("__y")))).select(*out)
+    # A group's rows are many only where it is large: the join goes by size and splits it.
+    df = df.join(blocks, group).withColumn("__block", F.pmod(F.xxhash64(item), F.col("__g")).cast("int"))
+    left = df.select(group, *x, F.col("__block").alias("__i"), F.explode(F.sequence(F.col("__block"), F.col("__g") - 1)).alias("__j"))
+    right = df.select(group, *y, F.explode(F.sequence(F.lit(0), F.col("__block"))).alias("__i"), F.col("__block").alias("__j"))
+    met = left.join(right, [group, "__i", "__j"]).where((F.col("__i") < F.col("__j")) | up)
+    return met.where(F.col("__ix") | F.col("__iy")).select(*out)
+
+
+#: The groups of customers are taken in so many turns at most, as the keys of one turn are on the disks at once.
+ROUNDS = 4
+
+
+def sparse_pairs(share: DataFrame, items: DataFrame, min_common: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """For items of few customers, pairs that have ``min_common`` in common, found without making every pair of a basket.
+
+    Customers fall into ``min_common`` - 1 groups, so of ``min_common`` common customers two are in one group: such two
+    customers are a key, and items that no other shares a key with are done. The pairs of items under a key are held
+    against each other's lists of customers, as 32-bit numbers of which equal ones are allowed for; what may reach
+    ``min_common`` is looked up. ``share``: customer_key, item, s; ``items``: item, n, baskets (the other items in its
+    customers' baskets, added up). Returns the pairs a, b, va, vb per common customer, and the items whose pairs under
+    keys would take more room than those of the baskets; they are left to the plain way."""
+    groups = min_common - 1
+    # A key is rebuilt from the list; lists are short, as items with more pairs of customers than of basket items are not here.
+    held = save(
+        share.join(items.select("item"), "item").groupBy("item").agg(F.sort_array(F.collect_list("customer_key")).alias("customers")),
+        "held",
+        clean=True,
+    )
+    kept, rounds = [], min(groups, ROUNDS)
+    for first in range(rounds):
+        own = held.select("*", F.explode(F.sequence(F.lit(first), F.lit(groups - 1), F.lit(rounds))).alias("group"))
+        own = own.select("item", F.filter("customers", lambda c: F.pmod(F.xxhash64(c), F.lit(groups)) == F.col("group")).alias("c")).where(F.size("c") > 1)
+        two = own.select("item", "c", F.posexplode("c").alias("i", "x")).where(F.col("i") + 1 < F.size("c"))
+        two = two.select("item", "x", F.explode(F.slice("c", F.col("i") + 2, F.size("c"))).alias("y"))
+        # 48 bits: two keys as one add a pair that is ruled out later, and take less room.
+        keys = two.select(F.shiftrightunsigned(F.xxhash64("x", "y"), 16).alias("key"), "item")
+        met = keys.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where(F.col("n") > 1)
+        kept.append(save(met, "keys", clean=True))
+    both = reduce(DataFrame.unionByName, kept)
+    under = both.groupBy("item").agg(F.sum(F.col("n") - 1).alias("pairs"))
+    # A pair from a basket takes some 24 bytes, one under a key those and 4 for each customer of a list.
+    dear = F.col("pairs") * (F.col("n") + 6) > F.col("baskets") * 6
+    back = save(under.join(items, "item").where(dear).select("item"), "back", clean=True)
+    if not back.isEmpty():
+        both = both.join(back, "item", "left_anti")
+    pairs = tiled_pairs(both, "key", "item", "n", tile).select("a", "b").distinct()
+    short = lambda c: F.transform(c, lambda x: F.hash(x))
+    of = lambda i, c: held.select(F.col("item").alias(i), F.col("customers").alias(c))
+    left = pairs.join(of("a", "ca"), "a").select("a", "b", short(F.col("ca")).alias("ha"))
+    met = left.join(of("b", "cb"), "b")
+    twice = F.size("ha") - F.size(F.array_distinct("ha"))
+    near = met.where(F.size(F.array_intersect("ha", short(F.col("cb")))) + twice >= min_common)
+    near = near.select("a", "b", F.explode(F.filter("cb", lambda c: F.array_contains(F.col("ha"), F.hash(c)))).alias("customer_key"))
+    near = save(near, "near", clean=True)
+    discard(held, *kept)
+    # Few pairs are left in most tables, so the shares they need are picked by a scan.
+    asked = near.select(F.col("a").alias("item"), "customer_key").unionByName(near.select(F.col("b").alias("item"), "customer_key")).distinct()
+    own = share.join(asked, ["item", "customer_key"], "left_semi")
+    of = lambda i, v: own.select(F.col("item").alias(i), "customer_key", F.col("s").alias(v))
+    return near.join(of("a", "va"), ["a", "customer_key"]).join(of("b", "vb"), ["b", "customer_key"]).select("a", "b", "va", "vb"), back
 
 
 def item_similarity(
@@ -135,7 +195,8 @@ def item_similarity(
     the two items' common customers only, ``all`` over all customers of each item.
 
     An item needs ``min_common`` customers to have as many in common with another; the others leave before pairs are made.
-    Customers with many items are cut into tiles.
+    Pairs of items that have few customers each are found by pairs of customers; pairs with an item whose customers are
+    many against their baskets are made basket by basket. Customers with many items are cut into tiles.
     """
     if norms not in ("common", "all"):
         raise ValueError("norms must be common or all")
@@ -145,15 +206,28 @@ def item_similarity(
         .groupBy("customer_key", F.col(level).alias("item"))
         .agg(F.sum("quantity").alias("q"))
     )
+    q = save(q, "units", clean=True)
     # Whole-number weights: shares of a customer's units in millionths, so that sums do not depend on their order.
-    units = q.groupBy("customer_key").agg(F.sum("q").alias("units"))
-    share = q.join(units, "customer_key").select("customer_key", "item", F.floor(F.col("q") * 1_000_000 / F.col("units")).cast("bigint").alias("s")).where("s > 0")
-    share = save(share, "shares")
-    lengths = share.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("s") * F.col("s")).alias("ss")).where(F.col("n") >= min_common)
-    often = share.join(lengths.select("item"), "item", "left_semi")
+    units = q.groupBy("customer_key").agg(F.sum("q").alias("units"), F.count(F.lit(1)).alias("basket"))
+    s = F.floor(F.col("q") * 1_000_000 / F.col("units")).cast("bigint").alias("s")
+    share = save(q.join(units, "customer_key").select("customer_key", "item", s, "basket").where("s > 0"), "shares", clean=True)
+    discard(q)
+    lengths = share.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum(F.col("basket") - 1).alias("baskets"))
+    n = F.col("n")
+    few = n * (n - 1) <= F.col("baskets") * (min_common - 1) if min_common > 1 else F.lit(False)
+    lengths = save(lengths.where(n >= min_common).withColumn("few", few), "items", clean=True)
+    share = share.select("customer_key", "item", "s")
+    found, many = None, lengths.where("not few").select("item")
+    if not lengths.where("few").isEmpty():
+        found, back = sparse_pairs(share, lengths.where("few"), min_common, tile)
+        many = many.unionByName(back)
+    if not many.isEmpty() or found is None:
+        often = share.join(lengths.select("item"), "item").join(many.withColumn("many", F.lit(True)), "item", "left")
+        often = often.withColumn("many", F.coalesce("many", F.lit(False)))
+        plain = tiled_pairs(often, "customer_key", "item", "s", tile, "many")
+        found = plain if found is None else found.unionByName(plain)
     per = (
-        tiled_pairs(often, "customer_key", "item", "s", tile)
-        .groupBy("a", "b")
+        found.groupBy("a", "b")
         .agg(
             big(F.count(F.lit(1))).alias("common"),
             F.sum(F.col("va") * F.col("vb")).alias("dot"),
