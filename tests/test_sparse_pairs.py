@@ -59,7 +59,7 @@ def dealt(spark):
 
 
 @pytest.mark.parametrize("min_common", [1, 2, 5, 8])
-@pytest.mark.parametrize("norms", ["common"])
+@pytest.mark.parametrize("norms", ["common", "all"])
 @pytest.mark.parametrize("tile", [512, 7])
 def test_all_pairs_are_found(spark, min_common, norms, tile):
     bought = mixed(min_common)
@@ -86,7 +86,7 @@ def test_each_way_is_taken(spark):
     assert want and want <= {(r.a, r.b) for r in found.collect()}
 
 
-@pytest.mark.parametrize("norms", ["common"])
+@pytest.mark.parametrize("norms", ["common", "all"])
 def test_baskets_are_not_paired_out(spark, norms):
     rng = random.Random(9)
     bought = [(c, p, 1) for c in range(600) for p in rng.sample(range(1500), 40)]
