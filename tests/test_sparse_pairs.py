@@ -51,11 +51,15 @@ def parts_of(spark, bought):
     return spark.createDataFrame([(p,) for p in sorted({p for _, p, _ in bought})], "product_key long")
 
 
-def dealt(spark):
-    """Rows that all stages so far have written for a shuffle."""
+def stages(spark):
+    """Rows that each stage so far has written for a shuffle."""
     sc = spark.sparkContext
-    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
-    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+    found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {found.apply(i).stageId(): found.apply(i).shuffleWriteRecords() for i in range(found.size())}
+
+
+def dealt(spark):
+    return sum(stages(spark).values())
 
 
 @pytest.mark.parametrize("min_common", [1, 2, 5, 8])
@@ -98,6 +102,20 @@ def test_baskets_are_not_paired_out(spark, norms):
     assert dealt(spark) - before < pairs * 0.7
 
 
+@pytest.mark.parametrize("tile", [512, 7])
+def test_pairs_of_baskets_go_in_turns(spark, tile):
+    rng = random.Random(11)
+    bought = [(c, p, rng.randint(1, 9)) for c in range(2000) for p in rng.sample(range(333), 10)]
+    fo, dp, out, largest = facts(spark, bought), parts_of(spark, bought), [], []
+    for most in (10**9, 1):
+        before = stages(spark).keys()
+        df = products.item_similarity(fo, dp, min_common=3, min_cos=0.0, limit=10**6, tile=tile, most=most)
+        out.append({tuple(r) for r in df.collect()})
+        largest.append(max(n for i, n in stages(spark).items() if i not in before))
+    assert out[0] == out[1] and {(r[0], r[1]) for r in out[0]} == set(similar(bought, 3, "common", 0.0))
+    assert tile < 512 or largest[1] < 0.6 * largest[0]
+
+
 def test_a_saved_table_leaves_no_shuffle_files(spark):
     blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
 

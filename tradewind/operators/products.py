@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,9 +103,9 @@ def basket_pairs(fo: DataFrame, dp: DataFrame, level: str = "product_key", min_c
     return out.orderBy(F.desc("lift"), F.desc("co_purchase_count"), "item_a", "item_b").limit(limit)
 
 
-def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int, part: str | None = None) -> DataFrame:
+def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int, part: str | None = None, turn: tuple[int, int] = (0, 1)) -> DataFrame:
     """a, b, va, vb: all pairs a < b of the items of each group, with their values. ``part``: a boolean column of ``df``;
-    only pairs with an item where it is true.
+    only pairs with an item where it is true. ``turn``: i, n; the i-th (from 0) of n shares of the pairs, all rows of a pair in one.
 
     A group's items are dealt into g blocks of about ``tile``, and each two blocks meet under a key of their own: g (g + 1) / 2
     tasks of at most tile^2 pairs for a large group, one for a small one; an item is sent g times. Where no group has
@@ -112,19 +113,21 @@ def tiled_pairs(df: DataFrame, group: str, item: str, value: str, tile: int, par
     blocks = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("__g"))
     up = F.col("__x") < F.col("__y")
     pick = lambda x, y: F.when(up, F.col(x)).otherwise(F.col(y))
+    now = lambda c: F.lit(True) if turn[1] == 1 else F.pmod(F.xxhash64(c), F.lit(turn[1])) == turn[0]
     out = [pick("__x", "__y").alias("a"), pick("__y", "__x").alias("b"), pick("__vx", "__vy").alias("va"), pick("__vy", "__vx").alias("vb")]
     df = df.select(group, item, value, (F.lit(True) if part is None else F.col(part)).alias("__in"))
     x = [F.col(item).alias("__x"), F.col(value).alias("__vx"), F.col("__in").alias("__ix")]
     y = [F.col(item).alias("__y"), F.col(value).alias("__vy"), F.col("__in").alias("__iy")]
     if blocks.where("__g > 1").isEmpty():
-        met = df.where("__in").select(group, *x).join(df.select(group, *y), group)
+        # The left item of a pair is the same in every group.
+        met = df.where("__in").select(group, *x).where(now("__x")).join(df.select(group, *y), group)
         return met.where(up if part is None else up | (~F.col("__iy") & (F.col("__x") > F.col("__y")))).select(*out)
     # A group's rows are many only where it is large: the join goes by size and splits it.
     df = df.join(blocks, group).withColumn("__block", F.pmod(F.xxhash64(item), F.col("__g")).cast("int"))
     left = df.select(group, *x, F.col("__block").alias("__i"), F.explode(F.sequence(F.col("__block"), F.col("__g") - 1)).alias("__j"))
     right = df.select(group, *y, F.explode(F.sequence(F.lit(0), F.col("__block"))).alias("__i"), F.col("__block").alias("__j"))
     met = left.join(right, [group, "__i", "__j"]).where((F.col("__i") < F.col("__j")) | up)
-    return met.where(F.col("__ix") | F.col("__iy")).select(*out)
+    return met.where((F.col("__ix") | F.col("__iy")) & now(F.least("__x", "__y"))).select(*out)
 
 
 #: The groups of customers are taken in so many turns at most, as the keys of one turn are on the disks at once.
@@ -181,6 +184,20 @@ def sparse_pairs(share: DataFrame, items: DataFrame, min_common: int, tile: int)
     return near.join(of("a", "va"), ["a", "customer_key"]).join(of("b", "vb"), ["b", "customer_key"]).select("a", "b", "va", "vb"), back
 
 
+def _counted(pairs: DataFrame, min_common: int) -> DataFrame:
+    """Pairs with enough rows, and the sums of their products."""
+    return (
+        pairs.groupBy("a", "b")
+        .agg(
+            big(F.count(F.lit(1))).alias("common"),
+            F.sum(F.col("va") * F.col("vb")).alias("dot"),
+            F.sum(F.col("va") * F.col("va")).alias("aa"),
+            F.sum(F.col("vb") * F.col("vb")).alias("bb"),
+        )
+        .where(F.col("common") >= min_common)
+    )
+
+
 def item_similarity(
     fo: DataFrame,
     dp: DataFrame,
@@ -190,13 +207,15 @@ def item_similarity(
     limit: int = 200,
     norms: str = "common",
     tile: int = 512,
+    most: int = 50_000_000,
 ) -> DataFrame:
     """Cosine of customer-normalised quantities; rank within the first item. ``norms``: ``common`` takes the lengths over
     the two items' common customers only, ``all`` over all customers of each item.
 
     An item needs ``min_common`` customers to have as many in common with another; the others leave before pairs are made.
     Pairs of items that have few customers each are found by pairs of customers; pairs with an item whose customers are
-    many against their baskets are made basket by basket. Customers with many items are cut into tiles.
+    many against their baskets are made basket by basket, in turns of about ``most`` pairs, or twice the rows of items and
+    customers where that is more, so that disks hold one turn. Customers with many items are cut into tiles.
     """
     if norms not in ("common", "all"):
         raise ValueError("norms must be common or all")
@@ -217,25 +236,24 @@ def item_similarity(
     few = n * (n - 1) <= F.col("baskets") * (min_common - 1) if min_common > 1 else F.lit(False)
     lengths = save(lengths.where(n >= min_common).withColumn("few", few), "items", clean=True)
     share = share.select("customer_key", "item", "s")
-    found, many = None, lengths.where("not few").select("item")
+    many, counted = lengths.where("not few").select("item"), []
     if not lengths.where("few").isEmpty():
         found, back = sparse_pairs(share, lengths.where("few"), min_common, tile)
         many = many.unionByName(back)
-    if not many.isEmpty() or found is None:
-        often = share.join(lengths.select("item"), "item").join(many.withColumn("many", F.lit(True)), "item", "left")
-        often = often.withColumn("many", F.coalesce("many", F.lit(False)))
-        plain = tiled_pairs(often, "customer_key", "item", "s", tile, "many")
-        found = plain if found is None else found.unionByName(plain)
-    per = (
-        found.groupBy("a", "b")
-        .agg(
-            big(F.count(F.lit(1))).alias("common"),
-            F.sum(F.col("va") * F.col("vb")).alias("dot"),
-            F.sum(F.col("va") * F.col("va")).alias("aa"),
-            F.sum(F.col("vb") * F.col("vb")).alias("bb"),
-        )
-        .where(F.col("common") >= min_common)
-    )
+        counted.append(_counted(found, min_common))
+    if not many.isEmpty() or not counted:
+        many = many.withColumn("many", F.lit(True))
+        often = share.join(lengths.select("item"), "item").join(many, "item", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+        sums = lengths.join(many, "item", "left").agg(F.sum(F.when(F.col("many"), F.col("baskets"))), F.count("many"), F.count(F.lit(1)), F.sum("n")).first()
+        pairs, some, every, rows = (x or 0 for x in sums)
+        # Tasks add up their own rows of a pair first, so few items make few rows.
+        dealt = min(pairs, some * every * int(share.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        turns = max(1, ceil(dealt / max(most, 2 * rows)))
+        often = often if turns == 1 else save(often, "often", clean=True)
+        for i in range(turns):
+            part = _counted(tiled_pairs(often, "customer_key", "item", "s", tile, "many", (i, turns)), min_common)
+            counted.append(part if turns == 1 else save(part, "pairs", clean=True))
+    per = reduce(DataFrame.unionByName, counted)
     if norms == "all":
         of = lambda i, n: lengths.select(F.col("item").alias(i), F.col("ss").alias(n))
         per = per.drop("aa", "bb").join(of("a", "aa"), "a").join(of("b", "bb"), "b")
